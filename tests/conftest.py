@@ -1,0 +1,21 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tessera.session import local_session
+    s = local_session(cpus="*", shuffle_partitions=8, app="tessera-tests", extra={
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-wh-"),
+    })
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
+    yield s
+    s.stop()
