@@ -1,0 +1,41 @@
+"""Every registered query against its DuckDB oracle at sf0.01."""
+
+import pytest
+
+import __spark_entry__ as entry_mod
+from tests.oracle_compare import compare, duck
+
+SF = "/root/testdata/sf0.01"
+QUERIES = entry_mod.queries()
+ORACLE = entry_mod.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duck(SF)
+    yield c
+    c.close()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_oracle(spark, con, name):
+    df = QUERIES[name](spark, SF)
+    problems, n = compare(df, con, ORACLE[name])
+    assert not problems, f"{name}: {problems}"
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+def test_rows_only_queries_run(spark, name):
+    df = QUERIES[name](spark, SF)
+    assert df.count() >= 0
+
+
+def test_every_query_has_oracle_or_is_listed():
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) == {"split_random"}
+
+
+def test_entry_smoke(spark):
+    df = entry_mod.entry(spark)
+    assert df.count() > 0
+    assert df.columns == ["o_orderkey", "o_custkey", "o_orderpriority"]
