@@ -9,6 +9,7 @@ a *local* master (tests, bench) do we create one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -65,13 +66,19 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
+def as_uri(path: str) -> str:
+    """Keep a path that has a scheme (``hdfs:``, ``s3a:``, ``file:``); make a
+    bare local path absolute with ``file://``."""
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return path
+    return "file://" + os.path.abspath(path)
+
+
 def scratch_database(spark: SparkSession) -> str:
     """A catalog database whose managed tables live under the scratch root."""
     root = scratch_root(spark)
     name = "tessera_scratch_" + uuid.uuid5(uuid.NAMESPACE_URL, root).hex[:10]
     if not spark.catalog.databaseExists(name):
-        location = root + "/warehouse/" + name
-        if "://" not in location:
-            location = "file://" + os.path.abspath(location)
+        location = as_uri(root + "/warehouse/" + name)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
     return name
