@@ -91,7 +91,7 @@ def not_in(main: DataFrame, requests: DataFrame, key: str, req_key: str | None =
 @dc.dataclass
 class EraseReport:
     table: str
-    partitions: list
+    partitions: list | None          # None: too many to list (kept in the state folder)
     touched_rows: int = 0
     erased_rows: int = 0
     kept_rows: int = 0
@@ -117,22 +117,48 @@ def _read_marker(spark: SparkSession, path: str) -> dict | None:
     return json.loads(row[0]) if row else None
 
 
-def _empty_partitions(spark: SparkSession, table: str, part: str, values: list) -> None:
-    """Delete the files of each partition, then drop it from the catalog
-    (dynamic overwrite alone would leave an emptied partition's old rows)."""
-    t = quote_ident(table)
-    data_cols = [f for f in spark.table(table).schema.fields if f.name != part]
-    view = "__tessera_empty_" + uuid.uuid4().hex[:8]
-    empty = spark.createDataFrame([], ", ".join(
-        f"{quote_ident(f.name)} {f.dataType.simpleString()}" for f in data_cols))
-    empty.createOrReplaceTempView(view)
+def _table_type(spark: SparkSession, table: str) -> str:
     try:
-        for v in values:
-            spec = f"{quote_ident(part)} = {sql_literal(v)}"
-            spark.sql(f"INSERT OVERWRITE TABLE {t} PARTITION ({spec}) SELECT * FROM {view}")
-            spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({spec})")
-    finally:
-        spark.catalog.dropTempView(view)
+        return (spark.catalog.getTable(table).tableType or "").upper()
+    except Exception:  # noqa: BLE001 - a temp view or path table: treat as external
+        return "EXTERNAL"
+
+
+def _drop_partitions(spark: SparkSession, table: str, part: str, values: list,
+                     chunk: int = 500) -> None:
+    """Remove emptied partitions: their files, then their catalog entries.
+
+    Dynamic overwrite alone would leave an emptied partition's old rows.  A
+    managed table's DROP PARTITION deletes the folder; for an external table
+    the partition is first overwritten with zero rows (static overwrite of
+    exactly that partition), so its files go too.
+    """
+    t = quote_ident(table)
+    specs = [f"PARTITION ({quote_ident(part)} = {sql_literal(v)})" for v in values]
+    if _table_type(spark, table) != "MANAGED":
+        data_cols = [f for f in spark.table(table).schema.fields if f.name != part]
+        view = "__tessera_empty_" + uuid.uuid4().hex[:8]
+        spark.createDataFrame([], ", ".join(
+            f"{quote_ident(f.name)} {f.dataType.simpleString()}" for f in data_cols)
+        ).createOrReplaceTempView(view)
+        try:
+            for spec in specs:
+                spark.sql(f"INSERT OVERWRITE TABLE {t} {spec} SELECT * FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
+    for i in range(0, len(specs), chunk):
+        spark.sql(f"ALTER TABLE {t} DROP IF EXISTS " + ", ".join(specs[i:i + chunk]))
+
+
+def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFrame:
+    """Rows of the touched partitions: literal filter when the list is known,
+    else a semi join with the stored partition list."""
+    main = spark.table(table)
+    if plan["partitions"] is not None:
+        part_type = main.schema[part].dataType
+        return main.where(F.col(part).isin([F.lit(v).cast(part_type) for v in plan["partitions"]]))
+    parts = spark.read.parquet(plan["parts_path"])
+    return main.join(parts, part, "left_semi")
 
 
 def _swap(spark: SparkSession, table: str, part: str, plan: dict) -> None:
@@ -141,7 +167,7 @@ def _swap(spark: SparkSession, table: str, part: str, plan: dict) -> None:
         staged = spark.read.schema(schema).parquet(plan["staging"])
         insert_overwrite_partitions(staged, table)
     if plan["emptied"]:
-        _empty_partitions(spark, table, part, plan["emptied"])
+        _drop_partitions(spark, table, part, plan["emptied"])
     spark.catalog.refreshTable(table)
 
 
@@ -153,14 +179,14 @@ def _catalog_partitions(spark: SparkSession, table: str) -> set[str]:
 def _verify(spark: SparkSession, table: str, part: str, plan: dict,
             listed_before: set[str] | None = None) -> None:
     if listed_before is not None:
-        from tessera.fsutil import partition_dir_value
-        gone = {p for p in listed_before - _catalog_partitions(spark, table)
-                if partition_dir_value(p, part) not in set(plan["partitions"])}
+        after = _catalog_partitions(spark, table)
+        expected_gone = {f"{part}={v}" for v in plan["emptied"]}
+        gone = {p for p in listed_before - after
+                if fsutil.partition_dir_value(p, part) not in set(plan["emptied"])
+                and p not in expected_gone}
         if gone:
-            raise RuntimeError(f"erase of {table}: untouched partitions vanished: {sorted(gone)}")
-    part_type = spark.table(table).schema[part].dataType
-    values = [F.lit(v).cast(part_type) for v in plan["partitions"]]
-    now = spark.table(table).where(F.col(part).isin(values)).count()
+            raise RuntimeError(f"erase of {table}: untouched partitions vanished: {sorted(gone)[:5]}")
+    now = _touched(spark, table, part, plan).count()
     if now != plan["kept_rows"]:
         raise RuntimeError(f"erase of {table}: touched partitions hold {now} rows, "
                            f"expected {plan['kept_rows']}; staging kept at {plan['staging']}")
@@ -175,8 +201,10 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     """Erase requested records from catalog table ``table`` in place.
 
     ``requests`` holds ``req_key`` (default ``key``) and ``req_part`` (default
-    the table's partition column).  ``fail_after_staging`` is a test hook that
-    stops between staging and swap, like a crash would.
+    the table's partition column).  ``files_per_partition`` bounds the files
+    each rewritten partition gets (and spreads a hot partition over that many
+    writer tasks).  ``fail_after_staging`` is a test hook that stops between
+    staging and swap, like a crash would.
     """
     parts_cols = partition_columns(spark, table)
     if part is None:
@@ -197,38 +225,43 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
                            plan["kept_rows"], plan["emptied"], resumed=True)
     fsutil.delete(spark, state)                # a partial staging without marker
 
-    parts = partition_values(_request_parts(requests, req_part or part, part), part)
-    if not parts:
+    main = spark.table(table)
+    parts_df = _request_parts(requests, req_part or part, part)
+    parts = partition_values(parts_df, part)
+    if parts == []:
         return EraseReport(table, [], skipped=True)
     keys, n_keys = broadcast_if_small(_request_keys(requests, req_key or key, key), broadcast_rows)
     if n_keys == 0:
-        return EraseReport(table, [str(p) for p in parts], skipped=True)
+        return EraseReport(table, None if parts is None else [str(p) for p in parts],
+                           skipped=True)
+
+    run_id = uuid.uuid4().hex[:12]
+    plan = {"run": run_id, "staging": f"{state}/run_{run_id}",
+            "parts_path": f"{state}/parts_{run_id}",
+            "partitions": None if parts is None else [str(p) for p in parts]}
+    if parts is None:                          # long list: keep it as data, not literals
+        parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
+            .write.mode("overwrite").parquet(plan["parts_path"])
 
-    main = spark.table(table)
-    touched = main.where(F.col(part).isin(parts))
     before, after = Observation("touched"), Observation("kept")
-    tagged = (touched.join(keys.withColumn("__hit", F.lit(True)), key, "left")
+    tagged = (_touched(spark, table, part, plan)
+              .join(keys.withColumn("__hit", F.lit(True)), key, "left")
               .observe(before, F.count(F.lit(1)).alias("rows"),
                        F.count("__hit").alias("erased"),
                        F.collect_set(F.col(part).cast("string")).alias("parts")))
     survivors = (tagged.where(F.col("__hit").isNull()).select(*main.columns)
                  .observe(after, F.count(F.lit(1)).alias("rows"),
                           F.collect_set(F.col(part).cast("string")).alias("parts")))
-
-    run_id = uuid.uuid4().hex[:12]
-    staging = f"{state}/run_{run_id}"
     (cluster_for_write(survivors, part, files_per_partition)
-     .write.mode("overwrite").partitionBy(part).parquet(staging))
+     .write.mode("overwrite").partitionBy(part).parquet(plan["staging"]))
     b, a = before.get, after.get
     touched_rows, erased_rows, kept_rows = int(b["rows"]), int(b["erased"]), int(a["rows"])
-    staged_rows = spark.read.schema(main.schema).parquet(staging).count()
+    staged_rows = spark.read.schema(main.schema).parquet(plan["staging"]).count()
     if touched_rows - erased_rows != kept_rows or staged_rows != kept_rows:
         raise RuntimeError(f"erase of {table}: staging check failed "
                            f"({touched_rows} - {erased_rows} != {kept_rows} / {staged_rows})")
-    emptied = sorted(set(b["parts"]) - set(a["parts"]))
-    plan = {"run": run_id, "staging": staging, "partitions": [str(p) for p in parts],
-            "touched_rows": touched_rows, "erased_rows": erased_rows,
-            "kept_rows": kept_rows, "emptied": emptied}
+    plan.update(touched_rows=touched_rows, erased_rows=erased_rows, kept_rows=kept_rows,
+                emptied=sorted(set(b["parts"]) - set(a["parts"])))
     _write_marker(spark, marker, plan)
     if fail_after_staging:
         raise RuntimeError("stopped after staging (test hook)")
@@ -237,4 +270,5 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     _swap(spark, table, part, plan)
     _verify(spark, table, part, plan, listed_before)
     fsutil.delete(spark, state)
-    return EraseReport(table, plan["partitions"], touched_rows, erased_rows, kept_rows, emptied)
+    return EraseReport(table, plan["partitions"], touched_rows, erased_rows, kept_rows,
+                       plan["emptied"])

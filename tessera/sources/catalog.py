@@ -32,27 +32,41 @@ def list_partitions(spark: SparkSession, name: str) -> DataFrame:
             .select(F.col("partition").alias("partition_name")))
 
 
-def partition_values(df: DataFrame, part_col: str) -> list:
-    """Distinct values of a partition column, collected to the driver.
+# Largest partition list turned into literals (static PartitionFilters); a
+# longer list is used through a semi join instead (dynamic partition pruning).
+MAX_PARTITION_LITERALS = 10000
 
-    Bounded by the number of partitions of a table (catalog-sized, not
-    data-sized); callers use it to turn membership into static partition
-    filters that prune the scan.
+
+def partition_values(df: DataFrame, part_col: str,
+                     bound: int = MAX_PARTITION_LITERALS) -> list | None:
+    """Distinct non-null values of ``part_col``, or ``None`` when there are
+    more than ``bound`` of them.  At most ``bound + 1`` values ever reach the
+    driver; callers fall back to a semi join when ``None`` comes back.
     """
-    rows = df.select(part_col).where(F.col(part_col).isNotNull()).distinct().collect()
+    rows = (df.select(part_col).where(F.col(part_col).isNotNull()).distinct()
+            .limit(bound + 1).collect())
+    if len(rows) > bound:
+        return None
     return sorted((r[0] for r in rows), key=lambda v: (str(type(v)), v))
 
 
 def read_partitions(spark: SparkSession, name: str, part_col: str,
-                    values: Iterable | DataFrame) -> DataFrame:
+                    values: Iterable | DataFrame,
+                    bound: int = MAX_PARTITION_LITERALS) -> DataFrame:
     """Rows of table ``name`` in the chosen partitions only.
 
-    ``values`` is either a list of partition values (static PartitionFilters)
-    or a DataFrame holding ``part_col`` (left-semi join; Spark turns it into
-    dynamic partition pruning of the scan).
+    ``values`` is a list of partition values or a DataFrame holding
+    ``part_col`` (say, a request table).  A DataFrame with at most ``bound``
+    distinct values becomes a literal list (static PartitionFilters: only
+    those folders are listed and read); beyond that a left semi join, which
+    Spark can turn into dynamic partition pruning.
     """
     table = spark.table(name)
     if isinstance(values, DataFrame):
-        wanted = values.select(part_col).where(F.col(part_col).isNotNull()).distinct()
-        return table.join(wanted, part_col, "left_semi")
+        wanted = values.select(part_col)
+        literal = partition_values(wanted, part_col, bound)
+        if literal is None:
+            return table.join(wanted.where(F.col(part_col).isNotNull()).distinct(),
+                              part_col, "left_semi")
+        values = literal
     return table.where(F.col(part_col).isin(list(values)))

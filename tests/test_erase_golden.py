@@ -141,3 +141,17 @@ def test_not_in_three_valued(spark):
     main.createOrReplaceTempView("m_not_in")
     r2.createOrReplaceTempView("r_not_in")
     assert spark.sql("SELECT * FROM m_not_in WHERE nin NOT IN (SELECT nin FROM r_not_in)").count() == 0
+
+
+def test_many_partitions_use_semi_join(spark, monkeypatch):
+    """Above the literal bound the touched set travels as data, same answer."""
+    import tessera.sources.catalog as C
+    monkeypatch.setattr(C, "MAX_PARTITION_LITERALS", 1)
+    monkeypatch.setattr(E, "partition_values",
+                        lambda df, col: C.partition_values(df, col, bound=1))
+    t = make_table(spark)
+    r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950"),
+                     (30234328, "Rose", "1945"), (32234328, "Terry", "1945")])
+    rep = E.erase_records(spark, t, r, key="nin")
+    assert rep.partitions is None and rep.emptied == ["1945"]
+    assert spark.table(t).count() == 8
