@@ -57,7 +57,8 @@ def locate_records(main: DataFrame, requests: DataFrame, key: str, part: str,
     one becomes dynamic partition pruning on a partitioned scan)."""
     parts = _request_parts(requests, req_part or part, part)
     keys = _request_keys(requests, req_key or key, key)
-    return main.join(parts, part, "left_semi").join(keys, key, "left_semi")
+    return (main.join(parts, part, "left_semi").join(keys, key, "left_semi")
+            .select(*main.columns))
 
 
 def erase_view(main: DataFrame, requests: DataFrame, key: str, part: str,
@@ -66,8 +67,8 @@ def erase_view(main: DataFrame, requests: DataFrame, key: str, part: str,
     through with no join; only touched partitions meet the key set."""
     parts = _request_parts(requests, req_part or part, part)
     keys = _request_keys(requests, req_key or key, key)
-    touched = main.join(parts, part, "left_semi")
-    untouched = main.join(parts, part, "left_anti")
+    touched = main.join(parts, part, "left_semi").select(*main.columns)
+    untouched = main.join(parts, part, "left_anti").select(*main.columns)
     return untouched.unionByName(touched.join(keys, key, "left_anti").select(*main.columns))
 
 
@@ -158,7 +159,7 @@ def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFram
         part_type = main.schema[part].dataType
         return main.where(F.col(part).isin([F.lit(v).cast(part_type) for v in plan["partitions"]]))
     parts = spark.read.parquet(plan["parts_path"])
-    return main.join(parts, part, "left_semi")
+    return main.join(parts, part, "left_semi").select(*main.columns)
 
 
 def _swap(spark: SparkSession, table: str, part: str, plan: dict) -> None:

@@ -67,6 +67,6 @@ def read_partitions(spark: SparkSession, name: str, part_col: str,
         literal = partition_values(wanted, part_col, bound)
         if literal is None:
             return table.join(wanted.where(F.col(part_col).isNotNull()).distinct(),
-                              part_col, "left_semi")
+                              part_col, "left_semi").select(*table.columns)
         values = literal
     return table.where(F.col(part_col).isin(list(values)))

@@ -8,6 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
+EVENT_LOG_DIR = tempfile.mkdtemp(prefix="tessera-eventlog-")
 
 
 @pytest.fixture(scope="session")
@@ -15,7 +16,16 @@ def spark():
     from tessera.session import local_session
     s = local_session(cpus="*", shuffle_partitions=8, app="tessera-tests", extra={
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-wh-"),
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": "file://" + EVENT_LOG_DIR,
+        "spark.eventLog.compress": "false",
+        "spark.eventLog.rolling.enabled": "false",
     })
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="session")
+def event_log_dir():
+    return EVENT_LOG_DIR

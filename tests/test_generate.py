@@ -1,0 +1,95 @@
+"""Generator: counts, value ranges, shapes, and independence of partitioning."""
+
+import datetime as dt
+import re
+
+from pyspark.sql import functions as F
+
+from tessera.config import GeneratorConfig, parse_properties
+from tessera.functions.random import ALPHABET
+from tessera.operators.generate import RECORD_SCHEMA, generate_records, replicate_rows
+
+UUID4 = re.compile(r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+
+
+def test_record_count_formula():
+    cfg = GeneratorConfig()
+    assert cfg.initial_count * cfg.inner_iterations1 ** cfg.outer_iterations1 == 160
+    assert cfg.record_count() == 1440
+
+
+def test_config_from_properties_text():
+    text = """
+    # comment
+    initial.record.count1=5
+    outer.iterations1=5
+    inner.iterations1=2
+    outer.iterations2=2
+    inner.iterations2=3
+    address.string.len=12
+    accname.int.len=30
+    file.partitions.number=20
+    start.year=2018
+    start.month=1
+    start.day=1
+    end.year=2020
+    end.month=1
+    end.day=1
+    spark.sql.parquet.enableVectorizedReader =true
+    """
+    props = parse_properties(text)
+    assert props["spark.sql.parquet.enableVectorizedReader"] == "true"
+    cfg = GeneratorConfig.from_properties(props)
+    assert cfg.record_count() == 1440
+    assert cfg.end == dt.date(2020, 1, 1)
+
+
+def test_values_in_range(spark):
+    cfg = GeneratorConfig()
+    df = generate_records(spark, cfg)
+    assert df.schema == RECORD_SCHEMA
+    rows = df.collect()
+    assert len(rows) == 1440
+    for r in rows:
+        assert UUID4.match(r.NIN) and UUID4.match(r.NAME)
+        assert 0.0 <= r.BENEFITS < 1.0 and 0.0 <= r.BALANCE < 1.0
+        assert len(r.ADDRESS) == 12 and set(r.ADDRESS) <= set(ALPHABET)
+        assert len(r.ACC_NAME) == 30 and set(r.ACC_NAME) <= set(ALPHABET)
+        assert 0 <= r.CODE < 500
+        assert r.PARTITIONER in {str(i) for i in range(20)}
+        assert dt.date(2018, 1, 1) <= r.DATE < dt.date(2020, 1, 1)
+    assert len({r.NIN for r in rows}) == 1440
+
+
+def test_roughly_uniform(spark):
+    df = generate_records(spark, GeneratorConfig(), n=40000)
+    by_part = df.groupBy("PARTITIONER").count().collect()
+    counts = [r["count"] for r in by_part]
+    assert len(counts) == 20
+    assert max(counts) < 2000 * 1.1 and min(counts) > 2000 * 0.9
+    letters = (df.select(F.explode(F.split("ACC_NAME", "")).alias("c"))
+               .where(F.col("c") != "").groupBy("c").count().collect())
+    assert len(letters) == 52
+    per = [r["count"] for r in letters]
+    assert max(per) / min(per) < 1.1
+    mean = df.agg(F.avg("BENEFITS")).first()[0]
+    assert abs(mean - 0.5) < 0.01
+
+
+def test_same_rows_for_any_partition_count(spark):
+    a = generate_records(spark, n=3000, num_partitions=1)
+    b = generate_records(spark, n=3000, num_partitions=13)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_seed_changes_values(spark):
+    a = generate_records(spark, GeneratorConfig(seed=1), n=100).select("NIN")
+    b = generate_records(spark, GeneratorConfig(seed=2), n=100).select("NIN")
+    assert a.intersect(b).count() == 0
+
+
+def test_replicate_rows(spark):
+    df = spark.range(5)
+    out = replicate_rows(df, 9)
+    assert out.count() == 45
+    assert sorted(r.copy for r in out.where("id = 3").collect()) == list(range(1, 10))

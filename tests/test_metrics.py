@@ -1,0 +1,33 @@
+"""Run summary and stage metrics."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tessera.plans.metrics import SAMPLE_SCHEMA, run_summary, stage_metrics
+
+
+def test_run_summary_values(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i, (label, ms, ok) in enumerate([("a", 10, True), ("a", 20, True), ("a", 30, False),
+                                         ("b", 5, True)]):
+        rows.append((t0 + dt.timedelta(seconds=i), ms, ms, 0, 0, label, "200", "OK", "t-1", ok,
+                     100, 10, "http://x", 1))
+    df = spark.createDataFrame(rows, SAMPLE_SCHEMA)
+    out = {r.label: r for r in run_summary(df, bytes_col="bytes").collect()}
+    a = out["a"]
+    assert a.samples == 3 and a.avg_ms == 20.0 and a.min_ms == 10 and a.max_ms == 30
+    assert abs(a.std_ms - 8.164966) < 1e-6 and abs(a.error_pct - 33.333333) < 1e-6
+    assert abs(a.throughput_per_sec - 1.5) < 1e-9     # 3 samples over 2 s
+    assert out["b"].throughput_per_sec is None and out["b"].avg_bytes == 100.0
+
+
+def test_stage_metrics_from_live_event_log(spark, event_log_dir):
+    spark.sparkContext.setJobGroup("metrics-probe", "metrics-probe")
+    (spark.range(0, 200000, 1, 4).groupBy((F.col("id") % 97).alias("k")).count()
+     .write.format("noop").mode("overwrite").save())
+    m = stage_metrics(spark, event_log_dir)
+    rows = m.collect()
+    assert rows and all(r.tasks > 0 for r in rows)
+    assert sum(r.shuffle_write_bytes or 0 for r in rows) > 0
