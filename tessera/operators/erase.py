@@ -244,25 +244,37 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
         parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
             .write.mode("overwrite").parquet(plan["parts_path"])
 
+    # One pass over the touched partitions: tag requested keys, count, and
+    # write the survivors.  With a literal partition list (<= bound) the set
+    # of partitions seen on each side rides along in the observed metrics.
+    listed = parts is not None
     before, after = Observation("touched"), Observation("kept")
+    seen = [F.collect_set(F.col(part).cast("string")).alias("parts")] if listed else []
     tagged = (_touched(spark, table, part, plan)
               .join(keys.withColumn("__hit", F.lit(True)), key, "left")
               .observe(before, F.count(F.lit(1)).alias("rows"),
-                       F.count("__hit").alias("erased"),
-                       F.collect_set(F.col(part).cast("string")).alias("parts")))
+                       F.count("__hit").alias("erased"), *seen))
     survivors = (tagged.where(F.col("__hit").isNull()).select(*main.columns)
-                 .observe(after, F.count(F.lit(1)).alias("rows"),
-                          F.collect_set(F.col(part).cast("string")).alias("parts")))
+                 .observe(after, F.count(F.lit(1)).alias("rows"), *seen))
     (cluster_for_write(survivors, part, files_per_partition)
      .write.mode("overwrite").partitionBy(part).parquet(plan["staging"]))
     b, a = before.get, after.get
     touched_rows, erased_rows, kept_rows = int(b["rows"]), int(b["erased"]), int(a["rows"])
-    staged_rows = spark.read.schema(main.schema).parquet(plan["staging"]).count()
+    staged = spark.read.schema(main.schema).parquet(plan["staging"])
+    staged_rows = staged.count()
     if touched_rows - erased_rows != kept_rows or staged_rows != kept_rows:
         raise RuntimeError(f"erase of {table}: staging check failed "
                            f"({touched_rows} - {erased_rows} != {kept_rows} / {staged_rows})")
+    if listed:
+        emptied = sorted(set(b["parts"]) - set(a["parts"]))
+    else:
+        # many partitions: the difference is computed by Spark and streamed
+        # to the driver only for the catalog calls that drop them
+        had = _touched(spark, table, part, plan).select(F.col(part).cast("string").alias(part))
+        kept = staged.select(F.col(part).cast("string").alias(part))
+        emptied = sorted(r[0] for r in had.distinct().exceptAll(kept.distinct()).toLocalIterator())
     plan.update(touched_rows=touched_rows, erased_rows=erased_rows, kept_rows=kept_rows,
-                emptied=sorted(set(b["parts"]) - set(a["parts"])))
+                emptied=emptied)
     _write_marker(spark, marker, plan)
     if fail_after_staging:
         raise RuntimeError("stopped after staging (test hook)")

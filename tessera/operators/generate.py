@@ -54,15 +54,23 @@ def records_for_ids(ids: DataFrame, id_col: str, cfg: GeneratorConfig = Generato
     return ids.select(*cols)
 
 
+# About 0.2 KB per record: 4M records make a task of roughly 1 GB of output.
+ROWS_PER_TASK = 4_000_000
+
+
 def generate_records(spark: SparkSession, cfg: GeneratorConfig = GeneratorConfig(),
                      n: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """``n`` records (default ``cfg.record_count()``), ids 0..n-1.
 
-    ``num_partitions`` only sets the task count; rows are identical for any value.
+    ``num_partitions`` only sets the task count (default: enough tasks for
+    about ``ROWS_PER_TASK`` rows each, at least the default parallelism);
+    rows are identical for any value.
     """
     n = cfg.record_count() if n is None else n
-    ids = spark.range(0, n, 1, num_partitions) if num_partitions else spark.range(n)
-    return records_for_ids(ids, "id", cfg)
+    if not num_partitions:
+        num_partitions = max(spark.sparkContext.defaultParallelism,
+                             -(-n // ROWS_PER_TASK))
+    return records_for_ids(spark.range(0, n, 1, num_partitions), "id", cfg)
 
 
 def replicate_rows(df: DataFrame, copies: int, copy_col: str = "copy") -> DataFrame:

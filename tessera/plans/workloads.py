@@ -84,13 +84,14 @@ class IOReport:
 
 
 def io_files(df: DataFrame, path: str, n_files: int, bucket: Column | None = None,
-             fmt: str = "parquet") -> IOReport:
+             fmt: str = "parquet", writers_per_bucket: int = 4) -> IOReport:
     """Write ``df`` as ``n_files`` files, read them back, report rows and bytes
     per file (TestDFSIO-style throughput as a Spark job).
 
     Without ``bucket`` rows go round-robin (equal-sized files whatever the key
     skew).  With ``bucket`` (an int column expression in 0..n_files-1) the
-    rows of one bucket form one file, in folder ``file_no=<b>``.
+    rows of a bucket go to folder ``file_no=<b>``, written by up to
+    ``writers_per_bucket`` tasks so a hot bucket is not one task's work.
     """
     spark = df.sparkSession
     t0 = time.perf_counter()
@@ -98,7 +99,8 @@ def io_files(df: DataFrame, path: str, n_files: int, bucket: Column | None = Non
         write_file(df.repartition(n_files), path, fmt)
     else:
         tagged = df.withColumn("file_no", bucket.cast("int"))
-        write_file(tagged.repartition(n_files, "file_no"), path, fmt, partition_by="file_no")
+        write_file(tagged, path, fmt, partition_by="file_no",
+                   files_per_partition=writers_per_bucket)
     t_write = time.perf_counter() - t0
 
     back = spark.read.format(fmt).load(path)
@@ -107,6 +109,10 @@ def io_files(df: DataFrame, path: str, n_files: int, bucket: Column | None = Non
                             F.col("_metadata.file_size").alias("file_size"))
                 .groupBy(*group, "file_name")
                 .agg(F.count(F.lit(1)).alias("row_count"), F.max("file_size").alias("bytes")))
+    if bucket is not None:   # one row per bucket: its files' rows and bytes
+        per_file = per_file.groupBy("file_no").agg(
+            F.sum("row_count").alias("row_count"), F.sum("bytes").alias("bytes"),
+            F.count(F.lit(1)).alias("files"))
     t1 = time.perf_counter()
     totals = per_file.agg(F.sum("row_count").alias("r"), F.sum("bytes").alias("b")).first()
     t_read = time.perf_counter() - t1
