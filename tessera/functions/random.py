@@ -62,31 +62,70 @@ def uuid4_text(seed: int, name: str, id_col: Column) -> Column:
         F.substring(h, 21, 12))
 
 
-LETTERS_PER_DIGEST = 8  # one md5 = 32 hex digits = 8 letters of 16 bits each
+# Letters are drawn 6 at a time from one 52-bit number (13 hex digits of the
+# md5 stream): the base-52 digits 0..5 of a uniform 52-bit value are uniform
+# to within 52**6 / 2**52 (about 5e-6).  One hex-to-number conversion per six
+# letters keeps the generator cheap.
+LETTERS_PER_CHUNK = 6
+HEX_PER_CHUNK = 13
+
+
+def letter_chunk_count(length: int) -> int:
+    return -(-length // LETTERS_PER_CHUNK)
 
 
 def letters_digest(seed: int, name: str, id_col: Column, length: int) -> Column:
-    """Concatenated md5 blocks holding 16 bits of entropy per letter."""
-    blocks = (length + LETTERS_PER_DIGEST - 1) // LETTERS_PER_DIGEST
+    """Concatenated md5 blocks: enough hex digits for ``length`` letters."""
+    blocks = -(-letter_chunk_count(length) * HEX_PER_CHUNK // 32)
     return F.concat(*[hex_digest(seed, name, id_col, b) for b in range(blocks)])
 
 
-def letters_from_digest(digest: Column, length: int, alphabet: str = ALPHABET) -> Column:
-    """``length`` letters: letter i = alphabet[int(digest[4i:4i+4], 16) % len]."""
+def letter_chunks(digest: Column, length: int) -> list[Column]:
+    """The 52-bit numbers the letters are read from (13 hex digits each)."""
+    return [_hex_to_long(F.substring(digest, 1 + HEX_PER_CHUNK * c, HEX_PER_CHUNK))
+            for c in range(letter_chunk_count(length))]
+
+
+def _letter(alphabet: str, digit: Column) -> Column:
+    return F.substring(F.lit(alphabet), (F.lit(1) + digit).cast("int"), 1)
+
+
+def letters_from_chunks(chunks: list[Column], length: int, alphabet: str = ALPHABET) -> Column:
+    """Letter i = alphabet[base-n digit (i mod 6) of chunk (i div 6)].
+
+    Inline form: the digit is computed exactly as ``(v - v % n**j) / n**j``
+    (a multiple of ``n**j`` below 2**53, so the division is exact).
+    """
+    n = len(alphabet)
+    picks = []
+    for i in range(length):
+        v, j = chunks[i // LETTERS_PER_CHUNK], i % LETTERS_PER_CHUNK
+        p = n ** j
+        digit = (((v - v % F.lit(p)) / F.lit(p)).cast("bigint") % F.lit(n)) if j else v % F.lit(n)
+        picks.append(_letter(alphabet, digit))
+    return F.concat(*picks)
+
+
+def letters_from_chunk_columns(names: list[str], length: int, alphabet: str = ALPHABET) -> Column:
+    """Same letters as ``letters_from_chunks`` from already projected chunk
+    columns, with integral ``div`` (compact generated code: about 3x faster
+    for long texts)."""
     n = len(alphabet)
-    pick = [
-        F.substring(F.lit(alphabet),
-                    (F.lit(1) + _hex_to_long(F.substring(digest, 1 + 4 * i, 4)) % n).cast("int"),
-                    1)
-        for i in range(length)
-    ]
-    return F.concat(*pick)
+    picks = []
+    for i in range(length):
+        name, j = names[i // LETTERS_PER_CHUNK], i % LETTERS_PER_CHUNK
+        quoted = "`" + name.replace("`", "``") + "`"
+        picks.append(_letter(alphabet, F.expr(f"({quoted} div {n ** j}) % {n}")))
+    return F.concat(*picks)
 
 
 def letters(seed: int, name: str, id_col: Column, length: int,
             alphabet: str = ALPHABET) -> Column:
-    """Random text of ``length`` letters (single expression form)."""
-    return letters_from_digest(letters_digest(seed, name, id_col, length), length, alphabet)
+    """Random text of ``length`` letters as one expression.  For bulk use,
+    ``records_for_ids`` computes digest and chunks in earlier projections so
+    each md5 and conversion runs once per row."""
+    chunks = letter_chunks(letters_digest(seed, name, id_col, length), length)
+    return letters_from_chunks(chunks, length, alphabet)
 
 
 def day_in_range(seed: int, name: str, id_col: Column,

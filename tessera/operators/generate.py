@@ -29,16 +29,29 @@ RECORD_SCHEMA = StructType([
 ])
 
 
-def record_columns(id_col, cfg: GeneratorConfig) -> list:
-    """The nine column expressions for row id ``id_col``."""
+_LETTER_COLUMNS = (("ADDRESS", "address_len"), ("ACC_NAME", "accname_len"))
+
+
+def record_columns(id_col, cfg: GeneratorConfig, chunks: dict | None = None) -> list:
+    """The nine column expressions for row id ``id_col``.
+
+    ``chunks`` maps a letter column to its precomputed chunk columns (see
+    ``records_for_ids``); without it the letters are computed inline.
+    """
     s = cfg.seed
+
+    def text(name: str, length: int):
+        if chunks and name in chunks:
+            return R.letters_from_chunk_columns(chunks[name], length)
+        return R.letters(s, name, id_col, length)
+
     return [
         R.uuid4_text(s, "NIN", id_col).alias("NIN"),
         R.uuid4_text(s, "NAME", id_col).alias("NAME"),
         R.uniform_double(s, "BENEFITS", id_col).alias("BENEFITS"),
-        R.letters(s, "ADDRESS", id_col, cfg.address_len).alias("ADDRESS"),
+        text("ADDRESS", cfg.address_len).alias("ADDRESS"),
         R.uniform_double(s, "BALANCE", id_col).alias("BALANCE"),
-        R.letters(s, "ACC_NAME", id_col, cfg.accname_len).alias("ACC_NAME"),
+        text("ACC_NAME", cfg.accname_len).alias("ACC_NAME"),
         R.uniform_int(s, "CODE", id_col, cfg.code_range).alias("CODE"),
         R.uniform_int(s, "PARTITIONER", id_col, cfg.partitions).cast("string").alias("PARTITIONER"),
         R.day_in_range(s, "DATE", id_col, cfg.start, cfg.end).alias("DATE"),
@@ -46,12 +59,35 @@ def record_columns(id_col, cfg: GeneratorConfig) -> list:
 
 
 def records_for_ids(ids: DataFrame, id_col: str, cfg: GeneratorConfig = GeneratorConfig(),
-                    keep_id: bool = False) -> DataFrame:
-    """One record per row of ``ids``; the record is a function of the id only."""
-    cols = record_columns(F.col(id_col), cfg)
+                    keep_id: bool = False, min_tasks: int | None = None) -> DataFrame:
+    """One record per row of ``ids``; the record is a function of the id only.
+
+    Three narrow projections (digests -> 52-bit chunks -> columns): each md5
+    and each hex conversion runs once per row instead of once per letter.
+    Generation is CPU-bound, so an id source with fewer partitions than
+    ``min_tasks`` (default: the cluster's parallelism) is first spread
+    round-robin -- a shuffle of the id column only, and never taken by a
+    large input, which already has more partitions than cores.
+    """
+    idc = F.col(id_col)
+    min_tasks = min_tasks or ids.sparkSession.sparkContext.defaultParallelism
+    if ids.rdd.getNumPartitions() < min_tasks:
+        ids = ids.select(idc).repartition(min_tasks)
+    digests = [R.letters_digest(cfg.seed, name, idc, getattr(cfg, attr)).alias(f"__{name}_d")
+               for name, attr in _LETTER_COLUMNS]
+    stage1 = ids.select(idc, *digests)
+    chunk_cols = {}
+    exprs = [F.col(id_col)]
+    for name, attr in _LETTER_COLUMNS:
+        cols = R.letter_chunks(F.col(f"__{name}_d"), getattr(cfg, attr))
+        names = [f"__{name}_c{i}" for i in range(len(cols))]
+        exprs += [c.alias(n) for c, n in zip(cols, names)]
+        chunk_cols[name] = names
+    stage2 = stage1.select(*exprs)
+    out = record_columns(F.col(id_col), cfg, chunk_cols)
     if keep_id:
-        cols = [F.col(id_col)] + cols
-    return ids.select(*cols)
+        out = [F.col(id_col)] + out
+    return stage2.select(*out)
 
 
 # About 0.2 KB per record: 4M records make a task of roughly 1 GB of output.

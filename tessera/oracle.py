@@ -7,7 +7,9 @@ the given parquet tables.  Column names equal those of the Spark queries.
 from __future__ import annotations
 
 from tessera.config import GeneratorConfig
-from tessera.functions.random import ALPHABET, LETTERS_PER_DIGEST
+from tessera.functions.random import (
+    ALPHABET, HEX_PER_CHUNK, LETTERS_PER_CHUNK, letter_chunk_count,
+)
 
 
 def _u32(expr: str) -> str:
@@ -27,10 +29,16 @@ def _uuid(seed: int, name: str, id_sql: str) -> str:
 
 
 def _letters(seed: int, name: str, id_sql: str, length: int) -> str:
-    blocks = (length + LETTERS_PER_DIGEST - 1) // LETTERS_PER_DIGEST
+    n = len(ALPHABET)
+    chunks = letter_chunk_count(length)
+    blocks = -(-chunks * HEX_PER_CHUNK // 32)
     digest = "concat(" + ", ".join(_md5(seed, name, id_sql, b) for b in range(blocks)) + ")"
-    picks = [f"substr('{ALPHABET}', (1 + ('0x' || substr({digest}, {1 + 4 * i}, 4))::bigint "
-             f"% {len(ALPHABET)})::int, 1)" for i in range(length)]
+    values = [f"('0x' || substr({digest}, {1 + HEX_PER_CHUNK * c}, {HEX_PER_CHUNK}))::bigint"
+              for c in range(chunks)]
+    picks = []
+    for i in range(length):
+        v, j = values[i // LETTERS_PER_CHUNK], i % LETTERS_PER_CHUNK
+        picks.append(f"substr('{ALPHABET}', (1 + ({v} // {n ** j}) % {n})::int, 1)")
     return "concat(" + ", ".join(picks) + ")"
 
 
