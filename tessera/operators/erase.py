@@ -9,19 +9,28 @@ keys match nothing and rows with a null key are never erased (the raw
 Physical protocol (``erase_records``) -- only touched partitions are read and
 rewritten, untouched partitions keep their files:
 
-1. touched partitions = distinct partition values of the requests (bounded by
-   the table's partition count, collected as literals -> static PartitionFilters)
+1. touched partitions = distinct partition values of the requests, collected
+   as literals when at most 10 000 (static PartitionFilters), else kept as data
+   and applied by a semi join (dynamic partition pruning)
 2. survivors = touched rows minus requested keys, one pass: left join to the
    de-nulled distinct keys (broadcast only when their count is proven small,
    otherwise sort-merge with AQE skew splitting), counted by ``observe``
-3. survivors are written to a fresh staging folder under the shared
-   checkpoint dir, re-read and counted; a marker records the plan
-4. dynamic partition overwrite of the touched partitions from staging; touched
-   partitions left with no row are emptied and dropped
-5. the touched partitions are recounted; only then marker and staging go.
-
-A crash after 3 resumes at 4 from the marker (staging is complete); a crash
-before leaves the table whole and the partial staging is discarded.
+3. survivors are written to a fresh staging folder, re-read and counted; a
+   marker in the shared checkpoint dir records the plan
+4. swap, one of
+   * ``relocate`` (default for a listed partition set): staging lives in a
+     hidden folder inside the table location; each touched partition is
+     pointed at its staging folder (``ALTER TABLE .. SET LOCATION``, catalog
+     only) and its old folder is deleted.  The data is written once.
+   * ``copy``: staging lives under the checkpoint dir and is copied back by a
+     dynamic partition overwrite; the table keeps the standard folder layout
+     (use it when the table is also read by path, which skips hidden folders).
+   Touched partitions left with no row are emptied and dropped.
+5. the touched partitions are recounted; only then the marker goes.
+
+A crash after 3 resumes at 4 from the marker (staging is complete, every swap
+step is idempotent); a crash before leaves the table whole and the partial
+staging is discarded.
 """
 
 from __future__ import annotations
@@ -125,6 +134,19 @@ def _table_type(spark: SparkSession, table: str) -> str:
         return "EXTERNAL"
 
 
+def _location(spark: SparkSession, table: str, spec: str | None = None) -> str:
+    """Storage location of a table or of one partition (catalog lookup)."""
+    stmt = f"DESCRIBE FORMATTED {quote_ident(table)}" + (f" {spec}" if spec else "")
+    row = spark.sql(stmt).where(F.col("col_name") == "Location").first()
+    if row is None:
+        raise RuntimeError(f"no location for {table} {spec or ''}")
+    return row[1]
+
+
+def _spec(part: str, value) -> str:
+    return f"PARTITION ({quote_ident(part)} = {sql_literal(value)})"
+
+
 def _drop_partitions(spark: SparkSession, table: str, part: str, values: list,
                      chunk: int = 500) -> None:
     """Remove emptied partitions: their files, then their catalog entries.
@@ -135,7 +157,7 @@ def _drop_partitions(spark: SparkSession, table: str, part: str, values: list,
     exactly that partition), so its files go too.
     """
     t = quote_ident(table)
-    specs = [f"PARTITION ({quote_ident(part)} = {sql_literal(v)})" for v in values]
+    specs = [_spec(part, v) for v in values]
     if _table_type(spark, table) != "MANAGED":
         data_cols = [f for f in spark.table(table).schema.fields if f.name != part]
         view = "__tessera_empty_" + uuid.uuid4().hex[:8]
@@ -162,10 +184,32 @@ def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFram
     return main.join(parts, part, "left_semi").select(*main.columns)
 
 
+def _relocation_moves(spark: SparkSession, table: str, part: str, plan: dict) -> list:
+    """[value, old location, staging folder] for each partition with survivors."""
+    moves = []
+    for folder in fsutil.list_dirs(spark, plan["staging"]):
+        value = fsutil.partition_dir_value(folder, part)
+        if value is None:
+            continue
+        moves.append([value, _location(spark, table, _spec(part, value)), folder])
+    return moves
+
+
 def _swap(spark: SparkSession, table: str, part: str, plan: dict) -> None:
-    schema = spark.table(table).schema
-    if plan["kept_rows"] > 0:
-        staged = spark.read.schema(schema).parquet(plan["staging"])
+    t = quote_ident(table)
+    if plan["mode"] == "relocate":
+        for value, old, new in plan["moves"]:
+            spec = _spec(part, value)
+            if _location(spark, table, spec).rstrip("/") != new.rstrip("/"):
+                spark.sql(f"ALTER TABLE {t} {spec} SET LOCATION {sql_literal(new)}")
+            if old.rstrip("/") != new.rstrip("/"):
+                fsutil.delete(spark, old)      # the old files hold the erased rows
+                parent = old.rstrip("/").rsplit("/", 1)[0]
+                if parent.rsplit("/", 1)[-1].startswith("_erase_") and \
+                        not fsutil.list_dirs(spark, parent):
+                    fsutil.delete(spark, parent)   # an earlier run's emptied staging
+    elif plan["kept_rows"] > 0:
+        staged = spark.read.schema(spark.table(table).schema).parquet(plan["staging"])
         insert_overwrite_partitions(staged, table)
     if plan["emptied"]:
         _drop_partitions(spark, table, part, plan["emptied"])
@@ -180,11 +224,9 @@ def _catalog_partitions(spark: SparkSession, table: str) -> set[str]:
 def _verify(spark: SparkSession, table: str, part: str, plan: dict,
             listed_before: set[str] | None = None) -> None:
     if listed_before is not None:
-        after = _catalog_partitions(spark, table)
-        expected_gone = {f"{part}={v}" for v in plan["emptied"]}
-        gone = {p for p in listed_before - after
-                if fsutil.partition_dir_value(p, part) not in set(plan["emptied"])
-                and p not in expected_gone}
+        emptied = set(plan["emptied"])
+        gone = {p for p in listed_before - _catalog_partitions(spark, table)
+                if fsutil.partition_dir_value(p, part) not in emptied}
         if gone:
             raise RuntimeError(f"erase of {table}: untouched partitions vanished: {sorted(gone)[:5]}")
     now = _touched(spark, table, part, plan).count()
@@ -193,20 +235,30 @@ def _verify(spark: SparkSession, table: str, part: str, plan: dict,
                            f"expected {plan['kept_rows']}; staging kept at {plan['staging']}")
 
 
+def _finish(spark: SparkSession, plan: dict, state: str) -> None:
+    if plan["mode"] == "copy":
+        fsutil.delete(spark, plan["staging"])
+    fsutil.delete(spark, state)
+
+
 def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str,
                   part: str | None = None, req_key: str | None = None,
-                  req_part: str | None = None, *,
+                  req_part: str | None = None, *, swap: str = "relocate",
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                   files_per_partition: int | None = None,
                   fail_after_staging: bool = False) -> EraseReport:
     """Erase requested records from catalog table ``table`` in place.
 
     ``requests`` holds ``req_key`` (default ``key``) and ``req_part`` (default
-    the table's partition column).  ``files_per_partition`` bounds the files
-    each rewritten partition gets (and spreads a hot partition over that many
-    writer tasks).  ``fail_after_staging`` is a test hook that stops between
-    staging and swap, like a crash would.
+    the table's partition column).  ``swap`` is ``relocate`` or ``copy`` (see
+    the module notes; a partition list too long for literals always copies).
+    ``files_per_partition`` bounds the files each rewritten partition gets
+    (and spreads a hot partition over that many writer tasks).
+    ``fail_after_staging`` is a test hook that stops between staging and
+    swap, like a crash would.
     """
+    if swap not in ("relocate", "copy"):
+        raise ValueError("swap must be 'relocate' or 'copy'")
     parts_cols = partition_columns(spark, table)
     if part is None:
         if len(parts_cols) != 1:
@@ -221,7 +273,7 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     if plan is not None:                       # resume an interrupted swap
         _swap(spark, table, part, plan)
         _verify(spark, table, part, plan)
-        fsutil.delete(spark, state)
+        _finish(spark, plan, state)
         return EraseReport(table, plan["partitions"], plan["touched_rows"], plan["erased_rows"],
                            plan["kept_rows"], plan["emptied"], resumed=True)
     fsutil.delete(spark, state)                # a partial staging without marker
@@ -236,18 +288,21 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
         return EraseReport(table, None if parts is None else [str(p) for p in parts],
                            skipped=True)
 
+    listed = parts is not None
+    mode = swap if listed else "copy"
     run_id = uuid.uuid4().hex[:12]
-    plan = {"run": run_id, "staging": f"{state}/run_{run_id}",
+    staging = (f"{_location(spark, table).rstrip('/')}/_erase_{run_id}" if mode == "relocate"
+               else f"{state}/run_{run_id}")
+    plan = {"run": run_id, "mode": mode, "staging": staging,
             "parts_path": f"{state}/parts_{run_id}",
-            "partitions": None if parts is None else [str(p) for p in parts]}
-    if parts is None:                          # long list: keep it as data, not literals
+            "partitions": [str(p) for p in parts] if listed else None}
+    if not listed:                             # long list: keep it as data, not literals
         parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
             .write.mode("overwrite").parquet(plan["parts_path"])
 
     # One pass over the touched partitions: tag requested keys, count, and
-    # write the survivors.  With a literal partition list (<= bound) the set
-    # of partitions seen on each side rides along in the observed metrics.
-    listed = parts is not None
+    # write the survivors.  With a literal partition list the set of
+    # partitions seen on each side rides along in the observed metrics.
     before, after = Observation("touched"), Observation("kept")
     seen = [F.collect_set(F.col(part).cast("string")).alias("parts")] if listed else []
     tagged = (_touched(spark, table, part, plan)
@@ -257,12 +312,13 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     survivors = (tagged.where(F.col("__hit").isNull()).select(*main.columns)
                  .observe(after, F.count(F.lit(1)).alias("rows"), *seen))
     (cluster_for_write(survivors, part, files_per_partition)
-     .write.mode("overwrite").partitionBy(part).parquet(plan["staging"]))
+     .write.mode("overwrite").partitionBy(part).parquet(staging))
     b, a = before.get, after.get
     touched_rows, erased_rows, kept_rows = int(b["rows"]), int(b["erased"]), int(a["rows"])
-    staged = spark.read.schema(main.schema).parquet(plan["staging"])
+    staged = spark.read.schema(main.schema).parquet(staging)
     staged_rows = staged.count()
     if touched_rows - erased_rows != kept_rows or staged_rows != kept_rows:
+        fsutil.delete(spark, staging)
         raise RuntimeError(f"erase of {table}: staging check failed "
                            f"({touched_rows} - {erased_rows} != {kept_rows} / {staged_rows})")
     if listed:
@@ -275,6 +331,8 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
         emptied = sorted(r[0] for r in had.distinct().exceptAll(kept.distinct()).toLocalIterator())
     plan.update(touched_rows=touched_rows, erased_rows=erased_rows, kept_rows=kept_rows,
                 emptied=emptied)
+    if mode == "relocate":
+        plan["moves"] = _relocation_moves(spark, table, part, plan)
     _write_marker(spark, marker, plan)
     if fail_after_staging:
         raise RuntimeError("stopped after staging (test hook)")
@@ -282,6 +340,6 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     listed_before = _catalog_partitions(spark, table)
     _swap(spark, table, part, plan)
     _verify(spark, table, part, plan, listed_before)
-    fsutil.delete(spark, state)
+    _finish(spark, plan, state)
     return EraseReport(table, plan["partitions"], touched_rows, erased_rows, kept_rows,
                        plan["emptied"])

@@ -36,17 +36,19 @@ def names(spark, table):
     return sorted(r.name for r in spark.table(table).collect())
 
 
-def test_golden_two_requests(spark):
+@pytest.mark.parametrize("swap", ["relocate", "copy"])
+def test_golden_two_requests(spark, swap):
     t = make_table(spark)
     r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950")])
-    rep = E.erase_records(spark, t, r, key="nin")
+    rep = E.erase_records(spark, t, r, key="nin", swap=swap)
     assert spark.table(t).count() == 10
     assert "Andy" not in names(spark, t)
     assert rep.touched_rows == 4 and rep.erased_rows == 2 and rep.kept_rows == 2
     assert sorted(rep.partitions) == ["1950", "1960"]
 
 
-def test_untouched_partitions_keep_files(spark):
+@pytest.mark.parametrize("swap", ["relocate", "copy"])
+def test_untouched_partitions_keep_files(spark, swap):
     t = make_table(spark)
     loc = spark.sql(f"DESCRIBE FORMATTED {t}").where("col_name = 'Location'").first()[1]
 
@@ -55,17 +57,21 @@ def test_untouched_partitions_keep_files(spark):
         return sorted((s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(p))
 
     before = {p: files(p) for p in ("1940", "1945")}
-    E.erase_records(spark, t, reqs(spark, [(30234324, "Andy", "1960")]), key="nin")
+    E.erase_records(spark, t, reqs(spark, [(30234324, "Andy", "1960")]), key="nin", swap=swap)
     assert {p: files(p) for p in ("1940", "1945")} == before
+    # the erased row's old files are gone from storage, not just from the catalog
+    assert not fsutil.exists(spark, f"{loc}/dob=1960") or swap == "copy"
 
 
 @pytest.mark.parametrize("external", [False, True])
-def test_emptied_partition_is_dropped(spark, external):
+@pytest.mark.parametrize("swap", ["relocate", "copy"])
+def test_emptied_partition_is_dropped(spark, external, swap):
     t = make_table(spark, external=external)
-    r = reqs(spark, [(30234328, "Rose", "1945"), (32234328, "Terry", "1945")])
-    rep = E.erase_records(spark, t, r, key="nin")
+    r = reqs(spark, [(30234328, "Rose", "1945"), (32234328, "Terry", "1945"),
+                     (30234324, "Andy", "1960")])
+    rep = E.erase_records(spark, t, r, key="nin", swap=swap)
     assert rep.emptied == ["1945"]
-    assert spark.table(t).count() == 10
+    assert spark.table(t).count() == 9
     parts = [x.partition_name for x in list_partitions(spark, t).collect()]
     assert "dob=1945" not in parts
     spark.catalog.refreshTable(t)
@@ -113,11 +119,12 @@ def test_rerun_is_noop(spark):
     assert rep.erased_rows == 0 and spark.table(t).count() == 11
 
 
-def test_crash_after_staging_resumes(spark):
+@pytest.mark.parametrize("swap", ["relocate", "copy"])
+def test_crash_after_staging_resumes(spark, swap):
     t = make_table(spark)
     r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950")])
     with pytest.raises(RuntimeError):
-        E.erase_records(spark, t, r, key="nin", fail_after_staging=True)
+        E.erase_records(spark, t, r, key="nin", fail_after_staging=True, swap=swap)
     assert spark.table(t).count() == 12          # main still whole
     rep = E.erase_records(spark, t, reqs(spark, []), key="nin")   # any call resumes
     assert rep.resumed and spark.table(t).count() == 10
@@ -155,3 +162,14 @@ def test_many_partitions_use_semi_join(spark, monkeypatch):
     rep = E.erase_records(spark, t, r, key="nin")
     assert rep.partitions is None and rep.emptied == ["1945"]
     assert spark.table(t).count() == 8
+
+
+def test_repeated_relocations_stay_consistent(spark):
+    t = make_table(spark)
+    for nin, dob in [(30234324, "1960"), (30231324, "1960"), (30234323, "1950")]:
+        E.erase_records(spark, t, reqs(spark, [(nin, "x", dob)]), key="nin")
+    assert spark.table(t).count() == 9
+    assert "dob=1960" not in [x.partition_name for x in list_partitions(spark, t).collect()]
+    # copy mode after relocations writes into the relocated folders
+    E.erase_records(spark, t, reqs(spark, [(30238323, "Jessy", "1950")]), key="nin", swap="copy")
+    assert spark.table(t).count() == 8
