@@ -135,6 +135,12 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT c_custkey, c_name, g.copy::int AS copy FROM customer, "
         "generate_series(1, 3) AS g(copy)",
     "generate_records": generate_records_sql("o_orderkey", "orders"),
+    "generate_table":
+        "SELECT NIN, BENEFITS, CODE, PARTITIONER, CAST(DATE AS timestamp) AS DATE FROM ("
+        + generate_records_sql("o_orderkey", "orders") + ")",
+    "split_table":
+        "SELECT o_orderkey, o_orderpriority FROM orders WHERE "
+        "('0x' || substr(md5(concat('42:', o_orderkey)), 1, 8))::bigint % 10000 < 1000",
     "stage_flow":
         "SELECT o_orderpriority, CAST(sum(CAST(o_totalprice + 1 AS decimal(18,2))) AS double) "
         "AS sum_price FROM orders GROUP BY o_orderpriority",

@@ -5,6 +5,9 @@ from tessera.plans.flow import Step, FlowSpec, FlowResult, parse_flow, run_flow,
 from tessera.plans.workloads import (
     read_workload, ingest, jdbc_ingest, io_files, run_sql, sql_to_file, timed_noop,
 )
+from tessera.plans.jobs import (
+    StorageConfig, SplitConfig, store, generate_job, split_job, read_job,
+)
 from tessera.plans.metrics import (
     SAMPLE_SCHEMA, EVENT_LOG_SCHEMA, run_summary, stage_metrics, stage_metrics_frame,
 )
@@ -13,5 +16,6 @@ __all__ = [
     "Step", "FlowSpec", "FlowResult", "parse_flow", "run_flow", "step_frame",
     "read_workload", "ingest", "jdbc_ingest", "io_files", "run_sql", "sql_to_file",
     "timed_noop", "SAMPLE_SCHEMA", "EVENT_LOG_SCHEMA", "run_summary", "stage_metrics",
-    "stage_metrics_frame",
+    "stage_metrics_frame", "StorageConfig", "SplitConfig", "store", "generate_job",
+    "split_job", "read_job",
 ]

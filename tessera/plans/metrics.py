@@ -49,8 +49,9 @@ def run_summary(samples: DataFrame, label: str = "label", elapsed: str = "elapse
                 / F.count(F.lit(1)), digits).alias("error_pct"),
     ]
     if ts:
-        micros = F.unix_micros(F.col(ts).cast("timestamp"))
-        span = F.max(micros) - F.min(micros)
+        # microseconds between first and last sample, for zoned or zone-less
+        # timestamps alike (no session time zone involved)
+        span = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts))
         aggs.append(F.round(F.when(span > 0, F.count(F.lit(1)) * F.lit(1e6) / span), digits)
                     .alias("throughput_per_sec"))
     if bytes_col:

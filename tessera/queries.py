@@ -280,6 +280,29 @@ def q_generate_records(spark, sf):
     return O.records_for_ids(ids, "id", GeneratorConfig(seed=42), keep_id=True)
 
 
+def q_generate_table(spark, sf):
+    """Generate job into a table partitioned by PARTITIONER (DATE stored as
+    timestamp), one record per order key, read back from the catalog."""
+    name = f"{scratch_database(spark)}.{unique_name('records')}"
+    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    target = P.StorageConfig(storage="db", table=name, partitioned=True,
+                             partition_by="PARTITIONER")
+    n = P.generate_job(spark, GeneratorConfig(seed=42), target, ids=ids)
+    assert n >= 0
+    back = S.read_table(spark, name)
+    return back.select("NIN", "BENEFITS", "CODE", "PARTITIONER",
+                       F.col("DATE").cast("timestamp_ntz").alias("DATE"))
+
+
+def q_split_table(spark, sf):
+    """Split job (ratio 0.1 by key hash); the test part is stored as a table."""
+    name = f"{scratch_database(spark)}.{unique_name('split_test')}"
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    P.split_job(o, P.SplitConfig(ratio=0.1, seed=42), "o_orderkey",
+                P.StorageConfig(storage="db", table=name))
+    return S.read_table(spark, name)
+
+
 # ---------------------------------------------------------------- composite jobs
 def q_stage_flow(spark, sf):
     base = O.add_one(table(spark, sf, "orders"), "o_totalprice")
@@ -368,6 +391,8 @@ QUERIES = {
     "repartition_rows": q_repartition_rows,
     "replicate_rows": q_replicate_rows,
     "generate_records": q_generate_records,
+    "generate_table": q_generate_table,
+    "split_table": q_split_table,
     "stage_flow": q_stage_flow,
     "sql_text": q_sql_text,
     "run_summary": q_run_summary,
