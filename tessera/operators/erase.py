@@ -44,7 +44,9 @@ from pyspark.sql import functions as F
 
 from tessera import fsutil
 from tessera.functions.naming import quote_ident, sql_literal
-from tessera.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from tessera.operators.joins import (
+    DEFAULT_BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, skew_join,
+)
 from tessera.session import scratch_root
 from tessera.sinks.writers import cluster_for_write, insert_overwrite_partitions
 from tessera.sources.catalog import partition_columns, partition_values
@@ -244,7 +246,7 @@ def _finish(spark: SparkSession, plan: dict, state: str) -> None:
 def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str,
                   part: str | None = None, req_key: str | None = None,
                   req_part: str | None = None, *, swap: str = "relocate",
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
                   files_per_partition: int | None = None,
                   fail_after_staging: bool = False) -> EraseReport:
     """Erase requested records from catalog table ``table`` in place.
@@ -253,7 +255,9 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     the table's partition column).  ``swap`` is ``relocate`` or ``copy`` (see
     the module notes; a partition list too long for literals always copies).
     ``files_per_partition`` bounds the files each rewritten partition gets
-    (and spreads a hot partition over that many writer tasks).
+    (and spreads a hot partition over that many writer tasks).  When the key
+    set is too large to broadcast, keys with more than ``hot_rows`` rows in
+    the table (many copies of one record) are salted over several tasks.
     ``fail_after_staging`` is a test hook that stops between staging and
     swap, like a crash would.
     """
@@ -300,20 +304,28 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
         parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
             .write.mode("overwrite").parquet(plan["parts_path"])
 
-    # One pass over the touched partitions: tag requested keys, count, and
-    # write the survivors.  With a literal partition list the set of
-    # partitions seen on each side rides along in the observed metrics.
-    before, after = Observation("touched"), Observation("kept")
-    seen = [F.collect_set(F.col(part).cast("string")).alias("parts")] if listed else []
-    tagged = (_touched(spark, table, part, plan)
-              .join(keys.withColumn("__hit", F.lit(True)), key, "left")
-              .observe(before, F.count(F.lit(1)).alias("rows"),
-                       F.count("__hit").alias("erased"), *seen))
-    survivors = (tagged.where(F.col("__hit").isNull()).select(*main.columns)
-                 .observe(after, F.count(F.lit(1)).alias("rows"), *seen))
-    (cluster_for_write(survivors, part, files_per_partition)
-     .write.mode("overwrite").partitionBy(part).parquet(staging))
-    b, a = before.get, after.get
+    # One pass over the touched partitions: tag requested keys, then count
+    # and write the survivors.  The observed metrics sit right before the
+    # write, in the final stage, so a retried map stage cannot count twice.
+    # With a literal partition list the partitions seen on each side ride
+    # along as well.
+    obs = Observation("erase")
+    hit = F.col("__hit")
+    seen = ([F.collect_set(F.col(part).cast("string")).alias("parts"),
+             F.collect_set(F.when(hit.isNull(), F.col(part).cast("string"))).alias("kept_parts")]
+            if listed else [])
+    flagged = keys.withColumn("__hit", F.lit(True))
+    if n_keys <= broadcast_rows:               # broadcast: no shuffle of the table
+        tagged = _touched(spark, table, part, plan).join(flagged, key, "left")
+    else:                                      # shuffle: split hot keys (copies) first
+        tagged = skew_join(_touched(spark, table, part, plan), flagged, key, "left", hot_rows)
+    survivors = (cluster_for_write(tagged, part, files_per_partition)
+                 .observe(obs, F.count(F.lit(1)).alias("rows"), F.count(hit).alias("erased"),
+                          *seen)
+                 .where(hit.isNull()).select(*main.columns))
+    survivors.write.mode("overwrite").partitionBy(part).parquet(staging)
+    b = obs.get
+    a = {"rows": int(b["rows"]) - int(b["erased"]), "parts": b.get("kept_parts", [])}
     touched_rows, erased_rows, kept_rows = int(b["rows"]), int(b["erased"]), int(a["rows"])
     staged = spark.read.schema(main.schema).parquet(staging)
     staged_rows = staged.count()

@@ -23,3 +23,52 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 def prefix_columns(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*[F.col(c).alias(c if c in keep else prefix + c) for c in df.columns])
+
+
+# A key is hot when one side holds more rows for it than one task should
+# process; its rows are then spread over ceil(rows / HOT_ROWS) salt buckets.
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and their salt count, as a
+    DataFrame (partial aggregation first, so the count itself never meets a
+    hot key in one task).  At most rows/hot_rows keys qualify."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+            .where(F.col("__rows") > hot_rows)
+            .select(*keys, F.ceil(F.col("__rows") / F.lit(hot_rows)).cast("int").alias("__salts")))
+
+
+def skew_join(big: DataFrame, other: DataFrame, on: str | list[str], how: str = "inner",
+              hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
+    """Equi-join that splits hot keys of ``big`` over several tasks.
+
+    Rows of ``big`` with a hot key get a salt in 0..s-1 (hash of the row and
+    its input split: deterministic on retry, different for copies from
+    different splits); rows of ``other`` with that key are replicated once
+    per salt.  Every other key has salt 0 and no replication, so the result
+    equals ``big.join(other, on, how)`` for inner / left / left_semi /
+    left_anti joins.  The hot-key table is small by construction (at most
+    rows/hot_rows keys) and is broadcast only after its count is checked.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"skew_join supports inner/left/semi/anti, not {how}")
+    if hot is None:
+        hot = hot_keys(big, keys, hot_rows)
+    hot, _ = broadcast_if_small(hot)
+    cols = [F.col(c) for c in big.columns]
+    salted = (big.join(hot, keys, "left")
+              .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
+                  F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.col("__salts")).cast("int")))
+              .drop("__salts"))
+    replicated = (other.join(hot, keys, "left")
+                  .withColumn("__salt", F.explode(F.when(F.col("__salts").isNull(),
+                                                         F.array(F.lit(0)))
+                                                  .otherwise(F.sequence(F.lit(0),
+                                                                        F.col("__salts") - 1))))
+                  .drop("__salts"))
+    out = salted.join(replicated, keys + ["__salt"], how).drop("__salt")
+    if how in ("left_semi", "left_anti"):
+        return out.select(*big.columns)
+    return out

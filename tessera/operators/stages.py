@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.naming import check_columns
-from tessera.operators.joins import prefix_columns
+from tessera.operators.joins import prefix_columns, skew_join
 
 
 def add_one(df: DataFrame, column: str = "BENEFITS") -> DataFrame:
@@ -69,22 +69,32 @@ def cube_avg_max(df: DataFrame, field: str, second: str = "ADDRESS",
 
 
 def join_inner(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None = None,
-               right_prefix: str | None = None) -> DataFrame:
+               right_prefix: str | None = None, hot_rows: int | None = None) -> DataFrame:
     """Inner equi-join; optionally prefix every right column first so no name
-    is duplicated (duplicate names cannot be written)."""
+    is duplicated (duplicate names cannot be written).
+
+    ``hot_rows``: split keys of ``left`` with more rows than this over
+    several tasks (see ``skew_join``); otherwise Spark/AQE choose.
+    """
     right_on = right_on or left_on
     check_columns(left, left_on)
     check_columns(right, right_on)
     if right_prefix:
         right = prefix_columns(right, right_prefix)
         right_on = right_prefix + right_on
+    if hot_rows:
+        # join on the left key name; the right key stays as its own column
+        keyed = right.withColumn("__key", F.col(right_on))
+        out = skew_join(left.withColumn("__key", F.col(left_on)), keyed, "__key", "inner",
+                        hot_rows)
+        return out.drop("__key")
     if right_on == left_on:
         return left.join(right, left_on, "inner")
     return left.join(right, left[left_on] == right[right_on], "inner")
 
 
 def join_inner_using(left: DataFrame, right: DataFrame, field: str,
-                     right_prefix: str | None = "r_") -> DataFrame:
+                     right_prefix: str | None = "r_", hot_rows: int | None = None) -> DataFrame:
     """``JOIN ... USING (field)``: the key once, then the rest of the left
     columns, then the rest of the right (prefixed when names collide)."""
     check_columns(left, field)
@@ -93,6 +103,10 @@ def join_inner_using(left: DataFrame, right: DataFrame, field: str,
         clash = set(left.columns) - {field}
         right = right.select(*[F.col(c).alias(right_prefix + c if c in clash else c)
                                for c in right.columns])
+    if hot_rows:
+        out = skew_join(left, right, field, "inner", hot_rows)
+        rest = [c for c in out.columns if c != field]
+        return out.select(field, *rest)
     return left.join(right, field, "inner")
 
 

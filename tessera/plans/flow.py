@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from tessera.operators.joins import HOT_ROWS
 from tessera.operators.stages import cube_avg_max, group_sum, join_inner_using, rename_columns
 
 STEP_NAMES = ("GROUP", "JOIN", "CUBE", "WRITE")
@@ -41,6 +42,7 @@ class FlowSpec:
     exact_decimal: str | None = None   # e.g. "decimal(18,2)" for order-free sums
     right_prefix: str | None = "r_"    # JOIN: prefix clashing right columns
     join_names: tuple[str, ...] | None = None   # JOIN: optional positional rename
+    hot_rows: int | None = HOT_ROWS    # JOIN: split keys with more rows over several tasks
 
 
 @dc.dataclass
@@ -71,7 +73,7 @@ def step_frame(step: Step, base: DataFrame, other: DataFrame | None, spec: FlowS
     if step.name == "JOIN":
         if other is None:
             raise ValueError("JOIN needs a second input")
-        out = join_inner_using(base, other, step.field, spec.right_prefix)
+        out = join_inner_using(base, other, step.field, spec.right_prefix, spec.hot_rows)
         return rename_columns(out, spec.join_names) if spec.join_names else out
     if step.name == "CUBE":
         return cube_avg_max(base, step.field, spec.second_col, spec.value_col, spec.max_col)

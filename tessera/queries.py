@@ -21,6 +21,7 @@ from tessera import plans as P
 from tessera import sinks as K
 from tessera import sources as S
 from tessera.config import GeneratorConfig
+from tessera.operators.joins import HOT_ROWS
 from tessera.session import scratch_database, scratch_path, unique_name
 
 
@@ -190,7 +191,7 @@ def q_not_in_null(spark, sf):
 def q_join_inner(spark, sf):
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
-    return O.join_inner(o, c, "o_custkey", "c_custkey").select(
+    return O.join_inner(o, c, "o_custkey", "c_custkey", hot_rows=HOT_ROWS).select(
         "o_orderkey", "o_totalprice", "c_custkey", "c_acctbal")
 
 
@@ -198,7 +199,7 @@ def q_join_inner_using(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
                                              "l_linenumber", "l_quantity")
-    return O.join_inner_using(o, li, "o_orderkey").select(
+    return O.join_inner_using(o, li, "o_orderkey", hot_rows=HOT_ROWS).select(
         "o_orderkey", "l_linenumber", "l_quantity", "o_totalprice")
 
 

@@ -15,13 +15,22 @@ from pyspark.sql import functions as F
 from tessera.sources.files import FORMATS
 
 
+def spread_key(df: DataFrame, n: int):
+    """0..n-1 per row, a hash of the row and its input partition: identical
+    copies from different input splits land on different writers, and a
+    retried task (same split, same rows) computes the same value."""
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]),
+                  F.lit(n))
+
+
 def cluster_for_write(df: DataFrame, partition_by: str | list[str] | None,
                       files_per_partition: int | None) -> DataFrame:
+    """Shuffle on (partition columns, spread) so each partition value is
+    written by at most ``files_per_partition`` tasks (and files)."""
     if not partition_by or not files_per_partition:
         return df
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in cols], spread)
+    return df.repartition(*[F.col(c) for c in cols], spread_key(df, files_per_partition))
 
 
 def _writer(df: DataFrame, fmt: str, mode: str, partition_by, header: bool, options: dict | None):
