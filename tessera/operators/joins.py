@@ -50,6 +50,8 @@ def skew_join(big: DataFrame, other: DataFrame, on: str | list[str], how: str =
     equals ``big.join(other, on, how)`` for inner / left / left_semi /
     left_anti joins.  The hot-key table is small by construction (at most
     rows/hot_rows keys) and is broadcast only after its count is checked.
+    The salt hashes every column of ``big``: project ``big`` to the columns
+    you need first, or the scan cannot prune the rest.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):

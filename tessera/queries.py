@@ -189,8 +189,8 @@ def q_not_in_null(spark, sf):
 
 # ---------------------------------------------------------------- joins
 def q_join_inner(spark, sf):
-    o = table(spark, sf, "orders")
-    c = table(spark, sf, "customer")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     return O.join_inner(o, c, "o_custkey", "c_custkey", hot_rows=HOT_ROWS).select(
         "o_orderkey", "o_totalprice", "c_custkey", "c_acctbal")
 
