@@ -11,7 +11,7 @@ from tessera.operators.generate import (
     RECORD_SCHEMA, generate_records, records_for_ids, replicate_rows,
 )
 from tessera.operators.erase import (
-    EraseReport, erase_records, erase_view, locate_records, not_in,
+    EraseReport, erase_records, erase_records_path, erase_view, locate_records, not_in,
 )
 from tessera.operators.joins import broadcast_if_small, prefix_columns
 
@@ -19,6 +19,6 @@ __all__ = [
     "add_one", "cast_column", "rename_columns", "group_sum", "cube_avg_max", "join_inner",
     "join_inner_using", "count_rows", "label_split", "split_by_hash", "split_random",
     "take_from_partition", "repartition_rows", "RECORD_SCHEMA", "generate_records",
-    "records_for_ids", "replicate_rows", "EraseReport", "erase_records", "erase_view",
+    "records_for_ids", "replicate_rows", "EraseReport", "erase_records", "erase_records_path", "erase_view",
     "locate_records", "not_in", "broadcast_if_small", "prefix_columns",
 ]

@@ -36,11 +36,13 @@ staging is discarded.
 from __future__ import annotations
 
 import dataclasses as dc
+import hashlib
 import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera import fsutil
 from tessera.functions.naming import quote_ident, sql_literal
@@ -175,10 +177,9 @@ def _drop_partitions(spark: SparkSession, table: str, part: str, values: list,
         spark.sql(f"ALTER TABLE {t} DROP IF EXISTS " + ", ".join(specs[i:i + chunk]))
 
 
-def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFrame:
+def _filter_touched(spark: SparkSession, main: DataFrame, part: str, plan: dict) -> DataFrame:
     """Rows of the touched partitions: literal filter when the list is known,
     else a semi join with the stored partition list."""
-    main = spark.table(table)
     if plan["partitions"] is not None:
         part_type = main.schema[part].dataType
         return main.where(F.col(part).isin([F.lit(v).cast(part_type) for v in plan["partitions"]]))
@@ -186,6 +187,61 @@ def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFram
     return main.join(parts, part, "left_semi").select(*main.columns)
 
 
+def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFrame:
+    return _filter_touched(spark, spark.table(table), part, plan)
+
+
+def _stage_survivors(touched: DataFrame, columns: list[str], keys: DataFrame, n_keys: int,
+                     key: str, part: str, staging: str, listed: bool, broadcast_rows: int,
+                     hot_rows: int, files_per_partition: int | None) -> dict:
+    """One pass over the touched partitions: tag requested keys, then count
+    and write the survivors to ``staging`` (parquet, partitioned).
+
+    The observed metrics sit right before the write, in the final stage, so
+    a retried map stage cannot count twice.  With a literal partition list
+    the partitions seen (all / with survivors) ride along as well.
+    """
+    obs = Observation("erase_" + uuid.uuid4().hex[:8])
+    hit = F.col("__hit")
+    seen = ([F.collect_set(F.col(part).cast("string")).alias("parts"),
+             F.collect_set(F.when(hit.isNull(), F.col(part).cast("string"))).alias("kept_parts")]
+            if listed else [])
+    flagged = keys.withColumn("__hit", F.lit(True))
+    if n_keys <= broadcast_rows:               # broadcast: no shuffle of the table
+        tagged = touched.join(flagged, key, "left")
+    else:                                      # shuffle: split hot keys (copies) first
+        tagged = skew_join(touched, flagged, key, "left", hot_rows)
+    survivors = (cluster_for_write(tagged, part, files_per_partition)
+                 .observe(obs, F.count(F.lit(1)).alias("rows"), F.count(hit).alias("erased"),
+                          *seen)
+                 .where(hit.isNull()).select(*columns))
+    survivors.write.mode("overwrite").partitionBy(part).parquet(staging)
+    m = obs.get
+    out = {"touched_rows": int(m["rows"]), "erased_rows": int(m["erased"]),
+           "kept_rows": int(m["rows"]) - int(m["erased"])}
+    if listed:
+        out["emptied"] = sorted(set(m["parts"]) - set(m["kept_parts"]))
+    return out
+
+
+def _check_staging(spark: SparkSession, schema, staging: str, counts: dict, what: str) -> DataFrame:
+    staged = spark.read.schema(schema).parquet(staging)
+    n = staged.count()
+    if n != counts["kept_rows"]:
+        fsutil.delete(spark, staging)
+        raise RuntimeError(f"erase of {what}: staging holds {n} rows, expected "
+                           f"{counts['kept_rows']}")
+    return staged
+
+
+def _emptied_by_spark(touched: DataFrame, staged: DataFrame, part: str) -> list:
+    """Touched partitions without survivors, computed by Spark and streamed
+    to the driver only for the catalog / folder calls that drop them."""
+    had = touched.select(F.col(part).cast("string").alias(part)).distinct()
+    kept = staged.select(F.col(part).cast("string").alias(part)).distinct()
+    return sorted(r[0] for r in had.exceptAll(kept).toLocalIterator())
+
+
 def _relocation_moves(spark: SparkSession, table: str, part: str, plan: dict) -> list:
     """[value, old location, staging folder] for each partition with survivors."""
     moves = []
@@ -304,45 +360,15 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
         parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
             .write.mode("overwrite").parquet(plan["parts_path"])
 
-    # One pass over the touched partitions: tag requested keys, then count
-    # and write the survivors.  The observed metrics sit right before the
-    # write, in the final stage, so a retried map stage cannot count twice.
-    # With a literal partition list the partitions seen on each side ride
-    # along as well.
-    obs = Observation("erase")
-    hit = F.col("__hit")
-    seen = ([F.collect_set(F.col(part).cast("string")).alias("parts"),
-             F.collect_set(F.when(hit.isNull(), F.col(part).cast("string"))).alias("kept_parts")]
-            if listed else [])
-    flagged = keys.withColumn("__hit", F.lit(True))
-    if n_keys <= broadcast_rows:               # broadcast: no shuffle of the table
-        tagged = _touched(spark, table, part, plan).join(flagged, key, "left")
-    else:                                      # shuffle: split hot keys (copies) first
-        tagged = skew_join(_touched(spark, table, part, plan), flagged, key, "left", hot_rows)
-    survivors = (cluster_for_write(tagged, part, files_per_partition)
-                 .observe(obs, F.count(F.lit(1)).alias("rows"), F.count(hit).alias("erased"),
-                          *seen)
-                 .where(hit.isNull()).select(*main.columns))
-    survivors.write.mode("overwrite").partitionBy(part).parquet(staging)
-    b = obs.get
-    a = {"rows": int(b["rows"]) - int(b["erased"]), "parts": b.get("kept_parts", [])}
-    touched_rows, erased_rows, kept_rows = int(b["rows"]), int(b["erased"]), int(a["rows"])
-    staged = spark.read.schema(main.schema).parquet(staging)
-    staged_rows = staged.count()
-    if touched_rows - erased_rows != kept_rows or staged_rows != kept_rows:
-        fsutil.delete(spark, staging)
-        raise RuntimeError(f"erase of {table}: staging check failed "
-                           f"({touched_rows} - {erased_rows} != {kept_rows} / {staged_rows})")
-    if listed:
-        emptied = sorted(set(b["parts"]) - set(a["parts"]))
-    else:
-        # many partitions: the difference is computed by Spark and streamed
-        # to the driver only for the catalog calls that drop them
-        had = _touched(spark, table, part, plan).select(F.col(part).cast("string").alias(part))
-        kept = staged.select(F.col(part).cast("string").alias(part))
-        emptied = sorted(r[0] for r in had.distinct().exceptAll(kept.distinct()).toLocalIterator())
-    plan.update(touched_rows=touched_rows, erased_rows=erased_rows, kept_rows=kept_rows,
-                emptied=emptied)
+    touched = _filter_touched(spark, main, part, plan)
+    counts = _stage_survivors(touched, main.columns, keys, n_keys, key, part, staging, listed,
+                              broadcast_rows, hot_rows, files_per_partition)
+    staged = _check_staging(spark, main.schema, staging, counts, table)
+    if not listed:
+        counts["emptied"] = _emptied_by_spark(touched, staged, part)
+    plan.update(counts)
+    touched_rows, erased_rows, kept_rows = (counts["touched_rows"], counts["erased_rows"],
+                                            counts["kept_rows"])
     if mode == "relocate":
         plan["moves"] = _relocation_moves(spark, table, part, plan)
     _write_marker(spark, marker, plan)
@@ -355,3 +381,104 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     _finish(spark, plan, state)
     return EraseReport(table, plan["partitions"], touched_rows, erased_rows, kept_rows,
                        plan["emptied"])
+
+
+def _partition_folders(spark: SparkSession, path: str, part: str) -> dict[str, str]:
+    """``value -> folder`` of the ``part=value`` folders directly under ``path``."""
+    out = {}
+    for folder in fsutil.list_dirs(spark, path):
+        value = fsutil.partition_dir_value(folder, part)
+        if value is not None:
+            out[value] = folder
+    return out
+
+
+def _swap_path(spark: SparkSession, path: str, part: str, plan: dict) -> None:
+    schema = StructType.fromJson(json.loads(plan["schema"]))
+    if plan["kept_rows"] > 0:
+        staged = spark.read.schema(schema).parquet(plan["staging"])
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(part).format(plan["format"]).save(path))
+    folders = _partition_folders(spark, path, part)
+    for value in plan["emptied"]:
+        if value in folders:
+            fsutil.delete(spark, folders[value])
+
+
+def _verify_path(spark: SparkSession, path: str, part: str, plan: dict,
+                 before: set[str] | None = None) -> None:
+    if before is not None:
+        gone = before - set(_partition_folders(spark, path, part)) - set(plan["emptied"])
+        if gone:
+            raise RuntimeError(f"erase of {path}: untouched partitions vanished: {sorted(gone)[:5]}")
+    schema = StructType.fromJson(json.loads(plan["schema"]))
+    main = spark.read.schema(schema).format(plan["format"]).load(path)
+    now = _filter_touched(spark, main, part, plan).count()
+    if now != plan["kept_rows"]:
+        raise RuntimeError(f"erase of {path}: touched partitions hold {now} rows, "
+                           f"expected {plan['kept_rows']}; staging kept at {plan['staging']}")
+
+
+def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key: str,
+                       part: str, req_key: str | None = None, req_part: str | None = None, *,
+                       schema: StructType | None = None, fmt: str = "parquet",
+                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
+                       files_per_partition: int | None = None,
+                       fail_after_staging: bool = False) -> EraseReport:
+    """``erase_records`` for a partitioned file dataset without a catalog.
+
+    Same meaning and staging; the swap is a dynamic partition overwrite of
+    the path from staging, and emptied partitions' folders are deleted.
+    Pass ``schema`` (with ``part`` in it) to keep the partition column's
+    type: folder names are otherwise re-inferred (``'007'`` would become 7).
+    """
+    digest = hashlib.sha1(path.encode()).hexdigest()[:16]
+    state = _state_dir(spark, "path_" + digest)
+    marker = state + "/_marker"
+    plan = _read_marker(spark, marker)
+    if plan is not None:
+        _swap_path(spark, path, part, plan)
+        _verify_path(spark, path, part, plan)
+        fsutil.delete(spark, state)
+        return EraseReport(path, plan["partitions"], plan["touched_rows"], plan["erased_rows"],
+                           plan["kept_rows"], plan["emptied"], resumed=True)
+    fsutil.delete(spark, state)
+
+    reader = spark.read.format(fmt)
+    main = (reader.schema(schema) if schema is not None else reader).load(path)
+    if part not in main.columns:
+        raise ValueError(f"{part} is not a column of {path}")
+    parts_df = _request_parts(requests, req_part or part, part)
+    parts = partition_values(parts_df, part)
+    if parts == []:
+        return EraseReport(path, [], skipped=True)
+    keys, n_keys = broadcast_if_small(_request_keys(requests, req_key or key, key), broadcast_rows)
+    if n_keys == 0:
+        return EraseReport(path, None if parts is None else [str(p) for p in parts], skipped=True)
+
+    listed = parts is not None
+    run_id = uuid.uuid4().hex[:12]
+    plan = {"run": run_id, "mode": "copy", "staging": f"{state}/run_{run_id}",
+            "parts_path": f"{state}/parts_{run_id}", "format": fmt,
+            "schema": main.schema.json(),
+            "partitions": [str(p) for p in parts] if listed else None}
+    if not listed:
+        parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
+            .write.mode("overwrite").parquet(plan["parts_path"])
+    touched = _filter_touched(spark, main, part, plan)
+    counts = _stage_survivors(touched, main.columns, keys, n_keys, key, part, plan["staging"],
+                              listed, broadcast_rows, hot_rows, files_per_partition)
+    staged = _check_staging(spark, main.schema, plan["staging"], counts, path)
+    if not listed:
+        counts["emptied"] = _emptied_by_spark(touched, staged, part)
+    plan.update(counts)
+    _write_marker(spark, marker, plan)
+    if fail_after_staging:
+        raise RuntimeError("stopped after staging (test hook)")
+
+    before = set(_partition_folders(spark, path, part))
+    _swap_path(spark, path, part, plan)
+    _verify_path(spark, path, part, plan, before)
+    fsutil.delete(spark, state)
+    return EraseReport(path, plan["partitions"], counts["touched_rows"], counts["erased_rows"],
+                       counts["kept_rows"], plan["emptied"])

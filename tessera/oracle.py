@@ -113,6 +113,10 @@ ORACLE_SQL: dict[str, str] = {
         "o_orderpriority IN (SELECT p FROM req) AND o_orderkey IN (SELECT k FROM req)",
     "erase_view": ERASE_LEFT,
     "erase_records": ERASE_LEFT,
+    "erase_path": ERASE_LEFT,
+    "scan_partition_dirs":
+        "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem "
+        "WHERE l_returnflag IN ('A', 'R')",
     "erase_empties_partition":
         "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority <> '2-HIGH'",
     "group_sum":

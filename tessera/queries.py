@@ -8,13 +8,8 @@ was stored.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DoubleType, IntegerType, LongType, StringType, StructField, StructType,
-)
 
 from tessera import operators as O
 from tessera import plans as P
@@ -222,6 +217,25 @@ def q_erase_records(spark, sf):
     return S.read_table(spark, name).select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
+def q_erase_path(spark, sf):
+    """The same erase on a partitioned file dataset (no catalog)."""
+    src = table(spark, sf, "orders")
+    path = scratch_path(spark, "orders_path")
+    K.write_file(src, path, "parquet", partition_by="o_orderpriority")
+    O.erase_records_path(spark, path, erase_requests(spark, sf), "o_orderkey",
+                         "o_orderpriority", schema=src.schema)
+    return S.read_parquet(spark, path, src.schema).select("o_orderkey", "o_custkey",
+                                                          "o_orderpriority")
+
+
+def q_scan_partition_dirs(spark, sf):
+    """Only the chosen folders of a partitioned file dataset."""
+    src = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    path = scratch_path(spark, "lineitem_path")
+    K.write_file(src, path, "parquet", partition_by="l_returnflag")
+    return S.read_partition_dirs(spark, path, "l_returnflag", ["A", "R"], src.schema)
+
+
 def q_erase_empties_partition(spark, sf):
     name = orders_by_priority(spark, sf, private=True)
     req = table(spark, sf, "orders").where(F.col("o_orderpriority") == "2-HIGH")
@@ -383,6 +397,8 @@ QUERIES = {
     "erase_view": q_erase_view,
     "erase_records": q_erase_records,
     "erase_empties_partition": q_erase_empties_partition,
+    "erase_path": q_erase_path,
+    "scan_partition_dirs": q_scan_partition_dirs,
     "group_sum": q_group_sum,
     "cube_avg_max": q_cube_avg_max,
     "count_rows": q_count_rows,

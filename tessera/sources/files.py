@@ -46,3 +46,18 @@ def read_files(spark: SparkSession, fmt: str, path: str,
     if fmt == "json":
         return read_json(spark, path, schema)
     raise ValueError(f"unsupported file format {fmt!r}; expected one of {FORMATS}")
+
+
+def read_partition_dirs(spark: SparkSession, path: str, part_col: str, values,
+                        schema: StructType | str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Only the ``part_col=value`` folders of a partitioned file dataset.
+
+    The filter on the partition column is applied to folder names before any
+    file is opened (PartitionFilters); the column itself comes back from the
+    folder names, typed by ``schema`` when given (else re-inferred).
+    """
+    from pyspark.sql import functions as F
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path).where(F.col(part_col).isin(list(values)))

@@ -97,3 +97,12 @@ def test_write_db_casts_date(spark):
 def test_jdbc_options_checked(spark):
     with pytest.raises(ValueError):
         S.read_jdbc(spark, "jdbc:none:x", "t", partition_column="id")
+
+
+def test_partition_dirs_pruned_and_typed(spark, orders):
+    path = scratch_path(spark, "pdirs")
+    K.write_file(orders, path, "parquet", partition_by="o_orderpriority")
+    df = S.read_partition_dirs(spark, path, "o_orderpriority", ["5-LOW"], orders.schema)
+    assert same(df, orders.where("o_orderpriority = '5-LOW'"))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(o_orderpriority" in text and "5-LOW" in text
