@@ -64,25 +64,50 @@ def _request_keys(requests: DataFrame, req_key: str, key: str) -> DataFrame:
             .where(F.col(key).isNotNull()).distinct())
 
 
+def _split_touched(main: DataFrame, parts_df: DataFrame, part: str) -> tuple[DataFrame, DataFrame]:
+    """(touched, untouched) rows of ``main`` for the requested partitions.
+
+    Up to 10 000 requested partitions become literals (static partition
+    pruning, no join); beyond that the partition list is a checked-size
+    broadcast side of a semi / anti join.
+    """
+    values = partition_values(parts_df, part)
+    if values is not None:
+        inside = F.col(part).isin(values) if values else F.lit(False)
+        return main.where(inside), main.where(~inside | F.col(part).isNull())
+    parts, _ = broadcast_if_small(parts_df)
+    return (main.join(parts, part, "left_semi").select(*main.columns),
+            main.join(parts, part, "left_anti").select(*main.columns))
+
+
 def locate_records(main: DataFrame, requests: DataFrame, key: str, part: str,
-                   req_key: str | None = None, req_part: str | None = None) -> DataFrame:
-    """Rows of ``main`` that the requests erase (two semi joins; the partition
-    one becomes dynamic partition pruning on a partitioned scan)."""
-    parts = _request_parts(requests, req_part or part, part)
-    keys = _request_keys(requests, req_key or key, key)
-    return (main.join(parts, part, "left_semi").join(keys, key, "left_semi")
-            .select(*main.columns))
+                   req_key: str | None = None, req_part: str | None = None,
+                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of ``main`` that the requests erase: the requested partitions
+    only (pruned scan), semi-joined with the requested keys (broadcast when
+    their count is proven small, else a hot-key-salted shuffle join)."""
+    touched, _ = _split_touched(main, _request_parts(requests, req_part or part, part), part)
+    keys, n_keys = broadcast_if_small(_request_keys(requests, req_key or key, key), broadcast_rows)
+    if n_keys <= broadcast_rows:
+        return touched.join(keys, key, "left_semi").select(*main.columns)
+    return skew_join(touched, keys, key, "left_semi", hot_rows)
 
 
 def erase_view(main: DataFrame, requests: DataFrame, key: str, part: str,
-               req_key: str | None = None, req_part: str | None = None) -> DataFrame:
+               req_key: str | None = None, req_part: str | None = None,
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """What is left of ``main`` (read-only form).  Untouched partitions pass
-    through with no join; only touched partitions meet the key set."""
-    parts = _request_parts(requests, req_part or part, part)
-    keys = _request_keys(requests, req_key or key, key)
-    touched = main.join(parts, part, "left_semi").select(*main.columns)
-    untouched = main.join(parts, part, "left_anti").select(*main.columns)
-    return untouched.unionByName(touched.join(keys, key, "left_anti").select(*main.columns))
+    through with no join at all; only touched partitions meet the key set."""
+    touched, untouched = _split_touched(main, _request_parts(requests, req_part or part, part),
+                                        part)
+    keys, n_keys = broadcast_if_small(_request_keys(requests, req_key or key, key), broadcast_rows)
+    if n_keys <= broadcast_rows:
+        kept = touched.join(keys, key, "left_anti").select(*main.columns)
+    else:
+        kept = skew_join(touched, keys, key, "left_anti", hot_rows)
+    return untouched.unionByName(kept)
 
 
 def not_in(main: DataFrame, requests: DataFrame, key: str, req_key: str | None = None) -> DataFrame:

@@ -173,3 +173,14 @@ def test_repeated_relocations_stay_consistent(spark):
     # copy mode after relocations writes into the relocated folders
     E.erase_records(spark, t, reqs(spark, [(30238323, "Jessy", "1950")]), key="nin", swap="copy")
     assert spark.table(t).count() == 8
+
+
+def test_read_only_forms_shuffle_path(spark):
+    main = spark.createDataFrame(CITIZENS + [(None, "Nobody", "1960")] +
+                                 [(30234324, "Andy", "1960")] * 20, SCHEMA)
+    r = reqs(spark, [(30234324, "x", "1950"), (1, "y", "1960"), (None, "z", "1940")])
+    a = E.erase_view(main, r, "nin", "dob", broadcast_rows=0, hot_rows=3)
+    b = E.erase_view(main, r, "nin", "dob")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == 12
+    found = E.locate_records(main, r, "nin", "dob", broadcast_rows=0, hot_rows=3)
+    assert found.count() == 21
