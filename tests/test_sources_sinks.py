@@ -66,7 +66,8 @@ def test_table_partitions_listing_and_pruning(spark, orders):
     semi_forced = S.read_partitions(spark, name, "o_orderpriority", req, bound=0)
     expected = orders.where("o_orderpriority = '2-HIGH'").select(*lit.columns)
     assert same(lit, expected) and same(semi, expected) and same(semi_forced, expected)
-    plan = lit._jdf.queryExecution().executedPlan().toString()
+    from tests.test_plans import plan_text
+    plan = plan_text(lit)
     assert "PartitionFilters: [isnotnull(o_orderpriority" in plan and "2-HIGH" in plan
 
 
@@ -104,5 +105,6 @@ def test_partition_dirs_pruned_and_typed(spark, orders):
     K.write_file(orders, path, "parquet", partition_by="o_orderpriority")
     df = S.read_partition_dirs(spark, path, "o_orderpriority", ["5-LOW"], orders.schema)
     assert same(df, orders.where("o_orderpriority = '5-LOW'"))
-    text = df._jdf.queryExecution().executedPlan().toString()
+    from tests.test_plans import plan_text
+    text = plan_text(df)
     assert "PartitionFilters: [isnotnull(o_orderpriority" in text and "5-LOW" in text
