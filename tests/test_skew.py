@@ -27,8 +27,10 @@ def test_same_answer_as_plain_join(spark, sides, how):
 
 def test_hot_key_is_split(spark, sides):
     big, other = sides
-    hot = hot_keys(big, ["k"], 1000).collect()
+    hot = hot_keys(big, ["k"], 1000, sample=1.0).collect()
     assert [(r["k"], r["__salts"]) for r in hot] == [(0, 10)]
+    est = hot_keys(big, ["k"], 1000).collect()            # 1 % sample
+    assert [r["k"] for r in est] == [0] and 7 <= est[0]["__salts"] <= 13
     salted = skew_join(big, other, "k", "inner", hot_rows=1000)
     # the 10000 copies of key 0 travel in 10 groups, not one
     per_salt = (big.join(F.broadcast(spark.createDataFrame([(0, 10)], "k long, __salts int")), "k")
