@@ -47,7 +47,7 @@ from pyspark.sql.types import StructType
 from tessera import fsutil
 from tessera.functions.naming import quote_ident, sql_literal
 from tessera.operators.joins import (
-    DEFAULT_BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, skew_join,
+    DEFAULT_BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, size_checked, skew_join,
 )
 from tessera.session import scratch_root
 from tessera.sinks.writers import cluster_for_write, insert_overwrite_partitions
@@ -88,8 +88,8 @@ def locate_records(main: DataFrame, requests: DataFrame, key: str, part: str,
     only (pruned scan), semi-joined with the requested keys (broadcast when
     their count is proven small, else a hot-key-salted shuffle join)."""
     touched, _ = _split_touched(main, _request_parts(requests, req_part or part, part), part)
-    keys, n_keys = broadcast_if_small(_request_keys(requests, req_key or key, key), broadcast_rows)
-    if n_keys <= broadcast_rows:
+    keys, _, small = size_checked(_request_keys(requests, req_key or key, key), broadcast_rows)
+    if small:
         return touched.join(keys, key, "left_semi").select(*main.columns)
     return skew_join(touched, keys, key, "left_semi", hot_rows)
 
@@ -102,8 +102,8 @@ def erase_view(main: DataFrame, requests: DataFrame, key: str, part: str,
     through with no join at all; only touched partitions meet the key set."""
     touched, untouched = _split_touched(main, _request_parts(requests, req_part or part, part),
                                         part)
-    keys, n_keys = broadcast_if_small(_request_keys(requests, req_key or key, key), broadcast_rows)
-    if n_keys <= broadcast_rows:
+    keys, _, small = size_checked(_request_keys(requests, req_key or key, key), broadcast_rows)
+    if small:
         kept = touched.join(keys, key, "left_anti").select(*main.columns)
     else:
         kept = skew_join(touched, keys, key, "left_anti", hot_rows)
@@ -216,8 +216,8 @@ def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFram
     return _filter_touched(spark, spark.table(table), part, plan)
 
 
-def _stage_survivors(touched: DataFrame, columns: list[str], keys: DataFrame, n_keys: int,
-                     key: str, part: str, staging: str, listed: bool, broadcast_rows: int,
+def _stage_survivors(touched: DataFrame, columns: list[str], keys: DataFrame, small: bool,
+                     key: str, part: str, staging: str, listed: bool,
                      hot_rows: int, files_per_partition: int | None) -> dict:
     """One pass over the touched partitions: tag requested keys, then count
     and write the survivors to ``staging`` (parquet, partitioned).
@@ -232,7 +232,7 @@ def _stage_survivors(touched: DataFrame, columns: list[str], keys: DataFrame, n_
              F.collect_set(F.when(hit.isNull(), F.col(part).cast("string"))).alias("kept_parts")]
             if listed else [])
     flagged = keys.withColumn("__hit", F.lit(True))
-    if n_keys <= broadcast_rows:               # broadcast: no shuffle of the table
+    if small:                                  # broadcast: no shuffle of the table
         tagged = touched.join(flagged, key, "left")
     else:                                      # shuffle: split hot keys (copies) first
         tagged = skew_join(touched, flagged, key, "left", hot_rows)
@@ -368,7 +368,8 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     parts = partition_values(parts_df, part)
     if parts == []:
         return EraseReport(table, [], skipped=True)
-    keys, n_keys = broadcast_if_small(_request_keys(requests, req_key or key, key), broadcast_rows)
+    keys, n_keys, small = size_checked(_request_keys(requests, req_key or key, key),
+                                       broadcast_rows)
     if n_keys == 0:
         return EraseReport(table, None if parts is None else [str(p) for p in parts],
                            skipped=True)
@@ -386,8 +387,8 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
             .write.mode("overwrite").parquet(plan["parts_path"])
 
     touched = _filter_touched(spark, main, part, plan)
-    counts = _stage_survivors(touched, main.columns, keys, n_keys, key, part, staging, listed,
-                              broadcast_rows, hot_rows, files_per_partition)
+    counts = _stage_survivors(touched, main.columns, keys, small, key, part, staging, listed,
+                              hot_rows, files_per_partition)
     staged = _check_staging(spark, main.schema, staging, counts, table)
     if not listed:
         counts["emptied"] = _emptied_by_spark(touched, staged, part)
@@ -477,7 +478,8 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
     parts = partition_values(parts_df, part)
     if parts == []:
         return EraseReport(path, [], skipped=True)
-    keys, n_keys = broadcast_if_small(_request_keys(requests, req_key or key, key), broadcast_rows)
+    keys, n_keys, small = size_checked(_request_keys(requests, req_key or key, key),
+                                       broadcast_rows)
     if n_keys == 0:
         return EraseReport(path, None if parts is None else [str(p) for p in parts], skipped=True)
 
@@ -491,8 +493,8 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
         parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
             .write.mode("overwrite").parquet(plan["parts_path"])
     touched = _filter_touched(spark, main, part, plan)
-    counts = _stage_survivors(touched, main.columns, keys, n_keys, key, part, plan["staging"],
-                              listed, broadcast_rows, hot_rows, files_per_partition)
+    counts = _stage_survivors(touched, main.columns, keys, small, key, part, plan["staging"],
+                              listed, hot_rows, files_per_partition)
     staged = _check_staging(spark, main.schema, plan["staging"], counts, path)
     if not listed:
         counts["emptied"] = _emptied_by_spark(touched, staged, part)

@@ -5,20 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we broadcast by our own decision (rows).  Above it the join is
-# left to Spark: sort-merge on the key, with AQE free to switch to a broadcast
-# at run time from *measured* shuffle sizes and to split skewed partitions.
+# Largest side we broadcast by our own decision.  Above either bound the join
+# is left to Spark: sort-merge on the key, with AQE free to switch to a
+# broadcast at run time from *measured* shuffle sizes and to split skewed
+# partitions.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Return ``(df or broadcast(df), row_count)``.
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, approximate bytes) of ``df`` in one job: the bytes are the
+    summed text length of every value plus 8 bytes of overhead per value."""
+    if not df.columns:
+        return df.count(), 0
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(8)
+                 for c in df.columns), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return int(row["n"]), int(row["b"] or 0)
 
-    The count is one job over the (small, request-sized) side; only a side
-    proven to hold at most ``max_rows`` rows gets the broadcast hint.
+
+def size_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                 max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, int, bool]:
+    """Return ``(df or broadcast(df), row_count, broadcast?)``.
+
+    The size is measured by one job over this (request-sized) side; only a
+    side proven to hold at most ``max_rows`` rows and ``max_bytes`` bytes
+    gets the broadcast hint.
     """
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+    n, nbytes = measure(df)
+    small = n <= max_rows and nbytes <= max_bytes
+    return (F.broadcast(df) if small else df), n, small
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """``size_checked`` without the flag: ``(df or broadcast(df), row_count)``."""
+    out, n, _ = size_checked(df, max_rows, max_bytes)
+    return out, n
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:

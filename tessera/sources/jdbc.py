@@ -37,6 +37,8 @@ def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
     """min/max of ``column``, computed by the database (one small query)."""
     if not column.replace("_", "").isalnum():
         raise ValueError(f"bad column name {column!r}")
+    if not table.replace("_", "").replace(".", "").isalnum():
+        raise ValueError(f"bad table name {table!r}")
     query = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) b"
     row = read_jdbc(spark, url, query, properties=properties).first()
     return row[0], row[1]
