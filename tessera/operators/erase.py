@@ -35,11 +35,13 @@ staging is discarded.
 
 from __future__ import annotations
 
+import contextlib
 import dataclasses as dc
 import hashlib
 import json
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -54,6 +56,20 @@ from tessera.sinks.writers import cluster_for_write, insert_overwrite_partitions
 from tessera.sources.catalog import partition_columns, partition_values
 
 
+@contextlib.contextmanager
+def _requests_once(requests: DataFrame, key: str, part: str, req_key: str | None,
+                   req_part: str | None):
+    """The two request columns, persisted (memory, spilling to disk) for the
+    few small passes the protocol makes over them; lost blocks are recomputed
+    from lineage, and the cache is dropped when the erase ends."""
+    req = requests.select(F.col(req_key or key).alias(key), F.col(req_part or part).alias(part))
+    req = req.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield req
+    finally:
+        req.unpersist()
+
+
 def _request_parts(requests: DataFrame, req_part: str, part: str) -> DataFrame:
     return (requests.select(F.col(req_part).alias(part))
             .where(F.col(part).isNotNull()).distinct())
@@ -364,12 +380,18 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     fsutil.delete(spark, state)                # a partial staging without marker
 
     main = spark.table(table)
-    parts_df = _request_parts(requests, req_part or part, part)
+    with _requests_once(requests, key, part, req_key, req_part) as req:
+        return _erase_table(spark, table, main, req, key, part, state, marker, swap,
+                            broadcast_rows, hot_rows, files_per_partition, fail_after_staging)
+
+
+def _erase_table(spark, table, main, req, key, part, state, marker, swap, broadcast_rows,
+                 hot_rows, files_per_partition, fail_after_staging) -> EraseReport:
+    parts_df = _request_parts(req, part, part)
     parts = partition_values(parts_df, part)
     if parts == []:
         return EraseReport(table, [], skipped=True)
-    keys, n_keys, small = size_checked(_request_keys(requests, req_key or key, key),
-                                       broadcast_rows)
+    keys, n_keys, small = size_checked(_request_keys(req, key, key), broadcast_rows)
     if n_keys == 0:
         return EraseReport(table, None if parts is None else [str(p) for p in parts],
                            skipped=True)
@@ -474,12 +496,18 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
     main = (reader.schema(schema) if schema is not None else reader).load(path)
     if part not in main.columns:
         raise ValueError(f"{part} is not a column of {path}")
-    parts_df = _request_parts(requests, req_part or part, part)
+    with _requests_once(requests, key, part, req_key, req_part) as req:
+        return _erase_path(spark, path, main, req, key, part, state, marker, fmt,
+                           broadcast_rows, hot_rows, files_per_partition, fail_after_staging)
+
+
+def _erase_path(spark, path, main, req, key, part, state, marker, fmt, broadcast_rows,
+                hot_rows, files_per_partition, fail_after_staging) -> EraseReport:
+    parts_df = _request_parts(req, part, part)
     parts = partition_values(parts_df, part)
     if parts == []:
         return EraseReport(path, [], skipped=True)
-    keys, n_keys, small = size_checked(_request_keys(requests, req_key or key, key),
-                                       broadcast_rows)
+    keys, n_keys, small = size_checked(_request_keys(req, key, key), broadcast_rows)
     if n_keys == 0:
         return EraseReport(path, None if parts is None else [str(p) for p in parts], skipped=True)
 

@@ -151,6 +151,7 @@ ORACLE_SQL: dict[str, str] = {
     "sql_text":
         "SELECT n.n_name, count(*) AS n FROM customer c JOIN nation n "
         "ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name HAVING count(*) > 1",
+    "ingest": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal + 1 AS s_acctbal FROM supplier",
     "run_summary":
         "SELECT event_type AS label, count(*) AS samples, round(avg(value), 6) AS avg_ms, "
         "min(value) AS min_ms, max(value) AS max_ms, round(stddev_pop(value), 6) AS std_ms, "

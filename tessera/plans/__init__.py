@@ -3,7 +3,8 @@ run/stage metrics computed as Spark jobs."""
 
 from tessera.plans.flow import Step, FlowSpec, FlowResult, parse_flow, run_flow, step_frame
 from tessera.plans.workloads import (
-    read_workload, ingest, jdbc_ingest, io_files, run_sql, sql_to_file, timed_noop,
+    read_workload, ingest, jdbc_ingest, io_files, run_sql, run_sql_file, sql_to_file,
+    timed_noop,
 )
 from tessera.plans.jobs import (
     StorageConfig, SplitConfig, store, generate_job, split_job, read_job,
@@ -14,7 +15,7 @@ from tessera.plans.metrics import (
 
 __all__ = [
     "Step", "FlowSpec", "FlowResult", "parse_flow", "run_flow", "step_frame",
-    "read_workload", "ingest", "jdbc_ingest", "io_files", "run_sql", "sql_to_file",
+    "read_workload", "ingest", "jdbc_ingest", "io_files", "run_sql", "run_sql_file", "sql_to_file",
     "timed_noop", "SAMPLE_SCHEMA", "EVENT_LOG_SCHEMA", "run_summary", "stage_metrics",
     "stage_metrics_frame", "StorageConfig", "SplitConfig", "store", "generate_job",
     "split_job", "read_job",

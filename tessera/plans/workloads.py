@@ -141,6 +141,15 @@ def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None
     return spark.sql(_strip_sql(text), args=args) if args else spark.sql(_strip_sql(text))
 
 
+def run_sql_file(spark: SparkSession, path: str, tables: dict[str, DataFrame] | None = None,
+                 args: dict | None = None) -> DataFrame:
+    """Run the SQL text stored in a file (any Hadoop path; read by Spark)."""
+    row = spark.read.text(path, wholetext=True).first()
+    if row is None:
+        raise ValueError(f"no SQL text in {path}")
+    return run_sql(spark, row[0], tables, args)
+
+
 def sql_to_file(spark: SparkSession, text: str, path: str, fmt: str = "json",
                 tables: dict[str, DataFrame] | None = None, args: dict | None = None) -> DataFrame:
     """Run SQL text and store the answer (the JDBC sampler's saved response)."""

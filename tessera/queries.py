@@ -341,6 +341,16 @@ def q_sql_text(spark, sf):
     return S.read_json(spark, path, answer.schema)
 
 
+def q_ingest(spark, sf):
+    """The ingest workload (source -> round-robin spread -> add one -> CSV),
+    with the supplier table as the source; read back with its schema."""
+    src = table(spark, sf, "supplier")
+    path = scratch_path(spark, "ingest")
+    rep = P.ingest(src, "s_acctbal", path, "csv", repartition=4)
+    assert rep.rows >= 0
+    return S.read_csv(spark, path, src.schema)
+
+
 def q_run_summary(spark, sf):
     ev = table(spark, sf, "events")
     return P.run_summary(ev, label="event_type", elapsed="value", success=None,
@@ -412,6 +422,7 @@ QUERIES = {
     "split_table": q_split_table,
     "stage_flow": q_stage_flow,
     "sql_text": q_sql_text,
+    "ingest": q_ingest,
     "run_summary": q_run_summary,
     "io_files": q_io_files,
     "stage_metrics": q_stage_metrics,

@@ -57,3 +57,16 @@ def test_read_job(spark):
     rep = read_job(spark, "BENEFITS", fmt="csv", path=path, repartition=2)
     assert rep.rows == 1440
     assert rep.frame.agg({"BENEFITS": "min"}).first()[0] >= 1.0
+
+
+def test_run_sql_file(spark):
+    import os
+    import tempfile
+
+    from tessera.plans.workloads import run_sql_file
+    folder = tempfile.mkdtemp(prefix="tessera-sql-")
+    path = os.path.join(folder, "q.sql")
+    with open(path, "w") as fh:
+        fh.write("SELECT count(*) AS n\nFROM t\nWHERE id >= :lo;\n")
+    out = run_sql_file(spark, path, {"t": spark.range(10)}, args={"lo": 4})
+    assert out.first().n == 6
