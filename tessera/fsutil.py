@@ -39,3 +39,31 @@ def partition_dir_value(dirname: str, column: str) -> str | None:
     base = dirname.rstrip("/").rsplit("/", 1)[-1]
     prefix = column + "="
     return unquote(base[len(prefix):]) if base.startswith(prefix) else None
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file (a marker) atomically enough for a marker:
+    written under a temporary name, then renamed into place."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not move marker into place at {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

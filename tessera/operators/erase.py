@@ -161,15 +161,14 @@ def _state_dir(spark: SparkSession, table: str) -> str:
 
 
 def _write_marker(spark: SparkSession, path: str, payload: dict) -> None:
-    text = json.dumps(payload, default=str)
-    spark.createDataFrame([(text,)], "m string").coalesce(1).write.mode("overwrite").text(path)
+    """The plan as one small JSON file, written by the file system API
+    (written aside, then renamed: a reader sees all of it or nothing)."""
+    fsutil.write_text(spark, path, json.dumps(payload, default=str))
 
 
 def _read_marker(spark: SparkSession, path: str) -> dict | None:
-    if not fsutil.exists(spark, path + "/_SUCCESS"):
-        return None
-    row = spark.read.text(path).first()
-    return json.loads(row[0]) if row else None
+    text = fsutil.read_text(spark, path)
+    return json.loads(text) if text else None
 
 
 def _table_type(spark: SparkSession, table: str) -> str:
