@@ -96,15 +96,26 @@ def _split_touched(main: DataFrame, parts_df: DataFrame, part: str) -> tuple[Dat
             main.join(parts, part, "left_anti").select(*main.columns))
 
 
+# Up to this many requested keys are applied as a literal ``IN`` filter, which
+# Spark pushes into the Parquet reader (row groups whose min/max or
+# dictionary exclude every key are skipped); more keys go through a join.
+MAX_KEY_LITERALS = 1000
+
+
 def locate_records(main: DataFrame, requests: DataFrame, key: str, part: str,
                    req_key: str | None = None, req_part: str | None = None,
                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_rows: int = HOT_ROWS, key_literals: int = MAX_KEY_LITERALS) -> DataFrame:
     """Rows of ``main`` that the requests erase: the requested partitions
-    only (pruned scan), semi-joined with the requested keys (broadcast when
-    their count is proven small, else a hot-key-salted shuffle join)."""
+    only (pruned scan), then the requested keys -- as a pushed-down ``IN``
+    filter for a short key list, else a semi join (broadcast when the key
+    set is proven small, else a hot-key-salted shuffle join)."""
     touched, _ = _split_touched(main, _request_parts(requests, req_part or part, part), part)
-    keys, _, small = size_checked(_request_keys(requests, req_key or key, key), broadcast_rows)
+    keys_df = _request_keys(requests, req_key or key, key)
+    few = partition_values(keys_df, key, key_literals)
+    if few is not None:
+        return touched.where(F.col(key).isin(few) if few else F.lit(False))
+    keys, _, small = size_checked(keys_df, broadcast_rows)
     if small:
         return touched.join(keys, key, "left_semi").select(*main.columns)
     return skew_join(touched, keys, key, "left_semi", hot_rows)
@@ -113,12 +124,17 @@ def locate_records(main: DataFrame, requests: DataFrame, key: str, part: str,
 def erase_view(main: DataFrame, requests: DataFrame, key: str, part: str,
                req_key: str | None = None, req_part: str | None = None,
                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+               hot_rows: int = HOT_ROWS, key_literals: int = MAX_KEY_LITERALS) -> DataFrame:
     """What is left of ``main`` (read-only form).  Untouched partitions pass
     through with no join at all; only touched partitions meet the key set."""
     touched, untouched = _split_touched(main, _request_parts(requests, req_part or part, part),
                                         part)
-    keys, _, small = size_checked(_request_keys(requests, req_key or key, key), broadcast_rows)
+    keys_df = _request_keys(requests, req_key or key, key)
+    few = partition_values(keys_df, key, key_literals)
+    if few is not None:
+        kept = touched.where(~F.col(key).isin(few) | F.col(key).isNull()) if few else touched
+        return untouched.unionByName(kept)
+    keys, _, small = size_checked(keys_df, broadcast_rows)
     if small:
         kept = touched.join(keys, key, "left_anti").select(*main.columns)
     else:
@@ -233,7 +249,8 @@ def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFram
 
 def _stage_survivors(touched: DataFrame, columns: list[str], keys: DataFrame, small: bool,
                      key: str, part: str, staging: str, listed: bool,
-                     hot_rows: int, files_per_partition: int | None) -> dict:
+                     hot_rows: int, files_per_partition: int | None,
+                     few: list | None = None) -> dict:
     """One pass over the touched partitions: tag requested keys, then count
     and write the survivors to ``staging`` (parquet, partitioned).
 
@@ -247,7 +264,9 @@ def _stage_survivors(touched: DataFrame, columns: list[str], keys: DataFrame, sm
              F.collect_set(F.when(hit.isNull(), F.col(part).cast("string"))).alias("kept_parts")]
             if listed else [])
     flagged = keys.withColumn("__hit", F.lit(True))
-    if small:                                  # broadcast: no shuffle of the table
+    if few is not None:                        # short list: a literal IN, no join at all
+        tagged = touched.withColumn("__hit", F.when(F.col(key).isin(few), F.lit(True)))
+    elif small:                                # broadcast: no shuffle of the table
         tagged = touched.join(flagged, key, "left")
     else:                                      # shuffle: split hot keys (copies) first
         tagged = skew_join(touched, flagged, key, "left", hot_rows)
@@ -343,6 +362,7 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
                   part: str | None = None, req_key: str | None = None,
                   req_part: str | None = None, *, swap: str = "relocate",
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
+                  key_literals: int = MAX_KEY_LITERALS,
                   files_per_partition: int | None = None,
                   fail_after_staging: bool = False) -> EraseReport:
     """Erase requested records from catalog table ``table`` in place.
@@ -381,16 +401,20 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     main = spark.table(table)
     with _requests_once(requests, key, part, req_key, req_part) as req:
         return _erase_table(spark, table, main, req, key, part, state, marker, swap,
-                            broadcast_rows, hot_rows, files_per_partition, fail_after_staging)
+                            broadcast_rows, hot_rows, key_literals, files_per_partition,
+                            fail_after_staging)
 
 
 def _erase_table(spark, table, main, req, key, part, state, marker, swap, broadcast_rows,
-                 hot_rows, files_per_partition, fail_after_staging) -> EraseReport:
+                 hot_rows, key_literals, files_per_partition, fail_after_staging) -> EraseReport:
     parts_df = _request_parts(req, part, part)
     parts = partition_values(parts_df, part)
     if parts == []:
         return EraseReport(table, [], skipped=True)
-    keys, n_keys, small = size_checked(_request_keys(req, key, key), broadcast_rows)
+    keys_df = _request_keys(req, key, key)
+    few = partition_values(keys_df, key, key_literals)
+    keys, n_keys, small = (keys_df, len(few), True) if few is not None else \
+        size_checked(keys_df, broadcast_rows)
     if n_keys == 0:
         return EraseReport(table, None if parts is None else [str(p) for p in parts],
                            skipped=True)
@@ -409,7 +433,7 @@ def _erase_table(spark, table, main, req, key, part, state, marker, swap, broadc
 
     touched = _filter_touched(spark, main, part, plan)
     counts = _stage_survivors(touched, main.columns, keys, small, key, part, staging, listed,
-                              hot_rows, files_per_partition)
+                              hot_rows, files_per_partition, few)
     staged = _check_staging(spark, main.schema, staging, counts, table)
     if not listed:
         counts["emptied"] = _emptied_by_spark(touched, staged, part)
@@ -470,6 +494,7 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
                        part: str, req_key: str | None = None, req_part: str | None = None, *,
                        schema: StructType | None = None, fmt: str = "parquet",
                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
+                       key_literals: int = MAX_KEY_LITERALS,
                        files_per_partition: int | None = None,
                        fail_after_staging: bool = False) -> EraseReport:
     """``erase_records`` for a partitioned file dataset without a catalog.
@@ -497,16 +522,20 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
         raise ValueError(f"{part} is not a column of {path}")
     with _requests_once(requests, key, part, req_key, req_part) as req:
         return _erase_path(spark, path, main, req, key, part, state, marker, fmt,
-                           broadcast_rows, hot_rows, files_per_partition, fail_after_staging)
+                           broadcast_rows, hot_rows, key_literals, files_per_partition,
+                           fail_after_staging)
 
 
 def _erase_path(spark, path, main, req, key, part, state, marker, fmt, broadcast_rows,
-                hot_rows, files_per_partition, fail_after_staging) -> EraseReport:
+                hot_rows, key_literals, files_per_partition, fail_after_staging) -> EraseReport:
     parts_df = _request_parts(req, part, part)
     parts = partition_values(parts_df, part)
     if parts == []:
         return EraseReport(path, [], skipped=True)
-    keys, n_keys, small = size_checked(_request_keys(req, key, key), broadcast_rows)
+    keys_df = _request_keys(req, key, key)
+    few = partition_values(keys_df, key, key_literals)
+    keys, n_keys, small = (keys_df, len(few), True) if few is not None else \
+        size_checked(keys_df, broadcast_rows)
     if n_keys == 0:
         return EraseReport(path, None if parts is None else [str(p) for p in parts], skipped=True)
 
@@ -521,7 +550,7 @@ def _erase_path(spark, path, main, req, key, part, state, marker, fmt, broadcast
             .write.mode("overwrite").parquet(plan["parts_path"])
     touched = _filter_touched(spark, main, part, plan)
     counts = _stage_survivors(touched, main.columns, keys, small, key, part, plan["staging"],
-                              listed, hot_rows, files_per_partition)
+                              listed, hot_rows, files_per_partition, few)
     staged = _check_staging(spark, main.schema, plan["staging"], counts, path)
     if not listed:
         counts["emptied"] = _emptied_by_spark(touched, staged, part)

@@ -154,8 +154,9 @@ def test_many_partitions_use_semi_join(spark, monkeypatch):
     """Above the literal bound the touched set travels as data, same answer."""
     import tessera.sources.catalog as C
     monkeypatch.setattr(C, "MAX_PARTITION_LITERALS", 1)
+    real = C.partition_values
     monkeypatch.setattr(E, "partition_values",
-                        lambda df, col: C.partition_values(df, col, bound=1))
+                        lambda df, col, bound=10000: real(df, col, 1 if col == "dob" else bound))
     t = make_table(spark)
     r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950"),
                      (30234328, "Rose", "1945"), (32234328, "Terry", "1945")])
@@ -179,8 +180,18 @@ def test_read_only_forms_shuffle_path(spark):
     main = spark.createDataFrame(CITIZENS + [(None, "Nobody", "1960")] +
                                  [(30234324, "Andy", "1960")] * 20, SCHEMA)
     r = reqs(spark, [(30234324, "x", "1950"), (1, "y", "1960"), (None, "z", "1940")])
-    a = E.erase_view(main, r, "nin", "dob", broadcast_rows=0, hot_rows=3)
+    a = E.erase_view(main, r, "nin", "dob", broadcast_rows=0, hot_rows=3, key_literals=0)
     b = E.erase_view(main, r, "nin", "dob")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == 12
-    found = E.locate_records(main, r, "nin", "dob", broadcast_rows=0, hot_rows=3)
+    found = E.locate_records(main, r, "nin", "dob", broadcast_rows=0, hot_rows=3,
+                              key_literals=0)
     assert found.count() == 21
+
+
+@pytest.mark.parametrize("key_literals", [0, 1000])
+def test_key_paths_agree(spark, key_literals):
+    """Literal IN filter and broadcast join give the same erase."""
+    t = make_table(spark, CITIZENS + [(None, "Nobody", "1960")])
+    r = reqs(spark, [(30234324, "Andy", "1960"), (None, "n", "1950"), (30238323, "J", "1950")])
+    rep = E.erase_records(spark, t, r, key="nin", key_literals=key_literals)
+    assert rep.erased_rows == 2 and spark.table(t).count() == 11

@@ -47,3 +47,11 @@ def test_group_sum_aggregates_before_shuffle(spark):
 def test_filter_pushed_to_scan(spark):
     c = table(spark, SF_SMALL, "customer").where("c_mktsegment = 'BUILDING'")
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)]" in plan_text(c)
+
+
+def test_short_key_list_reaches_parquet_reader(spark):
+    name = orders_by_priority(spark, SF_SMALL)
+    req = spark.createDataFrame([(5, "1-URGENT"), (9, "5-LOW")], "o_orderkey long, o_orderpriority string")
+    df = O.locate_records(S.read_table(spark, name), req, "o_orderkey", "o_orderpriority")
+    text = plan_text(df)
+    assert "PushedFilters: [In(o_orderkey" in text or "In(o_orderkey, [5,9])" in text, text
