@@ -195,3 +195,25 @@ def test_key_paths_agree(spark, key_literals):
     r = reqs(spark, [(30234324, "Andy", "1960"), (None, "n", "1950"), (30238323, "J", "1950")])
     rep = E.erase_records(spark, t, r, key="nin", key_literals=key_literals)
     assert rep.erased_rows == 2 and spark.table(t).count() == 11
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_erased_rows_leave_storage(spark, external):
+    """After relocations and an emptied partition, no file under the table
+    location still holds an erased record."""
+    t = make_table(spark, external=external)
+    E.erase_records(spark, t, reqs(spark, [(30234324, "Andy", "1960")]), key="nin")
+    E.erase_records(spark, t, reqs(spark, [(30231324, "Peter", "1960"),
+                                           (30234323, "Peter", "1950")]), key="nin")
+    import os
+
+    import pyarrow.parquet as pq
+    loc = spark.sql(f"DESCRIBE FORMATTED {t}").where("col_name = 'Location'").first()[1]
+    root = loc.split(":", 1)[1] if loc.startswith("file:") else loc
+    left = []
+    for folder, _, files in os.walk(root):          # hidden folders included
+        for f in files:
+            if f.endswith(".parquet"):
+                left += pq.read_table(os.path.join(folder, f), columns=["nin"])["nin"].to_pylist()
+    assert not set(left) & {30234324, 30231324, 30234323}
+    assert len(left) == 9 and spark.table(t).count() == 9
