@@ -28,9 +28,12 @@ rewritten, untouched partitions keep their files:
    Touched partitions left with no row are emptied and dropped.
 5. the touched partitions are recounted; only then the marker goes.
 
-A crash after 3 resumes at 4 from the marker (staging is complete, every swap
-step is idempotent); a crash before leaves the table whole and the partial
-staging is discarded.
+A crash after 3 resumes at 4 from the marker -- also in a restarted
+application, as the marker lives in the configured checkpoint folder itself
+(staging is complete, every swap step is idempotent); a crash before leaves
+the table whole and the partial staging is discarded.  Even without a marker
+a rerun is correct: erasing is idempotent, so partitions already swapped
+simply have nothing left to erase.
 """
 
 from __future__ import annotations
@@ -51,7 +54,7 @@ from tessera.functions.naming import quote_ident, sql_literal
 from tessera.operators.joins import (
     DEFAULT_BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, size_checked, skew_join,
 )
-from tessera.session import scratch_root
+from tessera.session import stable_root
 from tessera.sinks.writers import cluster_for_write, insert_overwrite_partitions
 from tessera.sources.catalog import partition_columns, partition_values
 
@@ -172,8 +175,10 @@ class EraseReport:
 
 
 def _state_dir(spark: SparkSession, table: str) -> str:
+    """Per-table state (marker, copy-mode staging) under the checkpoint
+    folder itself, so a restarted application resumes an interrupted swap."""
     safe = "".join(ch if ch.isalnum() or ch in "._-" else "_" for ch in table)
-    return f"{scratch_root(spark)}/erase_state/{safe}"
+    return f"{stable_root(spark)}/tessera_erase_state/{safe}"
 
 
 def _write_marker(spark: SparkSession, path: str, payload: dict) -> None:

@@ -61,6 +61,16 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def stable_root(spark: SparkSession) -> str:
+    """The configured checkpoint folder itself, without the per-application
+    subfolder Spark adds: state that must outlive a crashed driver (the
+    erase markers) lives here, so a restarted application finds it."""
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        return conf.rstrip("/")
+    return scratch_root(spark).rsplit("/", 1)[0]
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the scratch root; callers never share one."""
     return "/".join([scratch_root(spark), *parts, uuid.uuid4().hex[:12]])
