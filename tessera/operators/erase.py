@@ -263,7 +263,7 @@ def _stage_survivors(touched: DataFrame, columns: list[str], keys: DataFrame, sm
     a retried map stage cannot count twice.  With a literal partition list
     the partitions seen (all / with survivors) ride along as well.
     """
-    obs = Observation("erase_" + uuid.uuid4().hex[:8])
+    obs = Observation()
     hit = F.col("__hit")
     seen = ([F.collect_set(F.col(part).cast("string")).alias("parts"),
              F.collect_set(F.when(hit.isNull(), F.col(part).cast("string"))).alias("kept_parts")]

@@ -45,7 +45,7 @@ def store(df: DataFrame, target: StorageConfig, date_column: str | None = None)
     """Write ``df`` to the target; the row count rides on the write."""
     if target.storage not in ("file", "db"):
         raise ValueError(f"unknown storage {target.storage!r}; expected file or db")
-    obs = Observation("stored")
+    obs = Observation()
     counted = df.observe(obs, F.count(F.lit(1)).alias("n"))
     part = target.partition_by if target.partitioned else None
     if target.storage == "db":

@@ -22,7 +22,7 @@ class WorkloadReport:
 
 def timed_noop(df: DataFrame) -> tuple[int, float]:
     """Run the whole plan into the ``noop`` sink; rows counted by ``observe``."""
-    obs = Observation("rows")
+    obs = Observation()
     t0 = time.perf_counter()
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
     return int(obs.get["n"]), time.perf_counter() - t0
@@ -49,7 +49,7 @@ def ingest(df: DataFrame, column: str, out_path: str, fmt: str = "csv",
     if repartition:
         df = df.repartition(repartition)
     out = add_one(df, column)
-    obs = Observation("ingest")
+    obs = Observation()
     t0 = time.perf_counter()
     write_file(out.observe(obs, F.count(F.lit(1)).alias("n")), out_path, fmt)
     return WorkloadReport(out, int(obs.get["n"]), time.perf_counter() - t0)
