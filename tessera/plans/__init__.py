@@ -11,12 +11,13 @@ from tessera.plans.jobs import (
 )
 from tessera.plans.metrics import (
     SAMPLE_SCHEMA, EVENT_LOG_SCHEMA, run_summary, stage_metrics, stage_metrics_frame,
+    job_group_metrics,
 )
 
 __all__ = [
     "Step", "FlowSpec", "FlowResult", "parse_flow", "run_flow", "step_frame",
     "read_workload", "ingest", "jdbc_ingest", "io_files", "run_sql", "run_sql_file", "sql_to_file",
     "timed_noop", "SAMPLE_SCHEMA", "EVENT_LOG_SCHEMA", "run_summary", "stage_metrics",
-    "stage_metrics_frame", "StorageConfig", "SplitConfig", "store", "generate_job",
+    "stage_metrics_frame", "job_group_metrics", "StorageConfig", "SplitConfig", "store", "generate_job",
     "split_job", "read_job",
 ]

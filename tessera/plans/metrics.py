@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+    ArrayType, BooleanType, IntegerType, LongType, MapType, StringType, StructField, StructType,
+    TimestampType,
 )
 
 # Fields a load-test run saves per sample.
@@ -80,6 +81,9 @@ EVENT_LOG_SCHEMA = StructType([
     StructField("Stage ID", LongType()),
     StructField("Stage Attempt ID", LongType()),
     StructField("Task Metrics", _TASK_METRICS),
+    StructField("Job ID", LongType()),
+    StructField("Stage IDs", ArrayType(LongType())),
+    StructField("Properties", MapType(StringType(), StringType())),
 ])
 
 
@@ -108,3 +112,23 @@ def stage_metrics(spark: SparkSession, path: str) -> DataFrame:
     """
     events = (spark.read.schema(EVENT_LOG_SCHEMA).option("mode", "DROPMALFORMED").json(path))
     return stage_metrics_frame(events)
+
+
+def job_group_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Stage metrics rolled up per job group (``SparkContext.setJobGroup``):
+    job-start events map each stage to its group; a join on the stage id
+    carries the per-stage totals over.  Both sides are per-stage aggregates,
+    so the join is small whatever the size of the log."""
+    events = spark.read.schema(EVENT_LOG_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    groups = (events.where(F.col("Event") == "SparkListenerJobStart")
+              .select(F.col("Properties")["spark.jobGroup.id"].alias("job_group"),
+                      F.explode("`Stage IDs`").alias("stage_id"))
+              .where(F.col("job_group").isNotNull()).distinct())
+    per_stage = stage_metrics_frame(events)
+    return (per_stage.join(groups, "stage_id")
+            .groupBy("job_group")
+            .agg(F.countDistinct("stage_id").alias("stages"),
+                 F.sum("tasks").alias("tasks"), F.sum("run_ms").alias("run_ms"),
+                 F.sum("shuffle_read_bytes").alias("shuffle_read_bytes"),
+                 F.sum("shuffle_write_bytes").alias("shuffle_write_bytes"),
+                 F.sum("spill_bytes").alias("spill_bytes")))

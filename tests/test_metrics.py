@@ -31,3 +31,13 @@ def test_stage_metrics_from_live_event_log(spark, event_log_dir):
     rows = m.collect()
     assert rows and all(r.tasks > 0 for r in rows)
     assert sum(r.shuffle_write_bytes or 0 for r in rows) > 0
+
+
+def test_job_group_metrics(spark, event_log_dir):
+    from tessera.plans.metrics import job_group_metrics
+    spark.sparkContext.setJobGroup("probe-group", "probe")
+    (spark.range(0, 100000, 1, 4).groupBy((F.col("id") % 13).alias("k")).count()
+     .write.format("noop").mode("overwrite").save())
+    spark.sparkContext.setJobGroup("other-group", "other")
+    rows = {r.job_group: r for r in job_group_metrics(spark, event_log_dir).collect()}
+    assert rows["probe-group"].tasks > 0 and rows["probe-group"].shuffle_write_bytes > 0
