@@ -61,3 +61,15 @@ def read_partition_dirs(spark: SparkSession, path: str, part_col: str, values,
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path).where(F.col(part_col).isin(list(values)))
+
+
+def list_partition_dirs(spark: SparkSession, path: str, part_col: str) -> DataFrame:
+    """``SHOW PARTITIONS`` for a partitioned file dataset: one
+    ``col=value`` row per folder, from a directory listing (no data read)."""
+    from tessera import fsutil
+    names = []
+    for folder in fsutil.list_dirs(spark, path):
+        value = fsutil.partition_dir_value(folder, part_col)
+        if value is not None:
+            names.append((f"{part_col}={value}",))
+    return spark.createDataFrame(sorted(names), "partition_name string")

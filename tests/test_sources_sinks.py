@@ -108,3 +108,11 @@ def test_partition_dirs_pruned_and_typed(spark, orders):
     from tests.test_plans import plan_text
     text = plan_text(df)
     assert "PartitionFilters: [isnotnull(o_orderpriority" in text and "5-LOW" in text
+
+
+def test_list_partition_dirs(spark, orders):
+    path = scratch_path(spark, "ldirs")
+    K.write_file(orders, path, "parquet", partition_by="o_orderpriority")
+    names = [r.partition_name for r in S.list_partition_dirs(spark, path, "o_orderpriority").collect()]
+    assert names == sorted(f"o_orderpriority={p}" for p in
+                           ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
