@@ -83,6 +83,8 @@ ORACLE_SQL: dict[str, str] = {
     "append_table": "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
     "list_partitions":
         "SELECT DISTINCT concat('l_returnflag=', l_returnflag) AS partition_name FROM lineitem",
+    "list_partition_dirs":
+        "SELECT DISTINCT concat('l_returnflag=', l_returnflag) AS partition_name FROM lineitem",
     "scan_partitions":
         "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN "
         "(SELECT o_orderpriority FROM orders WHERE o_totalprice = "

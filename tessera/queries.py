@@ -128,6 +128,13 @@ def q_list_partitions(spark, sf):
     return S.list_partitions(spark, name)
 
 
+def q_list_partition_dirs(spark, sf):
+    """Partition list of a file dataset (lineitem stored by l_returnflag)."""
+    path = scratch_path(spark, "lineitem_flags")
+    K.write_file(table(spark, sf, "lineitem"), path, "parquet", partition_by="l_returnflag")
+    return S.list_partition_dirs(spark, path, "l_returnflag")
+
+
 def q_scan_partitions(spark, sf):
     """Only the partitions named by a request table (here: the partition of the
     highest-priced order), via a semi join -> dynamic partition pruning."""
@@ -393,6 +400,7 @@ QUERIES = {
     "write_table_partitioned": q_write_table_partitioned,
     "append_table": q_append_table,
     "list_partitions": q_list_partitions,
+    "list_partition_dirs": q_list_partition_dirs,
     "scan_partitions": q_scan_partitions,
     "add_one": q_add_one,
     "read_workload": q_read_workload,
