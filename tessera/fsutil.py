@@ -67,3 +67,36 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def _uri_path(spark: SparkSession, uri: str):
+    """A Hadoop Path from a URI string as Spark reports it (``_metadata.file_path``
+    escapes characters such as spaces, so it is parsed as a URI)."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+
+
+def delete_uri(spark: SparkSession, uri: str) -> bool:
+    p = _uri_path(spark, uri)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, False)) if fs.exists(p) else False
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files directly under ``path`` (names starting with ``_`` or ``.``
+    -- markers, checksums -- are skipped)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if s.isFile() and not name.startswith(("_", ".")):
+            out.append(s.getPath().toString())
+    return out
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, s = _fs(spark, src)
+    _, d = _fs(spark, dst)
+    return bool(fs.rename(s, d))

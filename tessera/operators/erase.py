@@ -319,6 +319,9 @@ def _relocation_moves(spark: SparkSession, table: str, part: str, plan: dict) ->
 
 def _swap(spark: SparkSession, table: str, part: str, plan: dict) -> None:
     t = quote_ident(table)
+    if plan["mode"] == "files":
+        _swap_files(spark, table, part, plan)
+        return
     if plan["mode"] == "relocate":
         for value, old, new in plan["moves"]:
             spec = _spec(part, value)
@@ -358,7 +361,7 @@ def _verify(spark: SparkSession, table: str, part: str, plan: dict,
 
 
 def _finish(spark: SparkSession, plan: dict, state: str) -> None:
-    if plan["mode"] == "copy":
+    if plan["mode"] in ("copy", "files"):     # "files": only empty folders are left
         fsutil.delete(spark, plan["staging"])
     fsutil.delete(spark, state)
 
@@ -382,8 +385,8 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     ``fail_after_staging`` is a test hook that stops between staging and
     swap, like a crash would.
     """
-    if swap not in ("relocate", "copy"):
-        raise ValueError("swap must be 'relocate' or 'copy'")
+    if swap not in ("relocate", "copy", "files"):
+        raise ValueError("swap must be 'relocate', 'copy' or 'files'")
     parts_cols = partition_columns(spark, table)
     if part is None:
         if len(parts_cols) != 1:
@@ -410,6 +413,89 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
                             fail_after_staging)
 
 
+# Above this many affected files the file-level swap falls back to
+# rewriting whole partitions (the file list travels through the driver).
+MAX_AFFECTED_FILES = 100_000
+
+
+def _erase_files(spark, table, main, key, part, state, marker, parts, few, keys, small,
+                 hot_rows, fail_after_staging) -> EraseReport | None:
+    """File-level swap: rewrite only the data files that hold a requested
+    record.  Their survivors are staged in a hidden folder of the table,
+    moved (renamed) into the partitions' folders, and then the old files are
+    deleted.  Partition pruning, the pushed-down key filter and the file list
+    keep the work proportional to the affected files, not to the partitions.
+
+    Not atomic for concurrent readers: between the moves and the deletes a
+    reader may see an affected file's surviving rows twice.  Returns None
+    when more than ``MAX_AFFECTED_FILES`` files are affected.
+    """
+    run_id = uuid.uuid4().hex[:12]
+    plan = {"run": run_id, "mode": "files", "partitions": [str(p) for p in parts],
+            "staging": f"{_location(spark, table).rstrip('/')}/_erase_{run_id}",
+            "parts_path": None}
+    touched = _filter_touched(spark, main, part, plan)
+    with_file = touched.withColumn("__file", F.col("_metadata.file_path"))
+    if few is not None:
+        hits = with_file.where(F.col(key).isin(few))
+    elif small:
+        hits = with_file.join(keys, key, "left_semi")
+    else:
+        hits = skew_join(with_file, keys, key, "left_semi", hot_rows)
+    files = partition_values(hits.select("__file"), "__file", MAX_AFFECTED_FILES)
+    if files is None:
+        return None
+    if not files:
+        return EraseReport(table, plan["partitions"], skipped=True)
+    before_rows = touched.count()
+    affected = with_file.where(F.col("__file").isin(files)).drop("__file")
+    counts = _stage_survivors(affected, main.columns, keys, small, key, part, plan["staging"],
+                              True, hot_rows, None, few)
+    _check_staging(spark, main.schema, plan["staging"], counts, table)
+    moves = []
+    for folder in fsutil.list_dirs(spark, plan["staging"]):
+        value = fsutil.partition_dir_value(folder, part)
+        if value is None:
+            continue
+        target = _location(spark, table, _spec(part, value)).rstrip("/")
+        for src in fsutil.list_files(spark, folder):
+            moves.append([src, f"{target}/erase-{run_id}-{src.rsplit('/', 1)[-1]}"])
+    plan.update(touched_rows=before_rows, erased_rows=counts["erased_rows"],
+                kept_rows=before_rows - counts["erased_rows"], moves=moves, deletes=files,
+                emptied=[], affected_rows=counts["touched_rows"])
+    _write_marker(spark, marker, plan)
+    if fail_after_staging:
+        raise RuntimeError("stopped after staging (test hook)")
+    listed_before = _catalog_partitions(spark, table)
+    _swap(spark, table, part, plan)
+    _verify(spark, table, part, plan, listed_before)
+    _finish(spark, plan, state)
+    return EraseReport(table, plan["partitions"], before_rows, counts["erased_rows"],
+                       plan["kept_rows"], plan["emptied"])
+
+
+def _swap_files(spark: SparkSession, table: str, part: str, plan: dict) -> None:
+    """Moves, then deletes (each step skipped when already done), then drop
+    the touched partitions that hold no row any more."""
+    for src, dst in plan["moves"]:
+        if fsutil.exists(spark, src) and not fsutil.exists(spark, dst):
+            fsutil.rename(spark, src, dst)
+    for uri in plan["deletes"]:
+        fsutil.delete_uri(spark, uri)
+    spark.catalog.refreshTable(table)
+    existing = {fsutil.partition_dir_value(p, part) for p in _catalog_partitions(spark, table)}
+    candidates = sorted(set(plan["partitions"]) & existing)
+    if candidates:
+        main = spark.table(table)
+        part_type = main.schema[part].dataType
+        have = {str(r[0]) for r in main.where(F.col(part).isin(
+            [F.lit(v).cast(part_type) for v in candidates])).select(part).distinct().collect()}
+        plan["emptied"] = [v for v in candidates if v not in have]
+        if plan["emptied"]:
+            _drop_partitions(spark, table, part, plan["emptied"])
+            spark.catalog.refreshTable(table)
+
+
 def _erase_table(spark, table, main, req, key, part, state, marker, swap, broadcast_rows,
                  hot_rows, key_literals, files_per_partition, fail_after_staging) -> EraseReport:
     parts_df = _request_parts(req, part, part)
@@ -425,6 +511,12 @@ def _erase_table(spark, table, main, req, key, part, state, marker, swap, broadc
                            skipped=True)
 
     listed = parts is not None
+    if swap == "files" and listed:
+        report = _erase_files(spark, table, main, key, part, state, marker, parts, few, keys,
+                              small, hot_rows, fail_after_staging)
+        if report is not None:
+            return report
+        swap = "relocate"                      # too many affected files: whole partitions
     mode = swap if listed else "copy"
     run_id = uuid.uuid4().hex[:12]
     staging = (f"{_location(spark, table).rstrip('/')}/_erase_{run_id}" if mode == "relocate"

@@ -224,6 +224,14 @@ def q_erase_records(spark, sf):
     return S.read_table(spark, name).select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
+def q_erase_files(spark, sf):
+    """The same erase at file granularity: only data files holding a
+    requested key are rewritten."""
+    name = orders_by_priority(spark, sf, private=True)
+    O.erase_records(spark, name, erase_requests(spark, sf), key="o_orderkey", swap="files")
+    return S.read_table(spark, name).select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
 def q_erase_path(spark, sf):
     """The same erase on a partitioned file dataset (no catalog)."""
     src = table(spark, sf, "orders")
@@ -415,6 +423,7 @@ QUERIES = {
     "erase_view": q_erase_view,
     "erase_records": q_erase_records,
     "erase_empties_partition": q_erase_empties_partition,
+    "erase_files": q_erase_files,
     "erase_path": q_erase_path,
     "scan_partition_dirs": q_scan_partition_dirs,
     "group_sum": q_group_sum,

@@ -36,7 +36,7 @@ def names(spark, table):
     return sorted(r.name for r in spark.table(table).collect())
 
 
-@pytest.mark.parametrize("swap", ["relocate", "copy"])
+@pytest.mark.parametrize("swap", ["relocate", "copy", "files"])
 def test_golden_two_requests(spark, swap):
     t = make_table(spark)
     r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950")])
@@ -47,7 +47,7 @@ def test_golden_two_requests(spark, swap):
     assert sorted(rep.partitions) == ["1950", "1960"]
 
 
-@pytest.mark.parametrize("swap", ["relocate", "copy"])
+@pytest.mark.parametrize("swap", ["relocate", "copy", "files"])
 def test_untouched_partitions_keep_files(spark, swap):
     t = make_table(spark)
     loc = spark.sql(f"DESCRIBE FORMATTED {t}").where("col_name = 'Location'").first()[1]
@@ -60,11 +60,11 @@ def test_untouched_partitions_keep_files(spark, swap):
     E.erase_records(spark, t, reqs(spark, [(30234324, "Andy", "1960")]), key="nin", swap=swap)
     assert {p: files(p) for p in ("1940", "1945")} == before
     # the erased row's old files are gone from storage, not just from the catalog
-    assert not fsutil.exists(spark, f"{loc}/dob=1960") or swap == "copy"
+    assert not fsutil.exists(spark, f"{loc}/dob=1960") or swap != "relocate"
 
 
 @pytest.mark.parametrize("external", [False, True])
-@pytest.mark.parametrize("swap", ["relocate", "copy"])
+@pytest.mark.parametrize("swap", ["relocate", "copy", "files"])
 def test_emptied_partition_is_dropped(spark, external, swap):
     t = make_table(spark, external=external)
     r = reqs(spark, [(30234328, "Rose", "1945"), (32234328, "Terry", "1945"),
@@ -119,7 +119,7 @@ def test_rerun_is_noop(spark):
     assert rep.erased_rows == 0 and spark.table(t).count() == 11
 
 
-@pytest.mark.parametrize("swap", ["relocate", "copy"])
+@pytest.mark.parametrize("swap", ["relocate", "copy", "files"])
 def test_crash_after_staging_resumes(spark, swap):
     t = make_table(spark)
     r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950")])
@@ -198,13 +198,14 @@ def test_key_paths_agree(spark, key_literals):
 
 
 @pytest.mark.parametrize("external", [False, True])
-def test_erased_rows_leave_storage(spark, external):
+@pytest.mark.parametrize("swap", ["relocate", "files"])
+def test_erased_rows_leave_storage(spark, external, swap):
     """After relocations and an emptied partition, no file under the table
     location still holds an erased record."""
     t = make_table(spark, external=external)
-    E.erase_records(spark, t, reqs(spark, [(30234324, "Andy", "1960")]), key="nin")
+    E.erase_records(spark, t, reqs(spark, [(30234324, "Andy", "1960")]), key="nin", swap=swap)
     E.erase_records(spark, t, reqs(spark, [(30231324, "Peter", "1960"),
-                                           (30234323, "Peter", "1950")]), key="nin")
+                                           (30234323, "Peter", "1950")]), key="nin", swap=swap)
     import os
 
     import pyarrow.parquet as pq
@@ -217,3 +218,22 @@ def test_erased_rows_leave_storage(spark, external):
                 left += pq.read_table(os.path.join(folder, f), columns=["nin"])["nin"].to_pylist()
     assert not set(left) & {30234324, 30231324, 30234323}
     assert len(left) == 9 and spark.table(t).count() == 9
+
+
+def test_files_mode_rewrites_only_affected_files(spark):
+    """Partition 1940 has several files; only the one holding the key changes."""
+    rows = [(i, f"n{i}", "1940") for i in range(40)]
+    db_t = make_table(spark, rows)
+    loc = spark.sql(f"DESCRIBE FORMATTED {db_t}").where("col_name = 'Location'").first()[1]
+
+    def names():
+        fs, p = fsutil._fs(spark, f"{loc}/dob=1940")
+        return {s.getPath().getName() for s in fs.listStatus(p)
+                if s.getPath().getName().endswith(".parquet")}
+
+    before = names()
+    rep = E.erase_records(spark, db_t, reqs(spark, [(7, "n7", "1940")]), key="nin", swap="files")
+    after = names()
+    assert rep.erased_rows == 1 and rep.touched_rows == 40 and spark.table(db_t).count() == 39
+    assert len(before) > 1
+    assert len(before - after) == 1 and len(after - before) <= 1
