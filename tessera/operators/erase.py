@@ -25,6 +25,10 @@ rewritten, untouched partitions keep their files:
    * ``copy``: staging lives under the checkpoint dir and is copied back by a
      dynamic partition overwrite; the table keeps the standard folder layout
      (use it when the table is also read by path, which skips hidden folders).
+   * ``files``: only the data files holding a requested key are rewritten;
+     their survivors are renamed into the partition folders, then the old
+     files are deleted (not atomic for concurrent readers; see
+     ``_erase_files``).
    Touched partitions left with no row are emptied and dropped.
 5. the touched partitions are recounted; only then the marker goes.
 

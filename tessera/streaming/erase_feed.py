@@ -23,8 +23,10 @@ def start_erase_feed(spark: SparkSession, table: str, request_path: str,
                      fmt: str = "json", req_key: str | None = None,
                      req_part: str | None = None, checkpoint: str | None = None,
                      available_now: bool = True, reports: list | None = None,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the feed; with ``available_now`` it drains what is there and stops."""
+                     max_files_per_trigger: int | None = None,
+                     **erase_options) -> StreamingQuery:
+    """Start the feed; with ``available_now`` it drains what is there and stops.
+    ``erase_options`` go to ``erase_records`` (``swap=``, ``files_per_partition=`` ...)."""
     reader = spark.readStream.schema(request_schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -32,7 +34,7 @@ def start_erase_feed(spark: SparkSession, table: str, request_path: str,
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rep = erase_records(batch.sparkSession, table, batch, key,
-                            req_key=req_key, req_part=req_part)
+                            req_key=req_key, req_part=req_part, **erase_options)
         spark.catalog.refreshTable(table)   # the stream runs in a cloned session
         if reports is not None:
             reports.append((batch_id, rep))

@@ -25,7 +25,8 @@ def test_feed_applies_each_batch_once(spark):
     q.awaitTermination(120)
     assert spark.table(t).count() == 11
     _drop(inbox, "b.json", [{"nin": 30234323, "name": "Peter", "dob": "1950"}])
-    q = start_erase_feed(spark, t, inbox, schema, "nin", checkpoint=ckpt, reports=reports)
+    q = start_erase_feed(spark, t, inbox, schema, "nin", checkpoint=ckpt, reports=reports,
+                         swap="files")
     q.awaitTermination(120)
     assert spark.table(t).count() == 10
     assert [r.erased_rows for _, r in reports] == [1, 1]   # file a was not replayed
