@@ -60,7 +60,7 @@ from tessera.operators.joins import (
 )
 from tessera.session import stable_root
 from tessera.sinks.writers import cluster_for_write, insert_overwrite_partitions
-from tessera.sources.catalog import partition_columns, partition_values
+from tessera.sources.catalog import describe, partition_columns, partition_values
 
 
 @contextlib.contextmanager
@@ -197,19 +197,15 @@ def _read_marker(spark: SparkSession, path: str) -> dict | None:
 
 
 def _table_type(spark: SparkSession, table: str) -> str:
-    try:
-        return (spark.catalog.getTable(table).tableType or "").upper()
-    except Exception:  # noqa: BLE001 - a temp view or path table: treat as external
-        return "EXTERNAL"
+    return describe(spark, table)["type"] or "EXTERNAL"
 
 
 def _location(spark: SparkSession, table: str, spec: str | None = None) -> str:
     """Storage location of a table or of one partition (catalog lookup)."""
-    stmt = f"DESCRIBE FORMATTED {quote_ident(table)}" + (f" {spec}" if spec else "")
-    row = spark.sql(stmt).where(F.col("col_name") == "Location").first()
-    if row is None:
+    loc = describe(spark, table, spec)["location"]
+    if loc is None:
         raise RuntimeError(f"no location for {table} {spec or ''}")
-    return row[1]
+    return loc
 
 
 def _spec(part: str, value) -> str:

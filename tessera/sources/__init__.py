@@ -5,12 +5,12 @@ from tessera.sources.files import (
 )
 from tessera.sources.catalog import (
     read_table, read_partitions, list_partitions, partition_values, table_schema,
-    partition_columns,
+    partition_columns, describe,
 )
 from tessera.sources.jdbc import read_jdbc
 
 __all__ = [
     "read_csv", "read_parquet", "read_json", "read_files", "read_partition_dirs", "list_partition_dirs",
     "read_table", "read_partitions", "list_partitions", "partition_values",
-    "table_schema", "partition_columns", "read_jdbc",
+    "table_schema", "partition_columns", "describe", "read_jdbc",
 ]

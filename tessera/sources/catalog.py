@@ -20,9 +20,39 @@ def table_schema(spark: SparkSession, name: str) -> StructType:
     return spark.table(name).schema
 
 
+def describe(spark: SparkSession, name: str, partition_spec: str | None = None) -> dict:
+    """Catalog facts of a table (or of one partition) from ``DESCRIBE
+    FORMATTED``: ``partition_columns``, ``location``, ``type``.  The command
+    answers from the catalog on the driver; collecting it starts no job."""
+    stmt = f"DESCRIBE FORMATTED {quote_ident(name)}"
+    if partition_spec:
+        stmt += f" {partition_spec}"
+    rows = [tuple(r) for r in spark.sql(stmt).collect()]
+    info = {"partition_columns": [], "location": None, "type": None}
+    section = None
+    for col, value, _ in rows:
+        col = (col or "").strip()
+        if col == "# Partition Information":
+            section = "parts"
+            continue
+        if col.startswith("# "):
+            if col != "# col_name":
+                section = None
+            continue
+        if not col:
+            section = None
+            continue
+        if section == "parts":
+            info["partition_columns"].append(col)
+        elif col == "Location" and info["location"] is None:
+            info["location"] = value           # the partition's own comes first
+        elif col == "Type":
+            info["type"] = (value or "").upper()
+    return info
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    cols = spark.catalog.listColumns(name)
-    return [c.name for c in cols if c.isPartition]
+    return describe(spark, name)["partition_columns"]
 
 
 def list_partitions(spark: SparkSession, name: str) -> DataFrame:

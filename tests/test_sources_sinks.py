@@ -116,3 +116,13 @@ def test_list_partition_dirs(spark, orders):
     names = [r.partition_name for r in S.list_partition_dirs(spark, path, "o_orderpriority").collect()]
     assert names == sorted(f"o_orderpriority={p}" for p in
                            ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
+
+
+def test_describe_table_and_partition(spark, orders):
+    name = f"{scratch_database(spark)}.{unique_name('d')}"
+    K.write_table(orders, name, partition_by="o_orderpriority")
+    t = S.describe(spark, name)
+    assert t["partition_columns"] == ["o_orderpriority"] and t["type"] == "MANAGED"
+    p = S.describe(spark, name, "PARTITION (o_orderpriority = '2-HIGH')")
+    assert p["location"].endswith("/o_orderpriority=2-HIGH")
+    assert p["location"].startswith(t["location"])
