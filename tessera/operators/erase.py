@@ -56,7 +56,8 @@ from pyspark.sql.types import StructType
 from tessera import fsutil
 from tessera.functions.naming import quote_ident, sql_literal
 from tessera.operators.joins import (
-    DEFAULT_BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, size_checked, skew_join,
+    DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, measure,
+    skew_join,
 )
 from tessera.session import stable_root
 from tessera.sinks.writers import cluster_for_write, insert_overwrite_partitions
@@ -87,6 +88,21 @@ def _request_keys(requests: DataFrame, req_key: str, key: str) -> DataFrame:
             .where(F.col(key).isNotNull()).distinct())
 
 
+def _plan_keys(keys_df: DataFrame, key: str, key_literals: int,
+               broadcast_rows: int) -> tuple[DataFrame, int, bool, list | None]:
+    """How the requested keys meet the table, decided by one measuring job:
+    ``(keys, count, broadcast?, literal list or None)``.  At most
+    ``key_literals`` keys become a literal ``IN`` list (collected only when
+    the count proves it short); otherwise a join side, broadcast only when
+    proven small in rows and bytes."""
+    n, nbytes = measure(keys_df)
+    if n <= key_literals:
+        few = sorted(r[0] for r in keys_df.collect()) if n else []
+        return keys_df, n, True, few
+    small = n <= broadcast_rows and nbytes <= DEFAULT_BROADCAST_BYTES
+    return (F.broadcast(keys_df) if small else keys_df), n, small, None
+
+
 def _split_touched(main: DataFrame, parts_df: DataFrame, part: str) -> tuple[DataFrame, DataFrame]:
     """(touched, untouched) rows of ``main`` for the requested partitions.
 
@@ -118,11 +134,10 @@ def locate_records(main: DataFrame, requests: DataFrame, key: str, part: str,
     filter for a short key list, else a semi join (broadcast when the key
     set is proven small, else a hot-key-salted shuffle join)."""
     touched, _ = _split_touched(main, _request_parts(requests, req_part or part, part), part)
-    keys_df = _request_keys(requests, req_key or key, key)
-    few = partition_values(keys_df, key, key_literals)
+    keys, _, small, few = _plan_keys(_request_keys(requests, req_key or key, key), key,
+                                     key_literals, broadcast_rows)
     if few is not None:
         return touched.where(F.col(key).isin(few) if few else F.lit(False))
-    keys, _, small = size_checked(keys_df, broadcast_rows)
     if small:
         return touched.join(keys, key, "left_semi").select(*main.columns)
     return skew_join(touched, keys, key, "left_semi", hot_rows)
@@ -136,12 +151,11 @@ def erase_view(main: DataFrame, requests: DataFrame, key: str, part: str,
     through with no join at all; only touched partitions meet the key set."""
     touched, untouched = _split_touched(main, _request_parts(requests, req_part or part, part),
                                         part)
-    keys_df = _request_keys(requests, req_key or key, key)
-    few = partition_values(keys_df, key, key_literals)
+    keys, _, small, few = _plan_keys(_request_keys(requests, req_key or key, key), key,
+                                     key_literals, broadcast_rows)
     if few is not None:
         kept = touched.where(~F.col(key).isin(few) | F.col(key).isNull()) if few else touched
         return untouched.unionByName(kept)
-    keys, _, small = size_checked(keys_df, broadcast_rows)
     if small:
         kept = touched.join(keys, key, "left_anti").select(*main.columns)
     else:
@@ -502,10 +516,8 @@ def _erase_table(spark, table, main, req, key, part, state, marker, swap, broadc
     parts = partition_values(parts_df, part)
     if parts == []:
         return EraseReport(table, [], skipped=True)
-    keys_df = _request_keys(req, key, key)
-    few = partition_values(keys_df, key, key_literals)
-    keys, n_keys, small = (keys_df, len(few), True) if few is not None else \
-        size_checked(keys_df, broadcast_rows)
+    keys, n_keys, small, few = _plan_keys(_request_keys(req, key, key), key, key_literals,
+                                          broadcast_rows)
     if n_keys == 0:
         return EraseReport(table, None if parts is None else [str(p) for p in parts],
                            skipped=True)
@@ -629,10 +641,8 @@ def _erase_path(spark, path, main, req, key, part, state, marker, fmt, broadcast
     parts = partition_values(parts_df, part)
     if parts == []:
         return EraseReport(path, [], skipped=True)
-    keys_df = _request_keys(req, key, key)
-    few = partition_values(keys_df, key, key_literals)
-    keys, n_keys, small = (keys_df, len(few), True) if few is not None else \
-        size_checked(keys_df, broadcast_rows)
+    keys, n_keys, small, few = _plan_keys(_request_keys(req, key, key), key, key_literals,
+                                          broadcast_rows)
     if n_keys == 0:
         return EraseReport(path, None if parts is None else [str(p) for p in parts], skipped=True)
 
