@@ -104,9 +104,8 @@ def join_inner_using(left: DataFrame, right: DataFrame, field: str,
         right = right.select(*[F.col(c).alias(right_prefix + c if c in clash else c)
                                for c in right.columns])
     if hot_rows:
-        out = skew_join(left, right, field, "inner", hot_rows)
-        rest = [c for c in out.columns if c != field]
-        return out.select(field, *rest)
+        # a USING join on (field, salt): field first, then left, then right
+        return skew_join(left, right, field, "inner", hot_rows)
     return left.join(right, field, "inner")
 
 

@@ -71,6 +71,30 @@ ERASE_LEFT = (
 
 PARTITIONED_ORDERS = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders"
 
+RECORD_COLS = ["NIN", "NAME", "BENEFITS", "ADDRESS", "BALANCE", "ACC_NAME", "CODE",
+               "PARTITIONER", "DATE"]
+
+
+def _flow_inputs() -> str:
+    """DuckDB CTEs: ``rec`` (records per order key), ``base`` (BENEFITS + 1)
+    and ``other`` (the 10 % md5 split of ``rec`` on NIN)."""
+    return (f"rec AS ({generate_records_sql('o_orderkey', 'orders')}), "
+            "base AS (SELECT NIN, NAME, BENEFITS + 1 AS BENEFITS, ADDRESS, BALANCE, ACC_NAME, "
+            "CODE, PARTITIONER, DATE FROM rec), "
+            "other AS (SELECT NIN, NAME, BENEFITS, ADDRESS, BALANCE, ACC_NAME, CODE, "
+            "PARTITIONER, DATE FROM rec WHERE ('0x' || substr(md5(concat('42:', NIN)), 1, 8))"
+            "::bigint % 10000 < 1000)")
+
+
+def _flow_join_sql() -> str:
+    from tessera.plans.flow import JOIN_NAMES
+    left = ["b.ADDRESS"] + [f"b.{c}" for c in RECORD_COLS if c != "ADDRESS"]
+    right = [f"o.{c}" for c in RECORD_COLS if c != "ADDRESS"]
+    cols = ", ".join(f'{e} AS "{n}"' for e, n in zip(left + right, JOIN_NAMES))
+    return (f"WITH {_flow_inputs()} SELECT {cols} FROM base b JOIN other o "
+            "ON b.ADDRESS = o.ADDRESS")
+
+
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": "SELECT * FROM orders",
     "scan_table": "SELECT * FROM orders",
@@ -151,6 +175,15 @@ ORACLE_SQL: dict[str, str] = {
     "stage_flow":
         "SELECT o_orderpriority, CAST(sum(CAST(o_totalprice + 1 AS decimal(18,2))) AS double) "
         "AS sum_price FROM orders GROUP BY o_orderpriority",
+    "flow_group_nin":
+        f'WITH {_flow_inputs()} SELECT NIN, sum(BENEFITS) AS "sum(BENEFITS)" FROM base '
+        "GROUP BY NIN",
+    "flow_join_address": _flow_join_sql(),
+    "flow_cube_partitioner":
+        f"WITH {_flow_inputs()} SELECT PARTITIONER, ADDRESS, "
+        "CAST(grouping(PARTITIONER) * 2 + grouping(ADDRESS) AS bigint) AS gid, "
+        'round(avg(BENEFITS), 6) AS "avg(BENEFITS)", max(BALANCE) AS "max(BALANCE)" '
+        "FROM base GROUP BY CUBE (PARTITIONER, ADDRESS)",
     "sql_text":
         "SELECT n.n_name, count(*) AS n FROM customer c JOIN nation n "
         "ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name HAVING count(*) > 1",

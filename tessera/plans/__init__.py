@@ -1,7 +1,9 @@
 """Composite jobs: stage flows, workloads (read, ingest, I/O, SQL text) and
 run/stage metrics computed as Spark jobs."""
 
-from tessera.plans.flow import Step, FlowSpec, FlowResult, parse_flow, run_flow, step_frame
+from tessera.plans.flow import (
+    JOIN_NAMES, Step, FlowSpec, FlowResult, parse_flow, run_flow, step_frame,
+)
 from tessera.plans.workloads import (
     read_workload, ingest, jdbc_ingest, io_files, run_sql, run_sql_file, sql_to_file,
     timed_noop,
@@ -15,7 +17,7 @@ from tessera.plans.metrics import (
 )
 
 __all__ = [
-    "Step", "FlowSpec", "FlowResult", "parse_flow", "run_flow", "step_frame",
+    "JOIN_NAMES", "Step", "FlowSpec", "FlowResult", "parse_flow", "run_flow", "step_frame",
     "read_workload", "ingest", "jdbc_ingest", "io_files", "run_sql", "run_sql_file", "sql_to_file",
     "timed_noop", "SAMPLE_SCHEMA", "EVENT_LOG_SCHEMA", "run_summary", "stage_metrics",
     "stage_metrics_frame", "job_group_metrics", "StorageConfig", "SplitConfig", "store", "generate_job",

@@ -24,6 +24,12 @@ from tessera.operators.stages import cube_avg_max, group_sum, join_inner_using,
 
 STEP_NAMES = ("GROUP", "JOIN", "CUBE", "WRITE")
 
+# The 17 column names the original JOIN stage gives the joined
+# records (9 + 9 columns, one shared key), in order and spelling.
+JOIN_NAMES = ("newCol1", "newCol2", "newCol3", "newCol4", "newCol5", "newCol6", "newCol7",
+              "newCol8", "newCol9", "newCol10", "newCol11", "newCol12", "newCol13", "newCol14",
+              "newCol15", "newcol16", "newcol17")
+
 
 @dc.dataclass(frozen=True)
 class Step:
@@ -43,6 +49,7 @@ class FlowSpec:
     right_prefix: str | None = "r_"    # JOIN: prefix clashing right columns
     join_names: tuple[str, ...] | None = None   # JOIN: optional positional rename
     hot_rows: int | None = HOT_ROWS    # JOIN: split keys with more rows over several tasks
+    avg_digits: int | None = None      # CUBE: round the average (order-free comparisons)
 
 
 @dc.dataclass
@@ -76,7 +83,8 @@ def step_frame(step: Step, base: DataFrame, other: DataFrame | None, spec: FlowS
         out = join_inner_using(base, other, step.field, spec.right_prefix, spec.hot_rows)
         return rename_columns(out, spec.join_names) if spec.join_names else out
     if step.name == "CUBE":
-        return cube_avg_max(base, step.field, spec.second_col, spec.value_col, spec.max_col)
+        return cube_avg_max(base, step.field, spec.second_col, spec.value_col, spec.max_col,
+                            avg_digits=spec.avg_digits)
     raise ValueError(step.name)
 
 

@@ -345,6 +345,34 @@ def q_stage_flow(spark, sf):
     return S.read_parquet(spark, out)
 
 
+def flow_inputs(spark, sf):
+    """The stage flow's two inputs in the original record schema, derived
+    from the data: one generated record per order key, BENEFITS + 1 on the
+    first input; the second input is the 10 % hash split of the first's
+    records (the splitter's output), unchanged."""
+    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    records = O.records_for_ids(ids, "id", GeneratorConfig(seed=42))
+    _, sample = O.split_by_hash(records, "NIN", 0.1, seed=42)
+    return O.add_one(records, "BENEFITS"), sample
+
+
+def q_flow_group_nin(spark, sf):
+    base, other = flow_inputs(spark, sf)
+    return P.run_flow(base, other, "GROUP:NIN", execute=False).last
+
+
+def q_flow_join_address(spark, sf):
+    base, other = flow_inputs(spark, sf)
+    spec = P.FlowSpec(join_names=P.JOIN_NAMES, right_prefix=None)
+    return P.run_flow(base, other, "JOIN:ADDRESS", spec=spec, execute=False).last
+
+
+def q_flow_cube_partitioner(spark, sf):
+    base, other = flow_inputs(spark, sf)
+    spec = P.FlowSpec(avg_digits=6)
+    return P.run_flow(base, other, "CUBE:PARTITIONER", spec=spec, execute=False).last
+
+
 SQL_TEXT = ("SELECT n.n_name, count(*) AS n FROM customer c JOIN nation n "
             "ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name HAVING count(*) > :min_n;")
 
@@ -438,6 +466,9 @@ QUERIES = {
     "generate_table": q_generate_table,
     "split_table": q_split_table,
     "stage_flow": q_stage_flow,
+    "flow_group_nin": q_flow_group_nin,
+    "flow_join_address": q_flow_join_address,
+    "flow_cube_partitioner": q_flow_cube_partitioner,
     "sql_text": q_sql_text,
     "ingest": q_ingest,
     "run_summary": q_run_summary,
