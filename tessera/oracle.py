@@ -175,6 +175,12 @@ ORACLE_SQL: dict[str, str] = {
     "stage_flow":
         "SELECT o_orderpriority, CAST(sum(CAST(o_totalprice + 1 AS decimal(18,2))) AS double) "
         "AS sum_price FROM orders GROUP BY o_orderpriority",
+    "erase_generated":
+        f"WITH rec AS ({generate_records_sql('o_orderkey', 'orders')}), "
+        "req AS (SELECT NIN, PARTITIONER FROM rec WHERE PARTITIONER = '11' "
+        "ORDER BY NIN LIMIT 2) "
+        "SELECT NIN, BENEFITS, CODE, PARTITIONER FROM rec WHERE NOT (PARTITIONER IN "
+        "(SELECT PARTITIONER FROM req) AND NIN IN (SELECT NIN FROM req))",
     "flow_group_nin":
         f'WITH {_flow_inputs()} SELECT NIN, sum(BENEFITS) AS "sum(BENEFITS)" FROM base '
         "GROUP BY NIN",

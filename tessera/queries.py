@@ -232,6 +232,22 @@ def q_erase_files(spark, sf):
     return S.read_table(spark, name).select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
+def q_erase_generated(spark, sf):
+    """The original end-to-end scenario: generated records (one per order
+    key) stored as a table partitioned by PARTITIONER; the splitter's
+    fixed-count mode takes 2 records of partition '11' as the requests; the
+    erase removes them."""
+    name = f"{scratch_database(spark)}.{unique_name('mainpii')}"
+    ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    P.generate_job(spark, GeneratorConfig(seed=42),
+                   P.StorageConfig(storage="db", table=name, partitioned=True,
+                                   partition_by="PARTITIONER"), ids=ids)
+    _, requests, _ = P.split_job(S.read_table(spark, name),
+                                 P.SplitConfig(record_number=2, partition_value="11"), "NIN")
+    O.erase_records(spark, name, requests.select("NIN", "PARTITIONER"), key="NIN")
+    return S.read_table(spark, name).select("NIN", "BENEFITS", "CODE", "PARTITIONER")
+
+
 def q_erase_path(spark, sf):
     """The same erase on a partitioned file dataset (no catalog)."""
     src = table(spark, sf, "orders")
@@ -452,6 +468,7 @@ QUERIES = {
     "erase_records": q_erase_records,
     "erase_empties_partition": q_erase_empties_partition,
     "erase_files": q_erase_files,
+    "erase_generated": q_erase_generated,
     "erase_path": q_erase_path,
     "scan_partition_dirs": q_scan_partition_dirs,
     "group_sum": q_group_sum,
