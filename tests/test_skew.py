@@ -62,3 +62,14 @@ def test_join_inner_with_hot_rows(spark, sides):
     assert a.select(*b.columns).exceptAll(b).count() == 0 and a.count() == b.count()
     u = join_inner_using(big, other, "k", hot_rows=1000)
     assert u.columns == big.join(other, "k").columns
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_many_to_many_same_answer(spark, sides, how):
+    big, _ = sides
+    # the other side holds 3 rows for the hot key 0 and 2 for some others
+    other = spark.createDataFrame([(0, 1), (0, 2), (0, 3), (5, 1), (5, 2), (8, 9)],
+                                  "k long, w long")
+    plain = big.join(other, "k", how)
+    salted = skew_join(big, other, "k", how, hot_rows=1000).select(*plain.columns)
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
