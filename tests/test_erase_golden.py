@@ -237,3 +237,17 @@ def test_files_mode_rewrites_only_affected_files(spark):
     assert rep.erased_rows == 1 and rep.touched_rows == 40 and spark.table(db_t).count() == 39
     assert len(before) > 1
     assert len(before - after) == 1 and len(after - before) <= 1
+
+
+@pytest.mark.parametrize("swap", ["relocate", "copy", "files"])
+def test_int_partition_column(spark, swap):
+    db = scratch_database(spark)
+    t = f"{db}.{unique_name('ints')}"
+    rows = [(n, name, int(dob)) for n, name, dob in CITIZENS]
+    (spark.createDataFrame(rows, "nin bigint, name string, dob int").write
+     .partitionBy("dob").saveAsTable(t))
+    r = spark.createDataFrame([(30234324, 1960), (30234328, 1945), (32234328, 1945)],
+                              "nin bigint, dob int")
+    rep = E.erase_records(spark, t, r, key="nin", swap=swap)
+    assert rep.emptied == ["1945"] and spark.table(t).count() == 9
+    assert dict(spark.table(t).dtypes)["dob"] == "int"
