@@ -96,3 +96,37 @@ def scratch_database(spark: SparkSession) -> str:
         location = as_uri(root + "/warehouse/" + name)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
     return name
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the given inputs, from the file system's content summary
+    (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            total += int(fs.getContentSummary(p).getLength())
+    return total
+
+
+def recommended_conf(total_input_bytes: int, cores: int,
+                     partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings sized for an input of ``total_input_bytes`` on
+    ``cores`` executor cores: scan splits and shuffle partitions of about
+    ``partition_bytes`` (so a task's share fits in executor memory without
+    spilling), never fewer tasks than cores, AQE coalescing and skew splitting
+    on, and a broadcast limit that stays far below a task's memory."""
+    parts = max(cores, -(-total_input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+    }
