@@ -65,7 +65,12 @@ def from_properties(cls, props: dict[str, str], keys: dict[str, str]):
 
 @dc.dataclass(frozen=True)
 class GeneratorConfig:
-    """Shape of the generated records (the 9-column main schema)."""
+    """Shape of the generated records (the 9-column main schema).
+
+    Fixed values: the defaults below (counts 5, 2, 5, 3, 2; text lengths 12
+    and 30; code range 500; 20 partitions; dates 2018-01-01 to 2020-01-01)
+    are those of the original generator's configuration.  The seed is ours.
+    """
 
     seed: int = 42
     initial_count: int = 5        # c1
