@@ -92,6 +92,7 @@ class GeneratorConfig:
 
     @classmethod
     def from_properties(cls, props: dict[str, str]) -> "GeneratorConfig":
+        # The property keys of the original generator config.
         cfg = from_properties(cls, props, {
             "initial_count": "initial.record.count1",
             "inner_iterations1": "inner.iterations1",

@@ -33,6 +33,7 @@ class StorageConfig:
     @classmethod
     def from_properties(cls, props: dict[str, str], path_key: str = "file.name",
                         db_key: str = "db.name", table_key: str = "table.name") -> "StorageConfig":
+        # The property keys of the original job configs.
         cfg = from_properties(cls, props, {
             "storage": "storage", "format": "format", "path": path_key,
             "partitioned": "partitioned", "partition_by": "partition.field.name"})
@@ -81,6 +82,7 @@ class SplitConfig:
 
     @classmethod
     def from_properties(cls, props: dict[str, str]) -> "SplitConfig":
+        # The property keys of the original splitter config.
         return from_properties(cls, props, {
             "ratio": "split.ratio", "record_number": "split.record.number",
             "partition_value": "split.partitioner.number",
