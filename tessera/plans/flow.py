@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from tessera.operators.joins import HOT_ROWS
 from tessera.operators.stages import cube_avg_max, group_sum, join_inner_using, rename_columns
 
+# The step names of the original flow text.
 STEP_NAMES = ("GROUP", "JOIN", "CUBE", "WRITE")
 
 # The 17 column names the original JOIN stage gives the joined
