@@ -573,7 +573,25 @@ def _partition_folders(spark: SparkSession, path: str, part: str) -> dict[str, s
     return out
 
 
+def _swap_path_files(spark: SparkSession, path: str, part: str, plan: dict) -> None:
+    """Moves, then deletes (each skipped when already done); a touched
+    partition folder left without a data file is removed."""
+    for src, dst in plan["moves"]:
+        if fsutil.exists(spark, src) and not fsutil.exists(spark, dst):
+            fsutil.rename(spark, src, dst)
+    for uri in plan["deletes"]:
+        fsutil.delete_uri(spark, uri)
+    folders = _partition_folders(spark, path, part)
+    plan["emptied"] = sorted(v for v in plan["partitions"]
+                             if v in folders and not fsutil.list_files(spark, folders[v]))
+    for value in plan["emptied"]:
+        fsutil.delete(spark, folders[value])
+
+
 def _swap_path(spark: SparkSession, path: str, part: str, plan: dict) -> None:
+    if plan["mode"] == "files":
+        _swap_path_files(spark, path, part, plan)
+        return
     schema = StructType.fromJson(json.loads(plan["schema"]))
     if plan["kept_rows"] > 0:
         staged = spark.read.schema(schema).parquet(plan["staging"])
@@ -602,14 +620,17 @@ def _verify_path(spark: SparkSession, path: str, part: str, plan: dict,
 def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key: str,
                        part: str, req_key: str | None = None, req_part: str | None = None, *,
                        schema: StructType | None = None, fmt: str = "parquet",
+                       swap: str = "copy",
                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
                        key_literals: int = MAX_KEY_LITERALS,
                        files_per_partition: int | None = None,
                        fail_after_staging: bool = False) -> EraseReport:
     """``erase_records`` for a partitioned file dataset without a catalog.
 
-    Same meaning and staging; the swap is a dynamic partition overwrite of
-    the path from staging, and emptied partitions' folders are deleted.
+    Same meaning and staging; swap ``copy`` is a dynamic partition overwrite
+    of the path from staging, swap ``files`` (Parquet only) rewrites just the
+    files holding a requested key (see ``_erase_files``); emptied partitions'
+    folders are deleted.
     Pass ``schema`` (with ``part`` in it) to keep the partition column's
     type: folder names are otherwise re-inferred (``'007'`` would become 7).
     """
@@ -620,6 +641,8 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
     if plan is not None:
         _swap_path(spark, path, part, plan)
         _verify_path(spark, path, part, plan)
+        if plan["mode"] == "files":
+            fsutil.delete(spark, plan["staging"])
         fsutil.delete(spark, state)
         return EraseReport(path, plan["partitions"], plan["touched_rows"], plan["erased_rows"],
                            plan["kept_rows"], plan["emptied"], resumed=True)
@@ -630,11 +653,71 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
     if part not in main.columns:
         raise ValueError(f"{part} is not a column of {path}")
     with _requests_once(requests, key, part, req_key, req_part) as req:
+        if swap == "files" and fmt == "parquet":
+            report = _erase_path_files(spark, path, main, req, key, part, state, marker,
+                                       broadcast_rows, hot_rows, key_literals,
+                                       fail_after_staging)
+            if report is not None:
+                return report
         return _erase_path(spark, path, main, req, key, part, state, marker, fmt,
                            broadcast_rows, hot_rows, key_literals, files_per_partition,
                            fail_after_staging)
 
 
+def _erase_path_files(spark, path, main, req, key, part, state, marker, broadcast_rows,
+                      hot_rows, key_literals, fail_after_staging) -> EraseReport | None:
+    parts = partition_values(_request_parts(req, part, part), part)
+    if not parts:                              # none, or too many to list: copy path decides
+        return None
+    keys, n_keys, small, few = _plan_keys(_request_keys(req, key, key), key, key_literals,
+                                          broadcast_rows)
+    if n_keys == 0:
+        return None
+    run_id = uuid.uuid4().hex[:12]
+    plan = {"run": run_id, "mode": "files", "format": "parquet",
+            "schema": main.schema.json(), "partitions": [str(p) for p in parts],
+            "staging": f"{path.rstrip('/')}/_erase_{run_id}", "parts_path": None}
+    touched = _filter_touched(spark, main, part, plan)
+    with_file = touched.withColumn("__file", F.col("_metadata.file_path"))
+    if few is not None:
+        hits = with_file.where(F.col(key).isin(few))
+    elif small:
+        hits = with_file.join(keys, key, "left_semi")
+    else:
+        hits = skew_join(with_file, keys, key, "left_semi", hot_rows)
+    files = partition_values(hits.select("__file"), "__file", MAX_AFFECTED_FILES)
+    if files is None:
+        return None
+    if not files:
+        return EraseReport(path, plan["partitions"], skipped=True)
+    before_rows = touched.count()
+    affected = with_file.where(F.col("__file").isin(files)).drop("__file")
+    counts = _stage_survivors(affected, main.columns, keys, small, key, part, plan["staging"],
+                              True, hot_rows, None, few)
+    _check_staging(spark, main.schema, plan["staging"], counts, path)
+    moves = []
+    for folder in fsutil.list_dirs(spark, plan["staging"]):
+        name = folder.rstrip("/").rsplit("/", 1)[-1]
+        if fsutil.partition_dir_value(folder, part) is None:
+            continue
+        for src in fsutil.list_files(spark, folder):
+            moves.append([src, f"{path.rstrip('/')}/{name}/erase-{run_id}-"
+                               f"{src.rsplit('/', 1)[-1]}"])
+    plan.update(touched_rows=before_rows, erased_rows=counts["erased_rows"],
+                kept_rows=before_rows - counts["erased_rows"], moves=moves, deletes=files,
+                emptied=[])
+    _write_marker(spark, marker, plan)
+    if fail_after_staging:
+        raise RuntimeError("stopped after staging (test hook)")
+    before = set(_partition_folders(spark, path, part))
+    _swap_path(spark, path, part, plan)
+    _verify_path(spark, path, part, plan, before)
+    fsutil.delete(spark, plan["staging"])
+    fsutil.delete(spark, state)
+    return EraseReport(path, plan["partitions"], before_rows, counts["erased_rows"],
+                       plan["kept_rows"], plan["emptied"])
+
+
 def _erase_path(spark, path, main, req, key, part, state, marker, fmt, broadcast_rows,
                 hot_rows, key_literals, files_per_partition, fail_after_staging) -> EraseReport:
     parts_df = _request_parts(req, part, part)

@@ -140,6 +140,7 @@ ORACLE_SQL: dict[str, str] = {
     "erase_view": ERASE_LEFT,
     "erase_records": ERASE_LEFT,
     "erase_path": ERASE_LEFT,
+    "erase_path_files": ERASE_LEFT,
     "erase_files": ERASE_LEFT,
     "scan_partition_dirs":
         "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem "

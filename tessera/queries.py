@@ -259,6 +259,17 @@ def q_erase_path(spark, sf):
                                                           "o_orderpriority")
 
 
+def q_erase_path_files(spark, sf):
+    """The file-dataset erase at file granularity."""
+    src = table(spark, sf, "orders")
+    path = scratch_path(spark, "orders_path_files")
+    K.write_file(src, path, "parquet", partition_by="o_orderpriority")
+    O.erase_records_path(spark, path, erase_requests(spark, sf), "o_orderkey",
+                         "o_orderpriority", schema=src.schema, swap="files")
+    return S.read_parquet(spark, path, src.schema).select("o_orderkey", "o_custkey",
+                                                          "o_orderpriority")
+
+
 def q_scan_partition_dirs(spark, sf):
     """Only the chosen folders of a partitioned file dataset."""
     src = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
@@ -470,6 +481,7 @@ QUERIES = {
     "erase_files": q_erase_files,
     "erase_generated": q_erase_generated,
     "erase_path": q_erase_path,
+    "erase_path_files": q_erase_path_files,
     "scan_partition_dirs": q_scan_partition_dirs,
     "group_sum": q_group_sum,
     "cube_avg_max": q_cube_avg_max,

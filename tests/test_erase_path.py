@@ -21,28 +21,32 @@ def read(spark, path):
     return spark.read.schema(SCHEMA).parquet(path)
 
 
-def test_golden_on_path(spark):
+@pytest.mark.parametrize("swap", ["copy", "files"])
+def test_golden_on_path(spark, swap):
     path = make_path(spark)
     r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950")])
-    rep = E.erase_records_path(spark, path, r, "nin", "dob", schema=SCHEMA)
+    rep = E.erase_records_path(spark, path, r, "nin", "dob", schema=SCHEMA, swap=swap)
     assert rep.erased_rows == 2 and read(spark, path).count() == 10
 
 
-def test_emptied_folder_removed_and_leading_zeros_kept(spark):
+@pytest.mark.parametrize("swap", ["copy", "files"])
+def test_emptied_folder_removed_and_leading_zeros_kept(spark, swap):
     rows = [(1, "a", "007"), (2, "b", "007"), (3, "c", "010")]
     path = make_path(spark, rows)
     r = reqs(spark, [(1, "a", "007"), (2, "b", "007")])
-    rep = E.erase_records_path(spark, path, r, "nin", "dob", schema=SCHEMA)
+    rep = E.erase_records_path(spark, path, r, "nin", "dob", schema=SCHEMA, swap=swap)
     assert rep.emptied == ["007"]
     back = read(spark, path).collect()
     assert [(x.nin, x.dob) for x in back] == [(3, "010")]
 
 
-def test_path_crash_resumes(spark):
+@pytest.mark.parametrize("swap", ["copy", "files"])
+def test_path_crash_resumes(spark, swap):
     path = make_path(spark)
     r = reqs(spark, [(30234324, "Andy", "1960")])
     with pytest.raises(RuntimeError):
-        E.erase_records_path(spark, path, r, "nin", "dob", schema=SCHEMA, fail_after_staging=True)
+        E.erase_records_path(spark, path, r, "nin", "dob", schema=SCHEMA,
+                             fail_after_staging=True, swap=swap)
     assert read(spark, path).count() == 12
     rep = E.erase_records_path(spark, path, reqs(spark, []), "nin", "dob", schema=SCHEMA)
     assert rep.resumed and read(spark, path).count() == 11
