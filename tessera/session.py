@@ -16,6 +16,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def default_driver_memory(fraction: float = 0.6, cap_gb: int = 16) -> str:
+    """Driver heap for a local session: a share of this machine's RAM (the
+    driver is the only JVM in local mode), at most ``cap_gb``."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2**30
+    except (ValueError, OSError, AttributeError):
+        total = 8.0
+    return f"{max(1, min(cap_gb, int(total * fraction)))}g"
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tessera", extra: dict | None = None) -> SparkSession:
     """A local session tuned for small test data (UI off, AQE on, UTC)."""
@@ -33,7 +43,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         # too large for the JIT (8000 bytecodes on HotSpot); wide projections
         # such as the record generator otherwise run interpreted
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", default_driver_memory())
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in (extra or {}).items():
