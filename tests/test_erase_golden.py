@@ -251,3 +251,14 @@ def test_int_partition_column(spark, swap):
     rep = E.erase_records(spark, t, r, key="nin", swap=swap)
     assert rep.emptied == ["1945"] and spark.table(t).count() == 9
     assert dict(spark.table(t).dtypes)["dob"] == "int"
+
+
+@pytest.mark.parametrize("swap", ["relocate", "copy", "files"])
+def test_partition_values_with_spaces_and_symbols(spark, swap):
+    rows = [(1, "a", "4-NOT SPECIFIED"), (2, "b", "4-NOT SPECIFIED"), (3, "c", "x/y=z%"),
+            (4, "d", "x/y=z%"), (5, "e", "plain")]
+    t = make_table(spark, rows)
+    r = reqs(spark, [(1, "a", "4-NOT SPECIFIED"), (3, "c", "x/y=z%"), (4, "d", "x/y=z%")])
+    rep = E.erase_records(spark, t, r, key="nin", swap=swap)
+    assert rep.erased_rows == 3 and rep.emptied == ["x/y=z%"]
+    assert sorted(x.nin for x in spark.table(t).collect()) == [2, 5]

@@ -50,3 +50,13 @@ def test_path_crash_resumes(spark, swap):
     assert read(spark, path).count() == 12
     rep = E.erase_records_path(spark, path, reqs(spark, []), "nin", "dob", schema=SCHEMA)
     assert rep.resumed and read(spark, path).count() == 11
+
+
+@pytest.mark.parametrize("swap", ["copy", "files"])
+def test_path_values_with_spaces_and_symbols(spark, swap):
+    rows = [(1, "a", "4-NOT SPECIFIED"), (2, "b", "4-NOT SPECIFIED"), (3, "c", "x/y=z%")]
+    path = make_path(spark, rows)
+    r = reqs(spark, [(1, "a", "4-NOT SPECIFIED"), (3, "c", "x/y=z%")])
+    rep = E.erase_records_path(spark, path, r, "nin", "dob", schema=SCHEMA, swap=swap)
+    assert rep.erased_rows == 2 and rep.emptied == ["x/y=z%"]
+    assert [(x.nin, x.dob) for x in read(spark, path).collect()] == [(2, "4-NOT SPECIFIED")]
