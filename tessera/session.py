@@ -104,7 +104,8 @@ def scratch_database(spark: SparkSession) -> str:
     name = "tessera_scratch_" + uuid.uuid5(uuid.NAMESPACE_URL, root).hex[:10]
     if not spark.catalog.databaseExists(name):
         location = as_uri(root + "/warehouse/" + name)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
+        from tessera.functions.naming import sql_literal
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {sql_literal(location)}")
     return name
 
 
