@@ -44,6 +44,7 @@ from __future__ import annotations
 
 import contextlib
 import dataclasses as dc
+from concurrent.futures import ThreadPoolExecutor
 import hashlib
 import json
 import uuid
@@ -320,15 +321,24 @@ def _emptied_by_spark(touched: DataFrame, staged: DataFrame, part: str) -> list:
     return sorted(r[0] for r in had.exceptAll(kept).toLocalIterator())
 
 
+CATALOG_WORKERS = 8   # concurrent catalog calls when many partitions are touched
+
+
+def _each(fn, items: list) -> list:
+    """``[fn(x) for x in items]`` with up to ``CATALOG_WORKERS`` catalog /
+    file-system calls in flight (driver-side metadata work only)."""
+    if len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(CATALOG_WORKERS, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def _relocation_moves(spark: SparkSession, table: str, part: str, plan: dict) -> list:
     """[value, old location, staging folder] for each partition with survivors."""
-    moves = []
-    for folder in fsutil.list_dirs(spark, plan["staging"]):
-        value = fsutil.partition_dir_value(folder, part)
-        if value is None:
-            continue
-        moves.append([value, _location(spark, table, _spec(part, value)), folder])
-    return moves
+    found = [(fsutil.partition_dir_value(f, part), f)
+             for f in fsutil.list_dirs(spark, plan["staging"])]
+    found = [(v, f) for v, f in found if v is not None]
+    return _each(lambda vf: [vf[0], _location(spark, table, _spec(part, vf[0])), vf[1]], found)
 
 
 def _swap(spark: SparkSession, table: str, part: str, plan: dict) -> None:
@@ -337,16 +347,20 @@ def _swap(spark: SparkSession, table: str, part: str, plan: dict) -> None:
         _swap_files(spark, table, part, plan)
         return
     if plan["mode"] == "relocate":
-        for value, old, new in plan["moves"]:
+        def move(entry):
+            value, old, new = entry
             spec = _spec(part, value)
             if _location(spark, table, spec).rstrip("/") != new.rstrip("/"):
                 spark.sql(f"ALTER TABLE {t} {spec} SET LOCATION {sql_literal(new)}")
             if old.rstrip("/") != new.rstrip("/"):
                 fsutil.delete(spark, old)      # the old files hold the erased rows
-                parent = old.rstrip("/").rsplit("/", 1)[0]
-                if parent.rsplit("/", 1)[-1].startswith("_erase_") and \
-                        not fsutil.list_dirs(spark, parent):
-                    fsutil.delete(spark, parent)   # an earlier run's emptied staging
+            return old
+
+        olds = _each(move, plan["moves"])
+        for parent in sorted({o.rstrip("/").rsplit("/", 1)[0] for o in olds}):
+            if parent.rsplit("/", 1)[-1].startswith("_erase_") and \
+                    not fsutil.list_dirs(spark, parent):
+                fsutil.delete(spark, parent)   # an earlier run's emptied staging
     elif plan["kept_rows"] > 0:
         staged = spark.read.schema(spark.table(table).schema).parquet(plan["staging"])
         insert_overwrite_partitions(staged, table)
@@ -466,14 +480,16 @@ def _erase_files(spark, table, main, key, part, state, marker, parts, few, keys,
     counts = _stage_survivors(affected, main.columns, keys, small, key, part, plan["staging"],
                               True, hot_rows, None, few)
     _check_staging(spark, main.schema, plan["staging"], counts, table)
-    moves = []
-    for folder in fsutil.list_dirs(spark, plan["staging"]):
-        value = fsutil.partition_dir_value(folder, part)
-        if value is None:
-            continue
-        target = _location(spark, table, _spec(part, value)).rstrip("/")
-        for src in fsutil.list_files(spark, folder):
-            moves.append([src, f"{target}/erase-{run_id}-{src.rsplit('/', 1)[-1]}"])
+    found = [(fsutil.partition_dir_value(f, part), f)
+             for f in fsutil.list_dirs(spark, plan["staging"])]
+    found = [(v, f) for v, f in found if v is not None]
+
+    def moves_for(vf):
+        target = _location(spark, table, _spec(part, vf[0])).rstrip("/")
+        return [[src, f"{target}/erase-{run_id}-{src.rsplit('/', 1)[-1]}"]
+                for src in fsutil.list_files(spark, vf[1])]
+
+    moves = [m for ms in _each(moves_for, found) for m in ms]
     plan.update(touched_rows=before_rows, erased_rows=counts["erased_rows"],
                 kept_rows=before_rows - counts["erased_rows"], moves=moves, deletes=files,
                 emptied=[], affected_rows=counts["touched_rows"])
@@ -491,11 +507,13 @@ def _erase_files(spark, table, main, key, part, state, marker, parts, few, keys,
 def _swap_files(spark: SparkSession, table: str, part: str, plan: dict) -> None:
     """Moves, then deletes (each step skipped when already done), then drop
     the touched partitions that hold no row any more."""
-    for src, dst in plan["moves"]:
+    def move(entry):
+        src, dst = entry
         if fsutil.exists(spark, src) and not fsutil.exists(spark, dst):
             fsutil.rename(spark, src, dst)
-    for uri in plan["deletes"]:
-        fsutil.delete_uri(spark, uri)
+
+    _each(move, plan["moves"])
+    _each(lambda uri: fsutil.delete_uri(spark, uri), plan["deletes"])
     spark.catalog.refreshTable(table)
     existing = {fsutil.partition_dir_value(p, part) for p in _catalog_partitions(spark, table)}
     candidates = sorted(set(plan["partitions"]) & existing)
