@@ -4,7 +4,8 @@ calling ``tessera.__main__.main`` through ``spark-submit``).
 
 Jobs: ``generate``, ``split``, ``read``, ``stage``, ``erase``, ``jdbc``.  Keys
 are those of the original configuration files; a few keys are ours and
-optional (``seed``, ``split.key``, ``erase.key``, ``erase.swap``).  The JDBC
+optional (``seed``, ``split.key``, ``erase.key``, ``erase.swap``,
+``jdbc.partition.column``, ``jdbc.num.partitions``).  The JDBC
 password is taken from the environment variable ``TESSERA_JDBC_PASSWORD`` when
 set, and is never printed.
 """
@@ -104,9 +105,12 @@ def run(job: str, props: dict[str, str], spark: SparkSession | None = None) -> d
     password = os.environ.get("TESSERA_JDBC_PASSWORD", props.get("db.password"))
     if password:
         options["password"] = password
+    parts = props.get("jdbc.num.partitions")
     rep = jdbc_ingest(spark, "jdbc:postgresql:" + props["db.server.jdbc.url"],
                       props["db.table.name"], "BENEFITS", props["output.file.name"],
-                      props.get("format", "csv"), properties=options)
+                      props.get("format", "csv"),
+                      partition_column=props.get("jdbc.partition.column"),
+                      num_partitions=int(parts) if parts else None, properties=options)
     return {"rows": rep.rows}
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.stages import add_one
 from tessera.sinks.writers import write_file
-from tessera.sources.jdbc import read_jdbc
+from tessera.sources.jdbc import jdbc_bounds, read_jdbc
 
 
 @dc.dataclass
@@ -59,7 +59,15 @@ def jdbc_ingest(spark: SparkSession, url: str, table: str, column: str, out_path
                 fmt: str = "csv", partition_column: str | None = None, lower_bound=None,
                 upper_bound=None, num_partitions: int | None = None,
                 properties: dict | None = None) -> WorkloadReport:
-    """Partitioned JDBC read -> ``column + 1`` -> file write."""
+    """Partitioned JDBC read -> ``column + 1`` -> file write.
+
+    With ``partition_column`` but no bounds, the bounds are asked from the
+    database (one MIN/MAX query), so the read still runs as
+    ``num_partitions`` parallel range queries instead of one task.
+    """
+    if partition_column and (lower_bound is None or upper_bound is None):
+        lower_bound, upper_bound = jdbc_bounds(spark, url, table, partition_column, properties)
+        num_partitions = num_partitions or spark.sparkContext.defaultParallelism
     src = read_jdbc(spark, url, table, partition_column=partition_column,
                     lower_bound=lower_bound, upper_bound=upper_bound,
                     num_partitions=num_partitions, properties=properties)
