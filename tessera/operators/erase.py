@@ -211,6 +211,19 @@ def _read_marker(spark: SparkSession, path: str) -> dict | None:
     return json.loads(text) if text else None
 
 
+def _discard_unfinished(spark: SparkSession, state: str) -> None:
+    """Start over after a run that died before its marker: remove the staging
+    it had begun (which may sit inside the table's folder) and its state."""
+    pending = fsutil.read_text(spark, state + "/_pending")
+    if pending and pending.strip():
+        fsutil.delete(spark, pending.strip())
+    fsutil.delete(spark, state)
+
+
+def _note_staging(spark: SparkSession, state: str, staging: str) -> None:
+    fsutil.write_text(spark, state + "/_pending", staging)
+
+
 def _table_type(spark: SparkSession, table: str) -> str:
     return describe(spark, table)["type"] or "EXTERNAL"
 
@@ -432,7 +445,7 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
         _finish(spark, plan, state)
         return EraseReport(table, plan["partitions"], plan["touched_rows"], plan["erased_rows"],
                            plan["kept_rows"], plan["emptied"], resumed=True)
-    fsutil.delete(spark, state)                # a partial staging without marker
+    _discard_unfinished(spark, state)          # a partial staging without marker
 
     main = spark.table(table)
     with _requests_once(requests, key, part, req_key, req_part) as req:
@@ -477,6 +490,7 @@ def _erase_files(spark, table, main, key, part, state, marker, parts, few, keys,
         return EraseReport(table, plan["partitions"], skipped=True)
     before_rows = touched.count()
     affected = with_file.where(F.col("__file").isin(files)).drop("__file")
+    _note_staging(spark, state, plan["staging"])
     counts = _stage_survivors(affected, main.columns, keys, small, key, part, plan["staging"],
                               True, hot_rows, None, few)
     _check_staging(spark, main.schema, plan["staging"], counts, table)
@@ -558,6 +572,7 @@ def _erase_table(spark, table, main, req, key, part, state, marker, swap, broadc
         parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
             .write.mode("overwrite").parquet(plan["parts_path"])
 
+    _note_staging(spark, state, staging)
     touched = _filter_touched(spark, main, part, plan)
     counts = _stage_survivors(touched, main.columns, keys, small, key, part, staging, listed,
                               hot_rows, files_per_partition, few)
@@ -664,7 +679,7 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
         fsutil.delete(spark, state)
         return EraseReport(path, plan["partitions"], plan["touched_rows"], plan["erased_rows"],
                            plan["kept_rows"], plan["emptied"], resumed=True)
-    fsutil.delete(spark, state)
+    _discard_unfinished(spark, state)
 
     reader = spark.read.format(fmt)
     main = (reader.schema(schema) if schema is not None else reader).load(path)
@@ -710,6 +725,7 @@ def _erase_path_files(spark, path, main, req, key, part, state, marker, broadcas
         return EraseReport(path, plan["partitions"], skipped=True)
     before_rows = touched.count()
     affected = with_file.where(F.col("__file").isin(files)).drop("__file")
+    _note_staging(spark, state, plan["staging"])
     counts = _stage_survivors(affected, main.columns, keys, small, key, part, plan["staging"],
                               True, hot_rows, None, few)
     _check_staging(spark, main.schema, plan["staging"], counts, path)
@@ -756,6 +772,7 @@ def _erase_path(spark, path, main, req, key, part, state, marker, fmt, broadcast
     if not listed:
         parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
             .write.mode("overwrite").parquet(plan["parts_path"])
+    _note_staging(spark, state, plan["staging"])
     touched = _filter_touched(spark, main, part, plan)
     counts = _stage_survivors(touched, main.columns, keys, small, key, part, plan["staging"],
                               listed, hot_rows, files_per_partition, few)

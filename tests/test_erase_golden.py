@@ -262,3 +262,27 @@ def test_partition_values_with_spaces_and_symbols(spark, swap):
     rep = E.erase_records(spark, t, r, key="nin", swap=swap)
     assert rep.erased_rows == 3 and rep.emptied == ["x/y=z%"]
     assert sorted(x.nin for x in spark.table(t).collect()) == [2, 5]
+
+
+def test_run_dying_before_marker_leaves_no_staging(spark, monkeypatch):
+    """A run that fails while staging leaves the table whole; the next run
+    removes the half-written staging folder inside the table."""
+    t = make_table(spark)
+    r = reqs(spark, [(30234324, "Andy", "1960")])
+
+    def boom(*a, **k):
+        raise RuntimeError("executor lost for good")
+
+    real = E._check_staging
+    monkeypatch.setattr(E, "_check_staging", boom)
+    with pytest.raises(RuntimeError):
+        E.erase_records(spark, t, r, key="nin")
+    loc = spark.sql(f"DESCRIBE FORMATTED {t}").where("col_name = 'Location'").first()[1]
+    fs, p = fsutil._fs(spark, loc)
+    assert any(s.getPath().getName().startswith("_erase_") for s in fs.listStatus(p))
+    assert spark.table(t).count() == 12
+    monkeypatch.setattr(E, "_check_staging", real)
+    rep = E.erase_records(spark, t, r, key="nin")
+    assert rep.erased_rows == 1 and spark.table(t).count() == 11
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    assert sum(n.startswith("_erase_") for n in names) == 1     # only the live relocation
