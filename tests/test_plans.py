@@ -55,3 +55,15 @@ def test_short_key_list_reaches_parquet_reader(spark):
     df = O.locate_records(S.read_table(spark, name), req, "o_orderkey", "o_orderpriority")
     text = plan_text(df)
     assert "PushedFilters: [In(o_orderkey" in text or "In(o_orderkey, [5,9])" in text, text
+
+
+def test_erase_reads_only_touched_partitions(spark):
+    """The erase's scan of the main table carries the requested partitions as
+    PartitionFilters (literal path) or a dynamic pruning subquery (long list)."""
+    from tessera.operators import erase as E
+    name = orders_by_priority(spark, SF_SMALL)
+    main = S.read_table(spark, name)
+    lit_plan = {"partitions": ["1-URGENT", "5-LOW"]}
+    text = plan_text(E._filter_touched(spark, main, "o_orderpriority", lit_plan))
+    assert "PartitionFilters: [" in text and "1-URGENT" in text and "5-LOW" in text
+    assert "2-HIGH" not in text
