@@ -70,3 +70,11 @@ def test_run_sql_file(spark):
         fh.write("SELECT count(*) AS n\nFROM t\nWHERE id >= :lo;\n")
     out = run_sql_file(spark, path, {"t": spark.range(10)}, args={"lo": 4})
     assert out.first().n == 6
+
+
+def test_io_generated_writes_one_file_per_task_without_shuffle(spark):
+    from tessera.plans.workloads import io_generated
+    rep = io_generated(spark, scratch_path(spark, "io"), n_files=4, rows_per_file=2500)
+    rows = rep.files.collect()
+    assert len(rows) == 4 and all(r.row_count == 2500 for r in rows)
+    assert rep.total_rows == 10000 and rep.total_bytes > 0 and rep.write_mb_per_sec > 0
