@@ -106,7 +106,9 @@ def generate_records(spark: SparkSession, cfg: GeneratorConfig = GeneratorConfig
     if not num_partitions:
         num_partitions = max(spark.sparkContext.defaultParallelism,
                              -(-n // ROWS_PER_TASK))
-    return records_for_ids(spark.range(0, n, 1, num_partitions), "id", cfg)
+    # the range already has the task count asked for: never re-spread it
+    return records_for_ids(spark.range(0, n, 1, num_partitions), "id", cfg,
+                           min_tasks=num_partitions)
 
 
 def replicate_rows(df: DataFrame, copies: int, copy_col: str = "copy") -> DataFrame:
