@@ -71,7 +71,7 @@ def records_for_ids(ids: DataFrame, id_col: str, cfg: GeneratorConfig = Generato
     """
     idc = F.col(id_col)
     min_tasks = min_tasks or ids.sparkSession.sparkContext.defaultParallelism
-    if ids.rdd.getNumPartitions() < min_tasks:
+    if ids.rdd.getNumPartitions() < min_tasks:     # planning only, nothing runs
         ids = ids.select(idc).repartition(min_tasks)
     digests = [R.letters_digest(cfg.seed, name, idc, getattr(cfg, attr)).alias(f"__{name}_d")
                for name, attr in _LETTER_COLUMNS]
