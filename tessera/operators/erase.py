@@ -425,6 +425,10 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     the table (many copies of one record) are salted over several tasks.
     ``fail_after_staging`` is a test hook that stops between staging and
     swap, like a crash would.
+
+    Run one erase per table at a time, and let no other job write to the
+    touched partitions between staging and swap: their rows would not be in
+    the staged copy.
     """
     if swap not in ("relocate", "copy", "files"):
         raise ValueError("swap must be 'relocate', 'copy' or 'files'")
