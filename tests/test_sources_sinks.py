@@ -126,3 +126,15 @@ def test_describe_table_and_partition(spark, orders):
     p = S.describe(spark, name, "PARTITION (o_orderpriority = '2-HIGH')")
     assert p["location"].endswith("/o_orderpriority=2-HIGH")
     assert p["location"].startswith(t["location"])
+
+
+def test_jdbc_paths_reach_the_driver_manager(spark):
+    """Without a database the JDBC read and write get as far as asking for a
+    driver for the URL (no server or database is started by the tests)."""
+    with pytest.raises(Exception) as read_err:
+        S.read_jdbc(spark, "jdbc:tessera-none:db", "t", partition_column="id", lower_bound=0,
+                    upper_bound=10, num_partitions=2, custom_schema="id DECIMAL(38,0)").count()
+    assert "suitable driver" in str(read_err.value).lower()
+    with pytest.raises(Exception) as write_err:
+        K.write_jdbc(spark.range(3), "jdbc:tessera-none:db", "t", column_types="id BIGINT")
+    assert "suitable driver" in str(write_err.value).lower()
