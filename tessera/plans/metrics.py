@@ -49,16 +49,23 @@ def run_summary(samples: DataFrame, label: str = "label", elapsed: str = "elapse
         F.round(F.lit(100.0) * F.sum(F.when(failed, 1).otherwise(0)).cast("double")
                 / F.count(F.lit(1)), digits).alias("error_pct"),
     ]
+    span = None
     if ts:
         # microseconds between first and last sample, for zoned or zone-less
         # timestamps alike (no session time zone involved)
         span = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts))
         aggs.append(F.round(F.when(span > 0, F.count(F.lit(1)) * F.lit(1e6) / span), digits)
                     .alias("throughput_per_sec"))
+    per_sec = (lambda total: F.round(F.when(span > 0, total / F.lit(1024.0) * F.lit(1e6) / span),
+                                     digits)) if ts else None
     if bytes_col:
         aggs.append(F.round(F.avg(bytes_col), digits).alias("avg_bytes"))
+        if per_sec is not None:
+            aggs.append(per_sec(F.sum(bytes_col)).alias("received_kb_per_sec"))
     if sent_bytes_col:
         aggs.append(F.round(F.avg(sent_bytes_col), digits).alias("avg_sent_bytes"))
+        if per_sec is not None:
+            aggs.append(per_sec(F.sum(sent_bytes_col)).alias("sent_kb_per_sec"))
     return samples.groupBy(F.col(label).alias("label")).agg(*aggs)
 
 

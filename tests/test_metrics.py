@@ -15,12 +15,15 @@ def test_run_summary_values(spark):
         rows.append((t0 + dt.timedelta(seconds=i), ms, ms, 0, 0, label, "200", "OK", "t-1", ok,
                      100, 10, "http://x", 1))
     df = spark.createDataFrame(rows, SAMPLE_SCHEMA)
-    out = {r.label: r for r in run_summary(df, bytes_col="bytes").collect()}
+    out = {r.label: r for r in run_summary(df, bytes_col="bytes",
+                                           sent_bytes_col="sent_bytes").collect()}
     a = out["a"]
     assert a.samples == 3 and a.avg_ms == 20.0 and a.min_ms == 10 and a.max_ms == 30
     assert abs(a.std_ms - 8.164966) < 1e-6 and abs(a.error_pct - 33.333333) < 1e-6
     assert abs(a.throughput_per_sec - 1.5) < 1e-9     # 3 samples over 2 s
     assert out["b"].throughput_per_sec is None and out["b"].avg_bytes == 100.0
+    assert abs(a.received_kb_per_sec - 300 / 1024 / 2) < 1e-6       # 300 bytes over 2 s
+    assert abs(a.sent_kb_per_sec - 30 / 1024 / 2) < 1e-6
 
 
 def test_stage_metrics_from_live_event_log(spark, event_log_dir):
