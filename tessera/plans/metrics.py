@@ -95,14 +95,18 @@ EVENT_LOG_SCHEMA = StructType([
 
 
 def stage_metrics_frame(events: DataFrame) -> DataFrame:
-    """Per stage: tasks, run time, CPU, shuffle read/write bytes, spill."""
+    """Per stage: tasks, run time (total, slowest task, approximate median
+    task -- their ratio shows skew), shuffle read/write bytes, spill."""
     m = F.col("`Task Metrics`")
     sr = m["Shuffle Read Metrics"]
     sw = m["Shuffle Write Metrics"]
+    run = m["Executor Run Time"]
     return (events.where(F.col("Event") == "SparkListenerTaskEnd")
             .groupBy(F.col("`Stage ID`").alias("stage_id"))
             .agg(F.count(F.lit(1)).alias("tasks"),
-                 F.sum(m["Executor Run Time"]).cast("bigint").alias("run_ms"),
+                 F.sum(run).cast("bigint").alias("run_ms"),
+                 F.max(run).cast("bigint").alias("max_task_ms"),
+                 F.percentile_approx(run, 0.5).cast("bigint").alias("median_task_ms"),
                  F.sum(F.coalesce(sr["Remote Bytes Read"], F.lit(0))
                        + F.coalesce(sr["Local Bytes Read"], F.lit(0))).cast("bigint")
                  .alias("shuffle_read_bytes"),
@@ -136,6 +140,7 @@ def job_group_metrics(spark: SparkSession, path: str) -> DataFrame:
             .groupBy("job_group")
             .agg(F.countDistinct("stage_id").alias("stages"),
                  F.sum("tasks").alias("tasks"), F.sum("run_ms").alias("run_ms"),
+                 F.max("max_task_ms").alias("max_task_ms"),
                  F.sum("shuffle_read_bytes").alias("shuffle_read_bytes"),
                  F.sum("shuffle_write_bytes").alias("shuffle_write_bytes"),
                  F.sum("spill_bytes").alias("spill_bytes")))

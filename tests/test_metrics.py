@@ -44,3 +44,12 @@ def test_job_group_metrics(spark, event_log_dir):
     spark.sparkContext.setJobGroup("other-group", "other")
     rows = {r.job_group: r for r in job_group_metrics(spark, event_log_dir).collect()}
     assert rows["probe-group"].tasks > 0 and rows["probe-group"].shuffle_write_bytes > 0
+
+
+def test_stage_metrics_show_task_spread(spark, event_log_dir):
+    from tessera.plans.metrics import stage_metrics
+    spark.sparkContext.setJobGroup("spread", "spread")
+    spark.range(0, 200000, 1, 4).selectExpr("id % 7 AS k").groupBy("k").count() \
+        .write.format("noop").mode("overwrite").save()
+    rows = stage_metrics(spark, event_log_dir).collect()
+    assert all(r.max_task_ms >= r.median_task_ms >= 0 for r in rows)
