@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from tessera.llm import bpe_vocab
+from tessera.llm.common import ship_package
 
 MEMO_ENTRIES = 500_000    # pre-tokens remembered per Python worker
 MEMO_CHARS = 40
@@ -230,6 +231,7 @@ def _codec(blob: bytes) -> Codec:
 
 
 def _blob(df: DataFrame, path: str):
+    ship_package(df.sparkSession)
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 

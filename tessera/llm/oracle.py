@@ -1,3 +1,29 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-ORACLE_SQL: dict[str, str] = {}
+LINE_DEDUP = r"""
+with docs as (
+  select doc_id, text, string_split(coalesce(text, ''), chr(10)) as lines from documents
+), windows as (
+  select doc_id, p as pos, lines[p + 1] as a, lines[p + 2] as b, lines[p + 3] as c
+  from docs, unnest(range(0, len(lines) - 2)) as t(p)
+), placed as (
+  select doc_id, pos, row_number() over (partition by a, b, c order by doc_id, pos) as nth
+  from windows
+  where regexp_matches(a || b || c, '[^\\x20\\x09-\\x0D]')
+), gone as (
+  select distinct doc_id, pos + k as line
+  from placed, unnest([0, 1, 2]) as t(k) where nth > 1
+), kept as (
+  select doc_id, string_agg(lines[i + 1], chr(10) order by i) as text
+  from docs, unnest(range(0, len(lines))) as t(i)
+  where not exists (select 1 from gone where gone.doc_id = docs.doc_id and gone.line = i)
+  group by doc_id
+), removed as (select doc_id, count(*) as n from gone group by doc_id)
+select docs.doc_id, coalesce(kept.text, '') as text, len(docs.lines) as n_lines,
+       coalesce(removed.n, 0) as n_removed
+from docs left join kept using (doc_id) left join removed using (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": LINE_DEDUP,
+}

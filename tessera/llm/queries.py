@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe_codec, token_count
+from tessera.llm import bpe_codec, line_dedup, quality_rules, simhash, token_count
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -19,11 +19,27 @@ def op1_token_counts(spark, sf):
                                     public_tokenizers.path(TOKENIZER))
 
 
+def op2_line_dedup(spark, sf):
+    return (line_dedup.dedup_lines(table(spark, sf, "documents"))
+            .select("doc_id", "text", "n_lines", "n_removed"))
+
+
+def op3_quality_rules(spark, sf):
+    return quality_rules.judge(table(spark, sf, "documents")).drop("k1", "k2")
+
+
 def op4_bpe_codec(spark, sf):
     return bpe_codec.digests(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op5_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"), shingle_words=3, max_bits=2)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_quality_rules": op3_quality_rules,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_simhash": op5_simhash,
 }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tessera.llm import bpe_vocab
+from tessera.llm.common import ship_package
 
 MEMO_ENTRIES = 600_000    # pre-tokens remembered per Python worker
 MEMO_CHARS = 40           # longer pre-tokens are counted anew each time
@@ -93,6 +94,7 @@ def count_tokens(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     processed whole.  The tokenizer file is read on the driver and sent to the
     tasks (its size is that of one vocabulary, about 1.5 MB).
     """
+    ship_package(df.sparkSession)
     with open(tokenizer_path, "rb") as f:
         blob = df.sparkSession.sparkContext.broadcast(f.read())
 
