@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe_codec as codec
+from tessera.llm import decontaminate
 from tessera.llm import line_dedup as lines
 from tessera.llm import quality_rules as quality
 from tessera.llm import simhash
@@ -35,7 +36,9 @@ def simhash_near_dedup(spark, docs, sf_dir):
 
 
 def benchmark_decontamination(spark, docs, sf_dir):
-    raise NotImplementedError
+    """Documents in which no benchmark item is found."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.without_contaminated(docs, benchmark)
 
 
 def bpe_codec(spark, docs, sf_dir):

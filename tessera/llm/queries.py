@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe_codec, line_dedup, quality_rules, simhash, token_count
+from tessera.llm import (
+    bpe_codec, decontaminate, license_scan, line_dedup, quality_rules, simhash, token_count,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -36,10 +38,22 @@ def op5_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"), shingle_words=3, max_bits=2)
 
 
+def op7_license_scan(spark, sf):
+    return license_scan.license_labels(table(spark, sf, "documents"))
+
+
+def op8_decontaminate(spark, sf):
+    return (decontaminate.contaminated(table(spark, sf, "documents"),
+                                       table(spark, sf, "benchmark"))
+            .withColumnRenamed("id", "doc_id").drop("k1", "k2"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_simhash": op5_simhash,
+    "op7_license_scan": op7_license_scan,
+    "op8_decontaminate": op8_decontaminate,
 }
