@@ -33,10 +33,11 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from tessera.llm import bpe_vocab
 from tessera.llm.common import ship_package
 
-MEMO_ENTRIES = 500_000    # pre-tokens remembered per Python worker
+MEMO_ENTRIES = 250_000    # pre-tokens remembered per Python worker
 MEMO_CHARS = 40
 CHUNK = 1 << 18           # characters fed to the encoder at a time
 WINDOW = 1 << 10          # bytes merged at a time, beside the lookahead
+OUT_ROWS = 256           # rows of an output batch
 DECODE_IDS = 1 << 16      # ids decoded at a time
 
 
@@ -236,6 +237,38 @@ def _blob(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
+def _run(df: DataFrame, path: str, id_col: str, value_col: str, work, out: StructType) -> DataFrame:
+    """``work(codec, value) -> tuple`` of ``out``'s columns for each row.
+    Output batches are small, however large the input's are."""
+    blob = _blob(df, path)
+
+    def run(batches):
+        codec = _codec(blob.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, OUT_ROWS):
+                ids, values = batch.slice(at, OUT_ROWS).columns
+                done = [work(codec, v.as_py()) for v in values]
+                columns = [pa.array([d[k] for d in done],
+                                    pa.binary() if f.dataType == BinaryType() else pa.string())
+                           for k, f in enumerate(out)]
+                yield pa.RecordBatch.from_arrays([ids, *columns],
+                                                 names=[id_col, *(f.name for f in out)])
+
+    src = df.select(F.col(id_col), F.col(value_col).alias("__value"))
+    return src.mapInArrow(run, StructType([src.schema[0], *out]))
+
+
+_IDS, _TEXT = StructField("ids", BinaryType()), StructField("text", StringType())
+
+
+def _encoded(codec: Codec, text: str | None) -> bytes:
+    return b"".join(codec.encode(text)) if text else b""
+
+
+def _decoded(codec: Codec, ids: bytes | None) -> str:
+    return "".join(codec.decode(ids)) if ids else ""
+
+
 def encode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """One row per input row: the id and ``ids``, the token ids as packed
@@ -246,47 +279,34 @@ def encode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     own id.  Null or empty text: empty ids.  Null ids and repeated rows pass
     through; other columns are not read; texts are processed whole.
     """
-    blob = _blob(df, tokenizer_path)
-
-    def run(batches):
-        codec = _codec(blob.value)
-        for batch in batches:
-            ids = [b"".join(codec.encode(t)) if t else b""
-                   for t in (x.as_py() for x in batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
-                                             names=[id_col, "ids"])
-
-    src = df.select(F.col(id_col), F.col(text_col).alias("__text"))
-    return src.mapInArrow(run, StructType([src.schema[0], StructField("ids", BinaryType())]))
+    return _run(df, tokenizer_path, id_col, text_col,
+                lambda codec, text: (_encoded(codec, text),), StructType([_IDS]))
 
 
 def decode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
            ids_col: str = "ids") -> DataFrame:
-    """One row per input row: the id, ``ids`` as they came, and ``text``
-    decoded from them.  Null or empty ids: empty text.  An id outside the
-    vocabulary raises ``IndexError``; one without bytes adds nothing."""
-    blob = _blob(df, tokenizer_path)
+    """One row per input row: the id and ``text`` decoded from packed ids.
+    Null or empty ids: empty text.  An id outside the vocabulary raises
+    ``IndexError``; one without bytes adds nothing."""
+    return _run(df, tokenizer_path, id_col, ids_col,
+                lambda codec, ids: (_decoded(codec, ids),), StructType([_TEXT]))
 
-    def run(batches):
-        codec = _codec(blob.value)
-        for batch in batches:
-            texts = ["".join(codec.decode(p)) if p else ""
-                     for p in (x.as_py() for x in batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-                names=[id_col, "ids", "text"])
 
-    src = df.select(F.col(id_col), F.col(ids_col).alias("__ids"))
-    return src.mapInArrow(run, StructType([src.schema[0], StructField("ids", BinaryType()),
-                                           StructField("text", StringType())]))
+def round_trip(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: the id, ``ids``, ``text``."""
+    def work(codec, text):
+        ids = _encoded(codec, text)
+        return ids, _decoded(codec, ids)
+
+    return _run(df, tokenizer_path, id_col, text_col, work, StructType([_IDS, _TEXT]))
 
 
 def digests(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """Encode, decode, and digest both: id, ``n_tokens``, ``ids_sha256``,
     ``decoded_sha256`` (of the decoded text in UTF-8)."""
-    coded = decode(encode(df, tokenizer_path, id_col, text_col), tokenizer_path, id_col)
-    return coded.select(
+    return round_trip(df, tokenizer_path, id_col, text_col).select(
         F.col(id_col), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2(F.col("ids"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))

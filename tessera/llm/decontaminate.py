@@ -25,7 +25,7 @@ COMMON = 8               # an n-gram this many times as frequent as its item's m
 COMMON_FLOOR = 20        # corpus places up to which any n-gram is a seed
 SLACK = 10               # words aligned on either side beside the item's length
 MATCH, MISMATCH, GAP = 2, -1, -1
-MIN_SCORE = 0.5          # of the score that the whole item would have
+MIN_SCORE = 0.45         # of the score that the whole item would have
 ALIGN_CELLS = 1 << 21    # cells of one row of a batch of alignments
 
 

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
-    bpe_codec, decontaminate, license_scan, line_dedup, quality_rules, simhash, token_count,
+    bpe_codec, decontaminate, language_id, license_scan, line_dedup, quality_rules, simhash,
+    token_count, toxicity, url_filter,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +39,10 @@ def op5_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"), shingle_words=3, max_bits=2)
 
 
+def op6_language_id(spark, sf):
+    return language_id.languages_of(table(spark, sf, "documents"), table(spark, sf, "pages"))
+
+
 def op7_license_scan(spark, sf):
     return license_scan.license_labels(table(spark, sf, "documents"))
 
@@ -48,12 +53,23 @@ def op8_decontaminate(spark, sf):
             .withColumnRenamed("id", "doc_id").drop("k1", "k2"))
 
 
+def op9_url_filter(spark, sf):
+    return url_filter.judge_urls(table(spark, sf, "pages"))
+
+
+def op10_toxicity(spark, sf):
+    return toxicity.severity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_simhash": op5_simhash,
+    "op6_language_id": op6_language_id,
     "op7_license_scan": op7_license_scan,
     "op8_decontaminate": op8_decontaminate,
+    "op9_url_filter": op9_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
