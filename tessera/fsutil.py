@@ -58,6 +58,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not move marker into place at {path}")
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small file."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -76,10 +86,29 @@ def _uri_path(spark: SparkSession, uri: str):
     return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
 
 
-def delete_uri(spark: SparkSession, uri: str) -> bool:
-    p = _uri_path(spark, uri)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.delete(p, False)) if fs.exists(p) else False
+def uri_path(spark: SparkSession, uri: str) -> str:
+    """The file's path as ``list_files`` and ``list_facts`` give it."""
+    return _uri_path(spark, uri).toString()
+
+
+def file_facts(spark: SparkSession, path: str) -> list | None:
+    """[size, modification time] of a file, None without it."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    s = fs.getFileStatus(p)
+    return [int(s.getLen()), int(s.getModificationTime())]
+
+
+def list_facts(spark: SparkSession, path: str) -> list[list]:
+    """[path, size, modification time] of the data files directly under
+    ``path``, sorted."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted([s.getPath().toString(), int(s.getLen()), int(s.getModificationTime())]
+                  for s in fs.listStatus(p)
+                  if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:

@@ -6,50 +6,51 @@ requested keys; partition and key are matched independently.  Null request
 keys match nothing and rows with a null key are never erased (the raw
 ``NOT IN`` behaviour, where one null empties the answer, is ``not_in``).
 
-Physical protocol (``erase_records``) -- only touched partitions are read and
-rewritten, untouched partitions keep their files:
-
-1. touched partitions = distinct partition values of the requests, collected
-   as literals when at most 10 000 (static PartitionFilters), else kept as data
-   and applied by a semi join (dynamic partition pruning)
-2. survivors = touched rows minus requested keys, one pass: left join to the
-   de-nulled distinct keys (broadcast only when their count is proven small,
-   otherwise sort-merge with AQE skew splitting), counted by ``observe``
-3. survivors are written to a fresh staging folder, re-read and counted; a
-   marker in the shared checkpoint dir records the plan
-4. swap, one of
-   * ``relocate`` (default for a listed partition set): staging lives in a
-     hidden folder inside the table location; each touched partition is
-     pointed at its staging folder (``ALTER TABLE .. SET LOCATION``, catalog
-     only) and its old folder is deleted.  The data is written once.
-   * ``copy``: staging lives under the checkpoint dir and is copied back by a
-     dynamic partition overwrite; the table keeps the standard folder layout
-     (use it when the table is also read by path, which skips hidden folders).
-   * ``files``: only the data files holding a requested key are rewritten;
-     their survivors are renamed into the partition folders, then the old
-     files are deleted (not atomic for concurrent readers; see
-     ``_erase_files``).
-   Touched partitions left with no row are emptied and dropped.
-5. the touched partitions are recounted; only then the marker goes.
-
-A crash after 3 resumes at 4 from the marker -- also in a restarted
-application, as the marker lives in the configured checkpoint folder itself
-(staging is complete, every swap step is idempotent); a crash before leaves
-the table whole and the partial staging is discarded.  Even without a marker
-a rerun is correct: erasing is idempotent, so partitions already swapped
-simply have nothing left to erase.
+Physical protocol (``erase_records`` for catalog tables, ``erase_records_path``
+for file datasets) -- only touched partitions are read and rewritten,
+untouched partitions keep their files:
+
+1. the request list (key, partition) is written to the state folder under
+   ``spark.checkpoint.dir``; from then on it cannot be lost
+2. the requested partitions are worked through in batches of at most
+   ``BATCH_PARTITIONS`` (fewer where a batch has too many files), so every
+   swap holds at any size.  Per batch: the partitions' files are listed, the
+   survivors are found in one pass, written in the table's own format to a
+   hidden staging folder inside the table, re-read and counted
+3. a marker with the file lists and moves is written, then the swap:
+
+   * ``relocate`` (catalog tables, default): each partition is pointed at its
+     staging folder (``ALTER TABLE .. SET LOCATION``, catalog only).  Readers by
+     path skip hidden folders, so use another swap where there are such.
+   * ``copy``: the staged files are renamed into the partition folders, all
+     the old files go (the standard folder layout stays).
+   * ``files``: as ``copy``, but only for the data files that hold a requested
+     key; work is proportional to those files.
+
+4. the rows now seen through the table in this batch's files are counted; only
+   then are the listed old files deleted, one by one; touched partitions left
+   without a data file are dropped.  Between the renames and the deletes a
+   concurrent reader of ``copy`` and ``files`` may see survivors twice.
+
+After a crash the next call, whatever its requests are, first ends what was
+begun: a batch whose listed old files are unchanged is carried forward from
+its marker; if any of them changed or is missing (rows were appended to a
+relocated folder, a file was rewritten), the batch is rolled back and its
+staging thrown away.  Then the stored request list is run again where it is not
+proven complete, then the call's own.  Only files listed before staging are
+ever deleted, so rows appended meanwhile survive.  Run one erase per table at
+a time.
 """
 
 from __future__ import annotations
 
-import contextlib
 import dataclasses as dc
-from concurrent.futures import ThreadPoolExecutor
 import hashlib
 import json
+import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -61,22 +62,11 @@ from tessera.operators.joins import (
     skew_join,
 )
 from tessera.session import stable_root
-from tessera.sinks.writers import cluster_for_write, insert_overwrite_partitions
-from tessera.sources.catalog import describe, partition_columns, partition_values
-
-
-@contextlib.contextmanager
-def _requests_once(requests: DataFrame, key: str, part: str, req_key: str | None,
-                   req_part: str | None):
-    """The two request columns, persisted (memory, spilling to disk) for the
-    few small passes the protocol makes over them; lost blocks are recomputed
-    from lineage, and the cache is dropped when the erase ends."""
-    req = requests.select(F.col(req_key or key).alias(key), F.col(req_part or part).alias(part))
-    req = req.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield req
-    finally:
-        req.unpersist()
+from tessera.sinks.writers import FILE_BYTES, cluster_for_write
+from tessera.sources.catalog import (
+    MAX_PARTITION_LITERALS, describe, partition_columns, partition_values,
+)
+from tessera.sources.files import FORMATS
 
 
 def _request_parts(requests: DataFrame, req_part: str, part: str) -> DataFrame:
@@ -165,26 +155,30 @@ def erase_view(main: DataFrame, requests: DataFrame, key: str, part: str,
 
 
 def not_in(main: DataFrame, requests: DataFrame, key: str, req_key: str | None = None) -> DataFrame:
-    """Raw SQL ``key NOT IN (SELECT req_key FROM requests)`` (three-valued:
-    a null in the list empties the answer, a null key never qualifies).
+    """Raw SQL ``key NOT IN (SELECT req_key FROM requests)`` (three-valued: a
+    null in the list empties the answer, a null key never qualifies, an empty
+    list keeps every row).
 
     Planned without the null-aware join Spark forces for ``NOT IN`` (always a
-    broadcast of the list): one short job asks whether the list holds a null;
-    the rest is an ordinary left anti join that Spark sizes itself.
+    broadcast of the list): one short job counts the list and its nulls; the
+    rest is an ordinary left anti join that Spark sizes itself.
     """
     req_key = req_key or key
     keys = requests.select(F.col(req_key).alias(key))
-    if keys.where(F.col(key).isNull()).limit(1).count() > 0:
+    n, known = keys.agg(F.count(F.lit(1)), F.count(key)).first()
+    if n == 0:
+        return main
+    if known < n:
         return main.where(F.lit(False))
-    return (main.where(F.col(key).isNotNull())
-            .join(keys.where(F.col(key).isNotNull()).distinct(), key, "left_anti")
-            .select(*main.columns))
+    return main.where(F.col(key).isNotNull()).join(keys, key, "left_anti").select(*main.columns)
 
 
 @dc.dataclass
 class EraseReport:
+    """``partitions``: the requested ones (None above
+    ``MAX_PARTITION_LITERALS``); counts include a resumed earlier call."""
     table: str
-    partitions: list | None          # None: too many to list (kept in the state folder)
+    partitions: list | None
     touched_rows: int = 0
     erased_rows: int = 0
     kept_rows: int = 0
@@ -192,219 +186,483 @@ class EraseReport:
     resumed: bool = False
     skipped: bool = False
 
+    def add(self, other: EraseReport) -> None:
+        self.touched_rows += other.touched_rows
+        self.erased_rows += other.erased_rows
+        self.kept_rows += other.kept_rows
+        self.emptied = sorted({*self.emptied, *other.emptied})
 
-def _state_dir(spark: SparkSession, table: str) -> str:
-    """Per-table state (marker, copy-mode staging) under the checkpoint
-    folder itself, so a restarted application resumes an interrupted swap."""
-    safe = "".join(ch if ch.isalnum() or ch in "._-" else "_" for ch in table)
-    return f"{stable_root(spark)}/tessera_erase_state/{safe}"
 
+class SourceChanged(RuntimeError):
+    """The files to replace are no longer those that were read."""
 
-def _write_marker(spark: SparkSession, path: str, payload: dict) -> None:
-    """The plan as one small JSON file, written by the file system API
-    (written aside, then renamed: a reader sees all of it or nothing)."""
-    fsutil.write_text(spark, path, json.dumps(payload, default=str))
 
+STEPS = ("requests", "staged", "half-swapped", "swapped", "verified", "half-deleted", "deleted",
+         "unmarked")
 
-def _read_marker(spark: SparkSession, path: str) -> dict | None:
-    text = fsutil.read_text(spark, path)
-    return json.loads(text) if text else None
 
+class _Stop:
+    """Test hook: a run that stops at one of ``STEPS``, as a crash would."""
 
-def _discard_unfinished(spark: SparkSession, state: str) -> None:
-    """Start over after a run that died before its marker: remove the staging
-    it had begun (which may sit inside the table's folder) and its state."""
-    pending = fsutil.read_text(spark, state + "/_pending")
-    if pending and pending.strip():
-        fsutil.delete(spark, pending.strip())
-    fsutil.delete(spark, state)
+    def __init__(self, step: str | None):
+        if step is not None and step not in STEPS:
+            raise ValueError(f"unknown step {step!r}; expected one of {STEPS}")
+        self.step = step
 
-
-def _note_staging(spark: SparkSession, state: str, staging: str) -> None:
-    fsutil.write_text(spark, state + "/_pending", staging)
+    def at(self, step: str) -> None:
+        if step == self.step:
+            raise RuntimeError(f"stopped at {step!r} (test hook)")
 
 
-def _table_type(spark: SparkSession, table: str) -> str:
-    return describe(spark, table)["type"] or "EXTERNAL"
+CATALOG_WORKERS = 8   # concurrent catalog and file-system calls
 
 
-def _location(spark: SparkSession, table: str, spec: str | None = None) -> str:
-    """Storage location of a table or of one partition (catalog lookup)."""
-    loc = describe(spark, table, spec)["location"]
-    if loc is None:
-        raise RuntimeError(f"no location for {table} {spec or ''}")
-    return loc
+def _each(fn, items: list) -> list:
+    """``[fn(x) for x in items]`` with up to ``CATALOG_WORKERS`` catalog /
+    file-system calls in flight (driver-side metadata work only)."""
+    if len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(CATALOG_WORKERS, len(items))) as pool:
+        return list(pool.map(fn, items))
 
 
 def _spec(part: str, value) -> str:
     return f"PARTITION ({quote_ident(part)} = {sql_literal(value)})"
 
 
-def _drop_partitions(spark: SparkSession, table: str, part: str, values: list,
-                     chunk: int = 500) -> None:
-    """Remove emptied partitions: their files, then their catalog entries.
+class _Target:
+    """What is erased from: reading it, its partition folders, its format."""
+
+    def __init__(self, spark: SparkSession, name: str, root: str, part: str, fmt: str,
+                 options: dict):
+        if fmt not in FORMATS:
+            raise ValueError(f"{name} is stored as {fmt!r}; an erase can rewrite {FORMATS}")
+        self.spark, self.name, self.part, self.fmt = spark, name, part, fmt
+        self.root, self.options = root.rstrip("/"), options
+
+    def staged(self, schema: StructType, path: str) -> DataFrame:
+        return self.spark.read.format(self.fmt).options(**self.options).schema(schema).load(path)
+
+    def batch(self, values: list) -> DataFrame:
+        main = self.read()
+        kind = main.schema[self.part].dataType
+        return main.where(F.col(self.part).isin([F.lit(v).cast(kind) for v in values]))
+
+    def in_files(self, values: list, names: list[str]) -> DataFrame:
+        """Rows of the partitions that are seen in files of these names."""
+        return self.batch(values).where(F.element_at(
+            F.split("_metadata.file_path", "/"), -1).isin(names))
+
+
+class _Table(_Target):
+    """A catalog table with one partition column."""
+
+    def __init__(self, spark: SparkSession, table: str, part: str | None):
+        columns = partition_columns(spark, table)
+        if len(columns) != 1:
+            raise ValueError(f"{table} must have exactly one partition column, has {columns}")
+        if part not in (None, columns[0]):
+            raise ValueError(f"{part} is not a partition column of {table}")
+        facts = describe(spark, table)
+        self.managed = facts["type"] == "MANAGED"
+        create = spark.sql(f"SHOW CREATE TABLE {quote_ident(table)}").first()[0]
+        block = re.search(r"(?s)\nOPTIONS \((.*?)\)\n(?:PARTITIONED|LOCATION|TBLPROP|COMMENT|$)", create)
+        unquote = lambda t: re.sub(r"\\(.)", r"\1", t)
+        options = {unquote(k): unquote(v) for k, v in re.findall(
+            r"'((?:[^'\\]|\\.)*)' = '((?:[^'\\]|\\.)*)'", block[1] if block else "")}
+        super().__init__(spark, table, facts["location"], columns[0],
+                         (facts["provider"] or "").lower(), options)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def refresh(self) -> None:
+        self.spark.catalog.refreshTable(self.name)
+
+    def folders(self, values: list) -> dict[str, str]:
+        """Folder of each of the values that is a partition (looked up one by
+        one: the list of all partitions is never fetched)."""
+        def look(v):
+            spec = _spec(self.part, v)
+            if self.spark.sql(f"SHOW PARTITIONS {quote_ident(self.name)} {spec}").isEmpty():
+                return None
+            return describe(self.spark, self.name, spec)["location"].rstrip("/")
+        return {v: f for v, f in zip(values, _each(look, values), strict=True) if f}
+
+    def point(self, value, folder: str) -> None:
+        self.spark.sql(f"ALTER TABLE {quote_ident(self.name)} {_spec(self.part, value)} "
+                       f"SET LOCATION {sql_literal(folder)}")
+
+    def drop(self, folders: dict[str, str], chunk: int = 500) -> None:
+        specs = [_spec(self.part, v) for v in folders]
+        for i in range(0, len(specs), chunk):
+            self.spark.sql(f"ALTER TABLE {quote_ident(self.name)} DROP IF EXISTS "
+                           + ", ".join(specs[i:i + chunk]))
+        _each(lambda f: fsutil.delete(self.spark, f), list(folders.values()))
+        self.refresh()
+
+
+class _Path(_Target):
+    """A file dataset in ``part=value`` folders."""
+
+    def __init__(self, spark: SparkSession, path: str, part: str, schema, fmt: str, options: dict):
+        super().__init__(spark, path, path, part, fmt.lower(), options)
+        self.schema = schema
+        if part not in self.read().columns:
+            raise ValueError(f"{part} is not a column of {path}")
+        first = next(iter(self._all().values()), None)
+        if first is None or any("=" in d.rsplit("/", 1)[-1] for d in fsutil.list_dirs(spark, first)):
+            raise ValueError(f"{path} must be partitioned by {part} alone")
+
+    def read(self) -> DataFrame:
+        reader = self.spark.read.format(self.fmt).options(**self.options)
+        return (reader.schema(self.schema) if self.schema is not None else reader).load(self.root)
+
+    def refresh(self) -> None:
+        self.spark.catalog.refreshByPath(self.root)
+
+    def _all(self) -> dict[str, str]:
+        found = {fsutil.partition_dir_value(f, self.part): f
+                 for f in fsutil.list_dirs(self.spark, self.root)}
+        return {v: f.rstrip("/") for v, f in found.items() if v is not None}
+
+    def folders(self, values: list) -> dict[str, str]:
+        have = self._all()
+        return {v: have[str(v)] for v in values if str(v) in have}
+
+    def drop(self, folders: dict[str, str]) -> None:
+        _each(lambda f: fsutil.delete(self.spark, f), list(folders.values()))
+        self.refresh()
+
+
+def _state_dir(spark: SparkSession, name: str) -> str:
+    """State of a table's erase (request list, marker) under the checkpoint
+    folder itself, so a restarted application ends an interrupted one."""
+    safe = "".join(ch if ch.isalnum() or ch in "._-" else "_" for ch in name)
+    digest = hashlib.sha1(name.encode()).hexdigest()[:8]
+    return f"{stable_root(spark)}/tessera_erase_state/{safe[-80:]}-{digest}"
+
+
+def _read_json(spark: SparkSession, path: str) -> dict | None:
+    text = fsutil.read_text(spark, path)
+    return json.loads(text) if text else None
+
+
+def _stage_survivors(target: _Target, rows: DataFrame, columns: list[str], keys: DataFrame,
+                     small: bool, few: list | None, key: str, staging: str, hot_rows: int,
+                     files_per_partition: int | None, largest: int) -> dict:
+    """One pass over ``rows``: tag requested keys, count, and write the
+    survivors to ``staging`` in the target's format.
 
-    Dynamic overwrite alone would leave an emptied partition's old rows.  A
-    managed table's DROP PARTITION deletes the folder; for an external table
-    the partition is first overwritten with zero rows (static overwrite of
-    exactly that partition), so its files go too.
-    """
-    t = quote_ident(table)
-    specs = [_spec(part, v) for v in values]
-    if _table_type(spark, table) != "MANAGED":
-        data_cols = [f for f in spark.table(table).schema.fields if f.name != part]
-        view = "__tessera_empty_" + uuid.uuid4().hex[:8]
-        spark.createDataFrame([], ", ".join(
-            f"{quote_ident(f.name)} {f.dataType.simpleString()}" for f in data_cols)
-        ).createOrReplaceTempView(view)
-        try:
-            for spec in specs:
-                spark.sql(f"INSERT OVERWRITE TABLE {t} {spec} SELECT * FROM {view}")
-        finally:
-            spark.catalog.dropTempView(view)
-    for i in range(0, len(specs), chunk):
-        spark.sql(f"ALTER TABLE {t} DROP IF EXISTS " + ", ".join(specs[i:i + chunk]))
-
-
-def _filter_touched(spark: SparkSession, main: DataFrame, part: str, plan: dict) -> DataFrame:
-    """Rows of the touched partitions: literal filter when the list is known,
-    else a semi join with the stored partition list."""
-    if plan["partitions"] is not None:
-        part_type = main.schema[part].dataType
-        return main.where(F.col(part).isin([F.lit(v).cast(part_type) for v in plan["partitions"]]))
-    parts = spark.read.parquet(plan["parts_path"])
-    return main.join(parts, part, "left_semi").select(*main.columns)
-
-
-def _touched(spark: SparkSession, table: str, part: str, plan: dict) -> DataFrame:
-    return _filter_touched(spark, spark.table(table), part, plan)
-
-
-def _stage_survivors(touched: DataFrame, columns: list[str], keys: DataFrame, small: bool,
-                     key: str, part: str, staging: str, listed: bool,
-                     hot_rows: int, files_per_partition: int | None,
-                     few: list | None = None) -> dict:
-    """One pass over the touched partitions: tag requested keys, then count
-    and write the survivors to ``staging`` (parquet, partitioned).
-
-    The observed metrics sit right before the write, in the final stage, so
-    a retried map stage cannot count twice.  With a literal partition list
-    the partitions seen (all / with survivors) ride along as well.
+    The observed counts sit right before the write, in the final stage, so a
+    retried map stage cannot count twice.  After a shuffled join the rows are
+    clustered by partition again (``largest``, the bytes of the largest
+    partition, gives the number of files), else each reducer would write a
+    file for every partition.
     """
     obs = Observation()
     hit = F.col("__hit")
-    seen = ([F.collect_set(F.col(part).cast("string")).alias("parts"),
-             F.collect_set(F.when(hit.isNull(), F.col(part).cast("string"))).alias("kept_parts")]
-            if listed else [])
     flagged = keys.withColumn("__hit", F.lit(True))
     if few is not None:                        # short list: a literal IN, no join at all
-        tagged = touched.withColumn("__hit", F.when(F.col(key).isin(few), F.lit(True)))
+        tagged = rows.withColumn("__hit", F.when(F.col(key).isin(few), F.lit(True)))
     elif small:                                # broadcast: no shuffle of the table
-        tagged = touched.join(flagged, key, "left")
+        tagged = rows.join(flagged, key, "left")
     else:                                      # shuffle: split hot keys (copies) first
-        tagged = skew_join(touched, flagged, key, "left", hot_rows)
-    survivors = (cluster_for_write(tagged, part, files_per_partition)
-                 .observe(obs, F.count(F.lit(1)).alias("rows"), F.count(hit).alias("erased"),
-                          *seen)
+        tagged = skew_join(rows, flagged, key, "left", hot_rows)
+        files_per_partition = files_per_partition or max(1, -(-largest // FILE_BYTES))
+    survivors = (cluster_for_write(tagged, target.part, files_per_partition)
+                 .observe(obs, F.count(F.lit(1)).alias("rows"), F.count(hit).alias("erased"))
                  .where(hit.isNull()).select(*columns))
-    survivors.write.mode("overwrite").partitionBy(part).parquet(staging)
+    (survivors.write.mode("overwrite").format(target.fmt).options(**target.options)
+     .partitionBy(target.part).save(staging))
     m = obs.get
-    out = {"touched_rows": int(m["rows"]), "erased_rows": int(m["erased"]),
-           "kept_rows": int(m["rows"]) - int(m["erased"])}
-    if listed:
-        out["emptied"] = sorted(set(m["parts"]) - set(m["kept_parts"]))
-    return out
-
-
-def _check_staging(spark: SparkSession, schema, staging: str, counts: dict, what: str) -> DataFrame:
-    staged = spark.read.schema(schema).parquet(staging)
-    n = staged.count()
-    if n != counts["kept_rows"]:
-        fsutil.delete(spark, staging)
-        raise RuntimeError(f"erase of {what}: staging holds {n} rows, expected "
-                           f"{counts['kept_rows']}")
-    return staged
+    return {"rows": int(m["rows"]), "erased": int(m["erased"]),
+            "kept": int(m["rows"]) - int(m["erased"])}
+
+
+def _check_staging(target: _Target, schema: StructType, staging: str, counts: dict) -> None:
+    n = target.staged(schema, staging).count() if counts["kept"] else 0
+    if n != counts["kept"]:
+        raise RuntimeError(f"erase of {target.name}: staging holds {n} rows, expected "
+                           f"{counts['kept']}")
+
+
+def _unchanged(spark: SparkSession, listed: list) -> bool:
+    """Whether each listed (file, size, modification time) still holds."""
+    return all(_each(lambda f: fsutil.file_facts(spark, f[0]) == f[1:], listed))
+
+
+def _forward(target: _Target, plan: dict, marker: str, stop: _Stop) -> None:
+    """From a marker to the end of its batch.  Each step is skipped where it
+    is already done; ``SourceChanged`` if the listed files are not those read."""
+    spark = target.spark
+    if plan["phase"] == "staged":
+        half = len(plan["moves"]) // 2
+        if plan["swap"] == "relocate":
+            def repoint(move):
+                value, old, new = move
+                now = target.folders([value]).get(value)
+                if now == new:
+                    return
+                if now != old or fsutil.list_facts(spark, old) != plan["before"][str(value)]:
+                    raise SourceChanged(f"partition {value} of {target.name} changed")
+                target.point(value, new)
+            step = repoint
+        else:
+            if not _unchanged(spark, plan["deletes"]):
+                raise SourceChanged(f"files of {target.name} changed")
+
+            def put(move):
+                src, dst = move
+                if fsutil.exists(spark, src):
+                    if not fsutil.rename(spark, src, dst):
+                        raise OSError(f"could not move {src} to {dst}")
+                elif not fsutil.exists(spark, dst):
+                    raise SourceChanged(f"staged file {src} is gone")
+            step = put
+        _each(step, plan["moves"][:half])
+        stop.at("half-swapped")
+        _each(step, plan["moves"][half:])
+        stop.at("swapped")
+        target.refresh()
+        if not _unchanged(spark, plan["deletes"]):
+            raise SourceChanged(f"files of {target.name} changed")
+        seen = target.in_files(plan["values"], plan["placed"]).count() if plan["kept"] else 0
+        if seen != plan["kept"]:
+            raise RuntimeError(f"erase of {target.name}: {seen} rows in place, expected "
+                               f"{plan['kept']}; nothing was deleted, staging {plan['staging']}")
+        plan["phase"] = "verified"
+        fsutil.write_text(spark, marker, json.dumps(plan))
+        stop.at("verified")
+    half = len(plan["deletes"]) // 2
+    _each(lambda f: fsutil.delete(spark, f[0]), plan["deletes"][:half])
+    stop.at("half-deleted")
+    _each(lambda f: fsutil.delete(spark, f[0]), plan["deletes"][half:])
+    target.refresh()
+    live = target.folders(plan["values"])
+    empty = {v: f for v, f in live.items() if not fsutil.list_files(spark, f)}
+    if empty:
+        target.drop(empty)
+    plan["emptied"] = sorted(str(v) for v in empty)
+    if plan["swap"] == "relocate":
+        for _, old, _ in plan["moves"]:
+            if not fsutil.list_files(spark, old):
+                fsutil.delete(spark, old)
+                parent = old.rsplit("/", 1)[0]      # an earlier run's staging
+                if "/_erase_" in parent and not fsutil.list_dirs(spark, parent):
+                    fsutil.delete(spark, parent)
+    stop.at("deleted")
+
+
+def _roll_back(target: _Target, plan: dict) -> None:
+    """Undo a batch that was not verified: files moved in go, partitions
+    already re-pointed stay (each is whole by itself), the rest of the staging
+    goes."""
+    spark = target.spark
+    if plan["swap"] == "relocate":
+        for value, old, new in plan["moves"]:
+            if target.folders([value]).get(value) == new:
+                if fsutil.list_facts(spark, old) == plan["before"][str(value)]:
+                    fsutil.delete(spark, old)
+                else:                    # rows came to the old folder: it is the one to keep
+                    target.point(value, old)
+                    fsutil.delete(spark, new)
+            else:
+                fsutil.delete(spark, new)
+        if not fsutil.list_dirs(spark, plan["staging"]):
+            fsutil.delete(spark, plan["staging"])
+    else:
+        _each(lambda m: fsutil.delete(spark, m[1]), plan["moves"])
+        fsutil.delete(spark, plan["staging"])
+    target.refresh()
 
 
-def _emptied_by_spark(touched: DataFrame, staged: DataFrame, part: str) -> list:
-    """Touched partitions without survivors, computed by Spark and streamed
-    to the driver only for the catalog / folder calls that drop them."""
-    had = touched.select(F.col(part).cast("string").alias(part)).distinct()
-    kept = staged.select(F.col(part).cast("string").alias(part)).distinct()
-    return sorted(r[0] for r in had.exceptAll(kept).toLocalIterator())
+def _finish(target: _Target, plan: dict, marker: str, stop: _Stop) -> None:
+    """The marker goes first: staging without a marker is only litter."""
+    fsutil.delete(target.spark, marker)
+    stop.at("unmarked")
+    if plan["swap"] != "relocate" or not plan["moves"]:
+        fsutil.delete(target.spark, plan["staging"])
 
 
-CATALOG_WORKERS = 8   # concurrent catalog calls when many partitions are touched
+BATCH_PARTITIONS = 1000          # requested partitions of one staging and swap
+MAX_AFFECTED_FILES = 100_000     # files of a batch; one with more is halved
 
 
-def _each(fn, items: list) -> list:
-    """``[fn(x) for x in items]`` with up to ``CATALOG_WORKERS`` catalog /
-    file-system calls in flight (driver-side metadata work only)."""
-    if len(items) <= 1:
-        return [fn(x) for x in items]
-    with ThreadPoolExecutor(max_workers=min(CATALOG_WORKERS, len(items))) as pool:
-        return list(pool.map(fn, items))
-
-
-def _relocation_moves(spark: SparkSession, table: str, part: str, plan: dict) -> list:
-    """[value, old location, staging folder] for each partition with survivors."""
-    found = [(fsutil.partition_dir_value(f, part), f)
-             for f in fsutil.list_dirs(spark, plan["staging"])]
-    found = [(v, f) for v, f in found if v is not None]
-    return _each(lambda vf: [vf[0], _location(spark, table, _spec(part, vf[0])), vf[1]], found)
-
-
-def _swap(spark: SparkSession, table: str, part: str, plan: dict) -> None:
-    t = quote_ident(table)
-    if plan["mode"] == "files":
-        _swap_files(spark, table, part, plan)
-        return
-    if plan["mode"] == "relocate":
-        def move(entry):
-            value, old, new = entry
-            spec = _spec(part, value)
-            if _location(spark, table, spec).rstrip("/") != new.rstrip("/"):
-                spark.sql(f"ALTER TABLE {t} {spec} SET LOCATION {sql_literal(new)}")
-            if old.rstrip("/") != new.rstrip("/"):
-                fsutil.delete(spark, old)      # the old files hold the erased rows
-            return old
-
-        olds = _each(move, plan["moves"])
-        for parent in sorted({o.rstrip("/").rsplit("/", 1)[0] for o in olds}):
-            if parent.rsplit("/", 1)[-1].startswith("_erase_") and \
-                    not fsutil.list_dirs(spark, parent):
-                fsutil.delete(spark, parent)   # an earlier run's emptied staging
-    elif plan["kept_rows"] > 0:
-        staged = spark.read.schema(spark.table(table).schema).parquet(plan["staging"])
-        insert_overwrite_partitions(staged, table)
-    if plan["emptied"]:
-        _drop_partitions(spark, table, part, plan["emptied"])
-    spark.catalog.refreshTable(table)
-
-
-def _catalog_partitions(spark: SparkSession, table: str) -> set[str]:
-    rows = spark.sql(f"SHOW PARTITIONS {quote_ident(table)}").collect()
-    return {r[0] for r in rows}
-
-
-def _verify(spark: SparkSession, table: str, part: str, plan: dict,
-            listed_before: set[str] | None = None) -> None:
-    if listed_before is not None:
-        emptied = set(plan["emptied"])
-        gone = {p for p in listed_before - _catalog_partitions(spark, table)
-                if fsutil.partition_dir_value(p, part) not in emptied}
-        if gone:
-            raise RuntimeError(f"erase of {table}: untouched partitions vanished: {sorted(gone)[:5]}")
-    now = _touched(spark, table, part, plan).count()
-    if now != plan["kept_rows"]:
-        raise RuntimeError(f"erase of {table}: touched partitions hold {now} rows, "
-                           f"expected {plan['kept_rows']}; staging kept at {plan['staging']}")
-
-
-def _finish(spark: SparkSession, plan: dict, state: str) -> None:
-    if plan["mode"] in ("copy", "files"):     # "files": only empty folders are left
-        fsutil.delete(spark, plan["staging"])
+@dc.dataclass
+class _Options:
+    swap: str
+    broadcast_rows: int
+    hot_rows: int
+    key_literals: int
+    files_per_partition: int | None
+    stop: _Stop
+
+
+def _erase_batch(target: _Target, key: str, wanted: list, keys: tuple, state: str, o: _Options,
+                 last: bool) -> EraseReport:
+    """Stage and swap the partitions ``wanted`` (at most a batch)."""
+    spark, part = target.spark, target.part
+    report = EraseReport(target.name, None)
+    folders = target.folders(wanted)
+    if not folders:
+        return report
+    before = dict(zip(folders, _each(lambda f: fsutil.list_facts(spark, f),
+                                     list(folders.values())), strict=True))
+    if len(folders) > 1 and sum(map(len, before.values())) > MAX_AFFECTED_FILES:
+        values, half = list(folders), len(folders) // 2
+        report.add(_erase_batch(target, key, values[:half], keys, state, o, False))
+        report.add(_erase_batch(target, key, values[half:], keys, state, o, last))
+        return report
+    keys_df, small, few = keys
+    values = list(folders)
+    rows = target.batch(values)
+    columns, schema = rows.columns, rows.schema
+    listed = [f for files in before.values() for f in files]
+    total = None
+    if o.swap == "files":
+        with_file = rows.withColumn("__file", F.col("_metadata.file_path"))
+        if few is not None:
+            hits = with_file.where(F.col(key).isin(few))
+        elif small:
+            hits = with_file.join(keys_df, key, "left_semi")
+        else:
+            hits = skew_join(with_file.select(key, "__file"), keys_df, key, "left_semi", o.hot_rows)
+        # at most the files of this batch, which are listed above
+        names = sorted(r[0] for r in hits.select("__file").distinct().collect())
+        if not names:
+            return report
+        held = {fsutil.uri_path(spark, n) for n in names}
+        listed = [f for f in listed if f[0] in held]
+        if len(listed) != len(held):
+            raise SourceChanged(f"files of {target.name} changed while they were read")
+        total = rows.count()
+        rows = with_file.where(F.col("__file").isin(names)).drop("__file")
+    run = uuid.uuid4().hex[:12]
+    staging = f"{target.root}/_erase_{run}"
+    fsutil.write_text(spark, state + "/_pending", staging)
+    largest = max((sum(f[1] for f in files) for files in before.values()), default=0)
+    counts = _stage_survivors(target, rows, columns, keys_df, small, few, key, staging, o.hot_rows,
+                              o.files_per_partition, largest)
+    _check_staging(target, schema, staging, counts)
+    if counts["erased"] == 0:                  # nothing to erase here: leave it as it is
+        fsutil.delete(spark, staging)
+        report.touched_rows = report.kept_rows = counts["rows"] if total is None else total
+        return report
+    by_text = {str(v): v for v in values}
+    staged = {by_text[fsutil.partition_dir_value(f, part)]: f.rstrip("/")
+              for f in fsutil.list_dirs(spark, staging)
+              if fsutil.partition_dir_value(f, part) is not None}
+    if o.swap == "relocate":
+        moves = [[v, folders[v], f] for v, f in staged.items()]
+        placed = [f for _, _, new in moves for f in fsutil.list_files(spark, new)]
+    else:
+        def into(item):
+            value, folder = item
+            return [[src, f"{folders[value]}/erase-{run}-{src.rsplit('/', 1)[-1]}"]
+                    for src in fsutil.list_files(spark, folder)]
+        moves = [m for ms in _each(into, list(staged.items())) for m in ms]
+        placed = [dst for _, dst in moves]
+    plan = {"swap": o.swap, "phase": "staged", "staging": staging, "last": last,
+            "values": values, "moves": moves, "deletes": listed, "kept": counts["kept"],
+            "placed": [f.rsplit("/", 1)[-1] for f in placed],
+            "before": {str(v): files for v, files in before.items()}, "emptied": [],
+            "touched_rows": counts["rows"] if total is None else total,
+            "erased_rows": counts["erased"]}
+    plan = json.loads(json.dumps(plan, default=str))
+    marker = state + "/_marker"
+    fsutil.write_text(spark, marker, json.dumps(plan))
+    o.stop.at("staged")
+    _forward(target, plan, marker, o.stop)
+    _finish(target, plan, marker, o.stop)
+    report.touched_rows, report.erased_rows = plan["touched_rows"], plan["erased_rows"]
+    report.kept_rows = plan["touched_rows"] - plan["erased_rows"]
+    report.emptied = plan["emptied"]
+    return report
+
+
+def _run_requests(target: _Target, stored: DataFrame, key: str, state: str,
+                  o: _Options) -> EraseReport:
+    """The stored request list over all its partitions, batch by batch."""
+    part = target.part
+    keys_df, n, small, few = _plan_keys(_request_keys(stored, key, key), key, o.key_literals,
+                                        o.broadcast_rows)
+    report = EraseReport(target.name, [])
+    if n:
+        kind = target.read().schema[part].dataType
+        wanted = (stored.select(F.col(part).cast(kind).alias(part)).where(F.col(part).isNotNull())
+                  .distinct().select(F.col(part).cast("string").alias(part)).orderBy(part))
+        batch: list = []
+        seen: list | None = []
+        for row in wanted.toLocalIterator(prefetchPartitions=True):
+            if len(batch) == BATCH_PARTITIONS:
+                report.add(_erase_batch(target, key, batch, (keys_df, small, few), state, o, False))
+                batch = []
+            batch.append(row[0])
+            if seen is not None:
+                seen = None if len(seen) == MAX_PARTITION_LITERALS else seen
+            if seen is not None:
+                seen.append(row[0])
+        if batch:
+            report.add(_erase_batch(target, key, batch, (keys_df, small, few), state, o, True))
+        report.partitions = seen
+    report.skipped = not n or report.partitions == []
+    return report
+
+
+def _erase(target: _Target, requests: DataFrame, key: str, req_key: str | None,
+           req_part: str | None, state: str, o: _Options) -> EraseReport:
+    spark, part = target.spark, target.part
+    marker, begun = state + "/_marker", state + "/_begun"
+    earlier = _read_json(spark, begun)
+    resumed = EraseReport(target.name, [])
+    if earlier is not None:
+        plan = _read_json(spark, marker)
+        complete = False
+        if plan is not None:
+            try:
+                _forward(target, plan, marker, o.stop)
+                complete = plan["last"]
+                resumed.add(EraseReport(target.name, None, plan["touched_rows"],
+                                        plan["erased_rows"],
+                                        plan["touched_rows"] - plan["erased_rows"],
+                                        plan["emptied"]))
+            except SourceChanged:
+                _roll_back(target, plan)
+            _finish(target, plan, marker, o.stop)
+        else:                                  # staging that never got its marker
+            pending = fsutil.read_text(spark, state + "/_pending")
+            if pending:
+                _drop_litter(target, pending)
+        if not complete:
+            stored = spark.read.parquet(earlier["requests"])
+            resumed.add(_run_requests(target, stored, earlier["key"], state, o))
+    fsutil.delete(spark, state)
+    path = f"{state}/requests_{uuid.uuid4().hex[:12]}"
+    (requests.select(F.col(req_key or key).alias(key), F.col(req_part or part).alias(part))
+     .write.parquet(path))
+    fsutil.write_text(spark, begun, json.dumps({"requests": path, "key": key}))
+    o.stop.at("requests")
+    report = _run_requests(target, spark.read.parquet(path), key, state, o)
     fsutil.delete(spark, state)
+    report.add(resumed)
+    report.resumed = earlier is not None
+    return report
+
+
+def _drop_litter(target: _Target, staging: str) -> None:
+    """Remove a staging folder without a marker; partitions that a finished
+    relocation points into it stay."""
+    spark = target.spark
+    found = {fsutil.partition_dir_value(f, target.part): f.rstrip("/")
+             for f in fsutil.list_dirs(spark, staging)}
+    values = [v for v in found if v is not None]
+    live = set(target.folders(values).values()) if values else set()
+    for folder in found.values():
+        if folder not in live:
+            fsutil.delete(spark, folder)
+    if not live:
+        fsutil.delete(spark, staging)
 
 
 def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str,
@@ -413,384 +671,44 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
                   key_literals: int = MAX_KEY_LITERALS,
                   files_per_partition: int | None = None,
-                  fail_after_staging: bool = False) -> EraseReport:
+                  fail_after_staging: bool = False, stop_at: str | None = None) -> EraseReport:
     """Erase requested records from catalog table ``table`` in place.
 
     ``requests`` holds ``req_key`` (default ``key``) and ``req_part`` (default
-    the table's partition column).  ``swap`` is ``relocate`` or ``copy`` (see
-    the module notes; a partition list too long for literals always copies).
-    ``files_per_partition`` bounds the files each rewritten partition gets
-    (and spreads a hot partition over that many writer tasks).  When the key
-    set is too large to broadcast, keys with more than ``hot_rows`` rows in
-    the table (many copies of one record) are salted over several tasks.
-    ``fail_after_staging`` is a test hook that stops between staging and
-    swap, like a crash would.
-
-    Run one erase per table at a time, and let no other job write to the
-    touched partitions between staging and swap: their rows would not be in
-    the staged copy.
+    the table's partition column).  ``swap`` is ``relocate``, ``copy`` or
+    ``files`` (see the module notes).  The table has exactly one partition
+    column and one of the file formats of this library; anything else raises
+    before any work.  ``files_per_partition`` bounds the files each rewritten
+    partition gets (and spreads a hot partition over that many writer tasks).
+    When the key set is too large to broadcast, keys with more than
+    ``hot_rows`` rows in the table (many copies of one record) are salted over
+    several tasks.  ``stop_at`` is a test hook that stops at one of ``STEPS``,
+    like a crash would (``fail_after_staging``: at ``staged``).
     """
     if swap not in ("relocate", "copy", "files"):
         raise ValueError("swap must be 'relocate', 'copy' or 'files'")
-    parts_cols = partition_columns(spark, table)
-    if part is None:
-        if len(parts_cols) != 1:
-            raise ValueError(f"{table} must have exactly one partition column, has {parts_cols}")
-        part = parts_cols[0]
-    elif part not in parts_cols:
-        raise ValueError(f"{part} is not a partition column of {table}")
-    state = _state_dir(spark, table)
-    marker = state + "/_marker"
-
-    plan = _read_marker(spark, marker)
-    if plan is not None:                       # resume an interrupted swap
-        _swap(spark, table, part, plan)
-        _verify(spark, table, part, plan)
-        _finish(spark, plan, state)
-        return EraseReport(table, plan["partitions"], plan["touched_rows"], plan["erased_rows"],
-                           plan["kept_rows"], plan["emptied"], resumed=True)
-    _discard_unfinished(spark, state)          # a partial staging without marker
-
-    main = spark.table(table)
-    with _requests_once(requests, key, part, req_key, req_part) as req:
-        return _erase_table(spark, table, main, req, key, part, state, marker, swap,
-                            broadcast_rows, hot_rows, key_literals, files_per_partition,
-                            fail_after_staging)
-
-
-# Above this many affected files the file-level swap falls back to
-# rewriting whole partitions (the file list travels through the driver).
-MAX_AFFECTED_FILES = 100_000
-
-
-def _erase_files(spark, table, main, key, part, state, marker, parts, few, keys, small,
-                 hot_rows, fail_after_staging) -> EraseReport | None:
-    """File-level swap: rewrite only the data files that hold a requested
-    record.  Their survivors are staged in a hidden folder of the table,
-    moved (renamed) into the partitions' folders, and then the old files are
-    deleted.  Partition pruning, the pushed-down key filter and the file list
-    keep the work proportional to the affected files, not to the partitions.
-
-    Not atomic for concurrent readers: between the moves and the deletes a
-    reader may see an affected file's surviving rows twice.  Returns None
-    when more than ``MAX_AFFECTED_FILES`` files are affected.
-    """
-    run_id = uuid.uuid4().hex[:12]
-    plan = {"run": run_id, "mode": "files", "partitions": [str(p) for p in parts],
-            "staging": f"{_location(spark, table).rstrip('/')}/_erase_{run_id}",
-            "parts_path": None}
-    touched = _filter_touched(spark, main, part, plan)
-    with_file = touched.withColumn("__file", F.col("_metadata.file_path"))
-    if few is not None:
-        hits = with_file.where(F.col(key).isin(few))
-    elif small:
-        hits = with_file.join(keys, key, "left_semi")
-    else:
-        hits = skew_join(with_file, keys, key, "left_semi", hot_rows)
-    files = partition_values(hits.select("__file"), "__file", MAX_AFFECTED_FILES)
-    if files is None:
-        return None
-    if not files:
-        return EraseReport(table, plan["partitions"], skipped=True)
-    before_rows = touched.count()
-    affected = with_file.where(F.col("__file").isin(files)).drop("__file")
-    _note_staging(spark, state, plan["staging"])
-    counts = _stage_survivors(affected, main.columns, keys, small, key, part, plan["staging"],
-                              True, hot_rows, None, few)
-    _check_staging(spark, main.schema, plan["staging"], counts, table)
-    found = [(fsutil.partition_dir_value(f, part), f)
-             for f in fsutil.list_dirs(spark, plan["staging"])]
-    found = [(v, f) for v, f in found if v is not None]
-
-    def moves_for(vf):
-        target = _location(spark, table, _spec(part, vf[0])).rstrip("/")
-        return [[src, f"{target}/erase-{run_id}-{src.rsplit('/', 1)[-1]}"]
-                for src in fsutil.list_files(spark, vf[1])]
-
-    moves = [m for ms in _each(moves_for, found) for m in ms]
-    plan.update(touched_rows=before_rows, erased_rows=counts["erased_rows"],
-                kept_rows=before_rows - counts["erased_rows"], moves=moves, deletes=files,
-                emptied=[], affected_rows=counts["touched_rows"])
-    _write_marker(spark, marker, plan)
-    if fail_after_staging:
-        raise RuntimeError("stopped after staging (test hook)")
-    listed_before = _catalog_partitions(spark, table)
-    _swap(spark, table, part, plan)
-    _verify(spark, table, part, plan, listed_before)
-    _finish(spark, plan, state)
-    return EraseReport(table, plan["partitions"], before_rows, counts["erased_rows"],
-                       plan["kept_rows"], plan["emptied"])
-
-
-def _swap_files(spark: SparkSession, table: str, part: str, plan: dict) -> None:
-    """Moves, then deletes (each step skipped when already done), then drop
-    the touched partitions that hold no row any more."""
-    def move(entry):
-        src, dst = entry
-        if fsutil.exists(spark, src) and not fsutil.exists(spark, dst):
-            fsutil.rename(spark, src, dst)
-
-    _each(move, plan["moves"])
-    _each(lambda uri: fsutil.delete_uri(spark, uri), plan["deletes"])
-    spark.catalog.refreshTable(table)
-    existing = {fsutil.partition_dir_value(p, part) for p in _catalog_partitions(spark, table)}
-    candidates = sorted(set(plan["partitions"]) & existing)
-    if candidates:
-        main = spark.table(table)
-        part_type = main.schema[part].dataType
-        have = {str(r[0]) for r in main.where(F.col(part).isin(
-            [F.lit(v).cast(part_type) for v in candidates])).select(part).distinct().collect()}
-        plan["emptied"] = [v for v in candidates if v not in have]
-        if plan["emptied"]:
-            _drop_partitions(spark, table, part, plan["emptied"])
-            spark.catalog.refreshTable(table)
-
-
-def _erase_table(spark, table, main, req, key, part, state, marker, swap, broadcast_rows,
-                 hot_rows, key_literals, files_per_partition, fail_after_staging) -> EraseReport:
-    parts_df = _request_parts(req, part, part)
-    parts = partition_values(parts_df, part)
-    if parts == []:
-        return EraseReport(table, [], skipped=True)
-    keys, n_keys, small, few = _plan_keys(_request_keys(req, key, key), key, key_literals,
-                                          broadcast_rows)
-    if n_keys == 0:
-        return EraseReport(table, None if parts is None else [str(p) for p in parts],
-                           skipped=True)
-
-    listed = parts is not None
-    if swap == "files" and listed:
-        report = _erase_files(spark, table, main, key, part, state, marker, parts, few, keys,
-                              small, hot_rows, fail_after_staging)
-        if report is not None:
-            return report
-        swap = "relocate"                      # too many affected files: whole partitions
-    mode = swap if listed else "copy"
-    run_id = uuid.uuid4().hex[:12]
-    staging = (f"{_location(spark, table).rstrip('/')}/_erase_{run_id}" if mode == "relocate"
-               else f"{state}/run_{run_id}")
-    plan = {"run": run_id, "mode": mode, "staging": staging,
-            "parts_path": f"{state}/parts_{run_id}",
-            "partitions": [str(p) for p in parts] if listed else None}
-    if not listed:                             # long list: keep it as data, not literals
-        parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
-            .write.mode("overwrite").parquet(plan["parts_path"])
-
-    _note_staging(spark, state, staging)
-    touched = _filter_touched(spark, main, part, plan)
-    counts = _stage_survivors(touched, main.columns, keys, small, key, part, staging, listed,
-                              hot_rows, files_per_partition, few)
-    staged = _check_staging(spark, main.schema, staging, counts, table)
-    if not listed:
-        counts["emptied"] = _emptied_by_spark(touched, staged, part)
-    plan.update(counts)
-    touched_rows, erased_rows, kept_rows = (counts["touched_rows"], counts["erased_rows"],
-                                            counts["kept_rows"])
-    if mode == "relocate":
-        plan["moves"] = _relocation_moves(spark, table, part, plan)
-    _write_marker(spark, marker, plan)
-    if fail_after_staging:
-        raise RuntimeError("stopped after staging (test hook)")
-
-    listed_before = _catalog_partitions(spark, table)
-    _swap(spark, table, part, plan)
-    _verify(spark, table, part, plan, listed_before)
-    _finish(spark, plan, state)
-    return EraseReport(table, plan["partitions"], touched_rows, erased_rows, kept_rows,
-                       plan["emptied"])
-
-
-def _partition_folders(spark: SparkSession, path: str, part: str) -> dict[str, str]:
-    """``value -> folder`` of the ``part=value`` folders directly under ``path``."""
-    out = {}
-    for folder in fsutil.list_dirs(spark, path):
-        value = fsutil.partition_dir_value(folder, part)
-        if value is not None:
-            out[value] = folder
-    return out
-
-
-def _swap_path_files(spark: SparkSession, path: str, part: str, plan: dict) -> None:
-    """Moves, then deletes (each skipped when already done); a touched
-    partition folder left without a data file is removed."""
-    for src, dst in plan["moves"]:
-        if fsutil.exists(spark, src) and not fsutil.exists(spark, dst):
-            fsutil.rename(spark, src, dst)
-    for uri in plan["deletes"]:
-        fsutil.delete_uri(spark, uri)
-    folders = _partition_folders(spark, path, part)
-    plan["emptied"] = sorted(v for v in plan["partitions"]
-                             if v in folders and not fsutil.list_files(spark, folders[v]))
-    for value in plan["emptied"]:
-        fsutil.delete(spark, folders[value])
-
-
-def _swap_path(spark: SparkSession, path: str, part: str, plan: dict) -> None:
-    if plan["mode"] == "files":
-        _swap_path_files(spark, path, part, plan)
-        return
-    schema = StructType.fromJson(json.loads(plan["schema"]))
-    if plan["kept_rows"] > 0:
-        staged = spark.read.schema(schema).parquet(plan["staging"])
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part).format(plan["format"]).save(path))
-    folders = _partition_folders(spark, path, part)
-    for value in plan["emptied"]:
-        if value in folders:
-            fsutil.delete(spark, folders[value])
-
-
-def _verify_path(spark: SparkSession, path: str, part: str, plan: dict,
-                 before: set[str] | None = None) -> None:
-    if before is not None:
-        gone = before - set(_partition_folders(spark, path, part)) - set(plan["emptied"])
-        if gone:
-            raise RuntimeError(f"erase of {path}: untouched partitions vanished: {sorted(gone)[:5]}")
-    schema = StructType.fromJson(json.loads(plan["schema"]))
-    main = spark.read.schema(schema).format(plan["format"]).load(path)
-    now = _filter_touched(spark, main, part, plan).count()
-    if now != plan["kept_rows"]:
-        raise RuntimeError(f"erase of {path}: touched partitions hold {now} rows, "
-                           f"expected {plan['kept_rows']}; staging kept at {plan['staging']}")
+    target = _Table(spark, table, part)
+    stop = _Stop("staged" if fail_after_staging else stop_at)
+    return _erase(target, requests, key, req_key, req_part, _state_dir(spark, table),
+                  _Options(swap, broadcast_rows, hot_rows, key_literals, files_per_partition, stop))
 
 
 def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key: str,
                        part: str, req_key: str | None = None, req_part: str | None = None, *,
                        schema: StructType | None = None, fmt: str = "parquet",
-                       swap: str = "copy",
+                       options: dict | None = None, swap: str = "copy",
                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
                        key_literals: int = MAX_KEY_LITERALS,
                        files_per_partition: int | None = None,
-                       fail_after_staging: bool = False) -> EraseReport:
-    """``erase_records`` for a partitioned file dataset without a catalog.
-
-    Same meaning and staging; swap ``copy`` is a dynamic partition overwrite
-    of the path from staging, swap ``files`` (Parquet only) rewrites just the
-    files holding a requested key (see ``_erase_files``); emptied partitions'
-    folders are deleted.
-    Pass ``schema`` (with ``part`` in it) to keep the partition column's
-    type: folder names are otherwise re-inferred (``'007'`` would become 7).
-    """
-    digest = hashlib.sha1(path.encode()).hexdigest()[:16]
-    state = _state_dir(spark, "path_" + digest)
-    marker = state + "/_marker"
-    plan = _read_marker(spark, marker)
-    if plan is not None:
-        _swap_path(spark, path, part, plan)
-        _verify_path(spark, path, part, plan)
-        if plan["mode"] == "files":
-            fsutil.delete(spark, plan["staging"])
-        fsutil.delete(spark, state)
-        return EraseReport(path, plan["partitions"], plan["touched_rows"], plan["erased_rows"],
-                           plan["kept_rows"], plan["emptied"], resumed=True)
-    _discard_unfinished(spark, state)
-
-    reader = spark.read.format(fmt)
-    main = (reader.schema(schema) if schema is not None else reader).load(path)
-    if part not in main.columns:
-        raise ValueError(f"{part} is not a column of {path}")
-    with _requests_once(requests, key, part, req_key, req_part) as req:
-        if swap == "files" and fmt == "parquet":
-            report = _erase_path_files(spark, path, main, req, key, part, state, marker,
-                                       broadcast_rows, hot_rows, key_literals,
-                                       fail_after_staging)
-            if report is not None:
-                return report
-        return _erase_path(spark, path, main, req, key, part, state, marker, fmt,
-                           broadcast_rows, hot_rows, key_literals, files_per_partition,
-                           fail_after_staging)
-
-
-def _erase_path_files(spark, path, main, req, key, part, state, marker, broadcast_rows,
-                      hot_rows, key_literals, fail_after_staging) -> EraseReport | None:
-    parts = partition_values(_request_parts(req, part, part), part)
-    if not parts:                              # none, or too many to list: copy path decides
-        return None
-    keys, n_keys, small, few = _plan_keys(_request_keys(req, key, key), key, key_literals,
-                                          broadcast_rows)
-    if n_keys == 0:
-        return None
-    run_id = uuid.uuid4().hex[:12]
-    plan = {"run": run_id, "mode": "files", "format": "parquet",
-            "schema": main.schema.json(), "partitions": [str(p) for p in parts],
-            "staging": f"{path.rstrip('/')}/_erase_{run_id}", "parts_path": None}
-    touched = _filter_touched(spark, main, part, plan)
-    with_file = touched.withColumn("__file", F.col("_metadata.file_path"))
-    if few is not None:
-        hits = with_file.where(F.col(key).isin(few))
-    elif small:
-        hits = with_file.join(keys, key, "left_semi")
-    else:
-        hits = skew_join(with_file, keys, key, "left_semi", hot_rows)
-    files = partition_values(hits.select("__file"), "__file", MAX_AFFECTED_FILES)
-    if files is None:
-        return None
-    if not files:
-        return EraseReport(path, plan["partitions"], skipped=True)
-    before_rows = touched.count()
-    affected = with_file.where(F.col("__file").isin(files)).drop("__file")
-    _note_staging(spark, state, plan["staging"])
-    counts = _stage_survivors(affected, main.columns, keys, small, key, part, plan["staging"],
-                              True, hot_rows, None, few)
-    _check_staging(spark, main.schema, plan["staging"], counts, path)
-    moves = []
-    for folder in fsutil.list_dirs(spark, plan["staging"]):
-        name = folder.rstrip("/").rsplit("/", 1)[-1]
-        if fsutil.partition_dir_value(folder, part) is None:
-            continue
-        for src in fsutil.list_files(spark, folder):
-            moves.append([src, f"{path.rstrip('/')}/{name}/erase-{run_id}-"
-                               f"{src.rsplit('/', 1)[-1]}"])
-    plan.update(touched_rows=before_rows, erased_rows=counts["erased_rows"],
-                kept_rows=before_rows - counts["erased_rows"], moves=moves, deletes=files,
-                emptied=[])
-    _write_marker(spark, marker, plan)
-    if fail_after_staging:
-        raise RuntimeError("stopped after staging (test hook)")
-    before = set(_partition_folders(spark, path, part))
-    _swap_path(spark, path, part, plan)
-    _verify_path(spark, path, part, plan, before)
-    fsutil.delete(spark, plan["staging"])
-    fsutil.delete(spark, state)
-    return EraseReport(path, plan["partitions"], before_rows, counts["erased_rows"],
-                       plan["kept_rows"], plan["emptied"])
-
-
-def _erase_path(spark, path, main, req, key, part, state, marker, fmt, broadcast_rows,
-                hot_rows, key_literals, files_per_partition, fail_after_staging) -> EraseReport:
-    parts_df = _request_parts(req, part, part)
-    parts = partition_values(parts_df, part)
-    if parts == []:
-        return EraseReport(path, [], skipped=True)
-    keys, n_keys, small, few = _plan_keys(_request_keys(req, key, key), key, key_literals,
-                                          broadcast_rows)
-    if n_keys == 0:
-        return EraseReport(path, None if parts is None else [str(p) for p in parts], skipped=True)
-
-    listed = parts is not None
-    run_id = uuid.uuid4().hex[:12]
-    plan = {"run": run_id, "mode": "copy", "staging": f"{state}/run_{run_id}",
-            "parts_path": f"{state}/parts_{run_id}", "format": fmt,
-            "schema": main.schema.json(),
-            "partitions": [str(p) for p in parts] if listed else None}
-    if not listed:
-        parts_df.select(F.col(part).cast(main.schema[part].dataType).alias(part)) \
-            .write.mode("overwrite").parquet(plan["parts_path"])
-    _note_staging(spark, state, plan["staging"])
-    touched = _filter_touched(spark, main, part, plan)
-    counts = _stage_survivors(touched, main.columns, keys, small, key, part, plan["staging"],
-                              listed, hot_rows, files_per_partition, few)
-    staged = _check_staging(spark, main.schema, plan["staging"], counts, path)
-    if not listed:
-        counts["emptied"] = _emptied_by_spark(touched, staged, part)
-    plan.update(counts)
-    _write_marker(spark, marker, plan)
-    if fail_after_staging:
-        raise RuntimeError("stopped after staging (test hook)")
-
-    before = set(_partition_folders(spark, path, part))
-    _swap_path(spark, path, part, plan)
-    _verify_path(spark, path, part, plan, before)
-    fsutil.delete(spark, state)
-    return EraseReport(path, plan["partitions"], counts["touched_rows"], counts["erased_rows"],
-                       counts["kept_rows"], plan["emptied"])
+                       fail_after_staging: bool = False, stop_at: str | None = None) -> EraseReport:
+    """``erase_records`` for a file dataset in ``part=value`` folders, without a
+    catalog; swap ``copy`` or ``files``.  ``options`` are those the files are
+    read and written with.  Pass ``schema`` (with ``part`` in it) to keep the
+    partition column's type: folder names are otherwise re-inferred (``'007'``
+    would become 7)."""
+    if swap not in ("copy", "files"):
+        raise ValueError("swap must be 'copy' or 'files'")
+    target = _Path(spark, path, part, schema, fmt, options or {})
+    stop = _Stop("staged" if fail_after_staging else stop_at)
+    return _erase(target, requests, key, req_key, req_part, _state_dir(spark, "path:" + path),
+                  _Options(swap, broadcast_rows, hot_rows, key_literals, files_per_partition, stop))

@@ -1,21 +1,31 @@
 """Apply batches of erase requests as they arrive (files in a folder).
 
 ``readStream`` over the request folder -> ``foreachBatch`` -> ``erase_records``
-on the target table.  The stream's checkpoint (under the shared
-``spark.checkpoint.dir``) records which files were applied; ``foreachBatch``
-may replay a batch after a failure, and the erase protocol is idempotent (a
-second application finds nothing left to erase, and an interrupted swap is
-resumed from its marker), so each request takes effect exactly once.
+on the target table.  The stream's checkpoint records which files were applied;
+it is kept at a place that depends only on the table and the request path
+(under the configured ``spark.checkpoint.dir``), so a restarted application
+goes on where the last one ended.  ``foreachBatch`` may replay a batch after a
+failure, and the erase protocol is idempotent (a second application finds
+nothing left to erase, and an interrupted call is ended by the next), so each
+request takes effect exactly once.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tessera.operators.erase import erase_records
-from tessera.session import scratch_path
+from tessera.session import stable_root
+
+
+def feed_checkpoint(spark: SparkSession, table: str, request_path: str) -> str:
+    """The feed's own checkpoint folder: the same in every application."""
+    digest = hashlib.sha1(f"{table}\n{request_path}".encode()).hexdigest()[:16]
+    return f"{stable_root(spark)}/tessera_erase_feed/{digest}"
 
 
 def start_erase_feed(spark: SparkSession, table: str, request_path: str,
@@ -40,7 +50,7 @@ def start_erase_feed(spark: SparkSession, table: str, request_path: str,
             reports.append((batch_id, rep))
 
     writer = (requests.writeStream.foreachBatch(apply)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "erase_feed")))
+              .option("checkpointLocation", checkpoint or feed_checkpoint(spark, table, request_path)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()

@@ -32,6 +32,20 @@ def reqs(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
+def stored_keys(spark, table):
+    """Keys in every data file under the table's folder, hidden ones too."""
+    import os
+
+    import pyarrow.parquet as pq
+    loc = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()[1]
+    out = []
+    for folder, _, files in os.walk(loc.split(":", 1)[1] if loc.startswith("file:") else loc):
+        for f in files:
+            if f.endswith(".parquet"):
+                out += pq.ParquetFile(os.path.join(folder, f)).read(["nin"])["nin"].to_pylist()
+    return sorted(out)
+
+
 def names(spark, table):
     return sorted(r.name for r in spark.table(table).collect())
 
@@ -119,15 +133,82 @@ def test_rerun_is_noop(spark):
     assert rep.erased_rows == 0 and spark.table(t).count() == 11
 
 
+STEPS = ["requests", "staged", "half-swapped", "swapped", "verified", "half-deleted", "deleted",
+         "unmarked"]
+ANDY, PETER, ROSE = (30234324, "Andy", "1960"), (30234323, "Peter", "1950"), (30234328, "Rose", "1945")
+
+
+@pytest.mark.parametrize("swap,step", [
+    *[("relocate", s) for s in STEPS], *[("copy", s) for s in STEPS], ("files", "staged"),
+    ("files", "half-deleted")])
+def test_after_a_crash_both_request_lists_are_erased(spark, swap, step):
+    """Stopped anywhere, the next call ends the old list and runs its own."""
+    t = make_table(spark)
+    with pytest.raises(RuntimeError, match="test hook"):
+        E.erase_records(spark, t, reqs(spark, [ANDY, (30231324, "Peter", "1960"), PETER]),
+                        key="nin", swap=swap, stop_at=step)
+    rep = E.erase_records(spark, t, reqs(spark, [ROSE]), key="nin", swap=swap)
+    assert rep.resumed
+    assert sorted(r.nin for r in spark.table(t).collect()) == sorted(
+        c[0] for c in CITIZENS if c[0] not in (30234324, 30231324, 30234323, 30234328))
+    assert stored_keys(spark, t) == sorted(r.nin for r in spark.table(t).collect())
+    rep = E.erase_records(spark, t, reqs(spark, []), key="nin")
+    assert not rep.resumed
+
+
+@pytest.mark.parametrize("swap,step", [
+    ("relocate", "staged"), ("relocate", "half-swapped"), ("relocate", "swapped"),
+    ("relocate", "verified"), ("copy", "staged"), ("copy", "half-swapped"), ("copy", "swapped"),
+    ("copy", "verified"), ("files", "staged"), ("files", "swapped")])
+def test_rows_appended_after_a_crash_stay(spark, swap, step):
+    t = make_table(spark)
+    with pytest.raises(RuntimeError, match="test hook"):
+        E.erase_records(spark, t, reqs(spark, [ANDY, PETER]), key="nin", swap=swap, stop_at=step)
+    new = [(1, "New", "1960"), (2, "New", "1950"), (3, "New", "1999")]
+    spark.createDataFrame(new, SCHEMA).write.insertInto(t)
+    spark.catalog.refreshTable(t)
+    E.erase_records(spark, t, reqs(spark, [ROSE]), key="nin", swap=swap)
+    want = sorted([c[0] for c in CITIZENS if c[0] not in (30234324, 30234323, 30234328)] + [1, 2, 3])
+    assert sorted(r.nin for r in spark.table(t).collect()) == want
+    assert stored_keys(spark, t) == want
+
+
 @pytest.mark.parametrize("swap", ["relocate", "copy", "files"])
-def test_crash_after_staging_resumes(spark, swap):
+def test_replaced_files_are_not_deleted_by_a_resume(spark, swap):
+    """Between crash and resume the partition was rewritten by another job."""
     t = make_table(spark)
-    r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950")])
-    with pytest.raises(RuntimeError):
-        E.erase_records(spark, t, r, key="nin", fail_after_staging=True, swap=swap)
-    assert spark.table(t).count() == 12          # main still whole
-    rep = E.erase_records(spark, t, reqs(spark, []), key="nin")   # any call resumes
-    assert rep.resumed and spark.table(t).count() == 10
+    with pytest.raises(RuntimeError, match="test hook"):
+        E.erase_records(spark, t, reqs(spark, [ANDY]), key="nin", swap=swap, stop_at="staged")
+    rows = spark.createDataFrame([(30234324, "Andy"), (7, "Seven")], "nin bigint, name string")
+    rows.createOrReplaceTempView("replaced_rows")
+    spark.sql(f"INSERT OVERWRITE TABLE {t} PARTITION (dob = '1960') SELECT * FROM replaced_rows")
+    E.erase_records(spark, t, reqs(spark, []), key="nin", swap=swap)
+    assert sorted(r.name for r in spark.table(t).where("dob = '1960'").collect()) == ["Seven"]
+    assert spark.table(t).count() == len(CITIZENS) - 2 + 1
+
+
+@pytest.mark.parametrize("swap,fmt,options", [
+    ("relocate", "csv", {"header": "true", "sep": "|"}), ("copy", "csv", {}), ("files", "csv", {}),
+    ("relocate", "json", {}), ("files", "json", {})])
+def test_tables_keep_their_format(spark, fmt, options, swap):
+    t = f"{scratch_database(spark)}.{unique_name('text_table')}"
+    (spark.createDataFrame(CITIZENS, SCHEMA).write.format(fmt).options(**options)
+     .partitionBy("dob").saveAsTable(t))
+    E.erase_records(spark, t, reqs(spark, [ANDY, PETER]), key="nin", swap=swap)
+    assert sorted(map(tuple, spark.table(t).collect())) == sorted(
+        c for c in CITIZENS if c[0] not in (30234324, 30234323))
+
+
+def test_what_cannot_be_erased_from_is_rejected_first(spark):
+    db = scratch_database(spark)
+    two, text = f"{db}.{unique_name('two')}", f"{db}.{unique_name('text')}"
+    spark.range(4).selectExpr("id nin", "id % 2 a", "id % 3 b").write.partitionBy("a", "b").saveAsTable(two)
+    with pytest.raises(ValueError):
+        E.erase_records(spark, two, spark.range(1).selectExpr("id nin", "id a"), key="nin", part="a")
+    (spark.range(4).selectExpr("cast(id as string) nin", "id % 2 a").write.format("text")
+     .partitionBy("a").saveAsTable(text))
+    with pytest.raises(ValueError):
+        E.erase_records(spark, text, spark.range(1).selectExpr("id nin", "id a"), key="nin")
 
 
 def test_read_only_forms_agree(spark):
@@ -145,24 +226,41 @@ def test_not_in_three_valued(spark):
     assert E.not_in(main, r, "nin").count() == 11          # null key row dropped
     r2 = reqs(spark, [(30234324, "Andy", "1960"), (None, "n", "1950")])
     assert E.not_in(main, r2, "nin").count() == 0
+    assert E.not_in(main, reqs(spark, []), "nin").count() == len(CITIZENS) + 1   # null key too
     main.createOrReplaceTempView("m_not_in")
     r2.createOrReplaceTempView("r_not_in")
     assert spark.sql("SELECT * FROM m_not_in WHERE nin NOT IN (SELECT nin FROM r_not_in)").count() == 0
 
 
-def test_many_partitions_use_semi_join(spark, monkeypatch):
-    """Above the literal bound the touched set travels as data, same answer."""
-    import tessera.sources.catalog as C
-    monkeypatch.setattr(C, "MAX_PARTITION_LITERALS", 1)
-    real = C.partition_values
-    monkeypatch.setattr(E, "partition_values",
-                        lambda df, col, bound=10000: real(df, col, 1 if col == "dob" else bound))
+@pytest.mark.parametrize("swap,bounds", [
+    ("relocate", {"BATCH_PARTITIONS": 1}), ("files", {"MAX_AFFECTED_FILES": 0}),
+    ("copy", {"BATCH_PARTITIONS": 2, "MAX_PARTITION_LITERALS": 1})])
+def test_bounds_change_neither_result_nor_layout(spark, monkeypatch, swap, bounds):
+    """Tiny bounds mean more batches, not another swap."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(E, name, value)
     t = make_table(spark)
-    r = reqs(spark, [(30234324, "Andy", "1960"), (30234323, "Peter", "1950"),
-                     (30234328, "Rose", "1945"), (32234328, "Terry", "1945")])
-    rep = E.erase_records(spark, t, r, key="nin")
-    assert rep.partitions is None and rep.emptied == ["1945"]
+    r = reqs(spark, [ANDY, PETER, ROSE, (32234328, "Terry", "1945")])
+    rep = E.erase_records(spark, t, r, key="nin", swap=swap)
+    assert rep.emptied == ["1945"] and rep.erased_rows == 4 and rep.touched_rows == 6
     assert spark.table(t).count() == 8
+    hidden = "/_erase_" in spark.sql(
+        f"DESCRIBE FORMATTED {t} PARTITION (dob='1960')").where("col_name = 'Location'").first()[1]
+    assert hidden == (swap == "relocate")
+
+
+def test_files_after_a_shuffled_erase(spark):
+    rows = [(i, f"n{i}", str(1900 + i % 30)) for i in range(600)]
+    t = make_table(spark, rows)
+    r = spark.createDataFrame([(i, str(1900 + i % 30)) for i in range(0, 600, 7)],
+                              "nin bigint, dob string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        E.erase_records(spark, t, r, key="nin", swap="copy", broadcast_rows=0, key_literals=0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = {x[0] for x in spark.table(t).select("_metadata.file_path").distinct().collect()}
+    assert len(files) == 30
 
 
 def test_repeated_relocations_stay_consistent(spark):
