@@ -53,6 +53,8 @@ def prefix_columns(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> Da
 HOT_ROWS = 1_000_000
 
 
+HOT_KEYS = 100_000   # most hot keys that travel through the driver
+
 HOT_SAMPLE = 0.01   # fraction of rows sampled to find hot keys
 
 
@@ -86,8 +88,9 @@ def skew_join(big: DataFrame, other: DataFrame, on: str | list[str], how: str =
     different splits); rows of ``other`` with that key are replicated once
     per salt.  Every other key has salt 0 and no replication, so the result
     equals ``big.join(other, on, how)`` for inner / left / left_semi /
-    left_anti joins.  The hot-key table is small by construction (at most
-    rows/hot_rows keys) and is broadcast only after its count is checked.
+    left_anti joins.  Hot keys are looked for once; without any this is the
+    plain join.  Up to ``HOT_KEYS`` of them are a broadcast side, more stay
+    data and Spark sizes the side itself.
     The salt hashes every column of ``big``: project ``big`` to the columns
     you need first, or the scan cannot prune the rest.
     """
@@ -96,19 +99,34 @@ def skew_join(big: DataFrame, other: DataFrame, on: str | list[str], how: str =
         raise ValueError(f"skew_join supports inner/left/semi/anti, not {how}")
     if hot is None:
         hot = hot_keys(big, keys, hot_rows, sample)
-    hot, _ = broadcast_if_small(hot)
-    cols = [F.col(c) for c in big.columns]
-    salted = (big.join(hot, keys, "left")
-              .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
-                  F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.col("__salts")).cast("int")))
-              .drop("__salts"))
-    replicated = (other.join(hot, keys, "left")
-                  .withColumn("__salt", F.explode(F.when(F.col("__salts").isNull(),
-                                                         F.array(F.lit(0)))
-                                                  .otherwise(F.sequence(F.lit(0),
-                                                                        F.col("__salts") - 1))))
+    # found once: at most rows/hot_rows keys, for all three uses below
+    found = hot.limit(HOT_KEYS + 1).collect()
+    if len(found) <= HOT_KEYS:
+        hot = F.broadcast(big.sparkSession.createDataFrame(found, hot.schema))
+    known = [F.col(k).isNotNull() for k in keys]
+    keyed = known[0]
+    for k in known[1:]:
+        keyed = keyed & k
+    inner = how in ("inner", "left_semi")
+    # a null key matches nothing: such rows pass by the join instead of all
+    # meeting in one of its tasks
+    loose = None if inner else big.where(~keyed)
+    rows = big.where(keyed)
+    if not found:
+        out = rows.join(other, on, how)
+    else:
+        cols = [F.col(c) for c in big.columns]
+        salted = (rows.join(hot, keys, "left")
+                  .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
+                      F.pmod(F.xxhash64(F.spark_partition_id(), *cols),
+                             F.col("__salts")).cast("int")))
                   .drop("__salts"))
-    out = salted.join(replicated, keys + ["__salt"], how).drop("__salt")
+        replicated = (other.join(hot, keys, "left")
+                      .withColumn("__salt", F.explode(
+                          F.when(F.col("__salts").isNull(), F.array(F.lit(0)))
+                          .otherwise(F.sequence(F.lit(0), F.col("__salts") - 1))))
+                      .drop("__salts"))
+        out = salted.join(replicated, keys + ["__salt"], how).drop("__salt")
     if how in ("left_semi", "left_anti"):
-        return out.select(*big.columns)
-    return out
+        out = out.select(*big.columns)
+    return out if loose is None else out.unionByName(loose, allowMissingColumns=True)

@@ -25,6 +25,24 @@ def test_same_answer_as_plain_join(spark, sides, how):
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
 
 
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+@pytest.mark.parametrize("hot_rows", [1000, 10 ** 9])
+def test_null_keys_pass_by_the_join(spark, sides, how, hot_rows):
+    big, other = sides
+    big = big.withColumn("k", F.when(F.col("v") % 2 == 0, F.col("k")))
+    plain = big.join(other, "k", how)
+    joined = skew_join(big, other, "k", how, hot_rows=hot_rows).select(*plain.columns)
+    assert plain.exceptAll(joined).count() == 0 and joined.exceptAll(plain).count() == 0
+    # they are the other branch of a union, not rows of the join
+    assert joined._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+
+
+def test_without_hot_keys_it_is_the_plain_join(spark, sides):
+    big, other = sides
+    plan = skew_join(big, other, "k", hot_rows=10 ** 9)._jdf.queryExecution().optimizedPlan()
+    assert "__salt" not in plan.toString()
+
+
 def test_hot_key_is_split(spark, sides):
     big, other = sides
     hot = hot_keys(big, ["k"], 1000, sample=1.0).collect()
