@@ -59,20 +59,18 @@ def record_columns(id_col, cfg: GeneratorConfig, chunks: dict | None = None) ->
 
 
 def records_for_ids(ids: DataFrame, id_col: str, cfg: GeneratorConfig = GeneratorConfig(),
-                    keep_id: bool = False, min_tasks: int | None = None) -> DataFrame:
+                    keep_id: bool = False, spread: int | None = None) -> DataFrame:
     """One record per row of ``ids``; the record is a function of the id only.
 
     Three narrow projections (digests -> 52-bit chunks -> columns): each md5
     and each hex conversion runs once per row instead of once per letter.
-    Generation is CPU-bound, so an id source with fewer partitions than
-    ``min_tasks`` (default: the cluster's parallelism) is first spread
-    round-robin -- a shuffle of the id column only, and never taken by a
-    large input, which already has more partitions than cores.
+    Nothing runs while this is built.  Generation is CPU-bound: for an id
+    source of few partitions give ``spread``, and the ids (only they) are dealt
+    round robin to that many tasks first; a large input needs none.
     """
     idc = F.col(id_col)
-    min_tasks = min_tasks or ids.sparkSession.sparkContext.defaultParallelism
-    if ids.rdd.getNumPartitions() < min_tasks:     # planning only, nothing runs
-        ids = ids.select(idc).repartition(min_tasks)
+    if spread:
+        ids = ids.select(idc).repartition(spread)
     digests = [R.letters_digest(cfg.seed, name, idc, getattr(cfg, attr)).alias(f"__{name}_d")
                for name, attr in _LETTER_COLUMNS]
     stage1 = ids.select(idc, *digests)
@@ -106,9 +104,7 @@ def generate_records(spark: SparkSession, cfg: GeneratorConfig = GeneratorConfig
     if not num_partitions:
         num_partitions = max(spark.sparkContext.defaultParallelism,
                              -(-n // ROWS_PER_TASK))
-    # the range already has the task count asked for: never re-spread it
-    return records_for_ids(spark.range(0, n, 1, num_partitions), "id", cfg,
-                           min_tasks=num_partitions)
+    return records_for_ids(spark.range(0, n, 1, num_partitions), "id", cfg)
 
 
 def replicate_rows(df: DataFrame, copies: int, copy_col: str = "copy") -> DataFrame:

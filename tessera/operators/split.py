@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from tessera.functions.naming import check_columns
 
-RESOLUTION = 10000  # the ratio is applied in steps of 1/10000
+RESOLUTION = 2 ** 32   # the ratio is applied in steps of 1 / 2**32
 
 
 def hash_bucket(seed: int, keys: Sequence[str]) -> Column:
-    """0..RESOLUTION-1 from the md5 of ``"<seed>:<key>"``."""
+    """0..RESOLUTION-1 (32 bits) from the md5 of ``"<seed>:<key>"``."""
     key = (F.col(keys[0]).cast("string") if len(keys) == 1
            else F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
     h = F.md5(F.concat(F.lit(f"{seed}:"), key))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % F.lit(RESOLUTION)
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
 
 
 def label_split(df: DataFrame, keys: str | Sequence[str], ratio: float, seed: int = 42,
@@ -35,6 +35,8 @@ def label_split(df: DataFrame, keys: str | Sequence[str], ratio: float, seed: in
     if not 0.0 <= ratio <= 1.0:
         raise ValueError("ratio must be in [0, 1]")
     cut = int(round(ratio * RESOLUTION))
+    if ratio and not cut:
+        raise ValueError(f"ratio {ratio} is below 1 / 2**32, the finest that a key's hash can tell")
     return df.withColumn(label, F.when(hash_bucket(seed, keys) < F.lit(cut), F.lit(test))
                          .otherwise(F.lit(train)))
 

@@ -93,3 +93,16 @@ def test_replicate_rows(spark):
     out = replicate_rows(df, 9)
     assert out.count() == 45
     assert sorted(r.copy for r in out.where("id = 3").collect()) == list(range(1, 10))
+
+
+def test_building_records_runs_no_job(spark):
+    """Not even the shuffle below an aggregated id frame."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators.generate import records_for_ids
+    sc = spark.sparkContext
+    sc.setJobGroup("build-only", "build-only")
+    ids = spark.range(1000).groupBy((F.col("id") % 7).alias("id")).count()
+    df = records_for_ids(ids, "id", spread=4)
+    assert not sc.statusTracker().getJobIdsForGroup("build-only")
+    assert df.count() == 7

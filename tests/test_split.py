@@ -1,5 +1,6 @@
 """Splits: disjoint, complete, ratio, stable under repartition; fixed-count take."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.split import (
@@ -30,6 +31,14 @@ def test_hash_split_multi_key(spark):
     assert train.count() + test.count() == 1000
 
 
+def test_small_ratios_are_kept(spark):
+    df = spark.range(10_000_000).withColumnRenamed("id", "k")
+    _, test = split_by_hash(df, "k", 0.00004)
+    assert abs(test.count() - 400) < 4 * 400 ** 0.5
+    with pytest.raises(ValueError):
+        split_by_hash(df, "k", 1e-11)
+
+
 def test_random_split_parts_cover_input(spark):
     df = spark.range(10000)
     train, test = split_random(df, 0.1, seed=3)
