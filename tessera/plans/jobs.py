@@ -65,10 +65,12 @@ def store(df: DataFrame, target: StorageConfig, date_column: str | None = None)
 
 
 def generate_job(spark: SparkSession, cfg: GeneratorConfig, target: StorageConfig,
-                 ids: DataFrame | None = None, id_col: str = "id") -> int:
-    """Generate ``cfg.record_count()`` records (or one per row of ``ids``) and
-    store them; DATE becomes a timestamp in a table."""
-    df = generate_records(spark, cfg) if ids is None else records_for_ids(ids, id_col, cfg)
+                 ids: DataFrame | None = None, id_col: str = "id",
+                 spread: int | None = None) -> int:
+    """Generate ``cfg.record_count()`` records (or one per row of ``ids``, see
+    ``records_for_ids``) and store them; DATE becomes a timestamp in a table."""
+    df = (generate_records(spark, cfg) if ids is None
+          else records_for_ids(ids, id_col, cfg, spread=spread))
     return store(df, target, date_column="DATE")
 
 

@@ -8,6 +8,8 @@ with partial aggregation, so the shuffle carries one row per task and group.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -31,11 +33,13 @@ def run_summary(samples: DataFrame, label: str = "label", elapsed: str = "elapse
                 success: str | None = "success", failed=None, ts: str | None = "ts",
                 bytes_col: str | None = None, sent_bytes_col: str | None = None,
                 digits: int = 6) -> DataFrame:
-    """Per label: samples, average, min, max, std dev, error %, throughput,
-    received/sent bytes (columns of the classic summary report).
+    """Per label, and over all under ``TOTAL``: samples, average, min, max, std
+    dev, error %, throughput, received/sent bytes (columns of the classic
+    summary report).
 
     ``failed`` may be a Column marking failed samples; otherwise the negation
-    of ``success``.  Throughput is samples per second of the label's time span.
+    of ``success``.  Throughput is samples per second from the start of the
+    first to the end of the last sample (``ts`` is a sample's start).
     """
     e = F.col(elapsed)
     if failed is None:
@@ -51,9 +55,10 @@ def run_summary(samples: DataFrame, label: str = "label", elapsed: str = "elapse
     ]
     span = None
     if ts:
-        # microseconds between first and last sample, for zoned or zone-less
-        # timestamps alike (no session time zone involved)
-        span = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts))
+        # microseconds, for zoned or zone-less timestamps alike (no session
+        # time zone involved)
+        end = F.col(ts) + F.make_dt_interval(secs=(e / 1000).cast("decimal(18,6)"))
+        span = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(end))
         aggs.append(F.round(F.when(span > 0, F.count(F.lit(1)) * F.lit(1e6) / span), digits)
                     .alias("throughput_per_sec"))
     per_sec = (lambda total: F.round(F.when(span > 0, total / F.lit(1024.0) * F.lit(1e6) / span),
@@ -66,7 +71,11 @@ def run_summary(samples: DataFrame, label: str = "label", elapsed: str = "elapse
         aggs.append(F.round(F.avg(sent_bytes_col), digits).alias("avg_sent_bytes"))
         if per_sec is not None:
             aggs.append(per_sec(F.sum(sent_bytes_col)).alias("sent_kb_per_sec"))
-    return samples.groupBy(F.col(label).alias("label")).agg(*aggs)
+    total = F.grouping("label") == 1
+    out = (samples.withColumn("label", F.col(label)).rollup("label")
+           .agg(*aggs, total.alias("is_total")))
+    return out.withColumn("label", F.when(F.col("is_total"), F.lit("TOTAL"))
+                          .otherwise(F.col("label"))).drop("is_total")
 
 
 # The part of the Spark event-log JSON that stage metrics read.
@@ -95,14 +104,15 @@ EVENT_LOG_SCHEMA = StructType([
 
 
 def stage_metrics_frame(events: DataFrame) -> DataFrame:
-    """Per stage: tasks, run time (total, slowest task, approximate median
+    """Per application, stage and attempt: tasks, run time (total, slowest task, approximate median
     task -- their ratio shows skew), shuffle read/write bytes, spill."""
     m = F.col("`Task Metrics`")
     sr = m["Shuffle Read Metrics"]
     sw = m["Shuffle Write Metrics"]
     run = m["Executor Run Time"]
     return (events.where(F.col("Event") == "SparkListenerTaskEnd")
-            .groupBy(F.col("`Stage ID`").alias("stage_id"))
+            .groupBy("application", F.col("`Stage ID`").alias("stage_id"),
+                     F.col("`Stage Attempt ID`").alias("attempt"))
             .agg(F.count(F.lit(1)).alias("tasks"),
                  F.sum(run).cast("bigint").alias("run_ms"),
                  F.max(run).cast("bigint").alias("max_task_ms"),
@@ -116,28 +126,52 @@ def stage_metrics_frame(events: DataFrame) -> DataFrame:
                  .alias("spill_bytes")))
 
 
-def stage_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Stage metrics of the event log(s) at ``path`` (uncompressed JSON lines).
+def read_event_logs(spark: SparkSession, path: str, application: str | None = None) -> DataFrame:
+    """Events of the uncompressed, single-file event logs under ``path``, with
+    ``application``: the log file's name, or the folder column named.
 
-    Lines that do not parse (the unfinished tail of a live log) are skipped.
+    The unfinished last line of a live log is left out; any further line that
+    does not parse, a compressed log and a rolling one raise ``ValueError``:
+    nothing is dropped silently.
     """
-    events = (spark.read.schema(EVENT_LOG_SCHEMA).option("mode", "DROPMALFORMED").json(path))
-    return stage_metrics_frame(events)
-
-
-def job_group_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Stage metrics rolled up per job group (``SparkContext.setJobGroup``):
-    job-start events map each stage to its group; a join on the stage id
-    carries the per-stage totals over.  Both sides are per-stage aggregates,
-    so the join is small whatever the size of the log."""
-    events = spark.read.schema(EVENT_LOG_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    schema = StructType([*EVENT_LOG_SCHEMA, StructField("_broken", StringType())])
+    if application:
+        schema = schema.add(StructField(application, StringType()))
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path)
+    other = [f for f in raw.inputFiles() if re.search(
+        r"/events_[^/]*$|[.](zstd|lz4|lzf|snappy)([.]inprogress)?$", f)]
+    if other:
+        raise ValueError(f"compressed or rolling event logs are not read: {other[:5]}")
+    events = raw.withColumn("__file", name)
+    bad = (events.groupBy("__file").agg(F.count("_broken").alias("broken"),
+                                        F.count("Event").alias("events"))
+           .where(F.col("broken") > 1).select("__file", "broken", "events").limit(5).collect())
+    if bad:
+        raise ValueError("event logs with broken lines: " + ", ".join(
+            f"{r[0]} ({r[1]} of {r[1] + r[2]})" for r in bad))
+    return (events.where(F.col("Event").isNotNull())
+            .withColumn("application", F.col(application or "__file")))
+
+
+def stage_metrics(spark: SparkSession, path: str, application: str | None = None) -> DataFrame:
+    """Stage metrics of the event log(s) at ``path`` (see ``read_event_logs``)."""
+    return stage_metrics_frame(read_event_logs(spark, path, application))
+
+
+def job_group_metrics(spark: SparkSession, path: str, application: str | None = None) -> DataFrame:
+    """Stage metrics rolled up per application and job group
+    (``SparkContext.setJobGroup``): job-start events map each stage to its
+    group; a join on application and stage carries the totals over.  Both sides
+    are per-stage aggregates, so the join is small whatever the size of the log."""
+    events = read_event_logs(spark, path, application)
     groups = (events.where(F.col("Event") == "SparkListenerJobStart")
-              .select(F.col("Properties")["spark.jobGroup.id"].alias("job_group"),
+              .select("application", F.col("Properties")["spark.jobGroup.id"].alias("job_group"),
                       F.explode("`Stage IDs`").alias("stage_id"))
               .where(F.col("job_group").isNotNull()).distinct())
     per_stage = stage_metrics_frame(events)
-    return (per_stage.join(groups, "stage_id")
-            .groupBy("job_group")
+    return (per_stage.join(groups, ["application", "stage_id"])
+            .groupBy("application", "job_group")
             .agg(F.countDistinct("stage_id").alias("stages"),
                  F.sum("tasks").alias("tasks"), F.sum("run_ms").alias("run_ms"),
                  F.max("max_task_ms").alias("max_task_ms"),

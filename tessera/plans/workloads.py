@@ -91,40 +91,42 @@ class IOReport:
         return self.total_bytes / 1e6 / self.read_seconds if self.read_seconds else 0.0
 
 
+def _read_back(spark: SparkSession, path: str, fmt: str, group: str, write_seconds: float
+               ) -> IOReport:
+    """Read every column of every row once (into the ``noop`` sink, timed),
+    then report rows and bytes per ``group`` from the files' own figures."""
+    back = spark.read.format(fmt).load(path)
+    rows, read_seconds = timed_noop(back)
+    per_file = (back.withColumns({"file_name": F.col("_metadata.file_name"),
+                                  "file_size": F.col("_metadata.file_size")})
+                .groupBy(*dict.fromkeys([group, "file_name"]))
+                .agg(F.count(F.lit(1)).alias("row_count"), F.max("file_size").alias("bytes")))
+    if group != "file_name":
+        per_file = per_file.groupBy(group).agg(
+            F.sum("row_count").alias("row_count"), F.sum("bytes").alias("bytes"),
+            F.count(F.lit(1)).alias("files"))
+    total = per_file.agg(F.sum("bytes")).first()[0]
+    return IOReport(per_file, write_seconds, read_seconds, int(total or 0), rows)
+
+
 def io_files(df: DataFrame, path: str, n_files: int, bucket: Column | None = None,
-             fmt: str = "parquet", writers_per_bucket: int = 4) -> IOReport:
-    """Write ``df`` as ``n_files`` files, read them back, report rows and bytes
-    per file (TestDFSIO-style throughput as a Spark job).
+             fmt: str = "parquet", writers_per_bucket: int = 1) -> IOReport:
+    """Write ``df`` as ``n_files`` files, read all of them back, report rows and
+    bytes per file (TestDFSIO-style throughput as a Spark job).
 
     Without ``bucket`` rows go round-robin (equal-sized files whatever the key
     skew).  With ``bucket`` (an int column expression in 0..n_files-1) the
-    rows of a bucket go to folder ``file_no=<b>``, written by up to
-    ``writers_per_bucket`` tasks so a hot bucket is not one task's work.
+    rows of a bucket go to folder ``file_no=<b>``, one file each; more
+    ``writers_per_bucket`` split a hot bucket over that many tasks and files.
     """
-    spark = df.sparkSession
     t0 = time.perf_counter()
     if bucket is None:
         write_file(df.repartition(n_files), path, fmt)
     else:
-        tagged = df.withColumn("file_no", bucket.cast("int"))
-        write_file(tagged, path, fmt, partition_by="file_no",
-                   files_per_partition=writers_per_bucket)
-    t_write = time.perf_counter() - t0
-
-    back = spark.read.format(fmt).load(path)
-    group = ["file_no"] if bucket is not None else []
-    per_file = (back.select(*group, F.col("_metadata.file_name").alias("file_name"),
-                            F.col("_metadata.file_size").alias("file_size"))
-                .groupBy(*group, "file_name")
-                .agg(F.count(F.lit(1)).alias("row_count"), F.max("file_size").alias("bytes")))
-    if bucket is not None:   # one row per bucket: its files' rows and bytes
-        per_file = per_file.groupBy("file_no").agg(
-            F.sum("row_count").alias("row_count"), F.sum("bytes").alias("bytes"),
-            F.count(F.lit(1)).alias("files"))
-    t1 = time.perf_counter()
-    totals = per_file.agg(F.sum("row_count").alias("r"), F.sum("bytes").alias("b")).first()
-    t_read = time.perf_counter() - t1
-    return IOReport(per_file, t_write, t_read, int(totals["b"] or 0), int(totals["r"] or 0))
+        write_file(df.withColumn("file_no", bucket.cast("int")), path, fmt,
+                   partition_by="file_no", files_per_partition=writers_per_bucket)
+    return _read_back(df.sparkSession, path, fmt, "file_name" if bucket is None else "file_no",
+                      time.perf_counter() - t0)
 
 
 def io_generated(spark: SparkSession, path: str, n_files: int, rows_per_file: int,
@@ -132,46 +134,38 @@ def io_generated(spark: SparkSession, path: str, n_files: int, rows_per_file: in
     """The file I/O test on generated records (n files x rows each): the
     records are generated straight into ``n_files`` tasks, so each task
     writes one file and nothing is shuffled -- only storage throughput is
-    measured.  Reads back the files and reports rows and bytes per file."""
+    measured.  Reads the files back and reports rows and bytes per file."""
     from tessera.config import GeneratorConfig
     from tessera.operators.generate import generate_records
     df = generate_records(spark, cfg or GeneratorConfig(), n=n_files * rows_per_file,
                           num_partitions=n_files)
     t0 = time.perf_counter()
     write_file(df, path, fmt)
-    t_write = time.perf_counter() - t0
-    back = spark.read.format(fmt).load(path)
-    per_file = (back.select(F.col("_metadata.file_name").alias("file_name"),
-                            F.col("_metadata.file_size").alias("file_size"))
-                .groupBy("file_name")
-                .agg(F.count(F.lit(1)).alias("row_count"), F.max("file_size").alias("bytes")))
-    t1 = time.perf_counter()
-    totals = per_file.agg(F.sum("row_count").alias("r"), F.sum("bytes").alias("b"),
-                          F.count(F.lit(1)).alias("f")).first()
-    t_read = time.perf_counter() - t1
-    return IOReport(per_file, t_write, t_read, int(totals["b"] or 0), int(totals["r"] or 0))
-
-
-def _strip_sql(text: str) -> str:
-    text = text.strip()
-    if text.endswith(";"):
-        text = text[:-1].rstrip()
-    if ";" in text.replace("';'", ""):
-        raise ValueError("one statement per call")
-    return text
+    return _read_back(spark, path, fmt, "file_name", time.perf_counter() - t0)
 
 
 def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = None,
             args: dict | None = None) -> DataFrame:
     """Run SQL text (inline or read from a file) over named DataFrames.
 
-    The DataFrames are registered as temp views under the given names; one
-    trailing ``;`` is stripped; values go in as named parameters (``:name``),
-    never pasted into the text.
+    The DataFrames are temp views of the given names while the text is
+    analysed; views of the caller with these names are put back.  One trailing
+    ``;`` is taken off, all else is left to Spark's parser; values go in as
+    named parameters (``:name``), never pasted into the text.
     """
+    text = text.strip().removesuffix(";")
+    hidden = {}
     for name, df in (tables or {}).items():
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary:
+            hidden[name] = spark.table(name)
         df.createOrReplaceTempView(name)
-    return spark.sql(_strip_sql(text), args=args) if args else spark.sql(_strip_sql(text))
+    try:
+        return spark.sql(text, args=args) if args else spark.sql(text)
+    finally:
+        for name in tables or {}:
+            spark.catalog.dropTempView(name)
+        for name, df in hidden.items():
+            df.createOrReplaceTempView(name)
 
 
 def run_sql_file(spark: SparkSession, path: str, tables: dict[str, DataFrame] | None = None,

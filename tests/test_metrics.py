@@ -1,7 +1,9 @@
 """Run summary and stage metrics."""
 
 import datetime as dt
+import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans.metrics import SAMPLE_SCHEMA, run_summary, stage_metrics
@@ -20,10 +22,44 @@ def test_run_summary_values(spark):
     a = out["a"]
     assert a.samples == 3 and a.avg_ms == 20.0 and a.min_ms == 10 and a.max_ms == 30
     assert abs(a.std_ms - 8.164966) < 1e-6 and abs(a.error_pct - 33.333333) < 1e-6
-    assert abs(a.throughput_per_sec - 1.5) < 1e-9     # 3 samples over 2 s
-    assert out["b"].throughput_per_sec is None and out["b"].avg_bytes == 100.0
-    assert abs(a.received_kb_per_sec - 300 / 1024 / 2) < 1e-6       # 300 bytes over 2 s
-    assert abs(a.sent_kb_per_sec - 30 / 1024 / 2) < 1e-6
+    assert abs(a.throughput_per_sec - 3 / 2.03) < 1e-6     # to the end of the last sample
+    assert abs(out["b"].throughput_per_sec - 1 / 0.005) < 1e-6 and out["b"].avg_bytes == 100.0
+    assert abs(a.received_kb_per_sec - 300 / 1024 / 2.03) < 1e-6
+    assert abs(a.sent_kb_per_sec - 30 / 1024 / 2.03) < 1e-6
+    total = out["TOTAL"]
+    assert total.samples == 4 and total.error_pct == 25.0 and total.max_ms == 30
+    assert abs(total.throughput_per_sec - 4 / 3.005) < 1e-6
+
+
+def _log(folder, name, lines):
+    import json
+    import os
+    with open(os.path.join(folder, name), "w") as f:
+        f.writelines(x if isinstance(x, str) else json.dumps(x) + "\n" for x in lines)
+
+
+def _task(stage, attempt=0):
+    return {"Event": "SparkListenerTaskEnd", "Stage ID": stage, "Stage Attempt ID": attempt,
+            "Task Metrics": {"Executor Run Time": 5}}
+
+
+def test_applications_and_attempts_are_kept_apart(spark):
+    folder = tempfile.mkdtemp(prefix="tessera-logs-")
+    _log(folder, "app-1", [_task(1), _task(1), _task(1), '{"Event": "SparkListenerTaskE'])
+    _log(folder, "app-2", [_task(1), _task(1), _task(1, 1)])
+    rows = {(r.application, r.stage_id, r.attempt): r.tasks
+            for r in stage_metrics(spark, folder).collect()}
+    assert rows == {("app-1", 1, 0): 3, ("app-2", 1, 0): 2, ("app-2", 1, 1): 1}
+
+
+@pytest.mark.parametrize("name,lines", [
+    ("app-3", ["not json\n", _task(1), "{broken\n"]), ("events_1_app-4", [_task(1)]),
+    ("app-5.zstd", [_task(1)])])
+def test_logs_that_cannot_be_read_whole_raise(spark, name, lines):
+    folder = tempfile.mkdtemp(prefix="tessera-logs-")
+    _log(folder, name, lines)
+    with pytest.raises(ValueError, match=name):
+        stage_metrics(spark, folder)
 
 
 def test_stage_metrics_from_live_event_log(spark, event_log_dir):
