@@ -46,8 +46,11 @@ def _input(spark: SparkSession, props: dict[str, str], file_key: str, db_key: st
     return read_files(spark, props.get("format", "parquet"), props[file_key])
 
 
-def _threads(df, props):
-    n = props.get("spark.parallel.threads")
+def _dealt(df, props):
+    """The input dealt to ``workload.repartition`` tasks where that key is
+    given.  ``spark.parallel.threads`` does not: the shipped value 2 would send
+    any input through two tasks."""
+    n = props.get("workload.repartition")
     return df.repartition(int(n)) if n else df
 
 
@@ -64,7 +67,7 @@ def run(job: str, props: dict[str, str], spark: SparkSession | None = None) -> d
         target = StorageConfig.from_properties(props)
         return {"rows": generate_job(spark, cfg, target)}
     if job == "split":
-        src = _threads(_input(spark, props, "input.file.name", "input.db.name",
+        src = _dealt(_input(spark, props, "input.file.name", "input.db.name",
                               "input.table.name"), props)
         target = StorageConfig.from_properties(props, path_key="output.file.name",
                                                db_key="output.db.name",
@@ -76,16 +79,16 @@ def run(job: str, props: dict[str, str], spark: SparkSession | None = None) -> d
         storage = props.get("storage", "file")
         if storage == "db":
             rep = read_job(spark, "BENEFITS", table=f"{props['db.name']}.{props['table.name']}",
-                           repartition=int(props.get("spark.parallel.threads", 0)) or None)
+                           repartition=int(props.get("workload.repartition", 0)) or None)
         else:
             rep = read_job(spark, "BENEFITS", fmt=props.get("format", "csv"),
                            path=props["input.file.name"],
-                           repartition=int(props.get("spark.parallel.threads", 0)) or None)
+                           repartition=int(props.get("workload.repartition", 0)) or None)
         return {"rows": rep.rows, "seconds": round(rep.seconds, 3)}
     if job == "stage":
         fmt = props.get("format", "csv")
-        base = _threads(read_files(spark, fmt, props["input.file.name"]), props)
-        other = _threads(read_files(spark, fmt, props["input.file.name.join"]), props)
+        base = _dealt(read_files(spark, fmt, props["input.file.name"]), props)
+        other = _dealt(read_files(spark, fmt, props["input.file.name.join"]), props)
         part = props.get("partition.field.name") \
             if props.get("partitioned", "false").lower() == "true" else None
         out = props.get("output.file.name")

@@ -1,10 +1,12 @@
 """File, table and JDBC writes.
 
-Partitioned writes: by default no shuffle is added; Spark's writer sorts each
-task's rows by the partition column so a task keeps one file open at a time.
-``files_per_partition=k`` adds one shuffle on ``(partition column, hash of the
-row) mod k``: each partition value ends up in at most ``k`` files, and a hot
-value (say a third of all rows) is still written by ``k`` tasks, not one.
+Partitioned writes are clustered by the partition columns, else every task
+would write a file for every value it holds (tasks x values files).  By default
+that is Spark's REBALANCE: AQE merges small values into one task and splits a
+hot value over as many tasks as its size asks for, so the number of files
+follows the data.  ``files_per_partition=k`` fixes it instead: one shuffle on
+``(partition column, hash of the row) mod k``, each value in at most ``k``
+files.
 """
 
 from __future__ import annotations
@@ -15,6 +17,9 @@ from pyspark.sql import functions as F
 from tessera.sources.files import FORMATS
 
 
+FILE_BYTES = 256 * 1024 * 1024    # size aimed at where a writer chooses the number of files
+
+
 def spread_key(df: DataFrame, n: int):
     """0..n-1 per row, a hash of the row and its input partition: identical
     copies from different input splits land on different writers, and a
@@ -33,6 +38,15 @@ def cluster_for_write(df: DataFrame, partition_by: str | list[str] | None,
     return df.repartition(*[F.col(c) for c in cols], spread_key(df, files_per_partition))
 
 
+def clustered(df: DataFrame, partition_by: str | list[str] | None,
+              files_per_partition: int | None) -> DataFrame:
+    """``cluster_for_write``, or the rebalance without a given number of files."""
+    if not partition_by or files_per_partition:
+        return cluster_for_write(df, partition_by, files_per_partition)
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def _writer(df: DataFrame, fmt: str, mode: str, partition_by, header: bool, options: dict | None):
     fmt = fmt.lower()
     if fmt not in FORMATS:
@@ -51,7 +65,7 @@ def _writer(df: DataFrame, fmt: str, mode: str, partition_by, header: bool, opti
 def write_file(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "overwrite",
                partition_by: str | list[str] | None = None, header: bool = True,
                files_per_partition: int | None = None, options: dict | None = None) -> None:
-    df = cluster_for_write(df, partition_by, files_per_partition)
+    df = clustered(df, partition_by, files_per_partition)
     _writer(df, fmt, mode, partition_by, header, options).save(path)
 
 
@@ -59,7 +73,7 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", *, mode: str = "
                 partition_by: str | list[str] | None = None, path: str | None = None,
                 files_per_partition: int | None = None, options: dict | None = None) -> None:
     """``saveAsTable``; with ``path`` the table is external at that location."""
-    df = cluster_for_write(df, partition_by, files_per_partition)
+    df = clustered(df, partition_by, files_per_partition)
     w = _writer(df, fmt, mode, partition_by, True, options)
     if path:
         w = w.option("path", path)
@@ -97,7 +111,8 @@ def insert_overwrite_partitions(df: DataFrame, name: str) -> None:
     every other partition of the table keeps its files untouched.
 
     ``insertInto`` ignores a writer option here, so the session setting is
-    switched for the duration of the write and restored after.
+    switched for the duration of the write and restored after: run no other
+    overwrite in the session meanwhile.  (The erase does not use this.)
     """
     spark = df.sparkSession
     cols = spark.table(name).columns

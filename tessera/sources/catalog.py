@@ -22,13 +22,14 @@ def table_schema(spark: SparkSession, name: str) -> StructType:
 
 def describe(spark: SparkSession, name: str, partition_spec: str | None = None) -> dict:
     """Catalog facts of a table (or of one partition) from ``DESCRIBE
-    FORMATTED``: ``partition_columns``, ``location``, ``type``.  The command
+    FORMATTED``: ``partition_columns``, ``location``, ``type``,
+    ``provider``.  The command
     answers from the catalog on the driver; collecting it starts no job."""
     stmt = f"DESCRIBE FORMATTED {quote_ident(name)}"
     if partition_spec:
         stmt += f" {partition_spec}"
     rows = [tuple(r) for r in spark.sql(stmt).collect()]
-    info = {"partition_columns": [], "location": None, "type": None}
+    info = {"partition_columns": [], "location": None, "type": None, "provider": None}
     section = None
     for col, value, _ in rows:
         col = (col or "").strip()
@@ -48,6 +49,8 @@ def describe(spark: SparkSession, name: str, partition_spec: str | None = None)
             info["location"] = value           # the partition's own comes first
         elif col == "Type":
             info["type"] = (value or "").upper()
+        elif col == "Provider":
+            info["provider"] = value
     return info
 
 

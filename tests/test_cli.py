@@ -50,7 +50,7 @@ def test_generate_split_stage_read_on_files(spark):
                                             "CUBE:PARTITIONER", "WRITE:"]
     written = spark.read.option("header", True).csv(flow_out)
     assert "gid" in written.columns          # the CUBE result was written
-    out = run("read", props(f"format=csv\ninput.file.name={gen}\nspark.parallel.threads=2\n"),
+    out = run("read", props(f"format=csv\ninput.file.name={gen}\nworkload.repartition=2\n"),
               spark)
     assert out["rows"] == 1440
 

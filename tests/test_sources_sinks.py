@@ -138,3 +138,14 @@ def test_jdbc_paths_reach_the_driver_manager(spark):
     with pytest.raises(Exception) as write_err:
         K.write_jdbc(spark.range(3), "jdbc:tessera-none:db", "t", column_types="id BIGINT")
     assert "suitable driver" in str(write_err.value).lower()
+
+
+def test_partitioned_writes_make_few_files(spark):
+    """Not tasks x values: a task holds whole values, hot ones are split by size."""
+    from tessera.sinks import write_file
+    from tessera.session import scratch_path
+    path = scratch_path(spark, "few_files")
+    write_file(spark.range(0, 4000, 1, 16).selectExpr("id", "id % 20 AS p"), path, partition_by="p")
+    back = spark.read.parquet(path)
+    assert back.count() == 4000
+    assert back.select("_metadata.file_path").distinct().count() == 20
