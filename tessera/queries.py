@@ -8,6 +8,8 @@ was stored.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,8 +110,7 @@ def q_write_table(spark, sf):
 
 def q_write_table_partitioned(spark, sf):
     name = orders_by_priority(spark, sf, private=True)
-    return S.read_table(spark, name).select("o_orderkey", "o_custkey", "o_totalprice",
-                                           "o_orderpriority")
+    return S.read_table(spark, name)
 
 
 def q_append_table(spark, sf):
@@ -182,6 +183,14 @@ def q_not_in(spark, sf):
     return O.not_in(o, c, "o_custkey", "c_custkey")
 
 
+def q_not_in_empty(spark, sf):
+    """An empty list keeps every row, those with a null key too."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")).alias("o_custkey"))
+    c = table(spark, sf, "customer").where(F.col("c_custkey") < 0)
+    return O.not_in(o, c, "o_custkey", "c_custkey")
+
+
 def q_not_in_null(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer").select(
@@ -215,13 +224,13 @@ def q_locate_records(spark, sf):
 def q_erase_view(spark, sf):
     main = table(spark, sf, "orders")
     return O.erase_view(main, erase_requests(spark, sf), "o_orderkey",
-                        "o_orderpriority").select("o_orderkey", "o_custkey", "o_orderpriority")
+                        "o_orderpriority")
 
 
 def q_erase_records(spark, sf):
     name = orders_by_priority(spark, sf, private=True)
     O.erase_records(spark, name, erase_requests(spark, sf), key="o_orderkey")
-    return S.read_table(spark, name).select("o_orderkey", "o_custkey", "o_orderpriority")
+    return S.read_table(spark, name)
 
 
 def q_erase_files(spark, sf):
@@ -229,7 +238,7 @@ def q_erase_files(spark, sf):
     requested key are rewritten."""
     name = orders_by_priority(spark, sf, private=True)
     O.erase_records(spark, name, erase_requests(spark, sf), key="o_orderkey", swap="files")
-    return S.read_table(spark, name).select("o_orderkey", "o_custkey", "o_orderpriority")
+    return S.read_table(spark, name)
 
 
 def q_erase_generated(spark, sf):
@@ -241,11 +250,12 @@ def q_erase_generated(spark, sf):
     ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
     P.generate_job(spark, GeneratorConfig(seed=42),
                    P.StorageConfig(storage="db", table=name, partitioned=True,
-                                   partition_by="PARTITIONER"), ids=ids)
+                                   partition_by="PARTITIONER"), ids=ids,
+                   spread=spark.sparkContext.defaultParallelism)
     _, requests, _ = P.split_job(S.read_table(spark, name),
                                  P.SplitConfig(record_number=2, partition_value="11"), "NIN")
     O.erase_records(spark, name, requests.select("NIN", "PARTITIONER"), key="NIN")
-    return S.read_table(spark, name).select("NIN", "BENEFITS", "CODE", "PARTITIONER")
+    return S.read_table(spark, name).withColumn("DATE", F.col("DATE").cast("timestamp_ntz"))
 
 
 def q_erase_path(spark, sf):
@@ -255,8 +265,7 @@ def q_erase_path(spark, sf):
     K.write_file(src, path, "parquet", partition_by="o_orderpriority")
     O.erase_records_path(spark, path, erase_requests(spark, sf), "o_orderkey",
                          "o_orderpriority", schema=src.schema)
-    return S.read_parquet(spark, path, src.schema).select("o_orderkey", "o_custkey",
-                                                          "o_orderpriority")
+    return S.read_parquet(spark, path, src.schema)
 
 
 def q_erase_path_files(spark, sf):
@@ -266,8 +275,7 @@ def q_erase_path_files(spark, sf):
     K.write_file(src, path, "parquet", partition_by="o_orderpriority")
     O.erase_records_path(spark, path, erase_requests(spark, sf), "o_orderkey",
                          "o_orderpriority", schema=src.schema, swap="files")
-    return S.read_parquet(spark, path, src.schema).select("o_orderkey", "o_custkey",
-                                                          "o_orderpriority")
+    return S.read_parquet(spark, path, src.schema)
 
 
 def q_scan_partition_dirs(spark, sf):
@@ -284,7 +292,44 @@ def q_erase_empties_partition(spark, sf):
     rep = O.erase_records(spark, name, req.select("o_orderkey", "o_orderpriority"),
                           key="o_orderkey")
     assert rep.emptied == ["2-HIGH"], rep
-    return S.read_table(spark, name).select("o_orderkey", "o_orderpriority")
+    return S.read_table(spark, name)
+
+
+def second_requests(spark, sf):
+    """A further request list: the orders of MACHINERY-segment customers,
+    under '3-MEDIUM'."""
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").where(F.col("c_mktsegment") == "MACHINERY")
+    return (o.join(c, o.o_custkey == c.c_custkey, "left_semi")
+            .select("o_orderkey", F.lit("3-MEDIUM").alias("o_orderpriority")))
+
+
+def _erase_after_a_stop(spark, sf, swap, append):
+    """An erase that stops after staging (as in a crash); with ``append``,
+    copies of the finished orders with negated keys are then appended; the next
+    call brings another request list."""
+    name = orders_by_priority(spark, sf, private=True)
+    try:
+        O.erase_records(spark, name, erase_requests(spark, sf), key="o_orderkey", swap=swap,
+                        fail_after_staging=True)
+    except RuntimeError as stop:
+        if "test hook" not in str(stop):
+            raise
+    if append:
+        done = table(spark, sf, "orders").where("o_orderstatus = 'F'")
+        K.append_table(done.withColumn("o_orderkey", -F.col("o_orderkey")), name)
+        spark.catalog.refreshTable(name)
+    rep = O.erase_records(spark, name, second_requests(spark, sf), key="o_orderkey", swap=swap)
+    assert rep.resumed
+    return S.read_table(spark, name)
+
+
+def _erase_text_table(spark, sf, fmt, swap):
+    """Erase from a table whose data files are CSV or JSON."""
+    name = f"{scratch_database(spark)}.{unique_name('orders_' + fmt)}"
+    K.write_table(table(spark, sf, "orders"), name, fmt, partition_by="o_orderpriority")
+    O.erase_records(spark, name, erase_requests(spark, sf), key="o_orderkey", swap=swap)
+    return S.read_table(spark, name)
 
 
 # ---------------------------------------------------------------- aggregates
@@ -316,9 +361,13 @@ def q_split_by_hash(spark, sf):
 
 
 def q_split_random(spark, sf):
+    """Which rows land in which part is Spark's choice; together the parts are
+    the input, and no row is in both."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     train, test = O.split_random(o, 0.1, seed=42)
-    return test
+    both = train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    return (both.groupBy("o_orderkey", "o_orderpriority")
+            .agg(F.countDistinct("part").alias("parts"), F.count("*").alias("copies")))
 
 
 def q_repartition_rows(spark, sf):
@@ -334,7 +383,8 @@ def q_replicate_rows(spark, sf):
 def q_generate_records(spark, sf):
     """One synthetic record per order key (the generator over a table's ids)."""
     ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    return O.records_for_ids(ids, "id", GeneratorConfig(seed=42), keep_id=True)
+    return O.records_for_ids(ids, "id", GeneratorConfig(seed=42), keep_id=True,
+                             spread=spark.sparkContext.defaultParallelism)
 
 
 def q_generate_table(spark, sf):
@@ -344,11 +394,10 @@ def q_generate_table(spark, sf):
     ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
     target = P.StorageConfig(storage="db", table=name, partitioned=True,
                              partition_by="PARTITIONER")
-    n = P.generate_job(spark, GeneratorConfig(seed=42), target, ids=ids)
+    n = P.generate_job(spark, GeneratorConfig(seed=42), target, ids=ids,
+                       spread=spark.sparkContext.defaultParallelism)
     assert n >= 0
-    back = S.read_table(spark, name)
-    return back.select("NIN", "BENEFITS", "CODE", "PARTITIONER",
-                       F.col("DATE").cast("timestamp_ntz").alias("DATE"))
+    return S.read_table(spark, name).withColumn("DATE", F.col("DATE").cast("timestamp_ntz"))
 
 
 def q_split_table(spark, sf):
@@ -378,7 +427,8 @@ def flow_inputs(spark, sf):
     first input; the second input is the 10 % hash split of the first's
     records (the splitter's output), unchanged."""
     ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    records = O.records_for_ids(ids, "id", GeneratorConfig(seed=42))
+    records = O.records_for_ids(ids, "id", GeneratorConfig(seed=42),
+                                spread=spark.sparkContext.defaultParallelism)
     _, sample = O.split_by_hash(records, "NIN", 0.1, seed=42)
     return O.add_one(records, "BENEFITS"), sample
 
@@ -400,6 +450,31 @@ def q_flow_cube_partitioner(spark, sf):
     return P.run_flow(base, other, "CUBE:PARTITIONER", spec=spec, execute=False).last
 
 
+def q_flow_chain(spark, sf):
+    """Several steps in one flow text, the last a partitioned WRITE read back."""
+    base, other = flow_inputs(spark, sf)
+    out = scratch_path(spark, "flow_chain")
+    spec = P.FlowSpec(join_names=P.JOIN_NAMES, right_prefix=None, avg_digits=6)
+    P.run_flow(base, other, "GROUP:NIN, JOIN:ADDRESS, CUBE:NIN, WRITE:", spec=spec,
+               write=lambda df: K.write_file(df, out, "parquet", partition_by="gid"))
+    return S.read_parquet(spark, out)
+
+
+def q_flow_join_write(spark, sf):
+    """JOIN by the record key, written out and read back."""
+    base, other = flow_inputs(spark, sf)
+    out = scratch_path(spark, "flow_join")
+    spec = P.FlowSpec(join_names=P.JOIN_NAMES, right_prefix=None)
+    P.run_flow(base, other, "JOIN:NIN, WRITE:", spec=spec,
+               write=lambda df: K.write_file(df, out, "parquet"))
+    return S.read_parquet(spark, out)
+
+
+def q_flow_cube_nin(spark, sf):
+    base, other = flow_inputs(spark, sf)
+    return P.run_flow(base, other, "CUBE:NIN", spec=P.FlowSpec(avg_digits=6), execute=False).last
+
+
 SQL_TEXT = ("SELECT n.n_name, count(*) AS n FROM customer c JOIN nation n "
             "ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name HAVING count(*) > :min_n;")
 
@@ -411,6 +486,17 @@ def q_sql_text(spark, sf):
     return S.read_json(spark, path, answer.schema)
 
 
+SQL_FILE_TEXT = ("SELECT o_orderpriority, 'a;b' AS mark, count(*) AS n FROM orders "
+                 "WHERE o_orderstatus <> ';' GROUP BY o_orderpriority ;\n")
+
+
+def q_sql_file(spark, sf):
+    """SQL text stored in a file, with semicolons inside literals."""
+    path = scratch_path(spark, "sql")
+    spark.createDataFrame([(SQL_FILE_TEXT,)], "value string").coalesce(1).write.text(path)
+    return P.run_sql_file(spark, path, {"orders": table(spark, sf, "orders")})
+
+
 def q_ingest(spark, sf):
     """The ingest workload (source -> round-robin spread -> add one -> CSV),
     with the supplier table as the source; read back with its schema."""
@@ -434,22 +520,28 @@ def q_io_files(spark, sf):
     return rep.files.select("file_no", "row_count")
 
 
+def q_io_round_robin(spark, sf):
+    """Ten files, dealt round robin: their number and rows."""
+    rep = P.io_files(table(spark, sf, "lineitem"), scratch_path(spark, "io_even"), 10)
+    return rep.files.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows"))
+
+
 def q_stage_metrics(spark, sf):
-    """Event-log lines built from lineitem (stage = l_linenumber, shuffle
-    bytes written = l_partkey, run time = l_suppkey), written as JSON lines
-    and read back through the event-log reader."""
+    """Event-log lines built from lineitem (a log for each l_returnflag, stage =
+    l_linenumber, shuffle bytes written = l_partkey, run time = l_suppkey),
+    written as JSON lines and read back through the event-log reader."""
     li = table(spark, sf, "lineitem")
     lines = li.select(
-        F.lit("SparkListenerTaskEnd").alias("Event"),
+        F.col("l_returnflag").alias("log"), F.lit("SparkListenerTaskEnd").alias("Event"),
         F.col("l_linenumber").cast("bigint").alias("Stage ID"),
         F.lit(0).cast("bigint").alias("Stage Attempt ID"),
         F.struct(F.col("l_suppkey").alias("Executor Run Time"),
                  F.struct(F.col("l_partkey").alias("Shuffle Bytes Written"))
                  .alias("Shuffle Write Metrics")).alias("Task Metrics"))
     path = scratch_path(spark, "eventlog")
-    K.write_file(lines, path, "json")
-    return P.stage_metrics(spark, path).select("stage_id", "tasks", "run_ms",
-                                               "shuffle_write_bytes")
+    K.write_file(lines, path, "json", partition_by="log")
+    return P.stage_metrics(spark, path, application="log").select(
+        "application", "stage_id", "tasks", "run_ms", "shuffle_write_bytes")
 
 
 QUERIES = {
@@ -471,6 +563,7 @@ QUERIES = {
     "rename_columns": q_rename_columns,
     "filter_partition": q_filter_partition,
     "not_in": q_not_in,
+    "not_in_empty": q_not_in_empty,
     "not_in_null": q_not_in_null,
     "join_inner": q_join_inner,
     "join_inner_using": q_join_inner_using,
@@ -482,6 +575,12 @@ QUERIES = {
     "erase_generated": q_erase_generated,
     "erase_path": q_erase_path,
     "erase_path_files": q_erase_path_files,
+    **{f"erase_resume_{s}": partial(_erase_after_a_stop, swap=s, append=False)
+       for s in ("relocate", "copy", "files")},
+    **{f"erase_after_append_{s}": partial(_erase_after_a_stop, swap=s, append=True)
+       for s in ("relocate", "copy", "files")},
+    **{f"erase_{f}_table_{s}": partial(_erase_text_table, fmt=f, swap=s)
+       for f in ("csv", "json") for s in ("relocate", "copy", "files")},
     "scan_partition_dirs": q_scan_partition_dirs,
     "group_sum": q_group_sum,
     "cube_avg_max": q_cube_avg_max,
@@ -498,9 +597,14 @@ QUERIES = {
     "flow_group_nin": q_flow_group_nin,
     "flow_join_address": q_flow_join_address,
     "flow_cube_partitioner": q_flow_cube_partitioner,
+    "flow_cube_nin": q_flow_cube_nin,
+    "flow_join_write": q_flow_join_write,
+    "flow_chain": q_flow_chain,
     "sql_text": q_sql_text,
+    "sql_file": q_sql_file,
     "ingest": q_ingest,
     "run_summary": q_run_summary,
     "io_files": q_io_files,
+    "io_round_robin": q_io_round_robin,
     "stage_metrics": q_stage_metrics,
 }

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_mod
 from tessera import operators as O
 from tessera import sources as S
-from tessera.queries import erase_requests, orders_by_priority, table
+from tessera.queries import QUERIES, erase_requests, orders_by_priority, table
 from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
@@ -18,9 +18,9 @@ def plan_text(df):
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plan(spark, name):
-    df = entry_mod.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     text = plan_text(df)
     assert not any(n in text for n in PYTHON_NODES), text
 
@@ -58,12 +58,9 @@ def test_short_key_list_reaches_parquet_reader(spark):
 
 
 def test_erase_reads_only_touched_partitions(spark):
-    """The erase's scan of the main table carries the requested partitions as
-    PartitionFilters (literal path) or a dynamic pruning subquery (long list)."""
+    """The erase's scan of a batch carries its partitions as PartitionFilters."""
     from tessera.operators import erase as E
     name = orders_by_priority(spark, SF_SMALL)
-    main = S.read_table(spark, name)
-    lit_plan = {"partitions": ["1-URGENT", "5-LOW"]}
-    text = plan_text(E._filter_touched(spark, main, "o_orderpriority", lit_plan))
+    text = plan_text(E._Table(spark, name, None).batch(["1-URGENT", "5-LOW"]))
     assert "PartitionFilters: [" in text and "1-URGENT" in text and "5-LOW" in text
     assert "2-HIGH" not in text
