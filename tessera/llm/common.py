@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tessera
+from tessera import fsutil
 
 from tessera.operators.joins import HOT_ROWS, size_checked, skew_join
 from tessera.session import scratch_path
@@ -33,13 +34,15 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     top = os.path.dirname(tessera.__file__)
-    path = os.path.join(tempfile.mkdtemp(prefix="tessera-ship-"), "tessera_modules.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
         for folder, _, names in os.walk(top):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    path = scratch_path(spark, "modules") + "/tessera_modules.zip"
+    fsutil.write_bytes(spark, path, data.getvalue())
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 

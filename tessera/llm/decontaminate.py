@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    BROADCAST_ROWS, attach, broadcast_if_bounded, materialize, row_key, ship_package,
+    BROADCAST_BYTES, BROADCAST_ROWS, attach, broadcast_if_bounded, materialize, row_key, ship_package,
     text_or_empty, without_rows,
 )
 from tessera.llm.license_scan import text_words
+from tessera.operators.joins import measure
 
 SEED_WORDS = 3           # words of a seed n-gram
 COMMON = 8               # an n-gram this many times as frequent as its item's median is no seed
@@ -52,11 +53,13 @@ def _seed_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     stands.  The items' n-grams are broadcast, in as many blocks as their
     measured number asks for; the documents are not shuffled."""
     grams = materialize(_grams(items, ["item"], "tpos"), "benchmark-grams")
-    blocks = max(1, -(-grams.count() // BROADCAST_ROWS))
+    n, size = measure(grams)
+    blocks = max(1, -(-n // BROADCAST_ROWS), -(-size // BROADCAST_BYTES))
     places = _grams(docs, ["k1", "k2"], "pos")
     hits = None
     for b in range(blocks):
-        block = grams if blocks == 1 else grams.where(F.pmod("h", F.lit(blocks)) == b)
+        block = grams if blocks == 1 else grams.where(
+            F.pmod(F.xxhash64("item", "tpos"), F.lit(blocks)) == b)
         found = (places.join(F.broadcast(block), "h").where("pos_gram = tpos_gram")
                  .select("k1", "k2", "item", "tpos", "pos"))
         hits = found if hits is None else hits.union(found)

@@ -20,6 +20,7 @@ from tessera.llm.url_filter import parts
 
 BUCKETS = 1 << 15        # hashed byte trigrams
 TRAIN_ROWS = 8_000       # documents with a known language the text model is counted on, about
+MIN_SHARE = 0.001        # of the documents with a known language: a language with less has no model
 SMOOTH = 0.5             # added to each trigram bucket
 TEMPER = 30.0            # the text's log-likelihood is scaled to at most so many trigrams
 HOST_PRIOR = 5.0         # pseudo-rows of the parent behind a host's and a domain's shares
@@ -47,8 +48,12 @@ def text_model(documents: DataFrame, lang_col: str, text_col: str,
     known = documents.select(F.col(lang_col).alias("lang"),
                              text_or_empty(text_col).cast("binary").alias("text")).where(
         F.col("lang").isNotNull() & (F.length("text") > 0))
-    n = known.count()
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
+    n = sizes.agg(F.sum("n")).first()[0] or 0
     share = min(1.0, train_rows / n) if n else 0.0
+    # at most 1 / MIN_SHARE languages
+    modelled = [r[0] for r in sizes.where(F.col("n") >= MIN_SHARE * n).select("lang").collect()]
+    known = known.where(F.col("lang").isin(modelled))
     sample = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def count(batches):

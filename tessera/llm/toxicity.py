@@ -109,8 +109,8 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     it is chosen on every fifth sample document, which the fit leaves out.
 
     About ``train_rows`` labelled documents, chosen by a hash of the id, are
-    turned into features where they lie; their feature lists, bounded by that
-    number, meet in one task, which fits the model.
+    turned into features where they lie (one row of each id); their feature
+    lists, bounded by that number, meet in one task, which fits the model.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     n = known.count()
@@ -167,7 +167,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
 
     lists = sample.mapInArrow(extract, StructType([
         texts.schema[0], *_schema("features array<binary>, toxic boolean")]))
-    rows = (lists.repartition(1).sortWithinPartitions("id").select("features", "toxic")
+    rows = (lists.dropDuplicates(["id"]).repartition(1).sortWithinPartitions("id").select("features", "toxic")
             .mapInArrow(learn, "feature binary, weight double").collect())
     theta = sorted(r["weight"] for r in rows if r["feature"] is None)
     if not theta:

@@ -78,8 +78,8 @@ def judge_urls(df: DataFrame, rules: dict[str, str] | None = None, id_col: str =
     ``allow``) and ``p_block`` (the trees' probability; null where they could
     not be fitted).
 
-    The trees are fitted on about ``train_rows`` distinct labelled urls taken by
-    hash; suffix rates are counted over all labelled urls, less the url's own
+    The trees are fitted on about ``train_rows`` distinct labelled urls, half of
+    either label, taken by hash and weighted back to their share; suffix rates are counted over all labelled urls, less the url's own
     label, with ``SUFFIX_PRIOR`` pseudo-urls at the overall rate.  Where the
     labelled urls all have one label or there are none, the rest get that
     label, or ``allow``.  Null urls have empty host and path.  Null ids and
@@ -110,17 +110,17 @@ def judge_urls(df: DataFrame, rules: dict[str, str] | None = None, id_col: str =
         rest = F.lit("block" if rate == 1.0 else "allow")
         scored, chance = rows, F.lit(None).cast("double")
     else:
-        share = min(1.0, train_rows / judged)
+        shares = [min(1.0, train_rows / 2 / n) for n in (judged - blocked, blocked)]
+        share = F.when(F.col("label") == 1, shares[1]).otherwise(shares[0])
         sample = materialize(
             rows.where(F.col("label").isNotNull()
-                       & (F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int(share * (1 << 20))))
-            .select("label", *FEATURES).distinct().coalesce(4), "url-sample")
-        fitted = sample.agg(F.min("label"), F.max("label")).first()
-        if fitted[0] == fitted[1]:      # a sample of one label only
-            sample = rows.where("label is not null").select("label", *FEATURES)
+                       & (F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share * (1 << 20)))
+            .select("label", (1 / share).alias("weight"), *FEATURES).distinct().coalesce(4),
+            "url-sample")
         model = Pipeline(stages=[
             VectorAssembler(inputCols=FEATURES, outputCol="vector"),
-            GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH,
+            GBTClassifier(featuresCol="vector", labelCol="label",
+                          weightCol="weight", maxIter=TREES, maxDepth=DEPTH,
                           maxBins=32, stepSize=0.3, seed=7)]).fit(sample)
         scored = model.transform(rows)
         chance = vector_to_array("probability")[1]
