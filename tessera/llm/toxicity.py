@@ -52,11 +52,16 @@ def severity_grades(rows: list[np.ndarray], toxic: np.ndarray, width: int) -> np
 
 
 def fit(rows: list[np.ndarray], sizes: np.ndarray, grades: np.ndarray, width: int):
-    """Weights and thresholds by full-batch Adam.  A document's features all
-    have the value 1 / sqrt(number of its features)."""
+    """Weights and thresholds by full-batch Adam.  A feature's value in a
+    document is its rarity (log of documents per document that holds it, over
+    the mean of that) / sqrt(number of the document's features); the weights
+    returned include the rarity."""
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    value = 1 / np.sqrt(np.maximum(sizes, 1))[doc]
+    held = np.bincount(col, minlength=width)
+    rarity = np.log((len(rows) + 1) / np.maximum(held, 1))
+    rarity /= max(rarity.mean(), 1e-9) if width else 1.0
+    value = rarity[col] / np.sqrt(np.maximum(sizes, 1))[doc]
     top = int(grades.max())
     below = np.array([(grades <= k).mean() for k in range(top)])
     first = np.log(below / (1 - below))
@@ -84,7 +89,7 @@ def fit(rows: list[np.ndarray], sizes: np.ndarray, grades: np.ndarray, width: in
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.999 * v[k] + 0.001 * g * g
             x -= RATE * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
-    return w, cut[0] + np.r_[0, np.cumsum(np.exp(cut[1:]))]
+    return w * rarity, cut[0] + np.r_[0, np.cumsum(np.exp(cut[1:]))]
 
 
 def expected(eta: np.ndarray, theta: np.ndarray) -> np.ndarray:
