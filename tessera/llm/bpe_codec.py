@@ -33,7 +33,9 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from tessera.llm import bpe_vocab
 from tessera.llm.common import ship_package
 
-MEMO_ENTRIES = 250_000    # pre-tokens remembered per Python worker
+MEMO_WORDS = 600_000      # words remembered per Python worker
+MEMO_ENTRIES = 100_000    # other pre-tokens
+SHORT = 48                # bytes merged by scanning the ranks of all pairs
 MEMO_CHARS = 40
 CHUNK = 1 << 18           # characters fed to the encoder at a time
 WINDOW = 1 << 10          # bytes merged at a time, beside the lookahead
@@ -73,6 +75,23 @@ def sufficient_lookahead(vocab: bpe_vocab.Vocabulary) -> int:
     return longest
 
 
+def merge_short(vocab: bpe_vocab.Vocabulary, ids: list[int]) -> list[int]:
+    """The merged ids of a short window: the pair of lowest rank, leftmost
+    first, until there is none (``ids`` is changed in place)."""
+    rules, none = vocab.rules, len(vocab.rules)
+    rank = vocab.rank_of
+    pairs = [rank(a << 32 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+    while pairs and (best := min(pairs)) < none:
+        at = pairs.index(best)
+        ids[at:at + 2] = [rules[best][2]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = rank(ids[at - 1] << 32 | ids[at], none)
+        if at < len(pairs):
+            pairs[at] = rank(ids[at] << 32 | ids[at + 1], none)
+    return ids
+
+
 class RunEncoder:
     """Bytes of one pre-token in, ids out once they are stable."""
 
@@ -82,8 +101,10 @@ class RunEncoder:
 
     def _merged(self) -> list[int]:
         byte_ids = self.vocab.byte_ids
-        symbols, _ = self.vocab.merge_symbols([byte_ids[b] for b in self.held])
-        return [s for s in symbols if s >= 0]
+        symbols = [byte_ids[b] for b in self.held]
+        if len(symbols) <= SHORT:
+            return merge_short(self.vocab, symbols)
+        return [s for s in self.vocab.merge_symbols(symbols)[0] if s >= 0]
 
     def feed(self, data: bytes) -> list[int]:
         out: list[int] = []
@@ -114,9 +135,7 @@ class _Packed(dict):
         self.codec = codec
 
     def __missing__(self, word: str) -> bytes:
-        run = self.codec.run_encoder()
-        ids = run.feed(word.encode()) + run.finish()
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.codec.pack(word)
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_ENTRIES:
                 self.clear()
@@ -130,12 +149,14 @@ class _PackedWords(dict):
 
     def __init__(self, codec: "Codec"):
         super().__init__()
-        self.find, self.pretokens = codec.vocab.find, codec.memo
+        self.codec, self.find, self.pretokens = codec, codec.vocab.find, codec.memo
 
     def __missing__(self, word: str) -> bytes:
-        packed = b"".join(map(self.pretokens.__getitem__, self.find.findall(" " + word)))
+        pieces = self.find.findall(" " + word)
+        packed = (self.codec.pack(pieces[0]) if len(pieces) == 1
+                  else b"".join(map(self.pretokens.__getitem__, pieces)))
         if len(word) <= MEMO_CHARS and "\n" not in word:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= MEMO_WORDS:
                 self.clear()
             self[word] = packed
         return packed
@@ -158,6 +179,12 @@ class Codec:
     def run_encoder(self) -> RunEncoder:
         return RunEncoder(self.vocab, self.lookahead, self.window)
 
+    def pack(self, word: str) -> bytes:
+        """Packed ids of one pre-token, through the run encoder."""
+        run = self.run_encoder()
+        ids = run.feed(word.encode()) + run.finish()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str):
         """Blocks of packed ids (little-endian unsigned 32-bit) of a text."""
         for piece, special in self.vocab.segments(text):

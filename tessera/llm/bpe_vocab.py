@@ -47,6 +47,7 @@ class Vocabulary:
             a, b, c = ids[left], ids[right], ids[left + right]
             self.merge[a << 32 | b] = (rank, c)
             self.rules.append((a, b, c))
+        self.rank_of = {k: rank for k, (rank, _) in self.merge.items()}.get
         self.bytes_of = {i: bytes(to_byte[c] for c in t) for t, i in ids.items()
                          if all(c in to_byte for c in t)}
         self.special: dict[str, int] = {}
