@@ -657,7 +657,7 @@ def _drop_litter(target: _Target, staging: str) -> None:
     found = {fsutil.partition_dir_value(f, target.part): f.rstrip("/")
              for f in fsutil.list_dirs(spark, staging)}
     values = [v for v in found if v is not None]
-    live = set(target.folders(values).values()) if values else set()
+    live = set(target.folders(values).values()) & set(found.values()) if values else set()
     for folder in found.values():
         if folder not in live:
             fsutil.delete(spark, folder)
