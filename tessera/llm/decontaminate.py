@@ -1,14 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman
-alignment (operator 8).
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment
+(operator 8).
 
 Rolling word n-grams of the documents are joined to those of the benchmark
-items; n-grams that are common in the corpus, measured against the item's
-others, are no seeds; the windows around seed hits are aligned to the item
-word by word, and the normalised score decides.
+items; the windows around seed hits are aligned to the item word by word, and
+the normalised score decides.  Every n-gram is a seed, however common it is in
+the corpus (a leak's own copies make it common); windows that hold too few of
+the item's words for any alignment to reach the score are not aligned.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -22,8 +25,6 @@ from tessera.llm.license_scan import text_words
 from tessera.operators.joins import measure
 
 SEED_WORDS = 3           # words of a seed n-gram
-COMMON = 8               # an n-gram this many times as frequent as its item's median is no seed
-COMMON_FLOOR = 20        # corpus places up to which any n-gram is a seed
 SLACK = 10               # words aligned on either side beside the item's length
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.45         # of the score that the whole item would have
@@ -49,9 +50,10 @@ def _grams(rows: DataFrame, keep: list[str], at: str) -> DataFrame:
 
 
 def _seed_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(k1, k2, item, tpos, pos): every place where a rare n-gram of an item
-    stands.  The items' n-grams are broadcast, in as many blocks as their
-    measured number asks for; the documents are not shuffled."""
+    """(k1, k2, item, diagonal): the distinct differences between the places
+    of an n-gram in a document and in an item.  The items' n-grams are
+    broadcast, in as many blocks as their measured number asks for; the
+    documents are not shuffled."""
     grams = materialize(_grams(items, ["item"], "tpos"), "benchmark-grams")
     n, size = measure(grams)
     blocks = max(1, -(-n // BROADCAST_ROWS), -(-size // BROADCAST_BYTES))
@@ -61,18 +63,9 @@ def _seed_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         block = grams if blocks == 1 else grams.where(
             F.pmod(F.xxhash64("item", "tpos"), F.lit(blocks)) == b)
         found = (places.join(F.broadcast(block), "h").where("pos_gram = tpos_gram")
-                 .select("k1", "k2", "item", "tpos", "pos"))
+                 .select("k1", "k2", "item", (F.col("pos") - F.col("tpos")).alias("diagonal")))
         hits = found if hits is None else hits.union(found)
-    hits = materialize(hits, "benchmark-hits")
-    often = grams.select("item", "tpos").join(
-        hits.groupBy("item", "tpos").agg(F.count("*").alias("n")), ["item", "tpos"], "left")
-    often = often.withColumn("n", F.coalesce("n", F.lit(0)))
-    usual = often.groupBy("item").agg(F.percentile("n", 0.5).alias("usual"))
-    common = materialize(often.join(usual, "item").where(
-        F.col("n") > F.greatest(F.lit(COMMON_FLOOR), COMMON * F.col("usual"))), "common-grams")
-    load = common.select("item", "tpos", "n")
-    return (attach(hits, common.select("item", "tpos", F.lit(True).alias("common")),
-                   ["item", "tpos"], load).where("common is null").drop("common"))
+    return materialize(hits.distinct(), "seed-hits")
 
 
 def _windows(hits: DataFrame, items: DataFrame) -> DataFrame:
@@ -80,9 +73,7 @@ def _windows(hits: DataFrame, items: DataFrame) -> DataFrame:
     half the item's length are one window."""
     sizes = materialize(items.select("item", F.size("words").alias("size")), "item-sizes")
     load = hits.groupBy("item").agg(F.count("*").alias("n"))
-    lines = (attach(hits, sizes, "item", load).groupBy(
-        "k1", "k2", "item", "size", (F.col("pos") - F.col("tpos")).alias("diagonal"))
-        .agg(F.lit(1).alias("one")))
+    lines = attach(hits, sizes, "item", load)
     order = Window.partitionBy("k1", "k2", "item").orderBy("diagonal")
     parts = lines.withColumn("new", F.coalesce(
         (F.col("diagonal") - F.lag("diagonal").over(order) > F.col("size") / 2).cast("int"),
@@ -122,17 +113,26 @@ def align(windows: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarra
     return best, end
 
 
+def may_align(window: list[str], item: list[str]) -> bool:
+    """Whether the words that both hold, were they all matched without a
+    mismatch or gap, would reach ``MIN_SCORE``: if not, no alignment does."""
+    return (Counter(window) & Counter(item)).total() / len(item) >= MIN_SCORE
+
+
 def _aligned(pairs: DataFrame, id_type) -> DataFrame:
-    """Score, first and last word of the best alignment of each pair."""
+    """Score, first and last word of the best alignment of each pair; 0 where
+    ``may_align`` rules the pair out."""
     def run(batches):
         for b in batches:
             codes: dict[str, int] = {}
             code = lambda ws: np.array([codes.setdefault(w, len(codes)) for w in ws], np.int64)
-            windows = [code(x.as_py()) for x in b.column(4)]
-            items = [code(x.as_py()) for x in b.column(5)]
-            score = np.zeros(len(items))
-            first, last = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
-            order = sorted(range(len(items)), key=lambda i: (len(windows[i]), len(items[i])))
+            words = [(x.as_py(), y.as_py()) for x, y in zip(b.column(4), b.column(5), strict=True)]
+            able = [i for i, (x, y) in enumerate(words) if may_align(x, y)]
+            windows = {i: code(words[i][0]) for i in able}
+            items = {i: code(words[i][1]) for i in able}
+            score = np.zeros(len(words))
+            first, last = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+            order = sorted(able, key=lambda i: (len(windows[i]), len(items[i])))
             while order:
                 group, wide = [], 1
                 while order and (not group or max(wide, len(items[order[0]])) * (len(group) + 1)
@@ -178,8 +178,8 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     t = text_or_empty(text_col)
     key = row_key(id_col, t)
     docs = df.select(*key, text_words(t).alias("words"))
-    # no row is taken twice for equal rows: hits of one key and place are one
-    hits = materialize(_seed_hits(docs, items).distinct(), "seed-hits")
+    # no row is taken twice for equal rows: hits of one key and diagonal are one
+    hits = _seed_hits(docs, items)
     found = materialize(_windows(hits, items).groupBy("k1", "k2").agg(
         F.collect_list(F.struct("item", "start", "length")).alias("places")), "seed-windows")
     small = broadcast_if_bounded(found)

@@ -68,6 +68,28 @@ def test_a_passage_in_a_third_of_all_documents_is_found_everywhere(spark):
     assert {r.id for r in D.contaminated(df, b).collect()} == {i for i in range(300) if i % 3 == 0}
 
 
+def test_many_edited_and_partial_copies_are_found(spark):
+    """As many documents hold the same copy, in which fewer than half of the
+    item's 3-grams are left, as make its own seeds common."""
+    words = [f"v{j}" for j in range(38)]
+    bench = [(1, " ".join(words)), (2, " ".join(f"u{j}" for j in range(38)))]
+    partial = " ".join(words[:18])
+    edited = " ".join(f"e{j}" if j % 4 == 3 else f"u{j}" for j in range(38))
+    for n in (21, 1000):
+        docs = [(i, prose(i, 30) + f" {copy} " + prose(i + 1, 20)) for i, copy in
+                enumerate([partial] * n + [edited] * n + [""] * n)]
+        df, b = frames(spark, docs, bench)
+        got = sorted((r.id, r.item_id, round(r.score, 2)) for r in D.contaminated(df, b).collect())
+        assert got == [(i, 1, 0.47) for i in range(n)] + [(n + i, 2, 0.64) for i in range(n)]
+
+
+def test_pairs_that_are_not_aligned_could_not_reach_the_score():
+    rng = random.Random(5)
+    for _ in range(500):
+        a, b = ([str(rng.randrange(9)) for _ in range(rng.randint(1, n))] for n in (30, 12))
+        assert D.may_align(a, b) or smith_waterman(a, b) / (D.MATCH * len(b)) < D.MIN_SCORE
+
+
 def test_common_grams_alone_are_no_leak(spark):
     bench = [(1, "the the the " + " ".join(f"q{j}" for j in range(15)))]
     df, b = frames(spark, [(i, "the the the and so on " + prose(i, 30)) for i in range(200)], bench)
