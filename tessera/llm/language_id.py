@@ -11,16 +11,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from tessera.llm.common import attach, materialize, ship_package, text_or_empty
+from tessera.llm.common import (
+    BROADCAST_BYTES, attach, materialize, ship_package, text_or_empty,
+)
 from tessera.llm.url_filter import parts
 
 BUCKETS = 1 << 15        # hashed byte trigrams
-TRAIN_ROWS = 8_000       # documents with a known language the text model is counted on, about
-MIN_SHARE = 0.001        # of the documents with a known language: a language with less has no model
+TRAIN_ROWS = 8_000       # documents of each known language the text model is counted on, about
+GRID = 64                # weights of repeated texts are multiples of 1/GRID: sums don't depend on their order
+TASK_LANGUAGES = 64      # languages whose counts a task holds at a time
 SMOOTH = 0.5             # added to each trigram bucket
 TEMPER = 30.0            # the text's log-likelihood is scaled to at most so many trigrams
 HOST_PRIOR = 5.0         # pseudo-rows of the parent behind a host's and a domain's shares
@@ -43,48 +47,82 @@ def _blocks(text: bytes):
 def text_model(documents: DataFrame, lang_col: str, text_col: str,
                train_rows: int) -> tuple[list[str], np.ndarray]:
     """(languages, log P(trigram | language)): counts over about
-    ``train_rows`` documents with a known language, chosen by a hash of the
-    text; summed in the tasks, then by language."""
-    known = documents.select(F.col(lang_col).alias("lang"),
-                             text_or_empty(text_col).cast("binary").alias("text")).where(
+    ``train_rows`` documents of each known language, all of them where it has
+    no more; a language is left out only if none of its texts has a trigram.
+
+    Distinct texts are chosen by hash, with a chance in proportion to how
+    often they stand in the language, and count as often as they would be
+    expected in so many documents: a repeated text is neither wholly in nor
+    wholly out.  Counts are summed in the tasks, then by language.
+    """
+    text = text_or_empty(text_col).cast("binary")
+    known = documents.select(F.col(lang_col).alias("lang"), F.xxhash64(text).alias("h"),
+                             text.alias("text")).where(
         F.col("lang").isNotNull() & (F.length("text") > 0))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
-    n = sizes.agg(F.sum("n")).first()[0] or 0
-    share = min(1.0, train_rows / n) if n else 0.0
-    # at most 1 / MIN_SHARE languages
-    modelled = [r[0] for r in sizes.where(F.col("n") >= MIN_SHARE * n).select("lang").collect()]
-    known = known.where(F.col("lang").isin(modelled))
-    sample = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    times = materialize(known.groupBy("lang", "h").agg(F.count("*").alias("n")), "language-texts")
+    sizes = materialize(times.groupBy("lang").agg(F.sum("n").alias("n")), "language-sizes")
+    share = F.least(F.lit(1.0), train_rows / F.col("of"))
+    due = attach(times, sizes.withColumnRenamed("n", "of"), "lang", sizes).withColumn(
+        "due", share * F.col("n"))
+    chosen = materialize(
+        due.where((F.col("due") >= 1) | (F.shiftrightunsigned("h", 1) < F.col("due") * 2.0 ** 63))
+        .select("lang", "h", "n", F.greatest(F.lit(1.0), F.round(F.col("due") * GRID) / GRID)
+                .alias("weight")), "language-sample")
+    sample = attach(known, chosen.drop("n"), ["lang", "h"], chosen, "inner").select(
+        "lang", "weight", "text").distinct()
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
+
+        def drain():
+            for lang, own in sums.items():
+                at = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)),
+                     pa.array(own[at])], names=["lang", "bucket", "n"])
+            sums.clear()
+
         for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                own = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
+            for lang, weight, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
+                                          b.column(2), strict=True):
+                if lang not in sums and len(sums) == TASK_LANGUAGES:
+                    yield from drain()
+                own = sums.setdefault(lang, np.zeros(BUCKETS))
                 for block in _blocks(text.as_py()):
-                    own += np.bincount(_trigrams(block), minlength=BUCKETS)
-        for lang, own in sums.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)),
-                 pa.array(own[at])], names=["lang", "bucket", "n"])
+                    own += weight * np.bincount(_trigrams(block), minlength=BUCKETS)
+        yield from drain()
 
-    counts = (sample.mapInArrow(count, "lang string, bucket int, n long")
-              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    rows = counts.groupBy("lang").agg(F.collect_list("bucket").alias("b"),
-                                      F.collect_list("n").alias("n")).orderBy("lang").collect()
-    table = np.full((BUCKETS, len(rows)), SMOOTH)
-    for k, r in enumerate(rows):
-        table[r["b"], k] += r["n"]
-    return [r["lang"] for r in rows], np.log(table / table.sum(axis=0))
+    counts = (sample.mapInArrow(count, "lang string, bucket int, n double")
+              .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))).toArrow()
+    languages = sorted(counts["lang"].unique().to_pylist())
+    table = np.full((BUCKETS, len(languages)), SMOOTH)
+    at = pc.index_in(counts["lang"], value_set=pa.array(languages, pa.string()))
+    table[counts["bucket"].to_numpy(), at.to_numpy()] += counts["n"].to_numpy()
+    return languages, np.log(table / table.sum(axis=0))
 
 
 def text_scores(texts: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
-    """Adds ``logp``, the tempered log-likelihoods, in place of ``text``."""
+    """Adds ``logp``, the tempered log-likelihoods, in place of ``text``.  A
+    Python worker holds the table of as many languages as ``BROADCAST_BYTES``
+    take; with more languages the texts are scored in several passes."""
+    step = max(1, BROADCAST_BYTES // (4 * BUCKETS))
+    starts = range(0, len(languages), step)
+    if len(starts) < 2:
+        return _block_scores(texts, table, "logp", False)
+    for k in starts:
+        last = k == starts[-1]
+        texts = _block_scores(texts, table[:, k:k + step], f"logp{k}", not last)
+        if not last:
+            texts = materialize(texts, "language-texts-scored")
+    names = [f"logp{k}" for k in starts]
+    return texts.withColumn("logp", F.concat(*names)).drop(*names)
+
+
+def _block_scores(texts: DataFrame, table: np.ndarray, name: str, keep_text: bool) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(table.astype(np.float32))
     at = texts.columns.index("text")
-    schema = StructType([f for f in texts.schema if f.name != "text"]
-                        + [StructField("logp", ArrayType(DoubleType()))])
+    schema = StructType([f for f in texts.schema if keep_text or f.name != "text"]
+                        + [StructField(name, ArrayType(DoubleType()))])
 
     def run(batches):
         model = shared.value
@@ -99,7 +137,7 @@ def text_scores(texts: DataFrame, languages: list[str], table: np.ndarray) -> Da
                     n += len(grams)
                 out.append(total * (min(n, TEMPER) / n) if n else total)
             yield pa.RecordBatch.from_arrays(
-                [c for i, c in enumerate(b.columns) if i != at]
+                [c for i, c in enumerate(b.columns) if keep_text or i != at]
                 + [pa.array([x.tolist() for x in out], pa.list_(pa.float64()))],
                 names=[f.name for f in schema])
 

@@ -42,6 +42,39 @@ def test_trigram_counts(spark):
     assert np.allclose(table[:, 0], np.log(counts / counts.sum()))
 
 
+def test_a_rare_language_has_a_model(spark):
+    rows = [(i, f"the cat {i} and the dog {i * 7} ", "en", "s", 0) for i in range(3000)]
+    rows += [(5000 + i, f"mbwa {i} na paka wawili ", "sw", "s", 0) for i in range(2)]
+    model = L.text_model(spark.createDataFrame(rows, SCHEMA), "lang", "text", 50)
+    assert model[0] == ["en", "sw"]
+    df = spark.createDataFrame([("a", "paka wawili na mbwa", None, None, None),
+                                ("b", "the dog and the cat", None, None, None)],
+                               "id string, text string, host string, declared string, suffix string")
+    got = L.identify(df.withColumn("text", F.encode("text", "utf-8")), model).collect()
+    assert {r["id"]: r.lang for r in got} == {"a": "sw", "b": "en"}
+
+
+def test_a_repeated_text_keeps_its_share_of_the_sample(spark):
+    rows = [(i, f"{i * 7919 % 1000003:012d}" if i % 3 else "z" * 12, "en", "s", 0)
+            for i in range(450)]
+    _, table = L.text_model(spark.createDataFrame(rows, SCHEMA), "lang", "text", 60)
+    counts = np.exp(table[:, 0] - table.min()) * L.SMOOTH - L.SMOOTH
+    z = (ord("z") * (961 + 31 * 257 + 40503)) & (L.BUCKETS - 1)
+    assert round(counts[z], 3) == 20 * 10          # 60 documents, a third of them, 10 trigrams
+    assert 200 < counts.sum() - counts[z] < 600
+
+
+def test_blocks_of_languages_give_the_same(spark, monkeypatch):
+    words = {"de": "der hund und die katze", "en": "the cat and the dog", "sw": "mbwa na paka wawili"}
+    rows = [(i, f"{t} {i}", k, "s", 0) for k, t in words.items() for i in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = L.text_model(df, "lang", "text", 100)
+    whole = sorted(map(tuple, L.identify(L.document_rows(df), model).collect()))
+    monkeypatch.setattr(L, "BROADCAST_BYTES", 2 * 4 * L.BUCKETS)
+    assert sorted(map(tuple, L.identify(L.document_rows(df), model).collect())) == whole
+    assert len(whole) == 60
+
+
 def test_evidence_decides_where_the_text_does_not(spark):
     rows = [(f"{k}{i}", t, f"h.{k}.x", k, k) for k, t in
             (("en", "the cat and the dog "), ("de", "der hund und die katze ")) for i in range(30)]
