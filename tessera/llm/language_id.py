@@ -191,7 +191,8 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     any other columns; ``text`` is replaced by ``lang`` and ``prob``, the most
     likely language and its posterior.
 
-    A row's own vote is taken out of its host's and domain's counts.  Null
+    A row's own vote is taken out of its host's and domain's counts; a text
+    without trigrams has none.  Null
     host, declaration or suffix: no such evidence.  No text and no other
     evidence: the overall shares decide; no model at all: null.
     """
@@ -204,7 +205,8 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     domain = F.regexp_extract("host", r"(?s)([^.]*\.)?[^.]*\z", 0)
     scored = text_scores(rows, languages, table).withColumns({
         "domain": domain,
-        "best": (F.array_position("logp", F.array_max("logp")) - 1).cast("int")})
+        "best": F.when(F.array_max("logp") < 0,          # no trigram: no vote
+                       (F.array_position("logp", F.array_max("logp")) - 1).cast("int"))})
     scored = materialize(scored, "language-scores")
     priors, hosts, every = _host_priors(scored.where("host is not null"), languages)
     total = sum(every)
@@ -213,9 +215,10 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     for column in ("declared", "suffix"):
         logs = materialize(_log_table(scored, column, languages), f"language-log-{column}")
         out = attach(out, logs.drop("n"), column, logs.select(column, "n"))
-    mine = [(F.col("best") == k).cast("int") for k in span]
-    n_domain = sum((F.col(f"d{k}") for k in span[1:]), F.col("d0")) - 1
-    n_host = sum((F.col(f"h{k}") for k in span[1:]), F.col("h0")) - 1
+    mine = [F.coalesce((F.col("best") == k).cast("int"), F.lit(0)) for k in span]
+    voted = F.col("best").isNotNull().cast("int")
+    n_domain = sum((F.col(f"d{k}") for k in span[1:]), F.col("d0")) - voted
+    n_host = sum((F.col(f"h{k}") for k in span[1:]), F.col("h0")) - voted
     by_domain = [(F.col(f"d{k}") - mine[k] + HOST_PRIOR * whole[k]) / (n_domain + HOST_PRIOR)
                  for k in span]
     prior = [F.coalesce((F.col(f"h{k}") - mine[k] + HOST_PRIOR * by_domain[k])

@@ -89,6 +89,17 @@ def test_evidence_decides_where_the_text_does_not(spark):
     assert all(got[f"{k}{i}"].lang == k for k in ("en", "de") for i in range(30))
 
 
+def test_empty_texts_have_no_vote(spark):
+    """More empty than full texts at a host of the last language."""
+    rows = [(f"full{i}", "the cat and the dog ", "h.x", "en", "x") for i in range(10)]
+    rows += [(f"empty{i}", "", "h.x", "en", "x") for i in range(40)]
+    rows += [(f"de{i}", "der hund und die katze ", "g.y", "de", "y") for i in range(10)]
+    df = spark.createDataFrame(rows, "id string, text string, host string, declared string, "
+                                     "suffix string").withColumn("text", F.encode("text", "utf-8"))
+    got = {r["id"]: r.lang for r in L.identify(df, _model(spark)).collect()}
+    assert {k: v for k, v in got.items() if v != ("de" if k[0] == "d" else "en")} == {}
+
+
 def test_markup(spark):
     html = ["<html lang='FR-ca'>a<b>c</b>", "<!DOCTYPE html><html class=x lang=de><p>q", "<p lang=en>",
             "<html><script>var t='<p>no';</script><!-- lang --><p>yes</html>", ""]
