@@ -18,9 +18,9 @@ from pyspark.sql.types import (
     BooleanType, DoubleType, IntegerType, StructField, StructType,
 )
 
-from tessera.llm.common import ship_package, text_or_empty
+from tessera.llm.common import materialize, ship_package, text_or_empty
 
-TRAIN_ROWS = 12_000      # labelled documents the model is fitted on, by hash, about
+TRAIN_ROWS = 12_000      # labelled documents the model is fitted on, half of either class, by hash, about
 MIN_DOCS = 4             # sample documents that must hold a feature
 PREFIX = 4               # bytes of a word's beginning
 STEPS, RATE, DECAY = 150, 0.3, 2e-5
@@ -51,39 +51,41 @@ def severity_grades(rows: list[np.ndarray], toxic: np.ndarray, width: int) -> np
     return np.where(toxic, 1 + (share >= np.median(share[toxic])), 0)
 
 
-def fit(rows: list[np.ndarray], sizes: np.ndarray, grades: np.ndarray, width: int):
+def fit(rows: list[np.ndarray], sizes: np.ndarray, grades: np.ndarray, width: int,
+        copies: np.ndarray | None = None):
     """Weights and thresholds by full-batch Adam.  A feature's value in a
     document is its rarity (log of documents per document that holds it, over
     the mean of that) / sqrt(number of the document's features); the weights
-    returned include the rarity."""
+    returned include the rarity.  A document counts ``copies`` times."""
+    copies = np.ones(len(rows)) if copies is None else copies
+    n = copies.sum()
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    held = np.bincount(col, minlength=width)
-    rarity = np.log((len(rows) + 1) / np.maximum(held, 1))
+    held = np.bincount(col, weights=copies[doc], minlength=width)
+    rarity = np.log((n + 1) / np.maximum(held, 1))
     rarity /= max(rarity.mean(), 1e-9) if width else 1.0
     value = rarity[col] / np.sqrt(np.maximum(sizes, 1))[doc]
     top = int(grades.max())
-    below = np.array([(grades <= k).mean() for k in range(top)])
+    below = np.array([copies[grades <= k].sum() / n for k in range(top)])
     first = np.log(below / (1 - below))
     # thresholds: the first, then logs of the steps up, so they stay ordered
     w, cut = np.zeros(width), np.r_[first[0], np.log(np.maximum(np.diff(first), 1e-2))]
     m = [np.zeros(width), np.zeros(top)]
     v = [np.zeros(width), np.zeros(top)]
-    n = len(rows)
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
     for step in range(1, STEPS + 1):
         steps = np.exp(cut[1:])
         theta = np.r_[-np.inf, cut[0] + np.r_[0, np.cumsum(steps)], np.inf]
-        eta = np.bincount(doc, weights=w[col] * value, minlength=n)
+        eta = np.bincount(doc, weights=w[col] * value, minlength=len(rows))
         hi, lo = sigmoid(theta[grades + 1] - eta), sigmoid(theta[grades] - eta)
         hi[grades == top], lo[grades == 0] = 1.0, 0.0
         p = np.maximum(hi - lo, 1e-12)
         f_hi, f_lo = hi * (1 - hi), lo * (1 - lo)
-        slope = (f_hi - f_lo) / p / n
+        slope = copies * (f_hi - f_lo) / p / n
         g_w = np.bincount(col, weights=slope[doc] * value, minlength=width) + DECAY * w
         g_theta = np.zeros(top)
-        np.add.at(g_theta, grades[grades < top], -(f_hi / p)[grades < top] / n)
-        np.add.at(g_theta, grades[grades > 0] - 1, (f_lo / p)[grades > 0] / n)
+        np.add.at(g_theta, grades[grades < top], -(copies * f_hi / p)[grades < top] / n)
+        np.add.at(g_theta, grades[grades > 0] - 1, (copies * f_lo / p)[grades > 0] / n)
         upward = np.cumsum(g_theta[::-1])[::-1]       # a step moves all later thresholds
         for k, (x, g) in enumerate(((w, g_w), (cut, np.r_[upward[0], upward[1:] * steps]))):
             m[k] = 0.9 * m[k] + 0.1 * g
@@ -97,32 +99,43 @@ def expected(eta: np.ndarray, theta: np.ndarray) -> np.ndarray:
     return (1 / (1 + np.exp(np.clip(theta[None, :] - eta[:, None], -30, 30)))).sum(axis=1)
 
 
-def best_cut(severities: np.ndarray, toxic: np.ndarray) -> float:
+def best_cut(severities: np.ndarray, toxic: np.ndarray,
+             copies: np.ndarray | None = None) -> float:
     """The severity from which on documents are called toxic: highest F1 on
-    the given ones, in the middle of the gap where it lies."""
+    the given ones, in the middle of the gap where it lies.  A document counts
+    ``copies`` times."""
+    copies = np.ones(len(toxic)) if copies is None else copies
     order = np.argsort(-severities, kind="stable")
-    s, hits = severities[order], np.cumsum(toxic[order])
-    f1 = 2 * hits / (np.arange(1, len(s) + 1) + toxic.sum())
+    s, hits = severities[order], np.cumsum((toxic * copies)[order])
+    f1 = 2 * hits / (np.cumsum(copies[order]) + (toxic * copies).sum())
     at = int(f1.argmax())
     return float((s[at] + s[at + 1]) / 2 if at + 1 < len(s) else s[at])
 
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
           train_rows: int) -> tuple[dict[bytes, float], list[float], float] | None:
-    """(weights, thresholds, cut), or None where the labels hold one class
-    only.  ``cut`` is the severity from which on a document is called toxic;
-    it is chosen on every fifth sample document, which the fit leaves out.
-
-    About ``train_rows`` labelled documents, chosen by a hash of the id, are
-    turned into features where they lie (one row of each id); their feature
-    lists, bounded by that number, meet in one task, which fits the model.
+    """(weights, thresholds, cut), or None where the labels of all documents
+    are of one class.  ``cut`` is the severity from which on a document is
+    called toxic; it is chosen on every fifth sample document, which the fit
+    leaves out.
+
+    About ``train_rows`` labelled documents, half of either class (more of one
+    where the other has fewer), chosen by a hash of the id, are turned into
+    features where they lie (one row of each id); their feature lists, bounded
+    by that number, meet in one task, which fits the model.  There each counts
+    as many times as its class is larger than its sample.
     """
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-    n = known.count()
-    share = min(1.0, train_rows / n) if n else 0.0
-    chosen = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
-    chosen = chosen.groupBy(F.col(id_col).alias("id")).agg(
-        F.max(F.col(label_col) > 0).alias("toxic"))
+    known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+             .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col) > 0).alias("toxic")))
+    marked = materialize(known.join(
+        documents.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi"), "toxicity-labels")
+    every = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(every) < 2:
+        return None
+    shares = {c: min(1.0, max(train_rows / 2, train_rows - every[not c]) / every[c]) for c in every}
+    share = F.when(F.col("toxic"), shares[True]).otherwise(shares[False])
+    chosen = marked.where((share >= 1) | (
+        F.shiftrightunsigned(F.xxhash64("id"), 1) < share * 2.0 ** 63))
     texts = documents.select(F.col(id_col).alias("id"),
                              text_or_empty(text_col).cast("binary").alias("text"))
     # bounded by train_rows, a parameter
@@ -146,6 +159,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
         marks = np.array(toxic, bool)
         if marks.any() and not marks.all():
             sizes = np.array([len(r) for r in rows], np.float64)
+            copies = np.where(marks, 1 / shares[True], 1 / shares[False])
             seen = np.bincount(np.concatenate(rows), minlength=len(number))
             new = np.where(seen >= MIN_DOCS, np.cumsum(seen >= MIN_DOCS) - 1, -1)
             rows = [new[r][new[r] >= 0] for r in rows]
@@ -154,11 +168,12 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
             if marks[~out].all() or not marks[~out].any() or not marks[out].any():
                 out[:] = False
             kept = [r for r, o in zip(rows, out, strict=True) if not o]
-            w, theta = fit(kept, sizes[~out], severity_grades(kept, marks[~out], width), width)
+            w, theta = fit(kept, sizes[~out], severity_grades(kept, marks[~out], width), width,
+                           copies[~out])
             judged = out if out.any() else ~out
             eta = np.array([w[r].sum() / math.sqrt(max(1, n)) for r, n, j in
                             zip(rows, sizes, judged, strict=True) if j])
-            cut = best_cut(expected(eta, theta), marks[judged])
+            cut = best_cut(expected(eta, theta), marks[judged], copies[judged])
             names = [k for k, i in number.items() if new[i] >= 0]
             for at in range(0, width, 4096):
                 yield pa.RecordBatch.from_arrays(
@@ -194,7 +209,8 @@ def severity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Texts are read whole; null text counts as empty; null ids pass through;
     repeated rows each get their row; labels with null id or label are left
     out, of several labels of one id the worst counts; an empty table gives no
-    rows.  Where the labels hold one class only, nothing is toxic: severity 0.
+    rows.  Where the labels of all these documents are of one class, nothing
+    is toxic: severity 0.
     """
     ship_package(df.sparkSession)
     model = train(df, labels, id_col, text_col, label_col, train_rows)

@@ -51,6 +51,35 @@ def test_thresholds_are_ordered_and_weights_shared():
     assert means[0] < 0.6 < means[1] < means[2]
 
 
+def test_few_toxic_labels_among_many(spark):
+    """14 of 3,000 labels are toxic; a sample of 200 over both classes would
+    expect one of them."""
+    docs, bad = [], lambda i: i % 200 == 7
+    for i in range(3600):
+        words = prose(i, 60).split()
+        if bad(i):
+            for k in range(9):
+                words[6 * k + 3] = VILE[(i // 200 + k) % len(VILE)]
+        docs.append((i, " ".join(words), "en", "s", 0))
+    labels = spark.createDataFrame([(i, 1, int(bad(i))) for i in range(3000)], LABELS)
+    rows = T.severity(spark.createDataFrame(docs, SCHEMA), labels, train_rows=200).collect()
+    found = {r.doc_id for r in rows if r.toxic}
+    assert {i for i in range(3600) if bad(i)} <= found and len(found) <= 18 + 10
+
+
+def test_copies_count_like_repeated_rows():
+    rng = np.random.default_rng(1)
+    rows = [rng.choice(30, 6, replace=False) for _ in range(60)]
+    grades = np.array([min(2, int(np.isin(r, range(4)).sum())) for r in rows])
+    copies = rng.integers(1, 5, 60)
+    many = np.repeat(np.arange(60), copies)
+    one = T.fit(rows, np.full(60, 6.0), grades, 30, copies.astype(float))
+    all_ = T.fit([rows[i] for i in many], np.full(len(many), 6.0), grades[many], 30)
+    assert np.allclose(one[0], all_[0], atol=1e-3) and np.allclose(one[1], all_[1], atol=1e-3)
+    s = rng.permutation(60) / 60
+    assert T.best_cut(s, grades > 0, copies.astype(float)) == T.best_cut(s[many], grades[many] > 0)
+
+
 def test_best_cut():
     assert T.best_cut(np.array([0.1, 0.2, 0.8, 0.9]), np.array([False, False, True, True])) == 0.5
 
