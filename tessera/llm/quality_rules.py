@@ -2,8 +2,9 @@
 
 Per text a vector of transformed statistics; per language and source a
 minimum-covariance-determinant estimate of its centre and spread (C-steps
-from two deterministic starts, the smaller determinant wins); texts whose
-Mahalanobis distance is too large are rejected.  DataFrame operations only:
+from two deterministic starts, the smaller determinant wins), drawn towards
+the language's the fewer rows it has; texts whose Mahalanobis distance is too
+large are rejected.  DataFrame operations only:
 each C-step is one grouped aggregation, the 4 x 4 algebra is column
 arithmetic.
 """
@@ -19,7 +20,8 @@ from tessera.llm.common import attach, materialize, row_key, text_or_empty
 
 SPACES = r"[\x20\x09-\x0D]+"
 REPEAT_WINDOW = 8         # words
-MIN_CELL = 200            # rows of a (language, source) for an estimate of its own
+MIN_CELL = 24             # rows of a (language, source) for an estimate of its own
+PRIOR_ROWS = 30           # further rows at which it weighs about as much as its language's
 KEEP_SHARE = 0.6          # share of a cell that the determinant is minimised over
 STEPS = 5                 # C-steps from each start
 CUTOFF = 25.0             # squared distance beyond which a text is rejected
@@ -105,18 +107,18 @@ def _vector(stats: DataFrame) -> DataFrame:
 
 def _with_cells(stats: DataFrame) -> DataFrame:
     """Adds ``cell``: the (language, source) if it has ``MIN_CELL`` rows that
-    pass the base rules, else its language's small sources together, else all
-    that are left; null values are values of their own."""
+    pass the base rules, else ``lang_cell``; and ``lang_cell``: the language
+    if it has as many, else all that are left.  Null values are values of
+    their own."""
     fine, lang = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
     rows = stats.withColumns({"fine": fine, "coarse": lang})
     counts = rows.where("not base_failed").groupBy("fine", "coarse").agg(F.count("*").alias("n"))
-    pools = (counts.where(F.col("n") < MIN_CELL).groupBy("coarse")
-             .agg(F.sum("n").alias("pool")))
+    totals = counts.groupBy("coarse").agg(F.sum("n").alias("total"))
+    lang_cell = F.when(F.col("total") >= MIN_CELL, F.concat(F.lit("1"), "coarse")).otherwise("0")
     cells = materialize(
-        counts.join(pools, "coarse", "left").select(
+        counts.join(totals, "coarse").select(
             "fine", "n", F.when(F.col("n") >= MIN_CELL, F.concat(F.lit("2"), "fine"))
-            .when(F.col("pool") >= MIN_CELL, F.concat(F.lit("1"), "coarse"))
-            .otherwise(F.lit("0")).alias("cell")), "quality-cells")
+            .otherwise(lang_cell).alias("cell"), lang_cell.alias("lang_cell")), "quality-cells")
     rows = rows.drop("coarse")
     return attach(rows, cells.drop("n"), "fine", cells).drop("fine")
 
@@ -196,6 +198,37 @@ def robust_estimates(rows: DataFrame, counts: DataFrame) -> DataFrame:
     return materialize(best.select("cell", "e.*"), "quality-estimates")
 
 
+def _shrunk(estimates: DataFrame, links: DataFrame) -> DataFrame:
+    """The estimates, those of sources drawn towards their language's: the
+    moments of a mixture of both, the source's with the weight w / (w +
+    ``PRIOR_ROWS``), where w is 1 for ``MIN_CELL`` rows and one more for each
+    further row.  ``links`` (written) has ``cell``, ``lang_cell`` and
+    ``passed``, the rows that the cell's estimate is made of."""
+    fine = links.where("cell != lang_cell")
+    langs = materialize(
+        estimates.join(fine.select(F.col("lang_cell").alias("cell")).distinct(), "cell", "left_semi")
+        .select(F.col("cell").alias("lang_cell"),
+                *[F.col(c).alias("of_" + c) for c in estimates.columns if c != "cell"]),
+        "quality-languages")
+    load = fine.groupBy("lang_cell").agg(F.count("*").alias("n"))
+    both = attach(estimates.join(fine, "cell"), langs, "lang_cell", load, "inner")
+    rows = F.col("passed") - (MIN_CELL - 1)
+    w = rows / (rows + PRIOR_ROWS)
+    apart = [F.col(f"m_{i}") - F.col(f"of_m_{i}") for i in range(len(X))]
+
+    def cov(of: str, i: int, j: int) -> Column:
+        return sum((F.col(f"{of}l_{i}_{k}") * F.col(f"{of}l_{j}_{k}") for k in range(1, j + 1)),
+                   F.col(f"{of}l_{i}_0") * F.col(f"{of}l_{j}_0"))
+
+    # _factored adds the floors, which both spreads hold already
+    mixed = both.select(
+        "cell", *[(F.col(f"of_m_{i}") + w * apart[i]).alias(f"m_{i}") for i in range(len(X))],
+        *[(w * cov("", i, j) + (1 - w) * cov("of_", i, j) + w * (1 - w) * apart[i] * apart[j]
+           - (FLOORS[X[i]] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}") for i, j in PAIRS])
+    whole = estimates.join(fine.select("cell"), "cell", "left_anti")
+    return materialize(_factored(mixed).unionByName(whole), "quality-shrunk")
+
+
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per input row: the id, ``k1``, ``k2`` (row key), ``n_words``,
@@ -206,18 +239,25 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     8-word windows); ``distance`` is the Mahalanobis distance from the robust
     centre of the row's cell, null where no cell has an estimate (then the
     base rules decide alone).  Null text counts as empty; null languages and
-    sources are values of their own; sources with few rows are pooled by
-    language.  Repeated rows each count and each get their row; an empty table
+    sources are values of their own; a source's estimate is drawn towards its
+    language's the fewer rows it has, and is the language's below ``MIN_CELL``
+    rows.  Repeated rows each count and each get their row; an empty table
     gives no rows; other columns are not read.
     """
     stats = materialize(_vector(text_statistics(df, id_col, text_col, lang_col, source_col)),
                         "quality-stats")
     rows = materialize(_with_cells(stats).select(
         "id", "k1", "k2", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "cell", *X), "quality-rows")
-    passed = rows.where("not base_failed")
-    counts = materialize(rows.groupBy("cell").agg(F.count("*").alias("n")), "quality-counts")
-    estimates = robust_estimates(passed.select("cell", *X), counts)
+        "base_failed", "cell", "lang_cell", *X), "quality-rows")
+    links = materialize(rows.where("cell is not null").groupBy("cell", "lang_cell").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("base_failed")).alias("passed")), "quality-links")
+    counts = materialize(
+        links.select(F.explode(F.array_distinct(F.array("cell", "lang_cell"))).alias("cell"), "n")
+        .groupBy("cell").agg(F.sum("n").alias("n")), "quality-counts")
+    # a source's rows also make its language's estimate
+    fitted = rows.where("not base_failed").select(
+        F.explode(F.array_distinct(F.array("cell", "lang_cell"))).alias("cell"), *X)
+    estimates = _shrunk(robust_estimates(fitted, counts), links)
     far = _distance(attach(rows, estimates, "cell", counts))
     return far.select(
         F.col("id").alias(id_col), "k1", "k2", "n_words", "word_chars", "n_symbols",

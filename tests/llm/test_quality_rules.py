@@ -94,6 +94,30 @@ def test_estimates_equal_numpy(spark):
         assert np.allclose(low @ low.T, best[1], atol=1e-6)
 
 
+def test_a_small_source_is_judged_by_its_own_style(spark):
+    rows = [(i, prose(i + 1, 60 + i % 60), "en", f"s{i % 7}", 0) for i in range(420)]
+    for i in range(43):                # long words; three of them with symbols
+        words = [w * 2 + "%%%" * (i >= 40) for w in prose(9000 + i, 60 + i).split()]
+        rows.append((1000 + i, " ".join(words), "en", "own", 0))
+    got = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [i for i, kept in got.items() if kept != (i < 1040)] == []
+
+
+def test_a_source_counts_more_with_each_row(spark):
+    """No jump: one more row moves the estimate by a small part of the way."""
+    names = [f"m_{i}" for i in range(4)] + [f"l_{i}_{j}" for i, j in Q.PAIRS]
+    unit = [0.0] * 4 + [0.1 * (i == j) for i, j in Q.PAIRS]
+    cells = [(f"2{n}", *([1.0] + unit[1:])) for n in range(Q.MIN_CELL, 400)] + [("1", *unit)]
+    estimates = spark.createDataFrame(cells, ["cell", *names])
+    links = spark.createDataFrame([(f"2{n}", "1", n) for n in range(Q.MIN_CELL, 400)],
+                                  "cell string, lang_cell string, passed long")
+    got = {r["cell"]: r for r in Q._shrunk(estimates, links).collect()}
+    centre = np.array([0.0] + [got[f"2{n}"].m_0 for n in range(Q.MIN_CELL, 400)])
+    assert 0 < np.diff(centre).min() and np.diff(centre).max() < 0.04 and centre[-1] > 0.9
+    assert got["1"].m_0 == 0.0 and abs(got["1"].l_0_0 - 0.1) < 1e-12
+    assert abs(got["2399"].l_1_1 - 0.1) < 1e-9 and got["2399"].l_0_0 > 0.1
+
+
 def test_small_sources_are_pooled_and_nulls_are_values(spark):
     rows = [(i, prose(i + 1, 80), None if i % 2 else "en", f"s{i % 40}", 0) for i in range(700)]
     df = spark.createDataFrame(rows, SCHEMA)
