@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import (
-    bpe_codec, decontaminate, language_id, license_scan, line_dedup, quality_rules, simhash,
-    token_count, toxicity, url_filter,
+    bpe_codec, decontaminate, hard_negatives, language_id, license_scan, line_dedup, quality_rules,
+    ranked_search, simhash, substring_dedup, token_count, toxicity, url_filter,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -61,6 +62,21 @@ def op10_toxicity(spark, sf):
     return toxicity.severity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_ranked_search(spark, sf):
+    return ranked_search.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
+
+
+def op12_substring_dedup(spark, sf):
+    return substring_dedup.without_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
@@ -72,4 +88,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
