@@ -257,6 +257,15 @@ ORACLE_SQL: dict[str, str] = {
     "stage_metrics":
         "SELECT l_returnflag AS application, CAST(l_linenumber AS bigint) AS stage_id, "
         "count(*) AS tasks, CAST(sum(l_suppkey) AS bigint) AS run_ms, "
-        "CAST(sum(l_partkey) AS bigint) AS shuffle_write_bytes FROM lineitem "
+        "CAST(sum(3 * l_partkey + l_suppkey) AS bigint) AS shuffle_read_bytes, "
+        "CAST(sum(l_partkey) AS bigint) AS shuffle_write_bytes, "
+        "CAST(sum(l_linenumber + trunc(l_quantity)) AS bigint) AS spill_bytes, "
+        "CAST(sum(3 * l_partkey) AS bigint) AS remote_read_bytes, "
+        "CAST(max(l_orderkey) AS bigint) AS peak_memory_bytes, "
+        "CAST(sum(trunc(l_quantity)) AS bigint) AS disk_spill_bytes, "
+        "CAST(sum(2 * l_orderkey) AS bigint) AS input_bytes, "
+        "CAST(sum(7 * trunc(l_quantity)) AS bigint) AS output_bytes, "
+        "round(sum(2 * l_orderkey + 3 * l_partkey + l_suppkey) * 1000.0::double "
+        "/ sum(l_suppkey), 3) AS bytes_per_sec FROM lineitem "
         "GROUP BY l_returnflag, l_linenumber",
 }

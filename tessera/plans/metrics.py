@@ -1,22 +1,21 @@
-"""Run summaries and per-stage shuffle metrics, computed as Spark jobs.
+"""Run summaries and per-stage metrics, computed as Spark jobs.
 
 ``run_summary`` is the per-label summary report of a load-test run over a
-sample table of any size; ``stage_metrics`` reads Spark event logs (JSON
-lines) and aggregates task-end events per stage.  Both are one ``groupBy``
+sample table of any size; ``stage_metrics`` reads Spark event logs and
+aggregates task-end events per stage.  Both are one ``groupBy``
 with partial aggregation, so the shuffle carries one row per task and group.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, BooleanType, IntegerType, LongType, MapType, StringType, StructField, StructType,
-    TimestampType,
+    BooleanType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
+from tessera.sources.event_logs import read_event_logs
+
 # Fields a load-test run saves per sample.
 SAMPLE_SCHEMA = StructType([
     StructField("ts", TimestampType()), StructField("elapsed_ms", LongType()),
@@ -78,38 +77,17 @@ def run_summary(samples: DataFrame, label: str = "label", elapsed: str = "elapse
                           .otherwise(F.col("label"))).drop("is_total")
 
 
-# The part of the Spark event-log JSON that stage metrics read.
-_SHUFFLE_WRITE = StructType([StructField("Shuffle Bytes Written", LongType()),
-                             StructField("Shuffle Records Written", LongType())])
-_SHUFFLE_READ = StructType([StructField("Remote Bytes Read", LongType()),
-                            StructField("Local Bytes Read", LongType()),
-                            StructField("Total Records Read", LongType())])
-_TASK_METRICS = StructType([
-    StructField("Executor Run Time", LongType()),
-    StructField("Executor CPU Time", LongType()),
-    StructField("Memory Bytes Spilled", LongType()),
-    StructField("Disk Bytes Spilled", LongType()),
-    StructField("Shuffle Read Metrics", _SHUFFLE_READ),
-    StructField("Shuffle Write Metrics", _SHUFFLE_WRITE),
-])
-EVENT_LOG_SCHEMA = StructType([
-    StructField("Event", StringType()),
-    StructField("Stage ID", LongType()),
-    StructField("Stage Attempt ID", LongType()),
-    StructField("Task Metrics", _TASK_METRICS),
-    StructField("Job ID", LongType()),
-    StructField("Stage IDs", ArrayType(LongType())),
-    StructField("Properties", MapType(StringType(), StringType())),
-])
-
-
 def stage_metrics_frame(events: DataFrame) -> DataFrame:
     """Per application, stage and attempt: tasks, run time (total, slowest task, approximate median
-    task -- their ratio shows skew), shuffle read/write bytes, spill."""
+    task -- their ratio shows skew); network: shuffle read bytes, those of other machines
+    (``remote_read_bytes``) and write bytes; memory: the largest task's peak; disk: spill (in memory
+    and on disk together, and on disk), input and output bytes; ``bytes_per_sec``, the input and
+    shuffled bytes that a second of task time takes in."""
     m = F.col("`Task Metrics`")
     sr = m["Shuffle Read Metrics"]
     sw = m["Shuffle Write Metrics"]
     run = m["Executor Run Time"]
+    total = lambda c: F.sum(F.coalesce(c, F.lit(0))).cast("bigint")
     return (events.where(F.col("Event") == "SparkListenerTaskEnd")
             .groupBy("application", F.col("`Stage ID`").alias("stage_id"),
                      F.col("`Stage Attempt ID`").alias("attempt"))
@@ -123,35 +101,15 @@ def stage_metrics_frame(events: DataFrame) -> DataFrame:
                  F.sum(sw["Shuffle Bytes Written"]).cast("bigint").alias("shuffle_write_bytes"),
                  F.sum(F.coalesce(m["Memory Bytes Spilled"], F.lit(0))
                        + F.coalesce(m["Disk Bytes Spilled"], F.lit(0))).cast("bigint")
-                 .alias("spill_bytes")))
-
-
-def read_event_logs(spark: SparkSession, path: str, application: str | None = None) -> DataFrame:
-    """Events of the uncompressed, single-file event logs under ``path``, with
-    ``application``: the log file's name, or the folder column named.
-
-    The unfinished last line of a live log is left out; any further line that
-    does not parse, a compressed log and a rolling one raise ``ValueError``:
-    nothing is dropped silently.
-    """
-    schema = StructType([*EVENT_LOG_SCHEMA, StructField("_broken", StringType())])
-    if application:
-        schema = schema.add(StructField(application, StringType()))
-    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
-    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path)
-    other = [f for f in raw.inputFiles() if re.search(
-        r"/events_[^/]*$|[.](zstd|lz4|lzf|snappy)([.]inprogress)?$", f)]
-    if other:
-        raise ValueError(f"compressed or rolling event logs are not read: {other[:5]}")
-    events = raw.withColumn("__file", name)
-    bad = (events.groupBy("__file").agg(F.count("_broken").alias("broken"),
-                                        F.count("Event").alias("events"))
-           .where(F.col("broken") > 1).select("__file", "broken", "events").limit(5).collect())
-    if bad:
-        raise ValueError("event logs with broken lines: " + ", ".join(
-            f"{r[0]} ({r[1]} of {r[1] + r[2]})" for r in bad))
-    return (events.where(F.col("Event").isNotNull())
-            .withColumn("application", F.col(application or "__file")))
+                 .alias("spill_bytes"),
+                 total(sr["Remote Bytes Read"]).alias("remote_read_bytes"),
+                 F.max(F.coalesce(m["Peak Execution Memory"], F.lit(0))).alias("peak_memory_bytes"),
+                 total(m["Disk Bytes Spilled"]).alias("disk_spill_bytes"),
+                 total(m["Input Metrics"]["Bytes Read"]).alias("input_bytes"),
+                 total(m["Output Metrics"]["Bytes Written"]).alias("output_bytes"))
+            .withColumn("bytes_per_sec", F.when(F.col("run_ms") > 0, (
+                F.col("input_bytes") + F.col("shuffle_read_bytes")) * F.lit(1000.0)
+                / F.col("run_ms"))))
 
 
 def stage_metrics(spark: SparkSession, path: str, application: str | None = None) -> DataFrame:
@@ -177,4 +135,12 @@ def job_group_metrics(spark: SparkSession, path: str, application: str | None =
                  F.max("max_task_ms").alias("max_task_ms"),
                  F.sum("shuffle_read_bytes").alias("shuffle_read_bytes"),
                  F.sum("shuffle_write_bytes").alias("shuffle_write_bytes"),
-                 F.sum("spill_bytes").alias("spill_bytes")))
+                 F.sum("spill_bytes").alias("spill_bytes"),
+                 F.sum("remote_read_bytes").alias("remote_read_bytes"),
+                 F.max("peak_memory_bytes").alias("peak_memory_bytes"),
+                 F.sum("disk_spill_bytes").alias("disk_spill_bytes"),
+                 F.sum("input_bytes").alias("input_bytes"),
+                 F.sum("output_bytes").alias("output_bytes"))
+            .withColumn("bytes_per_sec", F.when(F.col("run_ms") > 0, (
+                F.col("input_bytes") + F.col("shuffle_read_bytes")) * F.lit(1000.0)
+                / F.col("run_ms"))))

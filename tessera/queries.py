@@ -528,20 +528,30 @@ def q_io_round_robin(spark, sf):
 
 def q_stage_metrics(spark, sf):
     """Event-log lines built from lineitem (a log for each l_returnflag, stage =
-    l_linenumber, shuffle bytes written = l_partkey, run time = l_suppkey),
+    l_linenumber, a task for each row, its figures from the row's columns),
     written as JSON lines and read back through the event-log reader."""
     li = table(spark, sf, "lineitem")
+    amount = lambda c: F.col(c).cast("bigint")
     lines = li.select(
         F.col("l_returnflag").alias("log"), F.lit("SparkListenerTaskEnd").alias("Event"),
-        F.col("l_linenumber").cast("bigint").alias("Stage ID"),
-        F.lit(0).cast("bigint").alias("Stage Attempt ID"),
-        F.struct(F.col("l_suppkey").alias("Executor Run Time"),
-                 F.struct(F.col("l_partkey").alias("Shuffle Bytes Written"))
-                 .alias("Shuffle Write Metrics")).alias("Task Metrics"))
+        amount("l_linenumber").alias("Stage ID"), F.lit(0).cast("bigint").alias("Stage Attempt ID"),
+        F.struct(amount("l_suppkey").alias("Executor Run Time"),
+                 amount("l_orderkey").alias("Peak Execution Memory"),
+                 amount("l_linenumber").alias("Memory Bytes Spilled"),
+                 amount("l_quantity").alias("Disk Bytes Spilled"),
+                 F.struct((amount("l_partkey") * 3).alias("Remote Bytes Read"),
+                          amount("l_suppkey").alias("Local Bytes Read"))
+                 .alias("Shuffle Read Metrics"),
+                 F.struct(amount("l_partkey").alias("Shuffle Bytes Written"))
+                 .alias("Shuffle Write Metrics"),
+                 F.struct((amount("l_orderkey") * 2).alias("Bytes Read")).alias("Input Metrics"),
+                 F.struct((amount("l_quantity") * 7).alias("Bytes Written")).alias("Output Metrics"))
+        .alias("Task Metrics"))
     path = scratch_path(spark, "eventlog")
     K.write_file(lines, path, "json", partition_by="log")
-    return P.stage_metrics(spark, path, application="log").select(
-        "application", "stage_id", "tasks", "run_ms", "shuffle_write_bytes")
+    return P.stage_metrics(spark, path, application="log").drop(
+        "attempt", "max_task_ms", "median_task_ms").withColumn(
+        "bytes_per_sec", F.round("bytes_per_sec", 3))
 
 
 QUERIES = {

@@ -18,8 +18,6 @@ def spark():
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-wh-"),
         "spark.eventLog.enabled": "true",
         "spark.eventLog.dir": "file://" + EVENT_LOG_DIR,
-        "spark.eventLog.compress": "false",
-        "spark.eventLog.rolling.enabled": "false",
     })
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
     yield s

@@ -53,7 +53,7 @@ def test_applications_and_attempts_are_kept_apart(spark):
 
 
 @pytest.mark.parametrize("name,lines", [
-    ("app-3", ["not json\n", _task(1), "{broken\n"]), ("events_1_app-4", [_task(1)]),
+    ("app-3", ["not json\n", _task(1), "{broken\n"]), ("app-4.lz4", [_task(1)]),
     ("app-5.zstd", [_task(1)])])
 def test_logs_that_cannot_be_read_whole_raise(spark, name, lines):
     folder = tempfile.mkdtemp(prefix="tessera-logs-")
@@ -62,6 +62,87 @@ def test_logs_that_cannot_be_read_whole_raise(spark, name, lines):
         stage_metrics(spark, folder)
 
 
+def _zstd(folder, name, lines, cut=0):
+    """A frame for every two lines, as flushes close frames; ``cut`` bytes of the end are missing."""
+    import json
+    import os
+    import zstandard
+    pack = zstandard.ZstdCompressor().compress
+    rows = [(json.dumps(x) + "\n").encode() for x in lines]
+    data = b"".join(pack(b"".join(rows[i:i + 2])) for i in range(0, len(rows), 2))
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "wb") as f:
+        f.write(data[:len(data) - cut])
+
+
+def _counts(spark, folder):
+    return {(r.application, r.stage_id): r.tasks for r in stage_metrics(spark, folder).collect()}
+
+
+def test_rolling_folders_and_compacted_parts(spark):
+    top = tempfile.mkdtemp(prefix="tessera-logs-")
+    a, b, c = (f"{top}/eventlog_v2_app {x}" for x in "abc")
+    for part in (1, 2, 10):
+        _zstd(a, f"events_{part}_app a.zstd", [_task(part)] * part)
+    _log(a, "appstatus_app a", [])
+    for part in (1, 2, 3):
+        _zstd(b, f"events_{part}_app b.zstd", [_task(1)] * 5)
+    _zstd(b, "events_2_app b.zstd.compact", [_task(1)])
+    _zstd(c, "events_1_app c.zstd", [_task(1)] * 4)
+    _zstd(c, "events_2_app c.zstd", [_task(1)] * 4, cut=3)
+    _log(c, "appstatus_app c.inprogress", [])
+    _log(top, "app-plain.inprogress", [_task(7), '{"Event": "SparkLis'])
+    assert _counts(spark, top) == {("app a", 1): 1, ("app a", 2): 2, ("app a", 10): 10,
+                                   ("app b", 1): 6, ("app c", 1): 6, ("app-plain", 7): 1}
+
+
+@pytest.mark.parametrize("fault", ["not the last part", "ended", "flipped", "line"])
+def test_broken_frames_raise(spark, fault):
+    top = tempfile.mkdtemp(prefix="tessera-logs-")
+    folder = f"{top}/eventlog_v2_app-9"
+    _zstd(folder, "events_1_app-9.zstd", [_task(1)] * 4, cut=3 * (fault == "not the last part"))
+    _zstd(folder, "events_2_app-9.zstd", [_task(1)] * 4, cut=3 * (fault == "ended"))
+    _log(folder, "appstatus_app-9" + ".inprogress" * (fault != "ended"), [])
+    if fault in ("flipped", "line"):
+        name = f"{folder}/events_1_app-9.zstd"
+        data = bytearray(open(name, "rb").read())
+        if fault == "flipped":
+            data[0] ^= 0xFF
+        else:
+            import zstandard
+            data += zstandard.ZstdCompressor().compress(b"{broken\n")
+        open(name, "wb").write(bytes(data))
+    with pytest.raises(ValueError, match="events_"):
+        stage_metrics(spark, top)
+
+
+def test_a_log_written_by_default_equals_its_plain_form(spark, event_log_dir):
+    """The session's own log (rolling, compressed) and the same lines in one plain file."""
+    import os
+    import shutil
+
+    import zstandard
+    spark.range(0, 300000, 1, 6).selectExpr("id % 11 AS k", "id").groupBy("k").sum("id") \
+        .write.format("noop").mode("overwrite").save()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    top, plain = tempfile.mkdtemp(prefix="tessera-logs-"), tempfile.mkdtemp(prefix="tessera-logs-")
+    (folder,) = os.listdir(event_log_dir)
+    assert folder.startswith("eventlog_v2_")
+    shutil.copytree(f"{event_log_dir}/{folder}", f"{top}/{folder}")
+    parts = [n for n in os.listdir(f"{top}/{folder}") if n.startswith("events_")]
+    assert parts and all(n.endswith(".zstd") for n in parts)
+    with open(f"{plain}/{folder.removeprefix('eventlog_v2_')}", "wb") as out:
+        for n in sorted(parts, key=lambda n: int(n.split("_")[1])):
+            with open(f"{top}/{folder}/{n}", "rb") as f:
+                out.write(zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read())
+    rows = [sorted(map(tuple, stage_metrics(spark, d).collect())) for d in (top, plain)]
+    assert rows[0] == rows[1] and rows[0]
+    names = stage_metrics(spark, plain).columns
+    best = {c: max(r[i] or 0 for r in rows[0]) for i, c in enumerate(names)}
+    assert best["peak_memory_bytes"] > 0 and best["shuffle_read_bytes"] > 0
+    assert best["bytes_per_sec"] > 0 and best["remote_read_bytes"] == 0
+
+
 def test_stage_metrics_from_live_event_log(spark, event_log_dir):
     spark.sparkContext.setJobGroup("metrics-probe", "metrics-probe")
     (spark.range(0, 200000, 1, 4).groupBy((F.col("id") % 97).alias("k")).count()
