@@ -1,11 +1,16 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment
 (operator 8).
 
-Rolling word n-grams of the documents are joined to those of the benchmark
-items; the windows around seed hits are aligned to the item word by word, and
-the normalised score decides.  Every n-gram is a seed, however common it is in
-the corpus (a leak's own copies make it common); windows that hold too few of
-the item's words for any alignment to reach the score are not aligned.
+The items' seeds are n-grams of three neighbouring words, two of them with a
+word left out, so that edits between them do no harm.  A seed that many items
+hold gives way to longer ones at the same place.  A seed is rare if it stands
+in few different passages of the corpus: copies of one passage count once, so
+a leak doesn't make its own seeds common.  A stretch of a document is aligned
+to an item if it holds a rare seed of it, or so many common ones close to one
+diagonal that they cover a good part of the item.
+
+Items are taken in blocks of bounded size, each with two scans of the
+documents: one counts passages, one finds and aligns.  Neither shuffles texts.
 """
 
 from __future__ import annotations
@@ -14,76 +19,120 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    BROADCAST_BYTES, BROADCAST_ROWS, attach, broadcast_if_bounded, materialize, row_key, ship_package,
-    text_or_empty, without_rows,
+    materialize, row_key, ship_package, text_or_empty, without_rows,
 )
-from tessera.llm.license_scan import text_words
+from tessera.llm.words import folded, shaped_grams, word_codes
 from tessera.operators.joins import measure
 
-SEED_WORDS = 3           # words of a seed n-gram
+SEED_WORDS = 3           # words of a seed; items with fewer have none
+SHAPES = [(0, 1, 2), (0, 1, 3), (0, 2, 3)]
+LONGER = [tuple(range(5)), tuple(range(8))]   # where SHAPES are in too many items
+MANY_ITEMS = 16          # items that may share a seed before a longer one takes its place
+RARE_PASSAGES = 32       # different passages of a rare seed
+CONTEXT = 4              # words on either side that tell passages apart
+MIN_COVER = 0.25         # of an item's words, in common seeds near one diagonal
+LEAST_STEP = 8           # diagonals of a stretch, where the item is shorter
 SLACK = 10               # words aligned on either side beside the item's length
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.45         # of the score that the whole item would have
-ALIGN_CELLS = 1 << 21    # cells of one row of a batch of alignments
-
-
-def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """(item, item_id, words): the distinct items that have a seed."""
-    return (benchmark.select(F.col(item_col).alias("item_id"),
-                             text_words(text_or_empty(text_col)).alias("words"))
-            .where(F.size("words") >= SEED_WORDS).distinct()
-            .select(F.xxhash64("item_id", "words").alias("item"), "item_id", "words"))
-
-
-def _grams(rows: DataFrame, keep: list[str], at: str) -> DataFrame:
-    """One row per n-gram of ``words``: ``keep``, position, hash, its words."""
-    places = F.size("words") - (SEED_WORDS - 1)
-    w = [F.get("words", F.col(at) + i) for i in range(SEED_WORDS)]
-    return (rows.select(*keep, "words", F.explode_outer(
-        F.when(places > 0, F.sequence(F.lit(0), places - 1))).alias(at))
-        .where(F.col(at).isNotNull())
-        .select(*keep, at, F.xxhash64(*w).alias("h"), F.array(*w).alias(f"{at}_gram")))
-
-
-def _seed_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(k1, k2, item, diagonal): the distinct differences between the places
-    of an n-gram in a document and in an item.  The items' n-grams are
-    broadcast, in as many blocks as their measured number asks for; the
-    documents are not shuffled."""
-    grams = materialize(_grams(items, ["item"], "tpos"), "benchmark-grams")
-    n, size = measure(grams)
-    blocks = max(1, -(-n // BROADCAST_ROWS), -(-size // BROADCAST_BYTES))
-    places = _grams(docs, ["k1", "k2"], "pos")
-    hits = None
-    for b in range(blocks):
-        block = grams if blocks == 1 else grams.where(
-            F.pmod(F.xxhash64("item", "tpos"), F.lit(blocks)) == b)
-        found = (places.join(F.broadcast(block), "h").where("pos_gram = tpos_gram")
-                 .select("k1", "k2", "item", (F.col("pos") - F.col("tpos")).alias("diagonal")))
-        hits = found if hits is None else hits.union(found)
-    return materialize(hits.distinct(), "seed-hits")
-
-
-def _windows(hits: DataFrame, items: DataFrame) -> DataFrame:
-    """(k1, k2, item, start, words_to_align): hits whose diagonals lie within
-    half the item's length are one window."""
-    sizes = materialize(items.select("item", F.size("words").alias("size")), "item-sizes")
-    load = hits.groupBy("item").agg(F.count("*").alias("n"))
-    lines = attach(hits, sizes, "item", load)
-    order = Window.partitionBy("k1", "k2", "item").orderBy("diagonal")
-    parts = lines.withColumn("new", F.coalesce(
-        (F.col("diagonal") - F.lag("diagonal").over(order) > F.col("size") / 2).cast("int"),
-        F.lit(1)))
-    start = F.greatest(F.lit(0), F.min("diagonal") - SLACK)
-    return (parts.withColumn("part", F.sum("new").over(order))
-            .groupBy("k1", "k2", "item", "size", "part")
-            .agg(start.cast("int").alias("start"),
-                 (F.max("diagonal") + F.col("size") + SLACK - start).cast("int").alias("length"))
-            .select("k1", "k2", "item", "start", "length"))
+BLOCK_WORDS = 500_000    # words of the items that one scan seeks
+ALIGN_CELLS = 1 << 15    # cells of one row of a batch of alignments
+
+
+class Seeds:
+    """The seeds of a block of items: for each distinct hash its places."""
+
+    def __init__(self, items: list[np.ndarray]):
+        self.items = items
+        hashes, owners, places, shapes = [], [], [], []
+        for number, codes in enumerate(items):
+            for shape, offsets in enumerate(SHAPES + LONGER):
+                h = shaped_grams(codes, offsets)
+                hashes.append(h)
+                owners.append(np.full(len(h), number))
+                places.append(np.arange(len(h)))
+                shapes.append(np.full(len(h), shape))
+        empty = [np.zeros(0, np.int64)]
+        h = np.concatenate(hashes + [np.zeros(0, np.uint64)])
+        owner, place, shape = (np.concatenate(x + empty) for x in (owners, places, shapes))
+        self.sizes = np.array([len(x) for x in items], np.int64)
+        keep = self._chosen(h, owner, place, shape, self.sizes)
+        order = np.argsort(h[keep], kind="stable")
+        h = h[keep][order]
+        self.owner, self.place, self.shape = (x[keep][order] for x in (owner, place, shape))
+        self.hashes, self.first = np.unique(h, return_index=True)
+        self.count = np.diff(np.append(self.first, len(h)))
+
+    @staticmethod
+    def _chosen(h, owner, place, shape, sizes) -> np.ndarray:
+        """Seeds that at most ``MANY_ITEMS`` items hold.  At a place whose
+        short seeds are in more, the next longer one is taken; the longest that
+        the item has is taken in any case, and so is its least shared seed."""
+        distinct, at = np.unique(h, return_inverse=True)
+        once = np.unique(np.stack([at, owner]), axis=1)
+        items = np.bincount(once[0], minlength=len(distinct))[at]
+        spot = owner << 32 | place
+        keep = (items <= MANY_ITEMS) & (shape < len(SHAPES))
+        wanting = (items > MANY_ITEMS) & (shape < len(SHAPES))
+        for longer, offsets in enumerate(LONGER, len(SHAPES)):
+            room = sizes[owner] - len(offsets)
+            keep |= wanting & (room < 0)                     # the item has no longer one
+            spots = owner << 32 | np.minimum(place, room)    # near the end, the last one
+            asked = (shape == longer) & np.isin(spot, spots[wanting & (room >= 0)])
+            keep |= asked & (items <= MANY_ITEMS)
+            wanting = asked & (items > MANY_ITEMS)
+        keep |= wanting
+        order = np.lexsort((items, owner))
+        keep[order[np.flatnonzero(np.diff(owner[order], prepend=-1))]] = True
+        return keep
+
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(seed, position) of the seeds that stand in a text."""
+        found, positions = [], []
+        for offsets in SHAPES + LONGER if len(self.hashes) else ():
+            h = shaped_grams(codes, offsets)
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            pos = np.flatnonzero(self.hashes[at] == h)
+            found.append(at[pos])
+            positions.append(pos)
+        none = np.zeros(0, np.int64)
+        return np.concatenate(found + [none]), np.concatenate(positions + [none])
+
+    def stretches(self, codes: np.ndarray, rare: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, start, stop) of the parts of a text to be aligned.  A stretch
+        takes the hits on diagonals of twice the item's length, every half of
+        it in two stretches."""
+        seed, position = self.hits(codes)
+        if not len(seed):
+            return []
+        times = self.count[seed]
+        flat = np.repeat(self.first[seed] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        item, place, shape = self.owner[flat], self.place[flat], self.shape[flat]
+        step = np.maximum(self.sizes[item], LEAST_STEP)
+        bucket = (np.repeat(position, times) - place) // step
+        sure = np.repeat(rare[seed], times)
+        item, place, shape, sure = (np.tile(x, 2) for x in (item, place, shape, sure))
+        bucket = np.concatenate([bucket, bucket - 1])
+        groups, group = np.unique(np.stack([item, bucket]), axis=1, return_inverse=True)
+        passed = np.zeros(groups.shape[1], bool)
+        passed[group[sure]] = True
+        words = [np.stack([group[shape == s], place[shape == s] + o])
+                 for s, offsets in enumerate(SHAPES + LONGER) for o in offsets]
+        covered = np.bincount(np.unique(np.concatenate(words, axis=1), axis=1)[0],
+                              minlength=len(passed))
+        passed |= covered >= MIN_COVER * self.sizes[groups[0]]
+        out = []
+        for i, b in groups[:, passed].T.tolist():
+            size = int(self.sizes[i])
+            step = max(size, LEAST_STEP)
+            start, stop = max(0, b * step - SLACK), min(len(codes), (b + 2) * step + size + SLACK)
+            if may_align(codes[start:stop], self.items[i]):
+                out.append((i, start, stop))
+        return out
 
 
 def align(windows: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,49 +162,94 @@ def align(windows: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarra
     return best, end
 
 
-def may_align(window: list[str], item: list[str]) -> bool:
+def may_align(window, item) -> bool:
     """Whether the words that both hold, were they all matched without a
     mismatch or gap, would reach ``MIN_SCORE``: if not, no alignment does."""
+    window, item = (x.tolist() if isinstance(x, np.ndarray) else x for x in (window, item))
     return (Counter(window) & Counter(item)).total() / len(item) >= MIN_SCORE
 
 
-def _aligned(pairs: DataFrame, id_type) -> DataFrame:
-    """Score, first and last word of the best alignment of each pair; 0 where
-    ``may_align`` rules the pair out."""
+def best_alignments(texts: list[np.ndarray], items: list[np.ndarray],
+                    stretches: list[tuple[int, int, int, int]]) -> dict[tuple, tuple]:
+    """(text, item) -> (score, first, last word) of the best alignment in the
+    (text, item, start, stop) given, where it reaches ``MIN_SCORE``."""
+    out: dict[tuple, tuple] = {}
+    order = sorted(stretches, key=lambda x: (x[3] - x[2], len(items[x[1]])), reverse=True)
+    while order:
+        group, wide = [], 1
+        while order and (not group or max(wide, len(items[order[-1][1]])) * (len(group) + 1)
+                         <= ALIGN_CELLS):
+            group.append(order.pop())
+            wide = max(wide, len(items[group[-1][1]]))
+        windows = [texts[t][a:b].view(np.int64) for t, _, a, b in group]
+        wanted = [items[i].view(np.int64) for _, i, _, _ in group]
+        best, end = align(windows, wanted)
+        hit = [k for k, i in enumerate(wanted) if best[k] / (MATCH * len(i)) >= MIN_SCORE]
+        if not hit:
+            continue
+        # where it starts: the same from its end backwards
+        _, back = align([windows[k][end[k]::-1] for k in hit], [wanted[k][::-1] for k in hit])
+        for k, e in zip(hit, back.tolist(), strict=True):
+            t, i, start, _ = group[k]
+            last = start + int(end[k])
+            found = (int(best[k]) / (MATCH * len(wanted[k])), -(last - e), -last)
+            out[t, i] = max(out.get((t, i), found), found)
+    return {key: (s, -a, -b) for key, (s, a, b) in out.items()}
+
+
+def _passages(docs: DataFrame, seeds: Seeds) -> np.ndarray:
+    """Whether each seed is rare.  Of a batch's passages only as many are
+    handed on as decide that."""
+    sent = docs.sparkSession.sparkContext.broadcast(seeds)
+
+    def run(batches):
+        known = sent.value
+        for b in batches:
+            pairs = [np.zeros((2, 0), np.int64)]
+            for t in b.column(3):
+                codes = word_codes(folded(t.as_py()))
+                seed, position = known.hits(codes)
+                padded = np.pad(codes, CONTEXT)
+                around = shaped_grams(padded, tuple(range(2 * CONTEXT + SEED_WORDS)))
+                pairs.append(np.stack([seed, around[position].view(np.int64)]))
+            pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
+            start = np.searchsorted(pairs[0], pairs[0])
+            pairs = pairs[:, np.arange(pairs.shape[1]) - start <= RARE_PASSAGES]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])],
+                                             names=["seed", "passage"])
+
+    counted = (docs.mapInArrow(run, "seed long, passage long").distinct()
+               .groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > RARE_PASSAGES))
+    rare = np.ones(len(seeds.hashes), bool)
+    rare[[r.seed for r in counted.collect()]] = False      # at most one row a seed of the block
+    return rare
+
+
+def _found(docs: DataFrame, seeds: Seeds, rare: np.ndarray) -> DataFrame:
+    """(id, k1, k2, item, score, first_word, last_word), by item number."""
+    sent = docs.sparkSession.sparkContext.broadcast((seeds, rare))
+
     def run(batches):
+        known, sure = sent.value
         for b in batches:
-            codes: dict[str, int] = {}
-            code = lambda ws: np.array([codes.setdefault(w, len(codes)) for w in ws], np.int64)
-            words = [(x.as_py(), y.as_py()) for x, y in zip(b.column(4), b.column(5), strict=True)]
-            able = [i for i, (x, y) in enumerate(words) if may_align(x, y)]
-            windows = {i: code(words[i][0]) for i in able}
-            items = {i: code(words[i][1]) for i in able}
-            score = np.zeros(len(words))
-            first, last = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-            order = sorted(able, key=lambda i: (len(windows[i]), len(items[i])))
-            while order:
-                group, wide = [], 1
-                while order and (not group or max(wide, len(items[order[0]])) * (len(group) + 1)
-                                 <= ALIGN_CELLS // 64):
-                    wide = max(wide, len(items[order[0]]))
-                    group.append(order.pop(0))
-                best, end = align([windows[i] for i in group], [items[i] for i in group])
-                for i, s, e in zip(group, best, end, strict=True):
-                    score[i], last[i] = s / (MATCH * len(items[i])), e
-                hit = [i for i in group if score[i] >= MIN_SCORE]
-                if hit:      # where it starts: the same from its end backwards
-                    _, back = align([windows[i][last[i]::-1] for i in hit],
-                                    [items[i][::-1] for i in hit])
-                    for i, e in zip(hit, back, strict=True):
-                        first[i] = last[i] - e
-            offset = b.column(6).to_numpy(zero_copy_only=False)
+            texts, stretches = [], []
+            for t in b.column(3):
+                codes = word_codes(folded(t.as_py()))
+                new = known.stretches(codes, sure)
+                stretches += [(len(texts), i, start, stop) for i, start, stop in new]
+                texts.append(codes if new else None)
+            best = best_alignments(texts, known.items, stretches)
+            at = pa.array([t for t, _ in best], pa.int64())
+            score, first, last = zip(*best.values(), strict=True) if best else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:4], pa.array(score), pa.array(first + offset),
-                 pa.array(last + offset)],
+                [*[b.column(c).take(at) for c in range(3)],
+                 pa.array([i for _, i in best], pa.int32()), pa.array(score, pa.float64()),
+                 pa.array(first, pa.int64()), pa.array(last, pa.int64())],
                 names=["id", "k1", "k2", "item", "score", "first_word", "last_word"])
 
-    schema = f"id {id_type}, k1 long, k2 long, item long, score double, first_word long, last_word long"
-    return pairs.mapInArrow(run, schema)
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"id {kind}, k1 long, k2 long, item int, score double, "
+                                "first_word long, last_word long")
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -174,33 +268,30 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     spark = df.sparkSession
     ship_package(spark)
-    items = materialize(_items(benchmark, item_col, item_text_col), "benchmark-items")
-    t = text_or_empty(text_col)
-    key = row_key(id_col, t)
-    docs = df.select(*key, text_words(t).alias("words"))
-    # no row is taken twice for equal rows: hits of one key and diagonal are one
-    hits = _seed_hits(docs, items)
-    found = materialize(_windows(hits, items).groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("item", "start", "length")).alias("places")), "seed-windows")
-    small = broadcast_if_bounded(found)
-    texts = (df.select(F.col(id_col).alias("id"), *key, t.alias("text"))
-             .join(found if small is None else small, ["k1", "k2"]))
-    passages = (texts.select("id", "k1", "k2", text_words(F.col("text")).alias("words"), "places")
-                .select("id", "k1", "k2", "words", F.explode("places").alias("p"))
-                .select("id", "k1", "k2", F.col("p.item").alias("item"),
-                        F.slice("words", F.col("p.start") + 1, F.col("p.length")).alias("window"),
-                        F.col("p.start").cast("long").alias("offset")))
-    load = hits.groupBy("item").agg(F.count("*").alias("n"))
-    pairs = attach(passages, items.select("item", F.col("words").alias("item_words")), "item",
-                   load, "inner").select("id", "k1", "k2", "item", "window", "item_words", "offset")
-    id_type = pairs.schema["id"].dataType.simpleString()
-    scored = _aligned(pairs, id_type).where(F.col("score") >= MIN_SCORE)
-    best = materialize(scored.groupBy("id", "k1", "k2", "item").agg(F.max(F.struct(
-        "score", (-F.col("first_word")).alias("f"), (-F.col("last_word")).alias("l"))).alias("b")), "contaminated")
-    names = items.select("item", "item_id")
-    return attach(best, names, "item", load, "inner").select(
-        "id", "k1", "k2", "item_id", "b.score", (-F.col("b.f")).alias("first_word"),
-        (-F.col("b.l")).alias("last_word"))
+    id_, text, item, item_text = (F.col(f"`{c}`") for c in (id_col, text_col, item_col, item_text_col))
+    asked = materialize(benchmark.select(
+        item.alias("item_id"), text_or_empty(item_text).cast("binary").alias("text")).distinct(),
+        "benchmark-items")
+    words = F.octet_length("text") / 4 + 1
+    size = asked.agg(F.coalesce(F.sum(words), F.lit(0))).first()[0]
+    blocks = max(1, int(-(-size // BLOCK_WORDS)))
+    t = text_or_empty(text)
+    k1, k2 = row_key(id_, t)
+    docs = df.select(id_.alias("id"), k1, k2, t.cast("binary").alias("text"))
+    kind = asked.schema["item_id"].dataType.simpleString()
+    out = None
+    for block in range(blocks):
+        held = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        coded = [(r.item_id, word_codes(folded(bytes(r.text)))) for r in held]
+        coded = [(i, c) for i, c in coded if len(c) >= SEED_WORDS]
+        seeds = Seeds([c for _, c in coded])
+        found = _found(docs, seeds, _passages(docs, seeds))
+        names = spark.createDataFrame([(n, i) for n, (i, _) in enumerate(coded)],
+                                      f"item int, item_id {kind}")
+        found = materialize(found.join(F.broadcast(names), "item").drop("item"), "contaminated")
+        out = found if out is None else out.unionByName(found)
+    # rows repeat only where the input's do, or where a benchmark's folded texts are equal
+    return out.select("id", "k1", "k2", "item_id", "score", "first_word", "last_word").distinct()
 
 
 def without_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -208,4 +299,4 @@ def without_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """The input without the documents that hold a benchmark item."""
     gone = materialize(contaminated(df, benchmark, id_col, text_col).select("k1", "k2")
                        .distinct(), "contaminated-keys")
-    return without_rows(df, row_key(id_col, text_or_empty(text_col)), gone)
+    return without_rows(df, row_key(f"`{id_col}`", text_or_empty(f"`{text_col}`")), gone)

@@ -227,7 +227,7 @@ def _block(slabs: DataFrame, anchors: DataFrame, positives: int, negatives: int,
     spark = slabs.sparkSession
     held = anchors.collect()
     dims = max((len(r.v) for r in held), default=0)
-    vectors = np.array([list(r.v) + [0] * (dims - len(r.v)) for r in held], np.int64).reshape(-1, dims)
+    vectors = np.array([list(r.v) + [0] * (dims - len(r.v)) for r in held], np.int64).reshape(len(held), dims)
     known = {"vectors": vectors, "labels": [r.label for r in held], "ids": [r.id for r in held]}
     all_scores = [[(i, (-np.inf, np.inf))] for i in range(len(held))]
     # one more than asked for, as the anchor is among its own label's rows

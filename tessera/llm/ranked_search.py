@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import fresh_name, materialize, ship_package, text_or_empty
+from tessera.llm.words import folded
 from tessera.operators.joins import measure
 
 SATURATION, LENGTH_PERCENT = 8, 90
@@ -28,12 +29,9 @@ QUERIES_PER_BLOCK = 4_096
 QUERY_BYTES = 8 * 2 ** 20      # of one block's texts
 RANGES_AT_ONCE = 256           # ranges that one step of a descent opens
 
-# Letters, digits and bytes of non-ASCII characters stay; A-Z are lower-cased.
-_FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in bytes(range(256)).lower())
-
 
 def terms_of(text: bytes) -> list[bytes]:
-    return text.translate(_FOLD).split()
+    return folded(text).split()
 
 
 class Treap:
@@ -66,6 +64,7 @@ class Treap:
     def best(self, rows: np.ndarray, k: int, least: int) -> list[tuple[int, int]]:
         """(score, column) of the ``k`` columns with the highest sums over
         ``rows``, those above 0 and not below ``least``; equal sums by column."""
+        rows = rows[rows < 1 << self.height]           # the others have no point here
         way = rows[None, :] >> np.arange(self.height)[:, None] & 1        # by level
         bound = np.array([self.maxima[self.root] * len(rows)])
         level, column = np.array([self.height]), np.array([0])

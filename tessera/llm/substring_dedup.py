@@ -14,68 +14,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
     attach, broadcast_if_bounded, materialize, ship_package, text_or_empty,
 )
+from tessera.llm.words import grams, word_codes
+from tessera.operators.joins import HOT_ROWS, skew_join
 
 WINDOW = 13
 SEED_WORDS = 6
-PIECES_PER_TASK = 2_000   # passages that one task factors against one block
+PIECES_PER_TASK = 500     # passages that one task factors against one block
+PROBE = 4                 # words; a window whose runs of so many aren't all in the block isn't either
 ROWS_OUT = 1 << 18        # rows of a batch that a task hands on
 
-LONG_WORD = 256           # bytes; longer words have one library hash
-CHUNK = 1 << 16           # bytes whose words are hashed together
-_ODD = 0x9E3779B97F4A7C15
-
-
-def _powers(base: int) -> np.ndarray:
-    out = np.full(CHUNK + LONG_WORD, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_POWER, _INVERSE = _powers(_ODD), _powers(pow(_ODD, -1, 1 << 64))
-_BYTE = np.array([xxhash.xxh64_intdigest(bytes([i])) for i in range(256)], np.uint64)
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-
-
-def word_codes(text: bytes) -> np.ndarray:
-    """A 64-bit code, never 0, for each word between ASCII white space."""
-    data = np.frombuffer(text, np.uint8)
-    edges = np.flatnonzero(np.diff(_SPACE[data], prepend=True, append=True))
-    starts, ends = edges[::2], edges[1::2]
-    codes = np.empty(len(starts), np.uint64)
-    cuts = np.searchsorted(starts, np.arange(0, len(data) + CHUNK, CHUNK))
-    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-        if i == j:
-            continue
-        first = starts[i]
-        at, to = starts[i:j] - first, np.minimum(ends[i:j] - starts[i:j], LONG_WORD)
-        to = to + at
-        span = data[first:first + to[-1]]
-        sums = np.zeros(len(span) + 1, np.uint64)
-        np.cumsum(_BYTE[span] * _POWER[:len(span)], out=sums[1:])
-        codes[i:j] = (sums[to] - sums[at]) * _INVERSE[at]
-    for i in np.flatnonzero(ends - starts > LONG_WORD):
-        codes[i] = xxhash.xxh64_intdigest(text[starts[i]:ends[i]])
-    codes ^= codes >> np.uint64(32)
-    codes *= np.uint64(_ODD)
-    return codes ^ (codes >> np.uint64(29)) | np.uint64(1)
-
-
-def grams(codes: np.ndarray, size: int) -> np.ndarray:
-    """A hash for each run of ``size`` words."""
-    places = max(0, len(codes) - size + 1)
-    h = np.zeros(places, np.uint64)
-    for i in range(size):
-        h = (h ^ codes[i:i + places]) * np.uint64(_ODD)
-        h ^= h >> np.uint64(31)
-    return h
-
 
 def window_seeds(codes: np.ndarray) -> np.ndarray:
     """The seed of each window, as signed numbers."""
@@ -104,6 +57,18 @@ class Block:
             new[order] = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
             rank, step = new, 2 * step
         self.order, self.first = order, self.codes[order]
+        self.probes = np.unique(grams(self.codes, PROBE))
+
+    def runs(self, words: np.ndarray) -> list[tuple[int, int]]:
+        """[start, stop) of the longest runs of at least a window's words
+        whose ``PROBE``-grams all stand in the block."""
+        h = grams(words, PROBE)
+        if not len(self.probes):
+            return []
+        near = np.minimum(np.searchsorted(self.probes, h), len(self.probes) - 1)
+        edges = np.flatnonzero(np.diff(self.probes[near] == h, prepend=False, append=False))
+        return [(s, e + PROBE - 1) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
+                if e - s >= WINDOW - PROBE + 1]
 
     def longest(self, words: np.ndarray, at: int) -> int:
         """Words from ``at`` on that stand together somewhere in the block."""
@@ -127,14 +92,15 @@ def factors(words: np.ndarray, block: Block) -> list[tuple[int, int]]:
     """[start, stop) of the greedy factors that hold a window.  The next
     factor starts where the first window over the last one's boundary does, so
     windows that cross a boundary are tried too."""
-    spans, at = [], 0
-    while at + WINDOW <= len(words):
-        size = block.longest(words, at)
-        if size >= WINDOW:
-            spans.append((at, at + size))
-            at += size - WINDOW + 1
-        else:
-            at += 1
+    spans = []
+    for at, stop in block.runs(words):
+        while at + WINDOW <= stop:
+            size = block.longest(words, at)
+            if size >= WINDOW:
+                spans.append((at, at + size))
+                at += size - WINDOW + 1
+            else:
+                at += 1
     return spans
 
 
@@ -165,11 +131,14 @@ def _seeds(docs: DataFrame) -> DataFrame:
 
 def _homes(rows: DataFrame, key: str, name: str) -> DataFrame:
     """``rows`` whose ``key`` stands in documents of several ids, with the
-    smallest such id as ``home``."""
+    smallest such id as ``home``.  The table of homes grows with the corpus,
+    so the join is shuffled at any size; hot keys are salted."""
     shared = materialize(rows.groupBy(key).agg(
         F.min("doc").alias("home"), F.max("doc").alias("last"), F.count("*").alias("n"))
         .where("home < last").select(key, "home", "n"), name)
-    return attach(rows, shared.select(key, "home"), key, shared.select(key, "n"), "inner")
+    hot = shared.where(F.col("n") > HOT_ROWS).select(
+        key, F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("__salts"))
+    return skew_join(rows, shared.select(key, "home"), key, "inner", hot=hot)
 
 
 def _pieces(docs: DataFrame, seeds: DataFrame, load: DataFrame) -> DataFrame:
@@ -236,29 +205,38 @@ def _factored(pieces: DataFrame) -> DataFrame:
     def run(batches):
         key, passages, block = None, [], None
         for b in batches:
-            out = []
-            columns = [b.column(i).to_pylist() for i in range(b.num_columns)]
-            for home, guest, doc, row, start, data, salt in zip(*columns, strict=True):
-                if key != (home, salt):
-                    key, passages, block = (home, salt), [], None
-                words = np.frombuffer(data, np.uint64)
-                if not guest:
+            at, starts, stops, windows = [], [], [], []
+            home, guest, start, data, salt = (b.column(i).to_pylist() for i in (0, 1, 4, 5, 6))
+            for i in range(b.num_rows):
+                if key != (home[i], salt[i]):
+                    key, passages, block = (home[i], salt[i]), [], None
+                words = np.frombuffer(data[i], np.uint64)
+                if not guest[i]:
                     passages.append(words)
                     continue
                 if block is None:
                     block = Block(passages)
-                known = np.zeros(len(words) - WINDOW + 1, bool)
+                open_ = np.ones(len(words) - WINDOW + 1, bool)
                 for s, e in factors(words, block):
-                    known[s:e - WINDOW + 1] = True
-                    out.append((doc, row, start + s, start + e, None))
-                if not known.all():
-                    w = grams(words, WINDOW).view(np.int64)
-                    for s in np.flatnonzero(~known).tolist():
-                        out.append((doc, row, start + s, start + s + WINDOW, int(w[s])))
-            if out:
-                types = [b.column(2).type, pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+                    open_[s:e - WINDOW + 1] = False
+                    at.append([i])
+                    starts.append([start[i] + s])
+                    stops.append([start[i] + e])
+                    windows.append([0])
+                left = np.flatnonzero(open_)
+                if len(left):
+                    at.append(np.full(len(left), i))
+                    starts.append(left + start[i])
+                    stops.append(np.full(len(left), -1))
+                    windows.append(grams(words, WINDOW).view(np.int64)[left])
+            if at:
+                at, starts, stops, windows = (np.concatenate(x) for x in (at, starts, stops, windows))
+                sure = stops >= 0
+                stops = np.where(sure, stops, starts + WINDOW)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)],
+                    [b.column(2).take(pa.array(at)), b.column(3).take(pa.array(at)),
+                     pa.array(starts, pa.int32()), pa.array(stops, pa.int32()),
+                     pa.array(windows, pa.int64(), mask=sure)],
                     names=["doc", "row", "start", "stop", "w"])
 
     return (dealt.select("home", "guest", "doc", "row", "start", "codes", "salt")

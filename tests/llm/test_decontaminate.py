@@ -96,6 +96,71 @@ def test_common_grams_alone_are_no_leak(spark):
     assert D.contaminated(df, b).count() == 0
 
 
+def edited(words, rate, rng):
+    """Each word replaced, left out or followed by another at ``rate``."""
+    out = []
+    for w in words:
+        if rng.random() < rate:
+            out += rng.choice([["new%d" % rng.randrange(999)], [], [w, "more%d" % rng.randrange(999)]])
+        else:
+            out.append(w)
+    return out
+
+
+def test_recall_against_the_alignment_of_all_pairs(spark):
+    """Documents with copies at edit rates of 0 to 40 percent, and every third
+    word replaced: of the pairs that align, at least 0.9 are found, and no
+    other."""
+    rng = random.Random(9)
+    bench = [(i, " ".join(rng.choice("the of and to a in is it".split()) if rng.random() < 0.4
+                          else f"k{rng.randrange(400)}" for _ in range(rng.randint(8, 45))))
+             for i in range(40)]
+    docs = []
+    for n, rate in enumerate([0, 0.1, 0.2, 0.3, 0.4] * 16):
+        copy = edited(bench[n % 40][1].split(), rate, rng)
+        docs.append((n, prose(n, 30) + " " + " ".join(copy) + " " + prose(n + 1, 30)))
+    for n, (_, text) in enumerate(bench):
+        thirds = [f"x{n}y{j}" if j % 3 == 2 else w for j, w in enumerate(text.split())]
+        docs.append((1000 + n, prose(n, 25) + " " + " ".join(thirds)))
+    want = set()
+    for i, text in docs:
+        codes = {}
+        code = lambda t: np.array([codes.setdefault(w, len(codes)) for w in t.split()])  # noqa: E731, B023
+        items = [code(b) for _, b in bench]
+        best, _ = D.align([code(text)] * len(items), items)
+        want |= {(i, b) for (b, _), s, c in zip(bench, best, items, strict=True)
+                 if s / (D.MATCH * len(c)) >= D.MIN_SCORE}
+    df, b = frames(spark, docs, bench)
+    got = {(r.id, r.item_id) for r in D.contaminated(df, b).collect()}
+    assert got <= want
+    assert len(got) >= 0.97 * len(want) and len(want) > 90
+    thirds = {w for w in want if w[0] >= 1000}
+    assert len(thirds) > 30 and len(got & thirds) >= 0.9 * len(thirds)
+
+
+def test_items_that_share_a_phrase_with_all_documents(spark, monkeypatch):
+    """n documents and n items with one common phrase make no n * n pairs."""
+    seen = []
+    kept = D.Seeds.stretches
+    for n in (50, 200):
+        bench = [(i, "which of the following " + " ".join(f"i{i}w{j}" for j in range(16))) for i in range(n)]
+        docs = [(i, prose(i, 20) + " which of the following " + prose(i + 1, 20)) for i in range(n)]
+        docs.append((n, prose(3, 9) + " " + bench[7][1]))
+        seeds = D.Seeds([D.word_codes(t.encode()) for _, t in bench])
+        rare = np.ones(len(seeds.hashes), bool)
+        seen.append(sum(len(kept(seeds, D.word_codes(t.encode()), rare)) for _, t in docs))
+        df, b = frames(spark, docs, bench)
+        assert [(r.id, r.item_id) for r in D.contaminated(df, b).collect()] == [(n, 7)]
+    assert seen == [1, 1] or max(seen) <= 4
+
+
+def test_every_item_has_a_seed_and_short_ones_are_found(spark):
+    bench = [(i, "one two three") for i in range(40)] + [(99, "one two three four")]
+    df, b = frames(spark, [(1, "zero one two three four"), (2, "one two"), (3, "one two three")], bench)
+    got = {(r.id, r.item_id) for r in D.contaminated(df, b).collect()}
+    assert got == {(d, i) for d in (1, 3) for i in [*range(40), 99]}
+
+
 def test_edge_rows(spark):
     bench = spark.createDataFrame(
         [(1, None), (2, ""), (3, "one two"), (None, prose(1, 20)), (4, prose(1, 20)),
@@ -105,11 +170,14 @@ def test_edge_rows(spark):
     assert got == sorted([(1, None), (1, 4), (4, None), (4, 4)], key=repr)
     assert D.contaminated(empty_frame(spark), bench).count() == 0
     assert D.contaminated(df, bench.limit(0)).count() == 0
+    dotted = df.withColumnsRenamed({"doc_id": "a.id", "text": "the text"})
+    assert D.contaminated(dotted, bench, "a.id", "the text").count() == 4
+    assert D.without_contaminated(dotted, bench, "a.id", "the text").columns == dotted.columns
 
 
 def test_blocks_of_the_benchmark_give_the_same(spark, monkeypatch):
     docs = [(i, prose(i, 50) + " " + t) for i, t in items(12)]
     df, b = frames(spark, docs, items(12))
     whole = sorted(map(tuple, D.contaminated(df, b).collect()))
-    monkeypatch.setattr(D, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(D, "BLOCK_WORDS", 100)
     assert sorted(map(tuple, D.contaminated(df, b).collect())) == whole and len(whole) == 12
