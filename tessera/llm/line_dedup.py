@@ -20,12 +20,15 @@ WORD = r"[^\x20\x09-\x0D]"        # a line without such a character is blank
 
 def _windows(docs: DataFrame) -> DataFrame:
     """(id, k, pos, h1, h2, at): one row per window with a line that isn't
-    blank; ``at`` orders windows by document id, then position."""
+    blank; ``at`` orders windows by document id, 31 bits of the text's hash,
+    then position."""
     at = [F.col("lines")[F.col("pos") + i] for i in range(WINDOW)]
     n = F.size("lines")
     starts = F.when(n >= WINDOW, F.sequence(F.lit(0), n - WINDOW))
-    order = (F.coalesce(F.col("id").cast("decimal(20,0)"), F.lit(-(2 ** 63)).cast("decimal(20,0)"))
-             * F.lit(2 ** 31).cast("decimal(10,0)") + F.col("pos"))
+    whole = lambda c: c.cast("decimal(20,0)")
+    place = F.shiftrightunsigned("k", 33).bitwiseAND(F.lit(2 ** 31 - 1)) * F.lit(2 ** 31) + F.col("pos")
+    order = (F.coalesce(whole(F.col("id")), whole(F.lit(-(2 ** 63))))
+             * F.lit(2 ** 62).cast("decimal(19,0)") + place)
     worded = at[0].rlike(WORD)
     for line in at[1:]:
         worded = worded | line.rlike(WORD)
@@ -41,8 +44,8 @@ def covered_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id, k, gone): for each document that loses lines, the numbers of its
     lines (from 0) covered by a later occurrence of a repeated window.
     ``k`` is the hash of the text."""
-    t = text_or_empty(text_col)
-    docs = df.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("k"), t.alias("text"))
+    t = text_or_empty(f"`{text_col}`")
+    docs = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(t).alias("k"), t.alias("text"))
     windows = _windows(docs)
     repeated = materialize(
         windows.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n"))
@@ -71,26 +74,27 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     where the input has such columns).
 
     A window is three consecutive lines (split at ``\\n``), not all blank.
-    Its first occurrence (smallest id, then position) stays; each line that a
-    later occurrence covers goes, also inside one document.  A line that goes
-    stands unchanged at an earlier place, so no line's text is lost.  Texts of
-    fewer than three lines stay as they are; a text whose every line goes
-    becomes empty, its row stays.  Null text counts as empty and stays null;
-    null ids come first; rows with equal id hold one place, so exact
-    repetitions of a row stay alike.  ``id_col`` is an integer column.
+    Its first occurrence (smallest id, then text hash, then position) stays;
+    each line that a later occurrence covers goes, also inside one document.
+    A line that goes stands unchanged at an earlier place, so no line's text is
+    lost.  Texts of fewer than three lines stay as they are; a text whose every
+    line goes becomes empty, its row stays.  Null text counts as empty and
+    stays null; null ids come first; different texts of one id, or without
+    one, follow each other by their hash; exact repetitions of a row hold one
+    place and stay alike.  ``id_col`` is an integer column.
     """
     gone = materialize(covered_lines(df, id_col, text_col), "line-cover")
-    key, text = fresh_name(df, "k"), text_or_empty(text_col)
+    key, text = fresh_name(df, "k"), text_or_empty(f"`{text_col}`")
     lines_total, lines_gone = fresh_name(df, "n_lines"), fresh_name(df, "n_removed")
     small = broadcast_if_bounded(gone)
     right = (gone if small is None else small).alias("g")
     docs = df.withColumn(key, F.xxhash64(text)).alias("d")
     joined = docs.join(right, (F.col(f"d.{key}") == F.col("g.k"))
-                       & F.col(f"d.{id_col}").eqNullSafe(F.col("g.id")), "left")
-    kept = [F.when(F.col("g.gone").isNull(), F.col(f"d.{c}"))
-            .otherwise(_left(F.col(f"d.{text_col}"), F.col("g.gone"))).alias(c) if c == text_col
+                       & F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.id")), "left")
+    kept = [F.when(F.col("g.gone").isNull(), F.col(f"d.`{c}`"))
+            .otherwise(_left(F.col(f"d.`{c}`"), F.col("g.gone"))).alias(c) if c == text_col
             else F.col(f"d.`{c}`") for c in df.columns]
     return joined.select(
-        *kept, F.size(F.split(text_or_empty(F.col(f"d.{text_col}")), "\n", -1)).cast("long")
+        *kept, F.size(F.split(text_or_empty(F.col(f"d.`{text_col}`")), "\n", -1)).cast("long")
         .alias(lines_total),
         F.coalesce(F.size("g.gone"), F.lit(0)).cast("long").alias(lines_gone))
