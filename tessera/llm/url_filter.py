@@ -78,9 +78,10 @@ def judge_urls(df: DataFrame, rules: dict[str, str] | None = None, id_col: str =
     ``allow``) and ``p_block`` (the trees' probability; null where they could
     not be fitted).
 
-    The trees are fitted on about ``train_rows`` distinct labelled urls, half of
-    either label, taken by hash and weighted back to their share; suffix rates are counted over all labelled urls, less the url's own
-    label, with ``SUFFIX_PRIOR`` pseudo-urls at the overall rate.  Where the
+    The trees are fitted on distinct labelled urls, about half of ``train_rows``
+    of either label (all, where there are fewer), taken by hash and weighted
+    back to their share; suffix rates are counted over all labelled rows, less
+    the row's own label, with ``SUFFIX_PRIOR`` pseudo-urls at the overall rate.  Where the
     labelled urls all have one label or there are none, the rest get that
     label, or ``allow``.  Null urls have empty host and path.  Null ids and
     repeated rows pass through; an empty table gives no rows; other columns
@@ -110,13 +111,15 @@ def judge_urls(df: DataFrame, rules: dict[str, str] | None = None, id_col: str =
         rest = F.lit("block" if rate == 1.0 else "allow")
         scored, chance = rows, F.lit(None).cast("double")
     else:
-        shares = [min(1.0, train_rows / 2 / n) for n in (judged - blocked, blocked)]
-        share = F.when(F.col("label") == 1, shares[1]).otherwise(shares[0])
+        known = rows.where(F.col("label").isNotNull())
+        different = dict(known.groupBy("label").agg(F.approx_count_distinct("url")).collect())
+        shares = {k: min(1.0, 0.5 * train_rows / n) for k, n in different.items()}
+        share = F.when(F.col("label") == 1, shares[1.0]).otherwise(shares[0.0])
+        # 63 bits of the hash: the share may be as small as it has to
         sample = materialize(
-            rows.where(F.col("label").isNotNull()
-                       & (F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share * (1 << 20)))
-            .select("label", (1 / share).alias("weight"), *FEATURES).distinct().coalesce(4),
-            "url-sample")
+            known.where(F.shiftrightunsigned(F.xxhash64("url"), 1) < share * 2.0 ** 63)
+            .select("url", "label", (1 / share).alias("weight"), *FEATURES)
+            .dropDuplicates(["url"]).coalesce(4), "url-sample")
         model = Pipeline(stages=[
             VectorAssembler(inputCols=FEATURES, outputCol="vector"),
             GBTClassifier(featuresCol="vector", labelCol="label",
