@@ -9,21 +9,23 @@ domain, everything.
 
 from __future__ import annotations
 
+import dataclasses as dc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from tessera.llm.common import (
-    BROADCAST_BYTES, attach, materialize, ship_package, text_or_empty,
-)
+from tessera.llm.common import attach, materialize, ship_package, text_or_empty
 from tessera.llm.url_filter import parts
 
 BUCKETS = 1 << 15        # hashed byte trigrams
 TRAIN_ROWS = 8_000       # documents of each known language the text model is counted on, about
 GRID = 64                # weights of repeated texts are multiples of 1/GRID: sums don't depend on their order
+TABLE_BYTES = 24 * 2 ** 20   # of the languages' tables that a pass over the texts uses
+CELLS = 1 << 20          # rows times languages held together
 TASK_LANGUAGES = 64      # languages whose counts a task holds at a time
 SMOOTH = 0.5             # added to each trigram bucket
 TEMPER = 30.0            # the text's log-likelihood is scaled to at most so many trigrams
@@ -44,32 +46,63 @@ def _blocks(text: bytes):
         yield text[at:at + BLOCK + 2]
 
 
-def text_model(documents: DataFrame, lang_col: str, text_col: str,
-               train_rows: int) -> tuple[list[str], np.ndarray]:
-    """(languages, log P(trigram | language)): counts over about
-    ``train_rows`` documents of each known language, all of them where it has
-    no more; a language is left out only if none of its texts has a trigram.
+@dc.dataclass
+class TextModel:
+    """``counts``: written rows (lang, bucket, n), the weighted trigram counts
+    of each language; ``totals``: their sum for each of ``languages``."""
+    languages: list[str]
+    totals: list[float]
+    counts: DataFrame
+
+    def table(self, languages: list[str]) -> np.ndarray:
+        """log P(trigram bucket | language), a column for each of a bounded
+        number of languages."""
+        rows = self.counts.where(F.col("lang").isin(languages)).toArrow()
+        table = np.full((BUCKETS, len(languages)), SMOOTH)
+        at = pc.index_in(rows["lang"], value_set=pa.array(languages, pa.string()))
+        table[rows["bucket"].to_numpy(), at.to_numpy()] += rows["n"].to_numpy()
+        return np.log(table / table.sum(axis=0))
+
+
+def _sampled(known: DataFrame, train_rows: int) -> DataFrame:
+    """(lang, weight, text): the distinct texts of the sample.  Whether a text
+    that stands once is chosen follows from its hash and its language's share,
+    so texts outside the sample don't move; texts that stand several times are
+    looked up by their hash."""
+    times = materialize(known.groupBy("lang", "h").agg(F.count("*").alias("n")), "language-texts")
+    sizes = materialize(times.groupBy("lang").agg(F.sum("n").alias("n")), "language-sizes")
+    shares = materialize(sizes.select(
+        "lang", F.least(F.lit(1.0), train_rows / F.col("n")).alias("share")), "language-shares")
+    part = F.shiftrightunsigned("h", 1) / F.lit(2.0 ** 63)
+    due = F.col("share") * F.col("n")
+    several = materialize(
+        attach(times.where("n > 1"), shares, "lang", sizes)
+        .where((due >= 1) | (part < due))
+        .select("lang", "h", "n", F.greatest(F.lit(1.0), F.round(due * GRID) / GRID).alias("weight")),
+        "language-repeated-texts")
+    shared = attach(known, shares, "lang", sizes)
+    once = attach(shared.where(part < F.col("share")), several.drop("n"), ["lang", "h"], several)
+    more = attach(shared.where(part >= F.col("share")), several.drop("n"), ["lang", "h"], several,
+                  "inner")
+    return once.unionByName(more).dropDuplicates(["lang", "h"]).select(
+        "lang", F.coalesce("weight", F.lit(1.0)).alias("weight"), "text")
+
+
+def text_model(documents: DataFrame, lang_col: str, text_col: str, train_rows: int) -> TextModel:
+    """Trigram counts over about ``train_rows`` documents of each known
+    language, all of them where it has no more; a language is left out only if
+    none of its texts has a trigram.
 
     Distinct texts are chosen by hash, with a chance in proportion to how
     often they stand in the language, and count as often as they would be
     expected in so many documents: a repeated text is neither wholly in nor
-    wholly out.  Counts are summed in the tasks, then by language.
+    wholly out.  Counts are summed in the tasks, then by language; the driver
+    sees one row for each language, whatever their number.
     """
     text = text_or_empty(text_col).cast("binary")
     known = documents.select(F.col(lang_col).alias("lang"), F.xxhash64(text).alias("h"),
                              text.alias("text")).where(
         F.col("lang").isNotNull() & (F.length("text") > 0))
-    times = materialize(known.groupBy("lang", "h").agg(F.count("*").alias("n")), "language-texts")
-    sizes = materialize(times.groupBy("lang").agg(F.sum("n").alias("n")), "language-sizes")
-    share = F.least(F.lit(1.0), train_rows / F.col("of"))
-    due = attach(times, sizes.withColumnRenamed("n", "of"), "lang", sizes).withColumn(
-        "due", share * F.col("n"))
-    chosen = materialize(
-        due.where((F.col("due") >= 1) | (F.shiftrightunsigned("h", 1) < F.col("due") * 2.0 ** 63))
-        .select("lang", "h", "n", F.greatest(F.lit(1.0), F.round(F.col("due") * GRID) / GRID)
-                .alias("weight")), "language-sample")
-    sample = attach(known, chosen.drop("n"), ["lang", "h"], chosen, "inner").select(
-        "lang", "weight", "text").distinct()
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
@@ -92,26 +125,26 @@ def text_model(documents: DataFrame, lang_col: str, text_col: str,
                     own += weight * np.bincount(_trigrams(block), minlength=BUCKETS)
         yield from drain()
 
-    counts = (sample.mapInArrow(count, "lang string, bucket int, n double")
-              .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))).toArrow()
-    languages = sorted(counts["lang"].unique().to_pylist())
-    table = np.full((BUCKETS, len(languages)), SMOOTH)
-    at = pc.index_in(counts["lang"], value_set=pa.array(languages, pa.string()))
-    table[counts["bucket"].to_numpy(), at.to_numpy()] += counts["n"].to_numpy()
-    return languages, np.log(table / table.sum(axis=0))
+    counts = materialize(
+        _sampled(known, train_rows).mapInArrow(count, "lang string, bucket int, n double")
+        .groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
+    rows = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
+    return TextModel([r.lang for r in rows], [r.n for r in rows], counts)
 
 
-def text_scores(texts: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
-    """Adds ``logp``, the tempered log-likelihoods, in place of ``text``.  A
-    Python worker holds the table of as many languages as ``BROADCAST_BYTES``
-    take; with more languages the texts are scored in several passes."""
-    step = max(1, BROADCAST_BYTES // (4 * BUCKETS))
+def text_scores(texts: DataFrame, model: TextModel) -> DataFrame:
+    """Adds ``logp``, the tempered log-likelihoods, in place of ``text``.  The
+    driver and a Python worker hold the table of as many languages as
+    ``TABLE_BYTES`` take; with more languages the texts are scored in several
+    passes."""
+    languages = model.languages
+    step = max(1, TABLE_BYTES // (4 * BUCKETS))
     starts = range(0, len(languages), step)
     if len(starts) < 2:
-        return _block_scores(texts, table, "logp", False)
+        return _block_scores(texts, model.table(languages), "logp", False)
     for k in starts:
         last = k == starts[-1]
-        texts = _block_scores(texts, table[:, k:k + step], f"logp{k}", not last)
+        texts = _block_scores(texts, model.table(languages[k:k + step]), f"logp{k}", not last)
         if not last:
             texts = materialize(texts, "language-texts-scored")
     names = [f"logp{k}" for k in starts]
@@ -121,25 +154,31 @@ def text_scores(texts: DataFrame, languages: list[str], table: np.ndarray) -> Da
 def _block_scores(texts: DataFrame, table: np.ndarray, name: str, keep_text: bool) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(table.astype(np.float32))
     at = texts.columns.index("text")
+    wide = table.shape[1]
+    rows = max(1, CELLS // wide)
     schema = StructType([f for f in texts.schema if keep_text or f.name != "text"]
                         + [StructField(name, ArrayType(DoubleType()))])
 
     def run(batches):
         model = shared.value
-        for b in batches:
-            out = []
-            for text in b.column(at):
-                total, n = np.zeros(model.shape[1]), 0
-                for block in _blocks(text.as_py()):
-                    grams = _trigrams(block)
-                    total += np.bincount(grams, minlength=BUCKETS) @ model \
-                        if len(grams) > BUCKETS else model[grams].sum(axis=0, dtype=np.float64)
-                    n += len(grams)
-                out.append(total * (min(n, TEMPER) / n) if n else total)
-            yield pa.RecordBatch.from_arrays(
-                [c for i, c in enumerate(b.columns) if keep_text or i != at]
-                + [pa.array([x.tolist() for x in out], pa.list_(pa.float64()))],
-                names=[f.name for f in schema])
+        for whole in batches:
+            for start in range(0, whole.num_rows, rows):
+                b = whole.slice(start, rows)
+                out = np.zeros((b.num_rows, wide))
+                for i, text in enumerate(b.column(at)):
+                    n = 0
+                    for block in _blocks(text.as_py()):
+                        grams = _trigrams(block)
+                        out[i] += np.bincount(grams, minlength=BUCKETS) @ model \
+                            if len(grams) > BUCKETS else model[grams].sum(axis=0, dtype=np.float64)
+                        n += len(grams)
+                    if n:
+                        out[i] *= min(n, TEMPER) / n
+                ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * wide)
+                yield pa.RecordBatch.from_arrays(
+                    [c for i, c in enumerate(b.columns) if keep_text or i != at]
+                    + [pa.ListArray.from_arrays(ends, pa.array(out.ravel()))],
+                    names=[f.name for f in schema])
 
     return texts.mapInArrow(run, schema)
 
@@ -157,81 +196,126 @@ def visible_text(html: Column) -> Column:
     return F.regexp_replace(bare, r"<[^>]*>", " ")
 
 
-def _log_table(rows: DataFrame, column: str, languages: list[str]) -> DataFrame:
-    """(column, log P(value | language) array) by grouped counts of the
-    text's own best language; as many rows as the column has values."""
-    total = rows.where(F.col(column).isNotNull())
-    values = materialize(total.groupBy(column).agg(
-        *[F.count(F.when(F.col("best") == k, 1)).alias(f"n{k}")
-          for k in range(len(languages))], F.count("*").alias("n")), f"language-{column}")
-    size = max(1, values.count())
-    sums = values.agg(*[F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"n{k}")
-                        for k in range(len(languages))]).first()
-    return values.select(column, "n", F.array(*[
-        F.log((F.col(f"n{k}") + TABLE_PRIOR) / (sums[f"n{k}"] + TABLE_PRIOR * size))
-        for k in range(len(languages))]).alias(f"log_{column}"))
-
-
-def _host_priors(rows: DataFrame, languages: list[str]) -> tuple[DataFrame, DataFrame, list[int]]:
-    """Counts by host and by domain, and overall: (host, n, own, domain
-    counts), written, one row per host."""
-    sums = [F.count(F.when(F.col("best") == k, 1)).alias(f"h{k}") for k in range(len(languages))]
-    hosts = materialize(rows.groupBy("host", "domain").agg(*sums, F.count("*").alias("n")),
-                        "language-hosts")
-    domains = materialize(hosts.groupBy("domain").agg(
-        *[F.sum(f"h{k}").alias(f"d{k}") for k in range(len(languages))],
-        F.count("*").alias("n")), "language-domains")
-    every = domains.agg(*[F.coalesce(F.sum(f"d{k}"), F.lit(0)) for k in range(len(languages))])
-    joined = attach(hosts, domains.drop("n"), "domain", domains)
-    return materialize(joined, "language-priors"), hosts, [int(x) for x in every.first()]
-
-
-def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+def _votes(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """(keys, n, ``name``): number of rows, and a map from language number to
+    the number of texts that are most likely in it; written.  Votes are
+    counted as long rows (keys, language, n); a map has as many entries as its
+    key has languages."""
+    votes = rows.groupBy(*keys, "best").agg(F.count("*").alias("n"))
+    entries = F.filter(F.collect_list(F.struct("best", "n")), lambda e: e["best"].isNotNull())
+    return materialize(votes.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.map_from_entries(entries).alias(name)), f"language-{name}")
+
+
+def _total(votes: DataFrame, name: str, languages: int) -> np.ndarray:
+    """Votes for each language: one row of each reaches the driver."""
+    out = np.zeros(languages)
+    for k, n in votes.select(F.explode(name).alias("k", "v")).groupBy("k").agg(F.sum("v")).collect():
+        out[k] = n
+    return out
+
+
+def _dense(maps: pa.Array, wide: int) -> np.ndarray:
+    """A row of ``wide`` numbers for each map of number -> count (null: none)."""
+    out = np.zeros((len(maps), wide))
+    ends = maps.offsets.to_numpy()
+    rows = np.repeat(np.arange(len(maps)), np.diff(ends))
+    keys, items = (x.slice(ends[0], ends[-1] - ends[0]).to_numpy() for x in (maps.keys, maps.items))
+    out[rows, keys] = items
+    return out
+
+
+def posteriors(logp: np.ndarray, best: np.ndarray, hosted: np.ndarray, host: np.ndarray,
+               domain: np.ndarray, evidence: list[tuple], every: np.ndarray) -> np.ndarray:
+    """Log of the unnormalised posterior, rows by languages.
+
+    ``best``: the language that each row's text votes for (-1: none);
+    ``hosted``: rows with a host; ``host``, ``domain``, ``every``: votes by
+    language; ``evidence``: for each table whether a row has a value, the votes
+    of that value, those of all values, and the number of values.
+    """
+    wide = logp.shape[1]
+    mine = np.zeros_like(logp)
+    votes = np.flatnonzero(hosted & (best >= 0))
+    mine[votes, best[votes]] = 1.0                       # a row's own vote is no evidence
+    overall = (every + 1.0) / (every.sum() + wide)
+    near = (domain - mine + HOST_PRIOR * overall) / (
+        (domain - mine).sum(axis=1, keepdims=True) + HOST_PRIOR)
+    prior = (host - mine + HOST_PRIOR * near) / (
+        (host - mine).sum(axis=1, keepdims=True) + HOST_PRIOR)
+    out = logp + np.log(np.where(hosted[:, None], prior, overall))
+    for has, votes, total, values in evidence:
+        table = np.log((votes + TABLE_PRIOR) / (total + TABLE_PRIOR * max(1, values)))
+        out += np.where(has[:, None], table, 0.0)
+    return out
+
+
+def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     """``rows`` has ``text`` (binary), ``host``, ``declared``, ``suffix`` and
     any other columns; ``text`` is replaced by ``lang`` and ``prob``, the most
-    likely language and its posterior.
+    likely language and its posterior (the first by name among equals).
 
     A row's own vote is taken out of its host's and domain's counts; a text
     without trigrams has none.  Null
     host, declaration or suffix: no such evidence.  No text and no other
-    evidence: the overall shares decide; no model at all: null.
+    evidence: the overall shares decide; no model at all: null.  Any number of
+    languages: counts are rows, and a row's likelihoods are one array.
     """
-    ship_package(rows.sparkSession)
-    languages, table = model
-    if not languages:
+    spark = rows.sparkSession
+    ship_package(spark)
+    languages = model.languages
+    wide = len(languages)
+    if not wide:
         return rows.drop("text", "host", "declared", "suffix").withColumns(
             {"lang": F.lit(None).cast("string"), "prob": F.lit(None).cast("double")})
-    span = range(len(languages))
     domain = F.regexp_extract("host", r"(?s)([^.]*\.)?[^.]*\z", 0)
-    scored = text_scores(rows, languages, table).withColumns({
+    scored = materialize(text_scores(rows, model).withColumns({
         "domain": domain,
         "best": F.when(F.array_max("logp") < 0,          # no trigram: no vote
-                       (F.array_position("logp", F.array_max("logp")) - 1).cast("int"))})
-    scored = materialize(scored, "language-scores")
-    priors, hosts, every = _host_priors(scored.where("host is not null"), languages)
-    total = sum(every)
-    whole = [(every[k] + 1.0) / (total + len(languages)) for k in span]
-    out = attach(scored, priors.drop("n", "domain"), "host", hosts.select("host", "n"))
+                       (F.array_position("logp", F.array_max("logp")) - 1).cast("int"))}),
+        "language-scores")
+    hosted = scored.where("host is not null")
+    hosts = _votes(hosted, ["host"], "by_host")
+    domains = _votes(hosted, ["domain"], "by_domain")
+    out = attach(scored, hosts.drop("n"), "host", hosts)
+    out = attach(out, domains.drop("n"), "domain", domains)
+    every, sums = _total(domains, "by_domain", wide), []
     for column in ("declared", "suffix"):
-        logs = materialize(_log_table(scored, column, languages), f"language-log-{column}")
-        out = attach(out, logs.drop("n"), column, logs.select(column, "n"))
-    mine = [F.coalesce((F.col("best") == k).cast("int"), F.lit(0)) for k in span]
-    voted = F.col("best").isNotNull().cast("int")
-    n_domain = sum((F.col(f"d{k}") for k in span[1:]), F.col("d0")) - voted
-    n_host = sum((F.col(f"h{k}") for k in span[1:]), F.col("h0")) - voted
-    by_domain = [(F.col(f"d{k}") - mine[k] + HOST_PRIOR * whole[k]) / (n_domain + HOST_PRIOR)
-                 for k in span]
-    prior = [F.coalesce((F.col(f"h{k}") - mine[k] + HOST_PRIOR * by_domain[k])
-                        / (n_host + HOST_PRIOR), F.lit(whole[k])) for k in span]
-    log = [F.get("logp", F.lit(k)) + F.log(prior[k])
-           + F.coalesce(F.get("log_declared", F.lit(k)), F.lit(0.0))
-           + F.coalesce(F.get("log_suffix", F.lit(k)), F.lit(0.0)) for k in span]
-    out = out.withColumn("post", F.array(*log)).withColumn("top", F.array_max("post"))
-    prob = 1.0 / F.aggregate("post", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
-    names = F.array(*[F.lit(x) for x in languages])
+        table = _votes(scored.where(F.col(column).isNotNull()), [column], f"by_{column}")
+        out = attach(out, table.drop("n"), column, table)
+        sums.append((_total(table, f"by_{column}", wide), table.count()))
     keep = [c for c in rows.columns if c not in ("text", "host", "declared", "suffix")]
-    return out.select(*keep, F.get(names, (F.array_position("post", F.col("top")) - 1)
-                                   .cast("int")).alias("lang"), prob.alias("prob"))
+    out = out.select(*keep, "logp", F.coalesce("best", F.lit(-1)).alias("best"), *[
+        F.col(c).isNotNull().alias(f"has_{c}") for c in ("host", "declared", "suffix")],
+        "by_host", "by_domain", "by_declared", "by_suffix")
+    schema = StructType([*[f for f in rows.schema if f.name in keep],
+                         StructField("lang", StringType()), StructField("prob", DoubleType())])
+    sent = spark.sparkContext.broadcast((languages, every, sums))
+    step = max(1, CELLS // wide)
+
+    def run(batches):
+        names, every, sums = sent.value
+        names = pa.array(names, pa.string())
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                b = whole.slice(start, step)
+                col = dict(zip(b.schema.names[len(keep):], b.columns[len(keep):], strict=True))
+                maps = {k: _dense(col[f"by_{k}"], wide) for k in ("host", "domain", "declared", "suffix")}
+                has = {k: col[f"has_{k}"].to_numpy(zero_copy_only=False)
+                       for k in ("host", "declared", "suffix")}
+                evidence = [(has[k], maps[k], *total)
+                            for k, total in zip(("declared", "suffix"), sums, strict=True)]
+                post = posteriors(col["logp"].flatten().to_numpy().reshape(-1, wide),
+                                  col["best"].to_numpy(), has["host"], maps["host"], maps["domain"],
+                                  evidence, every)
+                top = post.argmax(axis=1)
+                least = post[np.arange(len(top)), top][:, None]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:len(keep)], names.take(pa.array(top)),
+                     pa.array(1.0 / np.exp(post - least).sum(axis=1))],
+                    names=[f.name for f in schema])
+
+    return out.mapInArrow(run, schema)
 
 
 def page_rows(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

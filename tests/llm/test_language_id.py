@@ -1,5 +1,9 @@
 """Language identification: accuracy, and each kind of evidence by itself."""
 
+import collections
+import math
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -32,8 +36,9 @@ def _model(spark):
 
 
 def test_trigram_counts(spark):
-    languages, table = _model(spark)
-    assert languages == ["de", "en"]
+    model = _model(spark)
+    assert model.languages == ["de", "en"]
+    table = model.table(model.languages)
     counts = np.full(L.BUCKETS, L.SMOOTH)
     text = ("der hund und die katze " * 20).encode()
     for i in range(len(text) - 2):
@@ -46,7 +51,7 @@ def test_a_rare_language_has_a_model(spark):
     rows = [(i, f"the cat {i} and the dog {i * 7} ", "en", "s", 0) for i in range(3000)]
     rows += [(5000 + i, f"mbwa {i} na paka wawili ", "sw", "s", 0) for i in range(2)]
     model = L.text_model(spark.createDataFrame(rows, SCHEMA), "lang", "text", 50)
-    assert model[0] == ["en", "sw"]
+    assert model.languages == ["en", "sw"]
     df = spark.createDataFrame([("a", "paka wawili na mbwa", None, None, None),
                                 ("b", "the dog and the cat", None, None, None)],
                                "id string, text string, host string, declared string, suffix string")
@@ -57,7 +62,7 @@ def test_a_rare_language_has_a_model(spark):
 def test_a_repeated_text_keeps_its_share_of_the_sample(spark):
     rows = [(i, f"{i * 7919 % 1000003:012d}" if i % 3 else "z" * 12, "en", "s", 0)
             for i in range(450)]
-    _, table = L.text_model(spark.createDataFrame(rows, SCHEMA), "lang", "text", 60)
+    table = L.text_model(spark.createDataFrame(rows, SCHEMA), "lang", "text", 60).table(["en"])
     counts = np.exp(table[:, 0] - table.min()) * L.SMOOTH - L.SMOOTH
     z = (ord("z") * (961 + 31 * 257 + 40503)) & (L.BUCKETS - 1)
     assert round(counts[z], 3) == 20 * 10          # 60 documents, a third of them, 10 trigrams
@@ -70,7 +75,8 @@ def test_blocks_of_languages_give_the_same(spark, monkeypatch):
     df = spark.createDataFrame(rows, SCHEMA)
     model = L.text_model(df, "lang", "text", 100)
     whole = sorted(map(tuple, L.identify(L.document_rows(df), model).collect()))
-    monkeypatch.setattr(L, "BROADCAST_BYTES", 2 * 4 * L.BUCKETS)
+    monkeypatch.setattr(L, "TABLE_BYTES", 2 * 4 * L.BUCKETS)
+    monkeypatch.setattr(L, "CELLS", 7)
     assert sorted(map(tuple, L.identify(L.document_rows(df), model).collect())) == whole
     assert len(whole) == 60
 
@@ -118,3 +124,77 @@ def test_edge_rows(spark):
     assert len(rows) == df.count() + 4
     assert L.languages_of(empty_frame(spark), pages.limit(0)).count() == 0
     assert {r.lang for r in L.languages_of(empty_frame(spark), pages).collect()} == {None}
+
+
+def _brute(rows, model):
+    """id -> (language, posterior): every step with plain loops over all rows."""
+    names = model.languages
+    counts = {k: collections.Counter() for k in names}
+    for r in model.counts.collect():
+        counts[r.lang][r.bucket] = r.n
+    logp, best = {}, {}
+    for i, text, *_ in rows:
+        grams = [(a * 961 + b * 31 * 257 + c * 40503) & (L.BUCKETS - 1)
+                 for a, b, c in zip(text, text[1:], text[2:], strict=False)]
+        scale = min(len(grams), L.TEMPER) / max(1, len(grams))
+        logp[i] = [scale * sum(math.log((counts[k][g] + L.SMOOTH)
+                                        / (sum(counts[k].values()) + L.SMOOTH * L.BUCKETS)) for g in grams)
+                   for k in names]
+        best[i] = max(range(len(names)), key=lambda k: (logp[i][k], -k)) if grams else None
+    domain = lambda h: ".".join(h.split(".")[-2:])
+
+    def votes(fits):
+        return [sum(best[r[0]] == k for r in rows if fits(r)) for k in range(len(names))]
+    every = votes(lambda r: r[2] is not None)
+    out = {}
+    for i, _, host, declared, suffix in rows:
+        overall = [(e + 1) / (sum(every) + len(names)) for e in every]
+        prior = overall
+        if host is not None:
+            for fits in (lambda r: r[2] is not None and domain(r[2]) == domain(host),
+                         lambda r: r[2] == host):
+                own = votes(lambda r: fits(r) and r[0] != i)
+                prior = [(v + L.HOST_PRIOR * p) / (sum(own) + L.HOST_PRIOR)
+                         for v, p in zip(own, prior, strict=True)]
+        post = [a + math.log(p) for a, p in zip(logp[i], prior, strict=True)]
+        for at, value in ((3, declared), (4, suffix)):
+            if value is not None:
+                here, total = votes(lambda r: r[at] == value), votes(lambda r: r[at] is not None)
+                values = len({r[at] for r in rows} - {None})
+                post = [p + math.log((h + L.TABLE_PRIOR) / (t + L.TABLE_PRIOR * values))
+                        for p, h, t in zip(post, here, total, strict=True)]
+        top = max(post)
+        out[i] = names[post.index(top)], 1 / sum(math.exp(p - top) for p in post)
+    return out
+
+
+def test_posteriors_by_plain_loops(spark):
+    words = {"de": "der hund und die katze", "en": "the cat and the dog", "sw": "mbwa na paka wawili"}
+    docs = [(i, f"{t} {i % 7}", k, "s", 0) for k, t in words.items() for i in range(12)]
+    model = L.text_model(spark.createDataFrame(docs, SCHEMA), "lang", "text", 100)
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        k = rng.choice(list(words))
+        text = " ".join(rng.choices(words[rng.choice([k, "en"])].split(), k=rng.randint(0, 3)))
+        rows.append((i, text.encode(), rng.choice([f"{k}.a.x", f"h.{k}.y", "b", None]),
+                     rng.choice([k, "zz", None]), rng.choice(["x", k, None])))
+    df = spark.createDataFrame(rows, "id int, text binary, host string, declared string, suffix string")
+    want = _brute(rows, model)
+    got = {r["id"]: (r.lang, r.prob) for r in L.identify(df, model).collect()}
+    assert got.keys() == want.keys()
+    for i, (lang, prob) in want.items():
+        assert abs(got[i][1] - prob) < 1e-4, (i, got[i], want[i])
+        assert got[i][0] == lang or prob < 0.5001
+
+
+def test_thousands_of_languages(spark):
+    """Counts and priors are rows: plans don't grow with the languages."""
+    rows = [(i, f"w{i * 7919:07d} v{i * 104729:08d} ", f"x-{i:04d}", f"s{i % 50}.h", 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = L.text_model(df, "lang", "text", 20)
+    assert len(model.languages) == 3000
+    few = df.where("doc_id % 30 = 0")
+    got = L.identify(L.document_rows(few), model)
+    right = [r.lang == f"x-{r.doc_id:04d}" for r in got.collect()]
+    assert np.mean(right) > 0.95 and len(right) == 100
