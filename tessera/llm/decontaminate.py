@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import (
     materialize, row_key, ship_package, text_or_empty, without_rows,
 )
-from tessera.llm.words import folded, shaped_grams, word_codes
-from tessera.operators.joins import measure
+from tessera.llm.words import folded, joined_codes, shaped_grams, text_groups, word_codes
 
 SEED_WORDS = 3           # words of a seed; items with fewer have none
 SHAPES = [(0, 1, 2), (0, 1, 3), (0, 2, 3)]
@@ -34,11 +33,13 @@ LONGER = [tuple(range(5)), tuple(range(8))]   # where SHAPES are in too many ite
 MANY_ITEMS = 16          # items that may share a seed before a longer one takes its place
 RARE_PASSAGES = 32       # different passages of a rare seed
 CONTEXT = 4              # words on either side that tell passages apart
+GAP_WORDS = 12           # zeros between the texts of a batch: no seed or passage crosses them
 MIN_COVER = 0.25         # of an item's words, in common seeds near one diagonal
 LEAST_STEP = 8           # diagonals of a stretch, where the item is shorter
 SLACK = 10               # words aligned on either side beside the item's length
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.45         # of the score that the whole item would have
+FILTER_SHIFT = 42        # a table of 2 ** 22 first bits of the seeds' hashes
 BLOCK_WORDS = 500_000    # words of the items that one scan seeks
 ALIGN_CELLS = 1 << 15    # cells of one row of a batch of alignments
 
@@ -66,6 +67,9 @@ class Seeds:
         self.owner, self.place, self.shape = (x[keep][order] for x in (owner, place, shape))
         self.hashes, self.first = np.unique(h, return_index=True)
         self.count = np.diff(np.append(self.first, len(h)))
+        self.shapes = [x for s, x in enumerate(SHAPES + LONGER) if (self.shape == s).any()]
+        self.maybe = np.zeros(1 << (64 - FILTER_SHIFT), bool)    # before the search by halves
+        self.maybe[self.hashes >> np.uint64(FILTER_SHIFT)] = True
 
     @staticmethod
     def _chosen(h, owner, place, shape, sizes) -> np.ndarray:
@@ -93,20 +97,20 @@ class Seeds:
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(seed, position) of the seeds that stand in a text."""
         found, positions = [], []
-        for offsets in SHAPES + LONGER if len(self.hashes) else ():
+        for offsets in self.shapes:
             h = shaped_grams(codes, offsets)
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            pos = np.flatnonzero(self.hashes[at] == h)
-            found.append(at[pos])
-            positions.append(pos)
+            pos = np.flatnonzero(self.maybe[h >> np.uint64(FILTER_SHIFT)])
+            at = np.minimum(np.searchsorted(self.hashes, h[pos]), len(self.hashes) - 1)
+            real = self.hashes[at] == h[pos]
+            found.append(at[real])
+            positions.append(pos[real])
         none = np.zeros(0, np.int64)
         return np.concatenate(found + [none]), np.concatenate(positions + [none])
 
-    def stretches(self, codes: np.ndarray, rare: np.ndarray) -> list[tuple[int, int, int]]:
+    def stretches(self, codes: np.ndarray, rare: np.ndarray, hits=None) -> list[tuple[int, int, int]]:
         """(item, start, stop) of the parts of a text to be aligned.  A stretch
-        takes the hits on diagonals of twice the item's length, every half of
-        it in two stretches."""
-        seed, position = self.hits(codes)
+        takes the hits on diagonals of twice the item's length."""
+        seed, position = self.hits(codes) if hits is None else hits
         if not len(seed):
             return []
         times = self.count[seed]
@@ -114,19 +118,23 @@ class Seeds:
         item, place, shape = self.owner[flat], self.place[flat], self.shape[flat]
         step = np.maximum(self.sizes[item], LEAST_STEP)
         bucket = (np.repeat(position, times) - place) // step
-        sure = np.repeat(rare[seed], times)
-        item, place, shape, sure = (np.tile(x, 2) for x in (item, place, shape, sure))
-        bucket = np.concatenate([bucket, bucket - 1])
-        groups, group = np.unique(np.stack([item, bucket]), axis=1, return_inverse=True)
-        passed = np.zeros(groups.shape[1], bool)
-        passed[group[sure]] = True
-        words = [np.stack([group[shape == s], place[shape == s] + o])
-                 for s, offsets in enumerate(SHAPES + LONGER) for o in offsets]
-        covered = np.bincount(np.unique(np.concatenate(words, axis=1), axis=1)[0],
-                              minlength=len(passed))
-        passed |= covered >= MIN_COVER * self.sizes[groups[0]]
+        # a stretch for every bucket with hits, of these and the next bucket's
+        near = item << 40 | bucket + (1 << 39)
+        groups, own = np.unique(near, return_inverse=True)
+        before = np.minimum(np.searchsorted(groups, near - 1), len(groups) - 1)
+        also = groups[before] == near - 1
+        group = np.concatenate([own, before[also]])
+        which = np.concatenate([np.arange(len(near)), np.flatnonzero(also)])
+        passed = np.zeros(len(groups), bool)
+        passed[group[np.repeat(rare[seed], times)[which]]] = True
+        wide = int(self.sizes.max()) + 1
+        words = [group[shape[which] == s] * wide + place[which][shape[which] == s] + o
+                 for s, offsets in enumerate(SHAPES + LONGER) if offsets in self.shapes for o in offsets]
+        covered = np.bincount(np.unique(np.concatenate(words)) // wide, minlength=len(groups))
+        passed |= covered >= MIN_COVER * self.sizes[groups >> 40]
         out = []
-        for i, b in groups[:, passed].T.tolist():
+        for g in groups[passed].tolist():
+            i, b = g >> 40, (g & (1 << 40) - 1) - (1 << 39)
             size = int(self.sizes[i])
             step = max(size, LEAST_STEP)
             start, stop = max(0, b * step - SLACK), min(len(codes), (b + 2) * step + size + SLACK)
@@ -169,7 +177,7 @@ def may_align(window, item) -> bool:
     return (Counter(window) & Counter(item)).total() / len(item) >= MIN_SCORE
 
 
-def best_alignments(texts: list[np.ndarray], items: list[np.ndarray],
+def best_alignments(texts, items: list[np.ndarray],
                     stretches: list[tuple[int, int, int, int]]) -> dict[tuple, tuple]:
     """(text, item) -> (score, first, last word) of the best alignment in the
     (text, item, start, stop) given, where it reaches ``MIN_SCORE``."""
@@ -206,12 +214,14 @@ def _passages(docs: DataFrame, seeds: Seeds) -> np.ndarray:
         known = sent.value
         for b in batches:
             pairs = [np.zeros((2, 0), np.int64)]
-            for t in b.column(3):
-                codes = word_codes(folded(t.as_py()))
+            for _, texts in text_groups(b.column(3)):
+                codes, _, _ = joined_codes(list(map(folded, texts)), GAP_WORDS)
                 seed, position = known.hits(codes)
-                padded = np.pad(codes, CONTEXT)
-                around = shaped_grams(padded, tuple(range(2 * CONTEXT + SEED_WORDS)))
-                pairs.append(np.stack([seed, around[position].view(np.int64)]))
+                around = np.zeros(len(position), np.uint64)
+                for i in range(-CONTEXT, SEED_WORDS + CONTEXT):
+                    around = (around ^ codes[position + i]) * np.uint64(0x9E3779B97F4A7C15)
+                    around ^= around >> np.uint64(31)
+                pairs.append(np.stack([seed, around.view(np.int64)]))
             pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
             start = np.searchsorted(pairs[0], pairs[0])
             pairs = pairs[:, np.arange(pairs.shape[1]) - start <= RARE_PASSAGES]
@@ -232,12 +242,20 @@ def _found(docs: DataFrame, seeds: Seeds, rare: np.ndarray) -> DataFrame:
     def run(batches):
         known, sure = sent.value
         for b in batches:
-            texts, stretches = [], []
-            for t in b.column(3):
-                codes = word_codes(folded(t.as_py()))
-                new = known.stretches(codes, sure)
-                stretches += [(len(texts), i, start, stop) for i, start, stop in new]
-                texts.append(codes if new else None)
+            texts, stretches = {}, []
+            for first, group in text_groups(b.column(3)):
+                codes, places, sizes = joined_codes(list(map(folded, group)), GAP_WORDS)
+                seed, position = known.hits(codes)
+                owner = np.searchsorted(places, position, side="right") - 1
+                order = np.argsort(owner, kind="stable")
+                cuts = np.flatnonzero(np.diff(owner[order], prepend=-1))
+                for hits in np.split(order, cuts[1:]) if len(order) else ():
+                    i = int(owner[hits[0]])
+                    text = codes[places[i]:places[i] + sizes[i]]
+                    new = known.stretches(text, sure, (seed[hits], position[hits] - places[i]))
+                    if new:
+                        texts[first + i] = text
+                        stretches += [(first + i, *x) for x in new]
             best = best_alignments(texts, known.items, stretches)
             at = pa.array([t for t, _ in best], pa.int64())
             score, first, last = zip(*best.values(), strict=True) if best else ((), (), ())

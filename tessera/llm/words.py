@@ -30,8 +30,8 @@ _BYTE = np.array([xxhash.xxh64_intdigest(bytes([i])) for i in range(256)], np.ui
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-def word_codes(text: bytes) -> np.ndarray:
-    """A 64-bit code, never 0, for each word between ASCII white space."""
+def _coded(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, first bytes) of the words."""
     data = np.frombuffer(text, np.uint8)
     edges = np.flatnonzero(np.diff(_SPACE[data], prepend=True, append=True))
     starts, ends = edges[::2], edges[1::2]
@@ -51,7 +51,41 @@ def word_codes(text: bytes) -> np.ndarray:
         codes[i] = xxhash.xxh64_intdigest(text[starts[i]:ends[i]])
     codes ^= codes >> np.uint64(32)
     codes *= np.uint64(_ODD)
-    return codes ^ (codes >> np.uint64(29)) | np.uint64(1)
+    return codes ^ (codes >> np.uint64(29)) | np.uint64(1), starts
+
+
+def word_codes(text: bytes) -> np.ndarray:
+    """A 64-bit code, never 0, for each word between ASCII white space."""
+    return _coded(text)[0]
+
+
+def joined_codes(texts: list[bytes], gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, places, sizes): the codes of many texts in one array with
+    ``gap`` zeros before each and at the end; where each text begins, and its
+    number of words."""
+    codes, starts = _coded(b"\n".join(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    first = np.searchsorted(starts, np.concatenate([[0], ends]))
+    sizes = np.diff(first)
+    places = first[:-1] + gap * np.arange(1, len(texts) + 1)
+    out = np.zeros(len(codes) + gap * (len(texts) + 1), np.uint64)
+    out[np.arange(len(codes)) + np.repeat(places - first[:-1], sizes)] = codes
+    return out, places, sizes
+
+
+def text_groups(column, limit: int = 1 << 20):
+    """(first row, texts) of a column of binary texts, in groups of about
+    ``limit`` bytes; a longer text is a group of its own."""
+    group, held, first = [], 0, 0
+    for i, t in enumerate(column):
+        t = t.as_py()
+        if group and held + len(t) > limit:
+            yield first, group
+            group, held, first = [], 0, i
+        group.append(t)
+        held += len(t)
+    if group:
+        yield first, group
 
 
 def shaped_grams(codes: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
