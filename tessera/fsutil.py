@@ -125,6 +125,25 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return out
 
 
+def iter_files(spark: SparkSession, path: str):
+    """(path, size, modification time) of the data files directly under
+    ``path``, one after the other: the list as a whole is held nowhere."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return
+    found = fs.listStatusIterator(p)
+    while found.hasNext():
+        s = found.next()
+        name = s.getPath().getName()
+        if s.isFile() and not name.startswith(("_", ".")):
+            yield s.getPath().toString(), int(s.getLen()), int(s.getModificationTime())
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a data file stands directly under ``path``."""
+    return next(iter_files(spark, path), None) is not None
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, s = _fs(spark, src)
     _, d = _fs(spark, dst)

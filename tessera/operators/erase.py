@@ -14,10 +14,12 @@ untouched partitions keep their files:
    ``spark.checkpoint.dir``; from then on it cannot be lost
 2. the requested partitions are worked through in batches of at most
    ``BATCH_PARTITIONS`` (fewer where a batch has too many files), so every
-   swap holds at any size.  Per batch: the partitions' files are listed, the
-   survivors are found in one pass, written in the table's own format to a
-   hidden staging folder inside the table, re-read and counted
-3. a marker with the file lists and moves is written, then the swap:
+   swap holds at any size.  Per batch: the partitions' files are listed into a
+   table (``file_lists``), the survivors are found in one pass, written in the
+   table's own format to a hidden staging folder inside the table, re-read and
+   counted
+3. a marker is written, which names the tables of files to move and to delete
+   (streamed when they are, however long), then the swap:
 
    * ``relocate`` (catalog tables, default): each partition is pointed at its
      staging folder (``ALTER TABLE .. SET LOCATION``, catalog only).  Readers by
@@ -49,7 +51,7 @@ import hashlib
 import json
 import re
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -57,9 +59,10 @@ from pyspark.sql.types import StructType
 
 from tessera import fsutil
 from tessera.functions.naming import quote_ident, sql_literal
+from tessera.operators.file_lists import MOVES, FileLists, each, path_key, stream
 from tessera.operators.joins import (
     DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, measure,
-    skew_join,
+    size_checked, skew_join,
 )
 from tessera.session import stable_root
 from tessera.sinks.writers import FILE_BYTES, cluster_for_write
@@ -214,18 +217,6 @@ class _Stop:
             raise RuntimeError(f"stopped at {step!r} (test hook)")
 
 
-CATALOG_WORKERS = 8   # concurrent catalog and file-system calls
-
-
-def _each(fn, items: list) -> list:
-    """``[fn(x) for x in items]`` with up to ``CATALOG_WORKERS`` catalog /
-    file-system calls in flight (driver-side metadata work only)."""
-    if len(items) <= 1:
-        return [fn(x) for x in items]
-    with ThreadPoolExecutor(max_workers=min(CATALOG_WORKERS, len(items))) as pool:
-        return list(pool.map(fn, items))
-
-
 def _spec(part: str, value) -> str:
     return f"PARTITION ({quote_ident(part)} = {sql_literal(value)})"
 
@@ -248,10 +239,12 @@ class _Target:
         kind = main.schema[self.part].dataType
         return main.where(F.col(self.part).isin([F.lit(v).cast(kind) for v in values]))
 
-    def in_files(self, values: list, names: list[str]) -> DataFrame:
-        """Rows of the partitions that are seen in files of these names."""
-        return self.batch(values).where(F.element_at(
-            F.split("_metadata.file_path", "/"), -1).isin(names))
+    def in_place(self, values: list, run: str, written: str) -> DataFrame:
+        """Rows of the partitions that are seen in the files of an erase run:
+        those carry its id in their name, or in their folder's and ``written``,
+        the id of the job that staged them, in their own."""
+        return self.batch(values).where(F.col("_metadata.file_path").rlike(
+            f"/(_erase_{run}/.*{written}[^/]*|erase-{run}-[^/]*)$"))
 
 
 class _Table(_Target):
@@ -287,7 +280,7 @@ class _Table(_Target):
             if self.spark.sql(f"SHOW PARTITIONS {quote_ident(self.name)} {spec}").isEmpty():
                 return None
             return describe(self.spark, self.name, spec)["location"].rstrip("/")
-        return {v: f for v, f in zip(values, _each(look, values), strict=True) if f}
+        return {v: f for v, f in zip(values, each(look, values), strict=True) if f}
 
     def point(self, value, folder: str) -> None:
         self.spark.sql(f"ALTER TABLE {quote_ident(self.name)} {_spec(self.part, value)} "
@@ -298,7 +291,7 @@ class _Table(_Target):
         for i in range(0, len(specs), chunk):
             self.spark.sql(f"ALTER TABLE {quote_ident(self.name)} DROP IF EXISTS "
                            + ", ".join(specs[i:i + chunk]))
-        _each(lambda f: fsutil.delete(self.spark, f), list(folders.values()))
+        each(lambda f: fsutil.delete(self.spark, f), list(folders.values()))
         self.refresh()
 
 
@@ -331,7 +324,7 @@ class _Path(_Target):
         return {v: have[str(v)] for v in values if str(v) in have}
 
     def drop(self, folders: dict[str, str]) -> None:
-        _each(lambda f: fsutil.delete(self.spark, f), list(folders.values()))
+        each(lambda f: fsutil.delete(self.spark, f), list(folders.values()))
         self.refresh()
 
 
@@ -387,66 +380,64 @@ def _check_staging(target: _Target, schema: StructType, staging: str, counts: di
                            f"{counts['kept']}")
 
 
-def _unchanged(spark: SparkSession, listed: list) -> bool:
-    """Whether each listed (file, size, modification time) still holds."""
-    return all(_each(lambda f: fsutil.file_facts(spark, f[0]) == f[1:], listed))
-
-
 def _forward(target: _Target, plan: dict, marker: str, stop: _Stop) -> None:
     """From a marker to the end of its batch.  Each step is skipped where it
     is already done; ``SourceChanged`` if the listed files are not those read."""
     spark = target.spark
+    lists = FileLists(spark, plan["lists"])
     if plan["phase"] == "staged":
-        half = len(plan["moves"]) // 2
+        half = plan["n_moves"] // 2
         if plan["swap"] == "relocate":
-            def repoint(move):
-                value, old, new = move
-                now = target.folders([value]).get(value)
-                if now == new:
-                    return
-                if now != old or fsutil.list_facts(spark, old) != plan["before"][str(value)]:
-                    raise SourceChanged(f"partition {value} of {target.name} changed")
-                target.point(value, new)
-            step = repoint
+            live = target.folders([v for v, _, _ in plan["moves"]])
+            moved = {v: new for v, _, new in plan["moves"] if live.get(v) == new}
+            waiting = {v: old for v, old, _ in plan["moves"] if v not in moved}
+            if {v: live.get(v) for v in waiting} != waiting or lists.changed("before", waiting):
+                raise SourceChanged(f"partitions of {target.name} changed")
+
+            def step(move):
+                value, _, new = move
+                if value not in moved:
+                    target.point(value, new)
+            moves = iter(plan["moves"])
         else:
-            if not _unchanged(spark, plan["deletes"]):
+            if lists.missing(plan["deletes"], plan["folders"]):
                 raise SourceChanged(f"files of {target.name} changed")
 
-            def put(move):
+            def step(move):
                 src, dst = move
                 if fsutil.exists(spark, src):
                     if not fsutil.rename(spark, src, dst):
                         raise OSError(f"could not move {src} to {dst}")
                 elif not fsutil.exists(spark, dst):
                     raise SourceChanged(f"staged file {src} is gone")
-            step = put
-        _each(step, plan["moves"][:half])
+            moves = lists.rows("moves")
+        stream(step, islice(moves, half))
         stop.at("half-swapped")
-        _each(step, plan["moves"][half:])
+        stream(step, moves)
         stop.at("swapped")
         target.refresh()
-        if not _unchanged(spark, plan["deletes"]):
+        if lists.missing(plan["deletes"], plan["folders"]):
             raise SourceChanged(f"files of {target.name} changed")
-        seen = target.in_files(plan["values"], plan["placed"]).count() if plan["kept"] else 0
+        seen = target.in_place(plan["values"], plan["run"], plan["written"]).count() if plan["kept"] else 0
         if seen != plan["kept"]:
             raise RuntimeError(f"erase of {target.name}: {seen} rows in place, expected "
                                f"{plan['kept']}; nothing was deleted, staging {plan['staging']}")
         plan["phase"] = "verified"
         fsutil.write_text(spark, marker, json.dumps(plan))
         stop.at("verified")
-    half = len(plan["deletes"]) // 2
-    _each(lambda f: fsutil.delete(spark, f[0]), plan["deletes"][:half])
+    gone = lists.rows(plan["deletes"])
+    stream(lambda f: fsutil.delete(spark, f.path), islice(gone, plan["n_deletes"] // 2))
     stop.at("half-deleted")
-    _each(lambda f: fsutil.delete(spark, f[0]), plan["deletes"][half:])
+    stream(lambda f: fsutil.delete(spark, f.path), gone)
     target.refresh()
     live = target.folders(plan["values"])
-    empty = {v: f for v, f in live.items() if not fsutil.list_files(spark, f)}
+    empty = {v: f for v, f in live.items() if not fsutil.has_files(spark, f)}
     if empty:
         target.drop(empty)
     plan["emptied"] = sorted(str(v) for v in empty)
     if plan["swap"] == "relocate":
         for _, old, _ in plan["moves"]:
-            if not fsutil.list_files(spark, old):
+            if not fsutil.has_files(spark, old):
                 fsutil.delete(spark, old)
                 parent = old.rsplit("/", 1)[0]      # an earlier run's staging
                 if "/_erase_" in parent and not fsutil.list_dirs(spark, parent):
@@ -459,20 +450,23 @@ def _roll_back(target: _Target, plan: dict) -> None:
     already re-pointed stay (each is whole by itself), the rest of the staging
     goes."""
     spark = target.spark
+    lists = FileLists(spark, plan["lists"])
     if plan["swap"] == "relocate":
+        live = target.folders([v for v, _, _ in plan["moves"]])
+        changed = lists.changed("before", {v: old for v, old, new in plan["moves"]
+                                           if live.get(v) == new})
         for value, old, new in plan["moves"]:
-            if target.folders([value]).get(value) == new:
-                if fsutil.list_facts(spark, old) == plan["before"][str(value)]:
-                    fsutil.delete(spark, old)
-                else:                    # rows came to the old folder: it is the one to keep
-                    target.point(value, old)
-                    fsutil.delete(spark, new)
-            else:
+            if live.get(value) != new:
+                fsutil.delete(spark, new)
+            elif str(value) not in changed:
+                fsutil.delete(spark, old)
+            else:                        # rows came to the old folder: it is the one to keep
+                target.point(value, old)
                 fsutil.delete(spark, new)
         if not fsutil.list_dirs(spark, plan["staging"]):
             fsutil.delete(spark, plan["staging"])
     else:
-        _each(lambda m: fsutil.delete(spark, m[1]), plan["moves"])
+        stream(lambda m: fsutil.delete(spark, m.dst), lists.rows("moves"))
         fsutil.delete(spark, plan["staging"])
     target.refresh()
 
@@ -480,13 +474,15 @@ def _roll_back(target: _Target, plan: dict) -> None:
 def _finish(target: _Target, plan: dict, marker: str, stop: _Stop) -> None:
     """The marker goes first: staging without a marker is only litter."""
     fsutil.delete(target.spark, marker)
+    fsutil.delete(target.spark, plan["lists"])
     stop.at("unmarked")
     if plan["swap"] != "relocate" or not plan["moves"]:
         fsutil.delete(target.spark, plan["staging"])
 
 
 BATCH_PARTITIONS = 1000          # requested partitions of one staging and swap
-MAX_AFFECTED_FILES = 100_000     # files of a batch; one with more is halved
+MAX_AFFECTED_FILES = 100_000     # files of a batch of several partitions; one with more is halved
+MAX_FILE_LITERALS = 1000         # files by whose names a scan is pruned; more go through a join
 
 
 @dc.dataclass
@@ -507,9 +503,11 @@ def _erase_batch(target: _Target, key: str, wanted: list, keys: tuple, state: st
     folders = target.folders(wanted)
     if not folders:
         return report
-    before = dict(zip(folders, _each(lambda f: fsutil.list_facts(spark, f),
-                                     list(folders.values())), strict=True))
-    if len(folders) > 1 and sum(map(len, before.values())) > MAX_AFFECTED_FILES:
+    run = uuid.uuid4().hex[:12]
+    lists = FileLists(spark, f"{state}/lists_{run}")
+    files = lists.list("before", folders)
+    if len(folders) > 1 and files > MAX_AFFECTED_FILES:
+        fsutil.delete(spark, lists.root)
         values, half = list(folders), len(folders) // 2
         report.add(_erase_batch(target, key, values[:half], keys, state, o, False))
         report.add(_erase_batch(target, key, values[half:], keys, state, o, last))
@@ -518,55 +516,64 @@ def _erase_batch(target: _Target, key: str, wanted: list, keys: tuple, state: st
     values = list(folders)
     rows = target.batch(values)
     columns, schema = rows.columns, rows.schema
-    listed = [f for files in before.values() for f in files]
-    total = None
+    before = lists.read("before")
+    total = n_deletes = None
     if o.swap == "files":
-        with_file = rows.withColumn("__file", F.col("_metadata.file_path"))
+        with_file = rows.withColumn("__file", path_key(F.col("_metadata.file_path"), uri=True))
         if few is not None:
             hits = with_file.where(F.col(key).isin(few))
         elif small:
             hits = with_file.join(keys_df, key, "left_semi")
         else:
             hits = skew_join(with_file.select(key, "__file"), keys_df, key, "left_semi", o.hot_rows)
-        # at most the files of this batch, which are listed above
-        names = sorted(r[0] for r in hits.select("__file").distinct().collect())
-        if not names:
+        held = lists.write_frame("held", hits.select("__file").distinct())
+        if not held:
+            fsutil.delete(spark, lists.root)
             return report
-        held = {fsutil.uri_path(spark, n) for n in names}
-        listed = [f for f in listed if f[0] in held]
-        if len(listed) != len(held):
+        hit = lists.read("held")
+        n_deletes = lists.write_frame("deletes", before.withColumn("__file", path_key(F.col("path")))
+                                      .join(hit, "__file", "left_semi").drop("__file"))
+        if n_deletes != held:
             raise SourceChanged(f"files of {target.name} changed while they were read")
         total = rows.count()
-        rows = with_file.where(F.col("__file").isin(names)).drop("__file")
-    run = uuid.uuid4().hex[:12]
+        if held <= MAX_FILE_LITERALS:              # few files: the listing is pruned to them
+            names = [r[0].rsplit("/", 1)[-1] for r in lists.read("deletes").select("path").collect()]
+            rows = rows.where(F.col("_metadata.file_name").isin(names))
+            rows = rows.withColumn("__file", path_key(F.col("_metadata.file_path"), uri=True))
+            rows = rows.join(F.broadcast(hit), "__file", "left_semi").drop("__file")
+        else:
+            side, _, small_side = size_checked(hit)
+            rows = (with_file.join(side, "__file", "left_semi") if small_side
+                    else skew_join(with_file, hit, "__file", "left_semi", o.hot_rows)).drop("__file")
+    deletes, n_deletes = ("deletes", n_deletes) if o.swap == "files" else ("before", files)
     staging = f"{target.root}/_erase_{run}"
     fsutil.write_text(spark, state + "/_pending", staging)
-    largest = max((sum(f[1] for f in files) for files in before.values()), default=0)
+    largest = before.groupBy("value").agg(F.sum("size").alias("b")).agg(F.max("b")).first()[0] or 0
     counts = _stage_survivors(target, rows, columns, keys_df, small, few, key, staging, o.hot_rows,
                               o.files_per_partition, largest)
     _check_staging(target, schema, staging, counts)
     if counts["erased"] == 0:                  # nothing to erase here: leave it as it is
         fsutil.delete(spark, staging)
+        fsutil.delete(spark, lists.root)
         report.touched_rows = report.kept_rows = counts["rows"] if total is None else total
         return report
     by_text = {str(v): v for v in values}
     staged = {by_text[fsutil.partition_dir_value(f, part)]: f.rstrip("/")
               for f in fsutil.list_dirs(spark, staging)
               if fsutil.partition_dir_value(f, part) is not None}
-    if o.swap == "relocate":
-        moves = [[v, folders[v], f] for v, f in staged.items()]
-        placed = [f for _, _, new in moves for f in fsutil.list_files(spark, new)]
-    else:
-        def into(item):
-            value, folder = item
-            return [[src, f"{folders[value]}/erase-{run}-{src.rsplit('/', 1)[-1]}"]
-                    for src in fsutil.list_files(spark, folder)]
-        moves = [m for ms in _each(into, list(staged.items())) for m in ms]
-        placed = [dst for _, dst in moves]
-    plan = {"swap": o.swap, "phase": "staged", "staging": staging, "last": last,
-            "values": values, "moves": moves, "deletes": listed, "kept": counts["kept"],
-            "placed": [f.rsplit("/", 1)[-1] for f in placed],
-            "before": {str(v): files for v, files in before.items()}, "emptied": [],
+    moves = [[v, folders[v], f] for v, f in staged.items()] if o.swap == "relocate" else []
+    n_moves = len(moves)
+    first = next((f for v in staged.values() for f, _, _ in fsutil.iter_files(spark, v)), "")
+    written = re.search(r"/part-\d+-([0-9a-f-]{36})", first)
+    if o.swap != "relocate":
+        n_moves = lists.write("moves", (
+            (src, f"{folders[v]}/erase-{run}-{src.rsplit('/', 1)[-1]}")
+            for v, folder in staged.items() for src, _, _ in fsutil.iter_files(spark, folder)), MOVES)
+    plan = {"swap": o.swap, "phase": "staged", "staging": staging, "run": run, "last": last,
+            "lists": lists.root, "values": values, "folders": {str(v): f for v, f in folders.items()},
+            "moves": moves, "n_moves": n_moves, "deletes": deletes,
+            "n_deletes": n_deletes, "kept": counts["kept"],
+            "emptied": [], "written": written[1] if written else "",
             "touched_rows": counts["rows"] if total is None else total,
             "erased_rows": counts["erased"]}
     plan = json.loads(json.dumps(plan, default=str))
