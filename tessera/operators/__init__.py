@@ -13,6 +13,7 @@ from tessera.operators.generate import (
 from tessera.operators.erase import (
     EraseReport, erase_records, erase_records_path, erase_view, locate_records, not_in,
 )
+from tessera.operators.key_index import build_key_index, locate_indexed, refresh_key_index
 from tessera.operators.joins import broadcast_if_small, prefix_columns
 
 __all__ = [
@@ -20,5 +21,5 @@ __all__ = [
     "join_inner_using", "count_rows", "label_split", "split_by_hash", "split_random",
     "take_from_partition", "repartition_rows", "RECORD_SCHEMA", "generate_records",
     "records_for_ids", "replicate_rows", "EraseReport", "erase_records", "erase_records_path", "erase_view",
-    "locate_records", "not_in", "broadcast_if_small", "prefix_columns",
+    "locate_records", "build_key_index", "locate_indexed", "refresh_key_index", "not_in", "broadcast_if_small", "prefix_columns",
 ]

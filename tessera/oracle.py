@@ -141,6 +141,7 @@ ORACLE_SQL: dict[str, str] = {
     "scan_csv": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "write_file": "SELECT * FROM customer",
     "scan_json": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
+    "write_clustered": "SELECT * FROM lineitem",
     "write_partitioned": PARTITIONED_ORDERS,
     "write_table_partitioned": "SELECT * FROM orders",
     "append_table": "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
@@ -173,6 +174,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT o_orderkey, l_linenumber, l_quantity, o_totalprice FROM orders JOIN "
         "(SELECT l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lineitem) AS li "
         "USING (o_orderkey)",
+    "locate_indexed":
+        f"WITH {ERASE_REQUESTS} SELECT o_orderkey, o_orderpriority FROM orders WHERE "
+        "o_orderpriority IN (SELECT p FROM req) AND o_orderkey IN (SELECT k FROM req)",
     "locate_records":
         f"WITH {ERASE_REQUESTS} SELECT o_orderkey, o_orderpriority FROM orders WHERE "
         "o_orderpriority IN (SELECT p FROM req) AND o_orderkey IN (SELECT k FROM req)",

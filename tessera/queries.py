@@ -102,6 +102,13 @@ def q_write_partitioned(spark, sf):
     return S.read_parquet(spark, path, src.schema)
 
 
+def q_write_clustered(spark, sf):
+    src = table(spark, sf, "lineitem")
+    path = scratch_path(spark, "clustered")
+    K.write_clustered(src, "l_orderkey", path=path, partition_by="l_returnflag")
+    return S.read_parquet(spark, path, src.schema).select(*src.columns)
+
+
 def q_write_table(spark, sf):
     name = f"{scratch_database(spark)}.{unique_name('orders_copy')}"
     K.write(table(spark, sf, "orders"), table=name)
@@ -221,6 +228,19 @@ def q_locate_records(spark, sf):
                                                                     "o_orderpriority")
 
 
+def q_locate_indexed(spark, sf):
+    """The index covers half of the orders; the others are written after it."""
+    orders = table(spark, sf, "orders")
+    half = F.col("o_orderkey") % 2 == 0
+    name = f"{scratch_database(spark)}.{unique_name('orders_indexed')}"
+    K.write_clustered(orders.where(half), "o_orderkey", table=name, partition_by="o_orderpriority")
+    index = scratch_path(spark, "key-index")
+    O.build_key_index(spark, name, "o_orderkey", index)
+    K.append_table(orders.where(~half), name)
+    return O.locate_indexed(spark, name, erase_requests(spark, sf), "o_orderkey", index).select(
+        "o_orderkey", "o_orderpriority")
+
+
 def q_erase_view(spark, sf):
     main = table(spark, sf, "orders")
     return O.erase_view(main, erase_requests(spark, sf), "o_orderkey",
@@ -561,6 +581,7 @@ QUERIES = {
     "scan_json": q_scan_json,
     "write_file": q_write_file,
     "write_partitioned": q_write_partitioned,
+    "write_clustered": q_write_clustered,
     "write_table": q_write_table,
     "write_table_partitioned": q_write_table_partitioned,
     "append_table": q_append_table,
@@ -578,6 +599,7 @@ QUERIES = {
     "join_inner": q_join_inner,
     "join_inner_using": q_join_inner_using,
     "locate_records": q_locate_records,
+    "locate_indexed": q_locate_indexed,
     "erase_view": q_erase_view,
     "erase_records": q_erase_records,
     "erase_empties_partition": q_erase_empties_partition,

@@ -2,10 +2,11 @@
 
 from tessera.sinks.writers import (
     write, write_file, write_table, append_table, insert_overwrite_partitions,
-    write_jdbc, cluster_for_write,
+    write_jdbc, cluster_for_write, cluster_by_key, write_clustered,
 )
 
 __all__ = [
     "write", "write_file", "write_table", "append_table",
-    "insert_overwrite_partitions", "write_jdbc", "cluster_for_write",
+    "insert_overwrite_partitions", "write_jdbc", "cluster_for_write", "cluster_by_key",
+    "write_clustered",
 ]

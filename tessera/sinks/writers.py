@@ -80,6 +80,37 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", *, mode: str = "
     w.saveAsTable(name)
 
 
+def cluster_by_key(df: DataFrame, key: str, partition_by: str | None = None,
+                   files: int | None = None) -> DataFrame:
+    """``df`` dealt by ranges of (partition column, key) with sampled bounds,
+    and sorted inside: a key's rows lie together, in one file or at the
+    neighbouring ends of two.  A hash of the row comes after the key, so that
+    the bounds also cut through a key that holds many rows.  ``files``: the
+    number of ranges, else Spark's shuffle partitions (AQE may join small
+    ones)."""
+    tie = "__tie"
+    while tie in df.columns:
+        tie = "_" + tie
+    order = [F.col(c) for c in ([partition_by] if partition_by else []) + [key]] + [F.col(tie)]
+    rows = df.withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    dealt = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order).drop(tie)
+
+
+def write_clustered(df: DataFrame, key: str, *, path: str | None = None, table: str | None = None,
+                    fmt: str = "parquet", mode: str = "overwrite", partition_by: str | None = None,
+                    files: int | None = None, options: dict | None = None) -> None:
+    """Write to a path or a table, clustered by ``key`` inside each partition:
+    readers skip the files and row groups whose key range excludes a key."""
+    if (path is None) == (table is None):
+        raise ValueError("give exactly one of path= or table=")
+    w = _writer(cluster_by_key(df, key, partition_by, files), fmt, mode, partition_by, True, options)
+    if table is not None:
+        w.saveAsTable(table)
+    else:
+        w.save(path)
+
+
 def write(df: DataFrame, *, path: str | None = None, table: str | None = None,
           fmt: str = "parquet", mode: str = "overwrite",
           partition_by: str | list[str] | None = None, date_column: str | None = None,
