@@ -51,7 +51,9 @@ import hashlib
 import json
 import re
 import uuid
+from functools import reduce
 from itertools import islice
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -157,23 +159,53 @@ def erase_view(main: DataFrame, requests: DataFrame, key: str, part: str,
     return untouched.unionByName(kept)
 
 
-def not_in(main: DataFrame, requests: DataFrame, key: str, req_key: str | None = None) -> DataFrame:
-    """Raw SQL ``key NOT IN (SELECT req_key FROM requests)`` (three-valued: a
-    null in the list empties the answer, a null key never qualifies, an empty
-    list keeps every row).
-
-    Planned without the null-aware join Spark forces for ``NOT IN`` (always a
-    broadcast of the list): one short job counts the list and its nulls; the
-    rest is an ordinary left anti join that Spark sizes itself.
+def not_in(main: DataFrame, requests: DataFrame, key: str | list[str],
+           req_key: str | list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Raw SQL ``key NOT IN (SELECT req_key FROM requests)``, for one column
+    or several: ``(a, b) NOT IN (SELECT x, y ...)``.  Three-valued: a row
+    stays only if it differs from every listed row in a column where both are
+    known; an empty list keeps every row.
+
+    Planned without the null-aware joins Spark forces (a broadcast of the
+    list; for several columns a nested loop): two rows may be equal where
+    neither has a null, so for each pattern of nulls in the list and in
+    ``main`` the columns known on both sides are compared by an ordinary anti
+    join, with hot keys of ``main`` split.  A pair of patterns without a
+    common known column matches always.  One job lists the patterns of either
+    side: at most 2 to the number of columns.
     """
-    req_key = req_key or key
-    keys = requests.select(F.col(req_key).alias(key))
-    n, known = keys.agg(F.count(F.lit(1)), F.count(key)).first()
-    if n == 0:
+    keys = [key] if isinstance(key, str) else list(key)
+    asked = keys if req_key is None else [req_key] if isinstance(req_key, str) else list(req_key)
+    if len(keys) != len(asked):
+        raise ValueError(f"{len(keys)} columns are compared with {len(asked)}")
+    listed = requests.select(*[F.col(a).alias(f"__k{i}") for i, a in enumerate(asked)])
+    names = listed.columns
+
+    def patterns(df: DataFrame, columns: list[str]) -> list[tuple]:
+        return [tuple(r) for r in df.select(*[F.col(c).isNull() for c in columns]).distinct().collect()]
+
+    def of(columns: list[str], pattern: tuple):
+        known = [F.col(c).isNull() if null else F.col(c).isNotNull()
+                 for c, null in zip(columns, pattern, strict=True)]
+        return reduce(and_, known)
+
+    theirs = patterns(listed, names)
+    if not theirs:
         return main
-    if known < n:
-        return main.where(F.lit(False))
-    return main.where(F.col(key).isNotNull()).join(keys, key, "left_anti").select(*main.columns)
+    rows = main.withColumns(dict(zip(names, [F.col(k) for k in keys], strict=True)))
+    out = main.where(F.lit(False))
+    for mine in patterns(main, keys) if len(keys) > 1 else [(False,)]:
+        left = rows.where(of(names, mine))
+        for their in theirs:
+            both = [n for n, a, b in zip(names, mine, their, strict=True) if not a and not b]
+            if not both:                     # unknown in every column: equality can't be ruled out
+                left = None
+                break
+            some = listed.where(of(names, their)).select(*both).distinct()
+            left = skew_join(left, some, both, "left_anti", hot_rows)
+        if left is not None:
+            out = out.unionByName(left.select(*main.columns))
+    return out
 
 
 @dc.dataclass

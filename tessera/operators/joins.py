@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from tessera.functions.naming import quote_ident
 
 # Largest side we broadcast by our own decision.  Above either bound the join
 # is left to Spark: sort-merge on the key, with AQE free to switch to a
@@ -78,6 +83,42 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS,
             .select(*keys, F.ceil(F.col("__rows") / F.lit(hot_rows)).cast("int").alias("__salts")))
 
 
+TRACKED_KEYS = 65_536   # counters of the one-pass sketch
+
+
+def copy_with_hot_keys(df: DataFrame, keys: list[str], path: str, hot_rows: int = HOT_ROWS,
+                       tracked: int = TRACKED_KEYS) -> tuple[DataFrame, dict[str, DataFrame | None]]:
+    """Write ``df`` to ``path`` and find the hot values of each of ``keys`` on
+    the way: (the copy, key -> its hot keys as ``hot_keys`` gives them).
+
+    Counted by Spark's mergeable top-k sketch, in the same job.  With
+    ``tracked`` counters its counts are off by at most 3.5 n / tracked for n
+    rows, and every value with more rows is in it; where that is more than
+    half of ``hot_rows`` (n above some ten billion), the entry is None: count
+    on the copy instead.
+    """
+    obs = Observation()
+    plain = ("string", "int", "bigint", "smallint", "tinyint", "date", "timestamp", "double", "float")
+    others = [k for k in keys if df.schema[k].dataType.simpleString() not in plain]
+    keys = [k for k in keys if k not in others]
+    found = [F.expr(f"approx_top_k({quote_ident(k)}, {tracked // 4}, {tracked})").alias(f"top{i}")
+             for i, k in enumerate(keys)]
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *found) if keys else df
+    observed.write.parquet(path)
+    spark = df.sparkSession
+    copy = spark.read.schema(df.schema).parquet(path)
+    hot: dict[str, DataFrame | None] = dict.fromkeys(others)
+    for i, k in enumerate(keys):
+        n, error = obs.get["rows"], 3.5 * obs.get["rows"] / tracked
+        schema = StructType([df.schema[k], StructField("__salts", IntegerType())])
+        # counts may be short by the error: a key above the bound is never missed
+        rows = [(r["item"], max(1, math.ceil((r["count"] + error) / hot_rows)))
+                for r in obs.get[f"top{i}"] or []
+                if r["item"] is not None and r["count"] + error > hot_rows]
+        hot[k] = spark.createDataFrame(rows, schema) if error <= hot_rows / 2 or n <= hot_rows else None
+    return copy, hot
+
+
 def skew_join(big: DataFrame, other: DataFrame, on: str | list[str], how: str = "inner",
               hot_rows: int = HOT_ROWS, hot: DataFrame | None = None,
               sample: float = HOT_SAMPLE) -> DataFrame:

@@ -94,9 +94,11 @@ def join_inner(left: DataFrame, right: DataFrame, left_on: str, right_on: str |
 
 
 def join_inner_using(left: DataFrame, right: DataFrame, field: str,
-                     right_prefix: str | None = "r_", hot_rows: int | None = None) -> DataFrame:
+                     right_prefix: str | None = "r_", hot_rows: int | None = None,
+                     hot: DataFrame | None = None) -> DataFrame:
     """``JOIN ... USING (field)``: the key once, then the rest of the left
-    columns, then the rest of the right (prefixed when names collide)."""
+    columns, then the rest of the right (prefixed when names collide).
+    ``hot``: the left side's hot keys where they are known (``hot_keys``)."""
     check_columns(left, field)
     check_columns(right, field)
     if right_prefix:
@@ -105,7 +107,7 @@ def join_inner_using(left: DataFrame, right: DataFrame, field: str,
                                for c in right.columns])
     if hot_rows:
         # a USING join on (field, salt): field first, then left, then right
-        return skew_join(left, right, field, "inner", hot_rows)
+        return skew_join(left, right, field, "inner", hot_rows, hot)
     return left.join(right, field, "inner")
 
 

@@ -167,6 +167,14 @@ ORACLE_SQL: dict[str, str] = {
     "not_in_null":
         "SELECT count(*) AS n FROM orders WHERE o_custkey NOT IN "
         "(SELECT CASE WHEN c_custkey > 0 THEN c_custkey END FROM customer)",
+    "not_in_two":
+        "WITH m AS (SELECT o_orderkey, CASE WHEN o_custkey % 11 <> 0 THEN o_custkey END AS o_custkey, "
+        "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 3 END AS o_shippriority FROM orders), "
+        "r AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 13 <> 0 THEN c_custkey % 3 END AS p "
+        "FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 50 <> 0) "
+        "SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM r WHERE "
+        "(o_custkey = k OR o_custkey IS NULL OR k IS NULL) "
+        "AND (o_shippriority = p OR o_shippriority IS NULL OR p IS NULL))",
     "join_inner":
         "SELECT o.o_orderkey, o.o_totalprice, c.c_custkey, c.c_acctbal FROM orders o "
         "JOIN customer c ON o.o_custkey = c.c_custkey",

@@ -19,8 +19,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tessera.operators.joins import HOT_ROWS
+from tessera.operators.joins import HOT_ROWS, copy_with_hot_keys
 from tessera.operators.stages import cube_avg_max, group_sum, join_inner_using, rename_columns
+from tessera.session import scratch_path
 
 # The step names of the original flow text.
 STEP_NAMES = ("GROUP", "JOIN", "CUBE", "WRITE")
@@ -74,14 +75,16 @@ def parse_flow(text: str) -> list[Step]:
     return steps
 
 
-def step_frame(step: Step, base: DataFrame, other: DataFrame | None, spec: FlowSpec) -> DataFrame:
-    """The DataFrame one shuffle step produces from the base."""
+def step_frame(step: Step, base: DataFrame, other: DataFrame | None, spec: FlowSpec,
+               hot: DataFrame | None = None) -> DataFrame:
+    """The DataFrame one shuffle step produces from the base (``hot``: the
+    base's hot join keys, where they are known)."""
     if step.name == "GROUP":
         return group_sum(base, step.field, spec.value_col, spec.group_alias, spec.exact_decimal)
     if step.name == "JOIN":
         if other is None:
             raise ValueError("JOIN needs a second input")
-        out = join_inner_using(base, other, step.field, spec.right_prefix, spec.hot_rows)
+        out = join_inner_using(base, other, step.field, spec.right_prefix, spec.hot_rows, hot)
         return rename_columns(out, spec.join_names) if spec.join_names else out
     if step.name == "CUBE":
         return cube_avg_max(base, step.field, spec.second_col, spec.value_col, spec.max_col,
@@ -92,7 +95,20 @@ def step_frame(step: Step, base: DataFrame, other: DataFrame | None, spec: FlowS
 def run_flow(base: DataFrame, other: DataFrame | None, flow: str | list[Step],
              write: Callable[[DataFrame], None] | None = None, spec: FlowSpec = FlowSpec(),
              execute: bool = True) -> FlowResult:
+    """Run the steps in order.  A base that several shuffle steps or a join
+    would evaluate again is written once under ``spark.checkpoint.dir``; the
+    same job finds the hot keys of the joins.  A second input that several
+    joins read is written once too."""
     steps = parse_flow(flow) if isinstance(flow, str) else flow
+    shuffles = [s for s in steps if s.name != "WRITE"]
+    joins = sorted({s.field for s in shuffles if s.name == "JOIN"})
+    hot: dict[str, DataFrame | None] = {}
+    if execute and len(shuffles) > 1 or joins and spec.hot_rows:
+        base, hot = copy_with_hot_keys(base, joins if spec.hot_rows else [],
+                                       scratch_path(base.sparkSession, "flow-base"),
+                                       spec.hot_rows or HOT_ROWS)
+    if execute and other is not None and sum(s.name == "JOIN" for s in shuffles) > 1:
+        other, _ = copy_with_hot_keys(other, [], scratch_path(other.sparkSession, "flow-other"))
     last = base
     timings: list[tuple[str, float]] = []
     for step in steps:
@@ -104,7 +120,7 @@ def run_flow(base: DataFrame, other: DataFrame | None, flow: str | list[Step],
             write(target)
             last = target
         else:
-            last = step_frame(step, base, other, spec)
+            last = step_frame(step, base, other, spec, hot.get(step.field))
             if execute:
                 last.write.format("noop").mode("overwrite").save()
         timings.append((f"{step.name}:{step.field or ''}", time.perf_counter() - t0))

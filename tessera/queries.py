@@ -205,6 +205,19 @@ def q_not_in_null(spark, sf):
     return O.count_rows(O.not_in(o, c, "o_custkey", "c_custkey"))
 
 
+def q_not_in_two(spark, sf):
+    """Two columns, nulls in either on both sides."""
+    o = table(spark, sf, "orders").withColumns({
+        "o_custkey": F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey")),
+        "o_shippriority": F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey") % 3)})
+    c = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(
+        F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey")).alias("k"),
+        F.when(F.col("c_custkey") % 13 != 0, F.col("c_custkey") % 3).alias("p")).where(
+        "k is not null or p is not null").where("k is not null")
+    return O.not_in(o, c, ["o_custkey", "o_shippriority"], ["k", "p"]).select(
+        "o_orderkey", "o_custkey", "o_shippriority")
+
+
 # ---------------------------------------------------------------- joins
 def q_join_inner(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -596,6 +609,7 @@ QUERIES = {
     "not_in": q_not_in,
     "not_in_empty": q_not_in_empty,
     "not_in_null": q_not_in_null,
+    "not_in_two": q_not_in_two,
     "join_inner": q_join_inner,
     "join_inner_using": q_join_inner_using,
     "locate_records": q_locate_records,

@@ -384,3 +384,28 @@ def test_run_dying_before_marker_leaves_no_staging(spark, monkeypatch):
     assert rep.erased_rows == 1 and spark.table(t).count() == 11
     names = [s.getPath().getName() for s in fs.listStatus(p)]
     assert sum(n.startswith("_erase_") for n in names) == 1     # only the live relocation
+
+
+def test_not_in_several_columns_is_three_valued(spark):
+    """All rows over small domains with nulls, against SQL and the definition."""
+    values = [None, 1, 2]
+    main = [(i, a, b, c) for i, (a, b, c) in enumerate(
+        (a, b, c) for a in values for b in values for c in values)]
+    m = spark.createDataFrame(main * 2, "id int, a int, b int, c int")
+    lists = [[], [(1, 2, None)], [(1, None, None), (2, 2, 2)], [(None, None, 1)], [(None, None, None)],
+             [(1, 1, 1), (None, 2, 1), (2, None, None)], [(9, 9, 9)]]
+    for rows in lists:
+        r = spark.createDataFrame(rows, "x int, y int, z int")
+
+        def may_equal(row, other):
+            return all(p is None or q is None or p == q for p, q in zip(row[1:], other, strict=True))
+        want = sorted([x for x in main if not any(may_equal(x, y) for y in rows)] * 2, key=repr)
+        got = E.not_in(m, r, ["a", "b", "c"], ["x", "y", "z"])
+        assert sorted(map(tuple, got.collect()), key=repr) == want, rows
+        assert "BroadcastNestedLoopJoin" not in got._jdf.queryExecution().toString()
+        m.createOrReplaceTempView("m_several")
+        r.createOrReplaceTempView("r_several")
+        sql = spark.sql("SELECT * FROM m_several WHERE (a, b, c) NOT IN (SELECT x, y, z FROM r_several)")
+        assert sorted(map(tuple, sql.collect()), key=repr) == want
+    with pytest.raises(ValueError):
+        E.not_in(m, m, ["a", "b"], ["a"])

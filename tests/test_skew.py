@@ -91,3 +91,56 @@ def test_many_to_many_same_answer(spark, sides, how):
     plain = big.join(other, "k", how)
     salted = skew_join(big, other, "k", how, hot_rows=1000).select(*plain.columns)
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def _copied(spark, rows, schema="k string, v long", hot_rows=100, tracked=1024, keys=("k",)):
+    from tessera.operators.joins import copy_with_hot_keys
+    from tessera.session import scratch_path
+    df = spark.createDataFrame(rows, schema).repartition(7)
+    copy, hot = copy_with_hot_keys(df, list(keys), scratch_path(spark, "copy"), hot_rows, tracked)
+    assert sorted(map(tuple, copy.collect()), key=repr) == sorted(rows, key=repr)
+    return copy, hot
+
+
+def test_hot_keys_are_found_on_the_copying_pass(spark):
+    """Every key over the bound is found, with a third of the rows on one."""
+    rows = [("hot" if i % 3 == 0 else f"k{i}", i) for i in range(3000)]
+    rows += [(f"warm{i % 5}", i) for i in range(700)] + [(None, i) for i in range(900)]
+    copy, hot = _copied(spark, rows)
+    found = {r.k: r["__salts"] for r in hot["k"].collect()}
+    assert found.keys() >= {"hot", *(f"warm{i}" for i in range(5))} and len(found) < 20
+    assert 10 <= found["hot"] <= 11
+    plan = hot["k"]._jdf.queryExecution().toString()
+    assert "Sample" not in plan
+
+
+def test_the_bound_of_the_sketch(spark):
+    """Many distinct keys: with too few counters the sketch says so."""
+    rows = [(f"k{i}", i) for i in range(4000)] + [("hot", i) for i in range(300)]
+    _, hot = _copied(spark, rows, hot_rows=200, tracked=256)
+    if hot["k"] is not None:
+        assert "hot" in {r.k for r in hot["k"].collect()}
+    _, few = _copied(spark, rows, hot_rows=200, tracked=64)
+    assert few["k"] is None
+    _, none = _copied(spark, [], keys=("k", "v"))
+    assert none["k"].count() == none["v"].count() == 0
+
+
+def test_a_flow_evaluates_its_base_once(spark):
+    from tessera.plans import FlowSpec, run_flow
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    rows = [(i % 50 if i % 3 else 7, float(i), str(i % 4), float(i)) for i in range(600)]
+    base = spark.createDataFrame(rows, "a int, BENEFITS double, ADDRESS string, BALANCE double") \
+        .mapInArrow(count, "a int, BENEFITS double, ADDRESS string, BALANCE double")
+    other = spark.createDataFrame([(i, f"o{i}") for i in range(50)], "a int, name string")
+    got = run_flow(base, other, "GROUP:a, JOIN:a, CUBE:a", spec=FlowSpec(hot_rows=100))
+    assert seen.value == 600
+    want = spark.createDataFrame(rows, "a int, BENEFITS double, ADDRESS string, BALANCE double")
+    assert got.last.count() == want.cube("a", "ADDRESS").count().count()
+    joined = run_flow(base, other, "JOIN:a", spec=FlowSpec(hot_rows=100), execute=False).last
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, want.join(other, "a").collect()))
