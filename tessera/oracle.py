@@ -88,7 +88,6 @@ ERASE_BOTH_APPENDED = (
     ERASE_BOTH + " UNION ALL SELECT * REPLACE (-o_orderkey AS o_orderkey) FROM orders "
     "WHERE o_orderstatus = 'F'")
 
-PARTITIONED_ORDERS = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders"
 
 RECORD_COLS = ["NIN", "NAME", "BENEFITS", "ADDRESS", "BALANCE", "ACC_NAME", "CODE",
                "PARTITIONER", "DATE"]
@@ -140,11 +139,11 @@ ORACLE_SQL: dict[str, str] = {
     "write_table": "SELECT * FROM orders",
     "scan_csv": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "write_file": "SELECT * FROM customer",
-    "scan_json": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
+    "scan_json": "SELECT * FROM part",
     "write_clustered": "SELECT * FROM lineitem",
-    "write_partitioned": PARTITIONED_ORDERS,
+    "write_partitioned": "SELECT * FROM orders",
     "write_table_partitioned": "SELECT * FROM orders",
-    "append_table": "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
+    "append_table": "SELECT * FROM lineitem",
     "list_partitions":
         "SELECT DISTINCT concat('l_returnflag=', l_returnflag) AS partition_name FROM lineitem",
     "list_partition_dirs":
@@ -153,8 +152,8 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN "
         "(SELECT o_orderpriority FROM orders WHERE o_totalprice = "
         "(SELECT max(o_totalprice) FROM orders))",
-    "add_one": "SELECT l_orderkey, l_linenumber, l_quantity + 1 AS l_quantity FROM lineitem",
-    "read_workload": "SELECT l_orderkey, l_linenumber, l_quantity + 1 AS l_quantity FROM lineitem",
+    "add_one": "SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem",
+    "read_workload": "SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem",
     "cast_date":
         "SELECT o_orderkey, CAST(CAST(o_orderdate AS date) AS timestamp) AS o_ts FROM orders",
     "rename_columns":
@@ -176,11 +175,11 @@ ORACLE_SQL: dict[str, str] = {
         "(o_custkey = k OR o_custkey IS NULL OR k IS NULL) "
         "AND (o_shippriority = p OR o_shippriority IS NULL OR p IS NULL))",
     "join_inner":
-        "SELECT o.o_orderkey, o.o_totalprice, c.c_custkey, c.c_acctbal FROM orders o "
+        "SELECT o.*, c.* FROM orders o "
         "JOIN customer c ON o.o_custkey = c.c_custkey",
     "join_inner_using":
-        "SELECT o_orderkey, l_linenumber, l_quantity, o_totalprice FROM orders JOIN "
-        "(SELECT l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lineitem) AS li "
+        "SELECT * FROM orders JOIN "
+        "(SELECT l_orderkey AS o_orderkey, * EXCLUDE (l_orderkey) FROM lineitem) AS li "
         "USING (o_orderkey)",
     "locate_indexed":
         f"WITH {ERASE_REQUESTS} SELECT o_orderkey, o_orderpriority FROM orders WHERE "
@@ -228,7 +227,7 @@ ORACLE_SQL: dict[str, str] = {
     "split_by_hash":
         "SELECT o_orderkey, CASE WHEN ('0x' || substr(md5(concat('42:', o_orderkey)), 1, 8))"
         "::bigint < 429496730 THEN 'test' ELSE 'train' END AS part FROM orders",
-    "repartition_rows": "SELECT event_id, user_id, event_type FROM events",
+    "repartition_rows": "SELECT * FROM events",
     "replicate_rows":
         "SELECT c_custkey, c_name, g.copy::int AS copy FROM customer, "
         "generate_series(1, 3) AS g(copy)",
@@ -237,7 +236,7 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT * EXCLUDE (id) REPLACE (CAST(DATE AS timestamp) AS DATE) FROM ("
         + generate_records_sql("o_orderkey", "orders") + ")",
     "split_table":
-        "SELECT o_orderkey, o_orderpriority FROM orders WHERE "
+        "SELECT * FROM orders WHERE "
         "('0x' || substr(md5(concat('42:', o_orderkey)), 1, 8))::bigint < 429496730",
     "stage_flow":
         "SELECT o_orderpriority, CAST(sum(CAST(o_totalprice + 1 AS decimal(18,2))) AS double) "

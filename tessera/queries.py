@@ -87,16 +87,14 @@ def q_write_file(spark, sf):
 
 
 def q_scan_json(spark, sf):
-    src = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size",
-                                          "p_retailprice")
+    src = table(spark, sf, "part")
     path = scratch_path(spark, "json")
     K.write_file(src, path, "json")
     return S.read_json(spark, path, src.schema)
 
 
 def q_write_partitioned(spark, sf):
-    src = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
-                                            "o_orderpriority")
+    src = table(spark, sf, "orders")
     path = scratch_path(spark, "partitioned")
     K.write_file(src, path, "parquet", partition_by="o_orderpriority", files_per_partition=4)
     return S.read_parquet(spark, path, src.schema)
@@ -121,12 +119,12 @@ def q_write_table_partitioned(spark, sf):
 
 
 def q_append_table(spark, sf):
-    src = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    src = table(spark, sf, "lineitem")
     train, test = O.split_by_hash(src, ["l_orderkey", "l_linenumber"], 0.5, seed=7)
     name = f"{scratch_database(spark)}.{unique_name('lineitem_halves')}"
     K.write_table(test, name, partition_by="l_returnflag")
     K.append_table(train, name)
-    return S.read_table(spark, name).select("l_orderkey", "l_linenumber", "l_returnflag")
+    return S.read_table(spark, name).select(*src.columns)
 
 
 def q_list_partitions(spark, sf):
@@ -156,13 +154,11 @@ def q_scan_partitions(spark, sf):
 
 # ---------------------------------------------------------------- projections / filters
 def q_add_one(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return O.add_one(li, "l_quantity")
+    return O.add_one(table(spark, sf, "lineitem"), "l_quantity")
 
 
 def q_read_workload(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    rep = P.read_workload(li, "l_quantity")
+    rep = P.read_workload(table(spark, sf, "lineitem"), "l_quantity")
     assert rep.rows >= 0
     return rep.frame
 
@@ -220,18 +216,13 @@ def q_not_in_two(spark, sf):
 
 # ---------------------------------------------------------------- joins
 def q_join_inner(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    return O.join_inner(o, c, "o_custkey", "c_custkey", hot_rows=HOT_ROWS).select(
-        "o_orderkey", "o_totalprice", "c_custkey", "c_acctbal")
+    return O.join_inner(table(spark, sf, "orders"), table(spark, sf, "customer"), "o_custkey",
+                        "c_custkey", hot_rows=HOT_ROWS)
 
 
 def q_join_inner_using(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
-                                             "l_linenumber", "l_quantity")
-    return O.join_inner_using(o, li, "o_orderkey", hot_rows=HOT_ROWS).select(
-        "o_orderkey", "l_linenumber", "l_quantity", "o_totalprice")
+    li = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    return O.join_inner_using(table(spark, sf, "orders"), li, "o_orderkey", hot_rows=HOT_ROWS)
 
 
 def q_locate_records(spark, sf):
@@ -404,8 +395,7 @@ def q_split_random(spark, sf):
 
 
 def q_repartition_rows(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    return O.repartition_rows(ev, 16)
+    return O.repartition_rows(table(spark, sf, "events"), 16)
 
 
 def q_replicate_rows(spark, sf):
@@ -436,8 +426,7 @@ def q_generate_table(spark, sf):
 def q_split_table(spark, sf):
     """Split job (ratio 0.1 by key hash); the test part is stored as a table."""
     name = f"{scratch_database(spark)}.{unique_name('split_test')}"
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    P.split_job(o, P.SplitConfig(ratio=0.1, seed=42), "o_orderkey",
+    P.split_job(table(spark, sf, "orders"), P.SplitConfig(ratio=0.1, seed=42), "o_orderkey",
                 P.StorageConfig(storage="db", table=name))
     return S.read_table(spark, name)
 
