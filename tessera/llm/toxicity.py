@@ -51,6 +51,34 @@ def severity_grades(rows: list[np.ndarray], toxic: np.ndarray, width: int) -> np
     return np.where(toxic, 1 + (share >= np.median(share[toxic])), 0)
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def loss_and_gradients(w: np.ndarray, cut: np.ndarray, doc: np.ndarray, col: np.ndarray,
+                       value: np.ndarray, grades: np.ndarray,
+                       copies: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log-likelihood of the grades, with the decay of the
+    weights, and its gradients.  ``doc``, ``col``, ``value``: the documents'
+    features; ``cut``: the first threshold, then logs of the steps up."""
+    top, n = len(cut), copies.sum()
+    steps = np.exp(cut[1:])
+    theta = np.r_[-np.inf, cut[0] + np.r_[0, np.cumsum(steps)], np.inf]
+    eta = np.bincount(doc, weights=w[col] * value, minlength=len(grades))
+    hi, lo = _sigmoid(theta[grades + 1] - eta), _sigmoid(theta[grades] - eta)
+    hi[grades == top], lo[grades == 0] = 1.0, 0.0
+    p = np.maximum(hi - lo, 1e-12)
+    f_hi, f_lo = hi * (1 - hi), lo * (1 - lo)
+    slope = copies * (f_hi - f_lo) / p / n
+    g_w = np.bincount(col, weights=slope[doc] * value, minlength=len(w)) + DECAY * w
+    g_theta = np.zeros(top)
+    np.add.at(g_theta, grades[grades < top], -(copies * f_hi / p)[grades < top] / n)
+    np.add.at(g_theta, grades[grades > 0] - 1, (copies * f_lo / p)[grades > 0] / n)
+    upward = np.cumsum(g_theta[::-1])[::-1]       # a step moves all later thresholds
+    loss = -(copies * np.log(p)).sum() / n + DECAY * (w * w).sum() / 2
+    return float(loss), g_w, np.r_[upward[0], upward[1:] * steps]
+
+
 def fit(rows: list[np.ndarray], sizes: np.ndarray, grades: np.ndarray, width: int,
         copies: np.ndarray | None = None):
     """Weights and thresholds by full-batch Adam.  A feature's value in a
@@ -72,22 +100,9 @@ def fit(rows: list[np.ndarray], sizes: np.ndarray, grades: np.ndarray, width: in
     w, cut = np.zeros(width), np.r_[first[0], np.log(np.maximum(np.diff(first), 1e-2))]
     m = [np.zeros(width), np.zeros(top)]
     v = [np.zeros(width), np.zeros(top)]
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
     for step in range(1, STEPS + 1):
-        steps = np.exp(cut[1:])
-        theta = np.r_[-np.inf, cut[0] + np.r_[0, np.cumsum(steps)], np.inf]
-        eta = np.bincount(doc, weights=w[col] * value, minlength=len(rows))
-        hi, lo = sigmoid(theta[grades + 1] - eta), sigmoid(theta[grades] - eta)
-        hi[grades == top], lo[grades == 0] = 1.0, 0.0
-        p = np.maximum(hi - lo, 1e-12)
-        f_hi, f_lo = hi * (1 - hi), lo * (1 - lo)
-        slope = copies * (f_hi - f_lo) / p / n
-        g_w = np.bincount(col, weights=slope[doc] * value, minlength=width) + DECAY * w
-        g_theta = np.zeros(top)
-        np.add.at(g_theta, grades[grades < top], -(copies * f_hi / p)[grades < top] / n)
-        np.add.at(g_theta, grades[grades > 0] - 1, (copies * f_lo / p)[grades > 0] / n)
-        upward = np.cumsum(g_theta[::-1])[::-1]       # a step moves all later thresholds
-        for k, (x, g) in enumerate(((w, g_w), (cut, np.r_[upward[0], upward[1:] * steps]))):
+        _, *gradients = loss_and_gradients(w, cut, doc, col, value, grades, copies)
+        for k, (x, g) in enumerate(zip((w, cut), gradients, strict=True)):
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.999 * v[k] + 0.001 * g * g
             x -= RATE * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
@@ -121,7 +136,8 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
 
     About ``train_rows`` labelled documents, half of either class (more of one
     where the other has fewer), chosen by a hash of the id, are turned into
-    features where they lie (one row of each id); their feature lists, bounded
+    features where they lie; of several texts of one id the one with the least
+    hash counts.  The feature lists, bounded
     by that number, meet in one task, which fits the model.  There each counts
     as many times as its class is larger than its sample.
     """
@@ -139,14 +155,15 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     texts = documents.select(F.col(id_col).alias("id"),
                              text_or_empty(text_col).cast("binary").alias("text"))
     # bounded by train_rows, a parameter
-    sample = texts.join(F.broadcast(chosen), "id").select("id", "text", "toxic")
+    sample = texts.join(F.broadcast(chosen), "id").select(
+        "id", "text", "toxic", F.xxhash64("text").alias("h"))
 
     def extract(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([sorted(features(t.as_py())) for t in b.column(1)],
-                                       pa.list_(pa.binary())), b.column(2)],
-                names=["id", "features", "toxic"])
+                                       pa.list_(pa.binary())), b.column(2), b.column(3)],
+                names=["id", "features", "toxic", "h"])
 
     def learn(batches):
         number: dict[bytes, int] = {}
@@ -186,8 +203,9 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
                 names=["feature", "weight"])
 
     lists = sample.mapInArrow(extract, StructType([
-        texts.schema[0], *_schema("features array<binary>, toxic boolean")]))
-    rows = (lists.dropDuplicates(["id"]).repartition(1).sortWithinPartitions("id").select("features", "toxic")
+        texts.schema[0], *_schema("features array<binary>, toxic boolean, h long")]))
+    one = lists.groupBy("id").agg(F.min_by(F.struct("features", "toxic"), "h").alias("b"))
+    rows = (one.select("id", "b.*").repartition(1).sortWithinPartitions("id").select("features", "toxic")
             .mapInArrow(learn, "feature binary, weight double").collect())
     theta = sorted(r["weight"] for r in rows if r["feature"] is None)
     if not theta:
@@ -208,8 +226,8 @@ def severity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Texts are read whole; null text counts as empty; null ids pass through;
     repeated rows each get their row; labels with null id or label are left
-    out, of several labels of one id the worst counts; an empty table gives no
-    rows.  Where the labels of all these documents are of one class, nothing
+    out, of several labels of one id the worst counts, of several texts of one
+    id the one with the least hash trains; an empty table gives no rows.  Where the labels of all these documents are of one class, nothing
     is toxic: severity 0.
     """
     ship_package(df.sparkSession)

@@ -51,6 +51,45 @@ def test_thresholds_are_ordered_and_weights_shared():
     assert means[0] < 0.6 < means[1] < means[2]
 
 
+def test_gradients_by_finite_differences():
+    rng = np.random.default_rng(2)
+    rows = [rng.choice(12, rng.integers(1, 6), replace=False) for _ in range(40)]
+    doc, col = np.repeat(np.arange(40), [len(r) for r in rows]), np.concatenate(rows)
+    value, copies = rng.random(len(col)) + 0.1, rng.integers(1, 4, 40).astype(float)
+    grades = rng.integers(0, 4, 40)
+    w, cut = rng.normal(size=12), np.array([-0.3, 0.1, -0.5])
+
+    def loss(w, cut):
+        """The likelihood written out, document by document."""
+        theta = [-np.inf, cut[0], cut[0] + np.exp(cut[1]), cut[0] + np.exp(cut[1]) + np.exp(cut[2]), np.inf]
+        total = 0.0
+        for i in range(40):
+            eta = sum(w[c] * v for c, v, d in zip(col, value, doc, strict=True) if d == i)
+            below = [1 / (1 + np.exp(eta - t)) for t in theta]
+            total -= copies[i] * np.log(below[grades[i] + 1] - below[grades[i]])
+        return total / copies.sum() + T.DECAY * (w ** 2).sum() / 2
+
+    got, g_w, g_cut = T.loss_and_gradients(w, cut, doc, col, value, grades, copies)
+    assert abs(got - loss(w, cut)) < 1e-9
+    for x, g in ((w, g_w), (cut, g_cut)):
+        for k in range(len(x)):
+            ends = []
+            for d in (1e-5, -1e-5):
+                x[k] += d
+                ends.append(loss(w, cut))
+                x[k] -= d
+            assert abs((ends[0] - ends[1]) / 2e-5 - g[k]) < 1e-6
+
+
+def test_one_id_under_several_texts(spark):
+    """The text with the least hash trains, however the rows are dealt."""
+    docs, labels = planted(spark, 300)
+    twice = docs.unionByName(docs.withColumn("text", F.concat(F.lit("second "), F.reverse("text"))))
+    rows = [sorted(tuple(r) for r in T.severity(df, labels).collect())
+            for df in (twice.repartition(3), twice.orderBy(F.desc("text")).repartition(8))]
+    assert rows[0] == rows[1] and len(rows[0]) == 600
+
+
 def test_few_toxic_labels_among_many(spark):
     """14 of 3,000 labels are toxic; a sample of 200 over both classes would
     expect one of them."""
