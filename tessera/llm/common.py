@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and read it back: cuts the
     lineage, survives lost executors, and several passes share one result."""
     path = scratch_path(df.sparkSession, name)
+    if _MADE:
+        _MADE[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_MADE: list[list[str]] = []
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``build()`` written and read back; the scratch tables that it
+    materialized on the way are deleted."""
+    _MADE.append([])
+    try:
+        df = build()
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+    finally:
+        for made in _MADE.pop():
+            fsutil.delete(spark, made)
+    if _MADE:
+        _MADE[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

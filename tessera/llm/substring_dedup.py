@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    attach, broadcast_if_bounded, materialize, ship_package, text_or_empty,
+    attach, broadcast_if_bounded, materialize, settled, ship_package, text_or_empty,
 )
 from tessera.llm.words import grams, word_codes
 from tessera.operators.joins import HOT_ROWS, skew_join
@@ -255,7 +255,12 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the spans of words [start, stop) that windows of ``WINDOW`` words cover
     whose sequence also starts in a document with a smaller id.  ``row`` is
     xxhash64 of the text: rows that share an id are told apart by it."""
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    return settled(spark, lambda: _spans(df, id_col, text_col), "substring-spans")
+
+
+def _spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     docs = _keyed(df, id_col, text_col)
     load = docs.groupBy("doc", "row").agg(F.count("*").alias("n"))
     named = docs.where("doc is not null")
@@ -266,8 +271,7 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     late = _homes(rest, "w", "shared-windows").where("doc > home")
     spans = found.where("w is null").select("doc", "row", "start", "stop").union(
         late.select("doc", "row", "start", "stop"))
-    return materialize(spans.groupBy("doc", "row").agg(
-        F.collect_set(F.struct("start", "stop")).alias("spans")), "substring-spans")
+    return spans.groupBy("doc", "row").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
