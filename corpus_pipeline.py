@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import pipeline_stages as S
-from tessera.llm.common import materialize
+from tessera.llm.common import settled
 
 STAGES = [
     ("quality_rules", S.quality_rules),
@@ -21,7 +21,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage.  What the others leave under
+    ``spark.checkpoint.dir`` is their results; their scratch tables go."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settled(spark, lambda s=stage, d=docs: s(spark, d, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
