@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -68,6 +69,30 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def create_new(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Write a small file that must not exist yet; False if it does.  Of
+    several callers one succeeds."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p.getParent()):
+        fs.mkdirs(p.getParent())
+    try:
+        if fs.getUri().getScheme() == "file":     # there ``create`` looks first, then writes
+            if not spark.sparkContext._jvm.java.io.File(p.toUri().getPath()).createNewFile():
+                return False
+            out = fs.create(p, True)
+        else:
+            out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

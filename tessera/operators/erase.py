@@ -40,8 +40,9 @@ its marker; if any of them changed or is missing (rows were appended to a
 relocated folder, a file was rewritten), the batch is rolled back and its
 staging thrown away.  Then the stored request list is run again where it is not
 proven complete, then the call's own.  Only files listed before staging are
-ever deleted, so rows appended meanwhile survive.  Run one erase per table at
-a time.
+ever deleted, so rows appended meanwhile survive.  A call holds the table's
+lease (``lease``): a second one waits or refuses, and a call whose lease was
+taken over stops at its next step.
 """
 
 from __future__ import annotations
@@ -62,6 +63,7 @@ from pyspark.sql.types import StructType
 from tessera import fsutil
 from tessera.functions.naming import quote_ident, sql_literal
 from tessera.operators.file_lists import MOVES, FileLists, each, path_key, stream
+from tessera.operators.lease import Busy, Lease
 from tessera.operators.joins import (
     DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, HOT_ROWS, broadcast_if_small, measure,
     size_checked, skew_join,
@@ -237,7 +239,10 @@ STEPS = ("requests", "staged", "half-swapped", "swapped", "verified", "half-dele
 
 
 class _Stop:
-    """Test hook: a run that stops at one of ``STEPS``, as a crash would."""
+    """What is asked between steps: whether the lease is still this call's,
+    and (test hook) whether to stop here, as a crash would."""
+
+    lease: Lease | None = None
 
     def __init__(self, step: str | None):
         if step is not None and step not in STEPS:
@@ -245,6 +250,8 @@ class _Stop:
         self.step = step
 
     def at(self, step: str) -> None:
+        if self.lease is not None and not self.lease.holds():
+            raise Busy(f"the lease was taken over before {step!r}")
         if step == self.step:
             raise RuntimeError(f"stopped at {step!r} (test hook)")
 
@@ -525,6 +532,7 @@ class _Options:
     key_literals: int
     files_per_partition: int | None
     stop: _Stop
+    wait: float = 0.0
 
 
 def _erase_batch(target: _Target, key: str, wanted: list, keys: tuple, state: str, o: _Options,
@@ -651,6 +659,15 @@ def _run_requests(target: _Target, stored: DataFrame, key: str, state: str,
 
 def _erase(target: _Target, requests: DataFrame, key: str, req_key: str | None,
            req_part: str | None, state: str, o: _Options) -> EraseReport:
+    """``_erase_held`` under the table's lease: a call that is still running is
+    never taken for one that died."""
+    with Lease(target.spark, state + ".lease", o.wait) as lease:
+        o.stop.lease = lease
+        return _erase_held(target, requests, key, req_key, req_part, state, o)
+
+
+def _erase_held(target: _Target, requests: DataFrame, key: str, req_key: str | None,
+                req_part: str | None, state: str, o: _Options) -> EraseReport:
     spark, part = target.spark, target.part
     marker, begun = state + "/_marker", state + "/_begun"
     earlier = _read_json(spark, begun)
@@ -710,7 +727,8 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
                   key_literals: int = MAX_KEY_LITERALS,
                   files_per_partition: int | None = None,
-                  fail_after_staging: bool = False, stop_at: str | None = None) -> EraseReport:
+                  fail_after_staging: bool = False, stop_at: str | None = None,
+                  wait: float = 0.0) -> EraseReport:
     """Erase requested records from catalog table ``table`` in place.
 
     ``requests`` holds ``req_key`` (default ``key``) and ``req_part`` (default
@@ -721,7 +739,9 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     partition gets (and spreads a hot partition over that many writer tasks).
     When the key set is too large to broadcast, keys with more than
     ``hot_rows`` rows in the table (many copies of one record) are salted over
-    several tasks.  ``stop_at`` is a test hook that stops at one of ``STEPS``,
+    several tasks.  While another call works on the table this one waits up to
+    ``wait`` seconds, then raises ``lease.Busy``; the lease of a call that died
+    expires (``lease.LEASE_SECONDS``).  ``stop_at`` is a test hook that stops at one of ``STEPS``,
     like a crash would (``fail_after_staging``: at ``staged``).
     """
     if swap not in ("relocate", "copy", "files"):
@@ -729,7 +749,7 @@ def erase_records(spark: SparkSession, table: str, requests: DataFrame, key: str
     target = _Table(spark, table, part)
     stop = _Stop("staged" if fail_after_staging else stop_at)
     return _erase(target, requests, key, req_key, req_part, _state_dir(spark, table),
-                  _Options(swap, broadcast_rows, hot_rows, key_literals, files_per_partition, stop))
+                  _Options(swap, broadcast_rows, hot_rows, key_literals, files_per_partition, stop, wait))
 
 
 def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key: str,
@@ -739,7 +759,8 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
                        key_literals: int = MAX_KEY_LITERALS,
                        files_per_partition: int | None = None,
-                       fail_after_staging: bool = False, stop_at: str | None = None) -> EraseReport:
+                       fail_after_staging: bool = False, stop_at: str | None = None,
+                       wait: float = 0.0) -> EraseReport:
     """``erase_records`` for a file dataset in ``part=value`` folders, without a
     catalog; swap ``copy`` or ``files``.  ``options`` are those the files are
     read and written with.  Pass ``schema`` (with ``part`` in it) to keep the
@@ -750,4 +771,4 @@ def erase_records_path(spark: SparkSession, path: str, requests: DataFrame, key:
     target = _Path(spark, path, part, schema, fmt, options or {})
     stop = _Stop("staged" if fail_after_staging else stop_at)
     return _erase(target, requests, key, req_key, req_part, _state_dir(spark, "path:" + path),
-                  _Options(swap, broadcast_rows, hot_rows, key_literals, files_per_partition, stop))
+                  _Options(swap, broadcast_rows, hot_rows, key_literals, files_per_partition, stop, wait))
