@@ -21,6 +21,7 @@ machine that carries at most an unfinished character between blocks.
 from __future__ import annotations
 
 import codecs
+import hashlib
 import struct
 
 import numpy as np
@@ -28,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from tessera.llm import bpe_vocab
 from tessera.llm.common import ship_package
@@ -238,14 +239,31 @@ class Codec:
             held = held[done:]
             yield b"".join(out)
 
+    def decoder(self) -> "Decoder":
+        return Decoder(self.table)
+
     def decode(self, packed: bytes):
         """Blocks of text of packed ids; broken UTF-8 becomes U+FFFD."""
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
-        ids = np.frombuffer(packed, "<u4")
-        for at in range(0, len(ids), DECODE_IDS):
-            block = map(self.table.__getitem__, ids[at:at + DECODE_IDS].tolist())
-            yield machine.decode(b"".join(block))
-        yield machine.decode(b"", True)
+        machine = self.decoder()
+        for at in range(0, len(packed), 4 * DECODE_IDS):
+            yield machine.feed(packed[at:at + 4 * DECODE_IDS])
+        yield machine.finish()
+
+
+class Decoder:
+    """Packed ids in, text out: what is carried between blocks is an
+    unfinished character."""
+
+    def __init__(self, table: list[bytes]):
+        self.table = table
+        self.machine = codecs.getincrementaldecoder("utf-8")("replace")
+
+    def feed(self, packed: bytes) -> str:
+        ids = np.frombuffer(packed, "<u4").tolist()
+        return self.machine.decode(b"".join(map(self.table.__getitem__, ids)))
+
+    def finish(self) -> str:
+        return self.machine.decode(b"", True)
 
 
 _CODECS: dict[int, Codec] = {}
@@ -329,11 +347,39 @@ def round_trip(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     return _run(df, tokenizer_path, id_col, text_col, work, StructType([_IDS, _TEXT]))
 
 
+def text_digests(codec: Codec, text: str | None) -> tuple[int, str, str]:
+    """(number of ids, SHA-256 of the packed ids, SHA-256 of the decoded text)
+    of one text: every block of ids is digested and decoded when it is made."""
+    ids, decoded = hashlib.sha256(), hashlib.sha256()
+    n, machine = 0, codec.decoder()
+    for block in codec.encode(text) if text else ():
+        for at in range(0, len(block), 4 * DECODE_IDS):
+            part = block[at:at + 4 * DECODE_IDS]
+            n += len(part) // 4
+            ids.update(part)
+            decoded.update(machine.feed(part).encode())
+    decoded.update(machine.finish().encode())
+    return n, ids.hexdigest(), decoded.hexdigest()
+
+
 def digests(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """Encode, decode, and digest both: id, ``n_tokens``, ``ids_sha256``,
-    ``decoded_sha256`` (of the decoded text in UTF-8)."""
-    return round_trip(df, tokenizer_path, id_col, text_col).select(
-        F.col(id_col), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    ``decoded_sha256`` (of the decoded text in UTF-8).  Neither the ids nor the
+    decoded text of a document are held or handed back to Spark."""
+    blob = _blob(df, tokenizer_path)
+
+    def run(batches):
+        codec = _codec(blob.value)
+        for batch in batches:
+            n, ids, decoded = zip(*[text_digests(codec, t.as_py()) for t in batch.column(1)],
+                                  strict=True) if batch.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
+                 pa.array(decoded, pa.string())],
+                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    src = df.select(F.col(id_col), F.col(text_col).alias("__value"))
+    return src.mapInArrow(run, StructType([
+        src.schema[0], StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()),
+        StructField("decoded_sha256", StringType())]))
