@@ -20,9 +20,12 @@ RESOLUTION = 2 ** 32   # the ratio is applied in steps of 1 / 2**32
 
 
 def hash_bucket(seed: int, keys: Sequence[str]) -> Column:
-    """0..RESOLUTION-1 (32 bits) from the md5 of ``"<seed>:<key>"``."""
-    key = (F.col(keys[0]).cast("string") if len(keys) == 1
-           else F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
+    """0..RESOLUTION-1 (32 bits) from the md5 of ``"<seed>:<key>"``.  Of several
+    keys each is written with its length before it, a null as ``-``: different
+    keys never read alike."""
+    texts = [F.col(k).cast("string") for k in keys]
+    key = texts[0] if len(keys) == 1 else F.concat(*[
+        F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts])
     h = F.md5(F.concat(F.lit(f"{seed}:"), key))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
 

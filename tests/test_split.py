@@ -49,3 +49,11 @@ def test_take_from_partition_is_ordered(spark):
     df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 20).cast("string").alias("p"))
     rows = take_from_partition(df, "p", "11", 2, "k").collect()
     assert [r.k for r in rows] == [11, 31]
+
+
+def test_several_keys_are_kept_apart(spark):
+    from tessera.operators.split import hash_bucket
+    rows = [("a:b", "c"), ("a", "b:c"), (None, "a"), ("a", None), ("a", ""), ("", "a"), (None, None), ("-", None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = {r[0] for r in df.select(hash_bucket(1, ["a", "b"])).collect()}
+    assert len(got) == len(rows) and None not in got
