@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import (
     attach, broadcast_if_bounded, materialize, settled, ship_package, text_or_empty,
 )
-from tessera.llm.words import grams, word_codes
+from tessera.llm.words import grams, joined_codes, text_groups, word_codes
 from tessera.operators.joins import HOT_ROWS, skew_join
 
 WINDOW = 13
@@ -45,6 +45,10 @@ class Block:
     def __init__(self, passages: list[np.ndarray]):
         gap = np.zeros(1, np.uint64)                     # no word has code 0
         self.codes = np.concatenate([x for p in passages for x in (p, gap)])
+        self.probes = np.unique(grams(self.codes, PROBE))
+        self.order = self.first = None                   # sorted when first asked
+
+    def _sort(self) -> None:
         n = len(self.codes)
         rank = np.unique(self.codes, return_inverse=True)[1].astype(np.int64)
         step, order = 1, np.argsort(rank, kind="stable")
@@ -57,21 +61,25 @@ class Block:
             new[order] = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
             rank, step = new, 2 * step
         self.order, self.first = order, self.codes[order]
-        self.probes = np.unique(grams(self.codes, PROBE))
 
-    def runs(self, words: np.ndarray) -> list[tuple[int, int]]:
+    def runs(self, probes: np.ndarray) -> list[tuple[int, int]]:
         """[start, stop) of the longest runs of at least a window's words
-        whose ``PROBE``-grams all stand in the block."""
-        h = grams(words, PROBE)
+        whose ``PROBE``-grams all stand in the block; ``probes``: the
+        ``PROBE``-grams of the words."""
         if not len(self.probes):
             return []
-        near = np.minimum(np.searchsorted(self.probes, h), len(self.probes) - 1)
-        edges = np.flatnonzero(np.diff(self.probes[near] == h, prepend=False, append=False))
+        near = np.minimum(np.searchsorted(self.probes, probes), len(self.probes) - 1)
+        inside = self.probes[near] == probes
+        if inside.all():
+            return [(0, len(probes) + PROBE - 1)] if len(probes) > WINDOW - PROBE else []
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
         return [(s, e + PROBE - 1) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
                 if e - s >= WINDOW - PROBE + 1]
 
     def longest(self, words: np.ndarray, at: int) -> int:
         """Words from ``at`` on that stand together somewhere in the block."""
+        if self.order is None:
+            self._sort()
         lo, hi, depth, column = 0, len(self.order), 0, self.first
         while at + depth < len(words):
             w = words[at + depth]
@@ -88,12 +96,12 @@ class Block:
         return depth
 
 
-def factors(words: np.ndarray, block: Block) -> list[tuple[int, int]]:
+def factors(words: np.ndarray, block: Block, probes: np.ndarray) -> list[tuple[int, int]]:
     """[start, stop) of the greedy factors that hold a window.  The next
     factor starts where the first window over the last one's boundary does, so
     windows that cross a boundary are tried too."""
     spans = []
-    for at, stop in block.runs(words):
+    for at, stop in block.runs(probes):
         while at + WINDOW <= stop:
             size = block.longest(words, at)
             if size >= WINDOW:
@@ -115,13 +123,16 @@ def _seeds(docs: DataFrame) -> DataFrame:
                 return pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(parts)), b.column(0).take(take), b.column(1).take(take)],
                     names=["h", "doc", "row"])
-            for i, t in enumerate(b.column(2)):
-                parts.append(np.unique(window_seeds(word_codes(t.as_py()))))
-                rows.append(np.full(len(parts[-1]), i))
-                waiting += len(parts[-1])
-                if waiting >= ROWS_OUT:
-                    yield block()
-                    parts, rows, waiting = [], [], 0
+            for first, texts in text_groups(b.column(2)):
+                codes, places, sizes = joined_codes(texts, WINDOW)
+                all_seeds = window_seeds(codes)
+                for i, (at, size) in enumerate(zip(places.tolist(), sizes.tolist(), strict=True)):
+                    parts.append(np.unique(all_seeds[at:at + max(0, size - WINDOW + 1)]))
+                    rows.append(np.full(len(parts[-1]), first + i))
+                    waiting += len(parts[-1])
+                    if waiting >= ROWS_OUT:
+                        yield block()
+                        parts, rows, waiting = [], [], 0
             if waiting:
                 yield block()
 
@@ -207,17 +218,22 @@ def _factored(pieces: DataFrame) -> DataFrame:
         for b in batches:
             at, starts, stops, windows = [], [], [], []
             home, guest, start, data, salt = (b.column(i).to_pylist() for i in (0, 1, 4, 5, 6))
+            # hashes of all pieces together; those over a piece's end are not looked at
+            codes = np.frombuffer(b"".join(data), np.uint64)
+            probes, hashes = grams(codes, PROBE), grams(codes, WINDOW).view(np.int64)
+            ends = np.cumsum([0, *map(len, data)]) // 8
             for i in range(b.num_rows):
                 if key != (home[i], salt[i]):
                     key, passages, block = (home[i], salt[i]), [], None
-                words = np.frombuffer(data[i], np.uint64)
+                here, to = int(ends[i]), int(ends[i + 1])
+                words = codes[here:to]
                 if not guest[i]:
                     passages.append(words)
                     continue
                 if block is None:
                     block = Block(passages)
                 open_ = np.ones(len(words) - WINDOW + 1, bool)
-                for s, e in factors(words, block):
+                for s, e in factors(words, block, probes[here:to - PROBE + 1]):
                     open_[s:e - WINDOW + 1] = False
                     at.append([i])
                     starts.append([start[i] + s])
@@ -228,7 +244,7 @@ def _factored(pieces: DataFrame) -> DataFrame:
                     at.append(np.full(len(left), i))
                     starts.append(left + start[i])
                     stops.append(np.full(len(left), -1))
-                    windows.append(grams(words, WINDOW).view(np.int64)[left])
+                    windows.append(hashes[here:to - WINDOW + 1][left])
             if at:
                 at, starts, stops, windows = (np.concatenate(x) for x in (at, starts, stops, windows))
                 sure = stops >= 0

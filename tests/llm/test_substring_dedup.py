@@ -90,7 +90,7 @@ def test_longest_and_factors_by_plain_search():
         assert [block.longest(words, i) for i in range(30)] == [longest(i) for i in range(30)]
     base = np.arange(1, 60, dtype=np.uint64)
     block = S.Block([base[:25], base[15:50]])
-    covered = {i for s, e in S.factors(base, block) for i in range(s, e)}
+    covered = {i for s, e in S.factors(base, block, S.grams(base, S.PROBE)) for i in range(s, e)}
     assert covered == set(range(50))
 
 
