@@ -548,11 +548,19 @@ def q_io_round_robin(spark, sf):
     return rep.files.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows"))
 
 
+LOG_LINES = 500_000      # lines of a gzipped log file, some 200 MB unpacked
+
+
 def q_stage_metrics(spark, sf):
     """Event-log lines built from lineitem (a log for each l_returnflag, stage =
     l_linenumber, a task for each row, its figures from the row's columns),
-    written as JSON lines and read back through the event-log reader."""
-    li = table(spark, sf, "lineitem")
+    written as gzipped JSON lines and read back through the event-log reader.
+    The table's columns are dealt by log and sorted before the lines, which are
+    several times wider, are built from them; a file, which one task unpacks,
+    holds at most LOG_LINES of them."""
+    li = K.clustered(table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_linenumber", "l_suppkey", "l_orderkey", "l_quantity", "l_partkey"),
+        "l_returnflag", None).sortWithinPartitions("l_returnflag")
     amount = lambda c: F.col(c).cast("bigint")
     lines = li.select(
         F.col("l_returnflag").alias("log"), F.lit("SparkListenerTaskEnd").alias("Event"),
@@ -570,7 +578,9 @@ def q_stage_metrics(spark, sf):
                  F.struct((amount("l_quantity") * 7).alias("Bytes Written")).alias("Output Metrics"))
         .alias("Task Metrics"))
     path = scratch_path(spark, "eventlog")
-    K.write_file(lines, path, "json", partition_by="log")
+    K.write_file(lines, path, "json", partition_by="log", dealt=True,
+                 options={"compression": "gzip", "zlib.compress.level": "BEST_SPEED",
+                          "maxRecordsPerFile": LOG_LINES})
     return P.stage_metrics(spark, path, application="log").drop(
         "attempt", "max_task_ms", "median_task_ms").withColumn(
         "bytes_per_sec", F.round("bytes_per_sec", 3))

@@ -64,8 +64,12 @@ def _writer(df: DataFrame, fmt: str, mode: str, partition_by, header: bool, opti
 
 def write_file(df: DataFrame, path: str, fmt: str = "parquet", *, mode: str = "overwrite",
                partition_by: str | list[str] | None = None, header: bool = True,
-               files_per_partition: int | None = None, options: dict | None = None) -> None:
-    df = clustered(df, partition_by, files_per_partition)
+               files_per_partition: int | None = None, options: dict | None = None,
+               dealt: bool = False) -> None:
+    """``dealt``: the rows lie by the partition columns already (``clustered``
+    on what they are built from, where that is narrower)."""
+    if not dealt:
+        df = clustered(df, partition_by, files_per_partition)
     _writer(df, fmt, mode, partition_by, header, options).save(path)
 
 

@@ -154,9 +154,9 @@ def read_event_logs(spark: SparkSession, path: str, application: str | None = No
              .unionByName(_decoded(reader.format("binaryFile").load(path).where(packed)
                                    .select("path", "content"))))
     schema = StructType([*EVENT_LOG_SCHEMA, StructField("_broken", StringType())])
+    parsed = F.from_json("line", schema, {"columnNameOfCorruptRecord": "_broken"})
     read = (lines.where(F.col("torn").isNotNull() | (F.col("line") != ""))
-            .withColumn("e", F.from_json("line", schema, {"columnNameOfCorruptRecord": "_broken"}))
-            .select("file", "torn", "e.*")
+            .select("file", "torn", F.inline(F.array(parsed)))    # the filter below takes no second parse
             .where(F.col("torn").isNotNull() | F.col("_broken").isNotNull()
                    | F.col("Event").isin(*EVENTS)))
     scratch = scratch_path(spark, "event-logs")

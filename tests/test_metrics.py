@@ -170,3 +170,45 @@ def test_stage_metrics_show_task_spread(spark, event_log_dir):
         .write.format("noop").mode("overwrite").save()
     rows = stage_metrics(spark, event_log_dir).collect()
     assert all(r.max_task_ms >= r.median_task_ms >= 0 for r in rows)
+
+
+def test_stage_metrics_query_writes_little_and_keeps_null_logs(spark, monkeypatch):
+    """The query's lines are gzipped, in files of few lines, and dealt out as the table's own
+    columns: what it shuffles and writes stays below the plain lines' size."""
+    import glob
+    import os
+
+    from tessera import queries as Q
+    top = tempfile.mkdtemp(prefix="tessera-li-")
+    n = 20000
+    flag = F.when(F.col("id") % 3 == 0, "A").when(F.col("id") % 3 == 1, "N")
+    spark.range(n).select(
+        (F.col("id") * 4).alias("l_orderkey"), (F.col("id") % 200).alias("l_partkey"),
+        (F.col("id") % 10).alias("l_suppkey"), (F.col("id") % 7).cast("int").alias("l_linenumber"),
+        (F.col("id") % 50 + 0.5).alias("l_quantity"), flag.alias("l_returnflag")) \
+        .write.parquet(f"{top}/lineitem.parquet")
+    monkeypatch.setattr(Q, "LOG_LINES", 1000)
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, name: f"{top}/{name}")
+    rows = Q.q_stage_metrics(spark, top).collect()
+    assert sum(r.tasks for r in rows) == n
+    assert {r.application for r in rows} == {"A", "N", "__HIVE_DEFAULT_PARTITION__"}
+    assert sum(r.peak_memory_bytes == 4 * i for r in rows for i in range(n - 21, n)) == 21
+    files = glob.glob(f"{top}/eventlog/log=*/part-*")
+    assert len(files) >= n // 1000 and all(f.endswith(".json.gz") for f in files)
+    assert sum(map(os.path.getsize, files)) < 100 * n     # plain, a line takes some 400 bytes
+
+
+def test_an_event_line_is_parsed_once(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    folder, plans = tempfile.mkdtemp(prefix="tessera-logs-"), []
+    _log(folder, "app-1", [_task(1), {"Event": "SparkListenerOther"}, _task(2)])
+    write = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kw):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, path, *args, **kw)
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    assert _counts(spark, folder) == {("app-1", 1): 1, ("app-1", 2): 1}
+    assert plans and all(line.count("from_json(") <= 1 and not (
+        line.lstrip(" +-:").startswith("Filter") and "from_json(" in line)
+        for p in plans for line in p.splitlines())
