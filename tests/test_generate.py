@@ -3,9 +3,11 @@
 import datetime as dt
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import GeneratorConfig, parse_properties
+from tessera.functions import random as R
 from tessera.functions.random import ALPHABET
 from tessera.operators.generate import RECORD_SCHEMA, generate_records, replicate_rows
 
@@ -106,3 +108,29 @@ def test_building_records_runs_no_job(spark):
     df = records_for_ids(ids, "id", spread=4)
     assert not sc.statusTracker().getJobIdsForGroup("build-only")
     assert df.count() == 7
+
+
+@pytest.mark.parametrize("length,alphabet", [(1, R.ALPHABET), (6, R.ALPHABET), (11, R.ALPHABET), (30, "ab,; ")])
+def test_letters_from_chunk_columns_equal_the_inline_form(spark, length, alphabet):
+    ids = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "id bigint")
+    digest = R.letters_digest(7, "X", F.col("id"), length)
+    chunks = R.letter_chunks(digest, length)
+    names = [f"c`{i}" for i in range(len(chunks))]
+    df = ids.select("id", R.letters(7, "X", F.col("id"), length, alphabet).alias("inline"),
+                    *[c.alias(n) for c, n in zip(chunks, names, strict=True)])
+    rows = df.select("id", "inline", R.letters_from_chunk_columns(names, length, alphabet)
+                     .alias("looked_up")).collect()
+    assert all(r.inline == r.looked_up for r in rows)
+    assert all((r.id is None) == (r.inline is None) and len(r.inline or "x" * length) == length for r in rows)
+
+
+def test_generated_code_of_a_record_is_small_enough_to_compile(spark, capsys):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(key)
+    spark.conf.set(key, 65535)             # Spark's default
+    try:
+        generate_records(spark, n=10).explain("codegen")
+    finally:
+        spark.conf.set(key, old)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000     # HotSpot compiles no larger method
