@@ -6,9 +6,10 @@ out from the base; a bare step (``WRITE:``) gets the **last result** (the
 base when nothing ran before it).  ``WRITE:x`` writes the base.  Step names
 are case-insensitive; blanks are ignored.
 
-Each shuffle step is executed on its own (a ``noop`` sink: the full plan runs,
-nothing is stored) so its shuffle can be measured; real chaining of steps is
-plain Python composition of the operator functions.
+Each shuffle step is executed on its own, so that its shuffle can be measured:
+stored where the next step writes its result, else into a ``noop`` sink (the
+full plan runs, nothing is stored).  Real chaining of steps is plain Python
+composition of the operator functions.
 """
 
 from __future__ import annotations
@@ -92,13 +93,21 @@ def step_frame(step: Step, base: DataFrame, other: DataFrame | None, spec: FlowS
     raise ValueError(step.name)
 
 
+def _storable(df: DataFrame) -> bool:
+    """Whether parquet can hold ``df``: no column name twice, no typeless column."""
+    names = {c.lower() for c in df.columns}
+    return len(names) == len(df.columns) and all(
+        t not in df.schema.simpleString() for t in ("void", "interval", "variant"))
+
+
 def run_flow(base: DataFrame, other: DataFrame | None, flow: str | list[Step],
              write: Callable[[DataFrame], None] | None = None, spec: FlowSpec = FlowSpec(),
              execute: bool = True) -> FlowResult:
     """Run the steps in order.  A base that several shuffle steps or a join
     would evaluate again is written once under ``spark.checkpoint.dir``; the
     same job finds the hot keys of the joins.  A second input that several
-    joins read is written once too."""
+    joins read is written once too, and so is the result of a step that a bare
+    WRITE follows: the step runs once, WRITE reads what it stored."""
     steps = parse_flow(flow) if isinstance(flow, str) else flow
     shuffles = [s for s in steps if s.name != "WRITE"]
     joins = sorted({s.field for s in shuffles if s.name == "JOIN"})
@@ -111,7 +120,7 @@ def run_flow(base: DataFrame, other: DataFrame | None, flow: str | list[Step],
         other, _ = copy_with_hot_keys(other, [], scratch_path(other.sparkSession, "flow-other"))
     last = base
     timings: list[tuple[str, float]] = []
-    for step in steps:
+    for step, after in zip(steps, [*steps[1:], None], strict=True):
         t0 = time.perf_counter()
         if step.name == "WRITE":
             target = base if step.field else last
@@ -121,7 +130,9 @@ def run_flow(base: DataFrame, other: DataFrame | None, flow: str | list[Step],
             last = target
         else:
             last = step_frame(step, base, other, spec, hot.get(step.field))
-            if execute:
+            if execute and after == Step("WRITE") and _storable(last):
+                last, _ = copy_with_hot_keys(last, [], scratch_path(last.sparkSession, "flow-step"))
+            elif execute:
                 last.write.format("noop").mode("overwrite").save()
         timings.append((f"{step.name}:{step.field or ''}", time.perf_counter() - t0))
     return FlowResult(last, timings)

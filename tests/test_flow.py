@@ -59,3 +59,29 @@ def test_group_sum_matches_manual(spark, inputs):
     res = run_flow(base, other, "GROUP:PARTITIONER", execute=False).last
     total = res.agg(F.sum("sum(BENEFITS)")).first()[0]
     assert abs(total - base.agg(F.sum("BENEFITS")).first()[0]) < 1e-6
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("flow", ["JOIN:NIN, WRITE:", "JOIN:NIN, CUBE:NIN, WRITE:, WRITE:"])
+def test_a_step_that_is_written_runs_once(spark, inputs, flow):
+    base, other = inputs
+    written = []
+    spec = FlowSpec(avg_digits=6)
+    res = run_flow(base, other, flow, write=written.append, spec=spec)
+    assert not any(op in _plan(df) for df in written for op in ("Join", "Aggregate", "Expand"))
+    assert all(df is res.last for df in written)
+    whole = run_flow(base, other, flow.split(", WRITE")[0], spec=spec, execute=False).last
+    assert res.last.dtypes == whole.dtypes
+    assert res.last.exceptAll(whole).isEmpty() and whole.exceptAll(res.last).isEmpty()
+
+
+def test_a_result_that_parquet_cannot_hold_is_not_stored(spark, inputs):
+    base, other = inputs
+    written = []
+    run_flow(base, other, "JOIN:NIN, WRITE:", write=written.append, spec=FlowSpec(right_prefix=None))
+    assert len(written[0].columns) == 17 and "Join" in _plan(written[0])
+    run_flow(base, other, "JOIN:NIN, WRITE:x", write=written.append)
+    assert written[1].columns == base.columns
